@@ -21,6 +21,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(target) or []))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it."""
+    fs, target = _fs(spark, path)
+    fs.create(target, False).close()
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes under a path."""
     fs, target = _fs(spark, path)

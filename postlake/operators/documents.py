@@ -29,6 +29,7 @@ from postlake.schemas import (
 NOT_JSON = "page text is no JSON array"
 BAD_ELEMENT = "element lacks metadata"
 BAD_DATE = "unreadable post date"
+JSON_NULL = r"^\s*null\s*$"
 
 _PAGE = ("from_segment", "crawl_date", "segment", "page_type", "route", "parse_meta")
 
@@ -45,21 +46,18 @@ def unnest(pages: DataFrame) -> DataFrame:
     through the same pass, so the join below runs once.
     """
     multi = F.col("route") == "multi"
-    candidates = pages.where(
-        F.when(multi, not_empty("text")).otherwise(F.col("page_type") == TYPE_PROFILE)
+    # A page text of JSON null is an empty result, not a malformed one.
+    has_results = not_empty("text") & ~F.col("text").rlike(JSON_NULL)
+    candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
+    elements = F.try_variant_get(F.try_parse_json("text"), "$", "array<variant>")
+    parsed = candidates.select(
+        *_PAGE, F.col("url").alias("page_url"), F.when(multi, elements).alias("_elements")
     )
-    parsed = candidates.withColumn("_parsed", F.when(multi, F.try_parse_json("text")))
-    elements = F.try_variant_get("_parsed", "$", "array<variant>")
-    # A JSON null holds no documents; text that is no array gives one marked row.
-    empty = F.is_variant_null("_parsed")
+    # Settled before the array is unnested, so that rows need not carry it along.
+    marked = parsed.withColumn("_readable", ~multi | F.col("_elements").isNotNull())
     no_element = F.array(F.lit(None).cast("variant"))
-    rows = parsed.select(
-        *_PAGE,
-        F.col("url").alias("page_url"),
-        (~multi | elements.isNotNull()).alias("_readable"),
-        F.explode(
-            F.when(empty, F.array().cast("array<variant>")).otherwise(F.coalesce(elements, no_element))
-        ).alias("element"),
+    rows = marked.select(
+        *_PAGE, "page_url", "_readable", F.explode(F.coalesce("_elements", no_element)).alias("element")
     )
     has_meta = _present("$.contentMeta") & _present("$.parseMeta")
     reason = (

@@ -51,18 +51,26 @@ def segment_range(df: DataFrame, start: str | None = None, stop: str | None = No
 def complete_segments(
     df: DataFrame, part: str = "part", required: Sequence[str] = tuple(SEGMENT_PARTS)
 ) -> DataFrame:
-    """Rows of the segments that have every required part.
-
-    The segment list is made from partial aggregates, one bit set per segment;
-    the rows themselves are not shuffled when the list is small.
-    """
+    """Rows of the segments that have every required part."""
     bits = [
         F.max(F.when(F.col(part) == name, 1).otherwise(0)).alias(f"_has{i}")
         for i, name in enumerate(required)
     ]
     present = df.groupBy("segment").agg(*bits)
     full = present.where(" AND ".join(f"_has{i} = 1" for i in range(len(required)))).select("segment")
-    return df.join(full, "segment", "left_semi")
+    return in_segments(df, full)
+
+
+def in_segments(df: DataFrame, wanted: DataFrame, limit: int = 10_000) -> DataFrame:
+    """Rows of the wanted segments.
+
+    A list found to be short becomes a filter, which prunes partitions and leaves
+    the rows where they are. A longer one is joined.
+    """
+    names = [row.segment for row in wanted.limit(limit + 1).collect()]
+    if len(names) <= limit:
+        return df.where(F.col("segment").isin(names))
+    return df.join(wanted, "segment", "left_semi")
 
 
 def _one_per_page(df: DataFrame, *order: Column) -> DataFrame:
@@ -74,7 +82,7 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
 
     Failed records, pages missing either of the first two and pages flagged to be
     skipped are dropped. Several records of a kind come down to one: the latest
-    fetch, or the greatest by value. The joins reuse the partitioning by segment
+    fetch, or one picked by value. The joins reuse the partitioning by segment
     and url that this needs, so each part is shuffled once.
     """
     fetched = _one_per_page(
@@ -83,8 +91,7 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
     )
     parsed = _one_per_page(
         parse_data.where(F.col("status") == PARSED).select("segment", "url", "content_meta", "parse_meta"),
-        F.to_json("content_meta").desc_nulls_last(),
-        F.to_json("parse_meta").desc_nulls_last(),
+        F.xxhash64(F.map_entries("content_meta"), F.map_entries("parse_meta")),
     ).where(F.coalesce(lookup("content_meta", META_SKIP), F.lit("")) != "1")
     texts = _one_per_page(
         parse_text.select("segment", "url", "text"), F.col("text").desc_nulls_last()

@@ -10,13 +10,13 @@ from postlake.tables import Lake, rotate
 
 def clean_profiles(lake: Lake, prefix: str = "fb") -> None:
     """Copy the profiles whose url does not start with a prefix to a table of their own."""
-    lake.profile_tmp.append(without_prefix(lake.profile.read(), prefix))
+    lake.profile_tmp.append(without_prefix(lake.profile.read(), prefix), unique=True)
 
 
 def repair_hrefs(lake: Lake, strict: bool = False):
     """Rebuild the link of every post. Returns the posts whose id gives none."""
     posts = lake.post.read()
-    lake.post.append(repair_href(posts, strict))
+    lake.post.append(repair_href(posts, strict), unique=True)
     return unrepairable(posts)
 
 

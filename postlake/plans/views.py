@@ -7,13 +7,15 @@ from pyspark import StorageLevel
 from postlake.operators.enrich import enrich, with_author, without_author
 from postlake.operators.latest import latest_per_key
 from postlake.operators.upsert import conditional_upsert
+from postlake.session import fit_shuffles
 from postlake.tables import Lake
 
 
 def build_profile_view(lake: Lake) -> None:
     """Add the queued profiles that are new or strictly newer than the saved ones."""
+    fit_shuffles(lake.spark, lake.profile_to_process.bytes() + lake.profile.bytes())
     latest = latest_per_key(lake.profile_to_process.rows())
-    lake.profile.append(conditional_upsert(latest, lake.profile.rows()))
+    lake.profile.append(conditional_upsert(latest, lake.profile.rows()), unique=True)
 
 
 def build_post_view(lake: Lake) -> None:
@@ -22,15 +24,17 @@ def build_post_view(lake: Lake) -> None:
     One row per url and crawl date comes down to the newest row per url, which
     one pass over the queue as written gives.
     """
-    lake.post.append(latest_per_key(lake.post_to_process.rows()))
+    fit_shuffles(lake.spark, lake.post_to_process.bytes())
+    lake.post.append(latest_per_key(lake.post_to_process.rows()), unique=True)
 
 
 def build_post_join(lake: Lake) -> None:
     """Queue posts with an author for the index, and set the others aside."""
+    fit_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes())
     joined = enrich(lake.post.read(), lake.profile.read())
     joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        lake.post_to_es.append(with_author(joined))
-        lake.post_without_profile.append(without_author(joined))
+        lake.post_to_es.append(with_author(joined), unique=True)
+        lake.post_without_profile.append(without_author(joined), unique=True)
     finally:
         joined.unpersist()

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Runtime settings the jobs rely on. Every one is a Spark default or a choice
 # AQE makes from sizes it has measured, so none has to grow with the data.
@@ -60,3 +62,25 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one for a single run."""
     return f"{shared_folder(spark)}/postlake/{name}-{uuid.uuid4().hex}"
+
+
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, known as such to the optimizer."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# Bytes of a shuffle partition that a task sorts without spilling much, and how
+# much larger rows are in a shuffle than in Parquet.
+PARTITION_BYTES = 128 << 20
+EXPANSION = 3
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to what an input needs.
+
+    It is never lowered; AQE merges the partitions that turn out small.
+    """
+    needed = -(-input_bytes * EXPANSION // PARTITION_BYTES)
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count

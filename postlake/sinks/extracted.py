@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlake import files
 from postlake.operators.layout import group_for_write, sort_locally
 from postlake.schemas import BY_KIND, EXTRACTED, record
+from postlake.session import empty
 
 KINDS = (*BY_KIND, "quarantine")
 FOLDERS = ("from_segment", "kind")
@@ -40,5 +41,5 @@ def read_extracted(spark: SparkSession, root: str, kind: str, segments: Sequence
     paths = [folder(root, s, kind) for s in segments]
     paths = [p for p in paths if files.exists(spark, p)]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).parquet(*paths)

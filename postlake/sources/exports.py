@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from postlake import files
+from postlake.session import empty
 
 
 def _check(spark: SparkSession, pattern: str, missing: str) -> bool:
@@ -22,7 +23,7 @@ def read_export(
     """Rows under a path or glob. With `missing="skip"` a path that does not
     exist gives no rows instead of an error."""
     if not _check(spark, path, missing):
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from postlake import files
 from postlake.operators.segments import union_parts
 from postlake.schemas import SEGMENT_PARTS
+from postlake.session import empty
 
 
 def pick(names: Sequence[str], start: str | None = None, stop: str | None = None) -> list[str]:
@@ -64,10 +65,19 @@ class SegmentStore:
         folders = self.folders(part)
         paths = [folders[name] for name in segments if name in folders]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{part}")
         return reader.format(self.fmt).load(paths)
 
+    def bytes(self, segments: Sequence[str]) -> int:
+        chosen = set(segments)
+        return sum(
+            files.size(self.spark, path)
+            for part in SEGMENT_PARTS
+            for name, path in self.folders(part).items()
+            if name in chosen
+        )
+
     def records(self, segments: Sequence[str]) -> DataFrame:
         """All parts of the segments as one dataset with a `part` column."""
         return union_parts({part: self.part(part, segments) for part in SEGMENT_PARTS})

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from postlake import files
 from postlake.schemas import record
+from postlake.session import empty
 from postlake.sources.exports import read_export
 
 
@@ -51,7 +52,7 @@ class FileTopics:
     def stream(self, topic: str) -> DataFrame:
         # A reader may be there before the first message, as with a broker.
         if not files.exists(self.spark, self._path(topic)):
-            self.write(self.spark.createDataFrame([], "value string"), topic)
+            self.write(empty(self.spark, record("value")), topic)
         reader = self.spark.readStream.schema("value string").options(**self.options)
         return reader.parquet(self._path(topic))
 

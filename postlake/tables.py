@@ -1,10 +1,11 @@
 """Keyed tables on plain Parquet.
 
-A table is a folder of immutable writes. A `delta` write adds rows, a `full`
-write replaces what came before it. Reading takes the last full write and the
-deltas after it, and keeps one row per key. A write counts once Spark has put
-its `_SUCCESS` file there, so a job that dies leaves the table as it was, and
-writing the same rows twice changes nothing.
+A table is a folder of immutable writes. `delta` and `unique` writes add rows,
+the latter at most one per key; `full` and `empty` writes replace what came
+before them. Reading takes the last of these and what was added since, and keeps
+one row per key. A write counts once Spark has put its `_SUCCESS` file there, so
+a job that dies leaves the table as it was, and writing the same rows twice
+changes nothing.
 
 An upsert therefore costs the rows it brings, not the size of the table, and the
 reader's group-by-key shuffle is the one a join on that key needs anyway.
@@ -24,8 +25,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from postlake import files, schemas
 from postlake.operators.latest import top_per_key
 from postlake.operators.layout import group_for_write
+from postlake.session import empty
 
-_WRITE = re.compile(r"/kind=(full|delta)/version=(\d+)/write=(\w+)")
+_WRITE = re.compile(r"/kind=(full|empty|delta|unique)/version=(\d+)/write=(\w+)")
 
 
 @dataclass
@@ -57,47 +59,54 @@ class KeyedTable:
         return sorted(writes)
 
     def _current(self) -> list[tuple[int, str, str]]:
+        """The writes a reader needs, from the last replacing one on."""
         writes = self._writes()
-        full = [i for i, (_, kind, _) in enumerate(writes) if kind == "full"]
-        return writes[full[-1]:] if full else writes
+        replacing = [i for i, (_, kind, _) in enumerate(writes) if kind in ("full", "empty")]
+        return writes[replacing[-1]:] if replacing else writes
+
+    def _to_scan(self) -> list[tuple[int, str, str]]:
+        return [write for write in self._current() if write[1] != "empty"]
+
+    def _next(self, kind: str) -> str:
+        version = max((v for v, _, _ in self._writes(committed=False)), default=0) + 1
+        return f"{self.path}/kind={kind}/version={version}/write=w{uuid.uuid4().hex}"
 
     def _write(self, df: DataFrame, kind: str) -> None:
         rows = df.select(*self.schema.names)
         if self.partition_by:
             rows = group_for_write(rows, *self.partition_by)
-        version = max((v for v, _, _ in self._writes(committed=False)), default=0) + 1
-        target = f"{self.path}/kind={kind}/version={version}/write=w{uuid.uuid4().hex}"
-        rows.write.partitionBy(*self.partition_by).parquet(target)
+        rows.write.partitionBy(*self.partition_by).parquet(self._next(kind))
 
-    def append(self, df: DataFrame) -> None:
-        """Upsert the rows of `df`."""
-        self._write(df, "delta")
+    def append(self, df: DataFrame, unique: bool = False) -> None:
+        """Upsert the rows of `df`. Rows known to be `unique` by key can be read
+        back without grouping while nothing else is in the table."""
+        self._write(df, "unique" if unique else "delta")
 
     def replace(self, df: DataFrame) -> None:
         """Make the rows of `df`, unique by key, the whole table."""
         self._write(df, "full")
 
     def truncate(self) -> None:
-        self.replace(self.spark.createDataFrame([], self.schema))
+        files.touch(self.spark, f"{self._next('empty')}/_SUCCESS")
 
     def _scan(self, writes: list[tuple[int, str, str]]) -> DataFrame:
         schema = StructType(
             [*self.schema.fields, StructField("version", LongType()), StructField("write", StringType())]
         )
         if not writes:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*[path for _, _, path in writes])
 
     def rows(self) -> DataFrame:
         """All rows as written since the last full write, several per key."""
-        return self._scan(self._current()).select(*self.schema.names)
+        return self._scan(self._to_scan()).select(*self.schema.names)
 
     def read(self) -> DataFrame:
         """One row per key."""
-        writes = self._current()
+        writes = self._to_scan()
         rows = self._scan(writes)
-        if [kind for _, kind, _ in writes] == ["full"]:
+        if not writes or [kind for _, kind, _ in writes] in (["full"], ["unique"]):
             return rows.select(*self.schema.names)
         order = [F.col(self.date).desc_nulls_last()] if self.date else []
         if self.ties_keep_saved:
@@ -115,8 +124,8 @@ class KeyedTable:
         outgrown the full write. Each rewrite then pays for at least as many new
         bytes, so its cost per upserted row stays constant as the table grows.
         """
-        writes = self._current()
-        deltas = [path for _, kind, path in writes if kind == "delta"]
+        writes = self._to_scan()
+        deltas = [path for _, kind, path in writes if kind != "full"]
         if not deltas:
             return
         if max_deltas is not None and len(deltas) <= max_deltas:
@@ -125,6 +134,10 @@ class KeyedTable:
                 return
         self.replace(self.read())
 
+    def bytes(self) -> int:
+        """Size of what a reader scans."""
+        return sum(files.size(self.spark, path) for _, _, path in self._to_scan())
+
     def vacuum(self) -> None:
         """Delete the writes no reader needs any more: those before the last full
         one, and older ones that never finished."""
@@ -136,7 +149,7 @@ class KeyedTable:
 
 
 def rotate(source: KeyedTable, target: KeyedTable, keep=None) -> None:
-    """Move the rows of one table into another that they replace.
+    """Move the rows of one table into another of the same keys, replacing its rows.
 
     The target is written before the source is emptied, so a failure in between
     leaves the rows in both, never in neither.
