@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from postlake import files
 from postlake.operators.filters import MIN_YEAR
 from postlake.plans.export import export_for_index
 from postlake.plans.maintain import rotate_queues
@@ -35,7 +36,10 @@ class CycleConfig:
 
 def run_cycle(lake: Lake, config: CycleConfig) -> None:
     """One cycle. Tables are emptied only after every step has succeeded; after a
-    failure the next cycle takes up all that is left."""
+    failure the next cycle takes up all that is left. What the last cycle
+    replaced is deleted first, when nothing reads it any more."""
+    for table in lake.tables():
+        table.vacuum()
     ingest_slice(lake, config.topics, config.names, config.checkpoint, config.strict)
     build_profile_view(lake)
     build_post_view(lake)
@@ -53,3 +57,4 @@ def run_cycle(lake: Lake, config: CycleConfig) -> None:
     rotate_queues(lake, config.max_age_ms)
     lake.profile.compact(config.max_deltas)
     lake.index.compact(config.max_deltas)
+    files.delete(lake.spark, export)

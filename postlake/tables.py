@@ -210,3 +210,9 @@ class Lake:
     @property
     def bad_messages(self) -> KeyedTable:
         return self._table("bad_messages", schemas.BAD_MESSAGE, "topic", "message", date=None)
+
+    def tables(self) -> list[KeyedTable]:
+        return [
+            self.profile_to_process, self.post_to_process, self.profile, self.profile_tmp, self.post,
+            self.post_without_profile, self.post_to_es, self.index, self.undated, self.bad_messages,
+        ]
