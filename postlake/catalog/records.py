@@ -11,111 +11,91 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.schemas import DETAILED, POST, PROFILE
+from postlake.schemas import POST, PROFILE
 from postlake.session import tune
 
 
+# The schemas of the test tables, so that no file is opened to infer one.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _floor_text(column: str) -> Column:
-    return F.floor(column).cast("bigint").cast("string")
-
-
-def _network(key: str) -> Column:
-    return F.when(F.col(key) % 2 == 0, F.lit("fb")).otherwise(F.lit("vk"))
-
-
-def _author_url(key: str) -> Column:
-    return F.when(F.col(key) % 2 == 0, F.concat(F.lit("fb://"), _text(key))).otherwise(
-        F.concat(F.lit("vk://id"), _text(key))
-    )
-
-
 def millis(ts: str) -> Column:
     """Epoch milliseconds of a zoneless timestamp, read as UTC."""
     return F.unix_millis(F.col(ts).cast("timestamp"))
 
 
-def profiles(spark: SparkSession, sf_dir: str, where: Column | str | None = None) -> DataFrame:
-    customer = table(spark, sf_dir, "customer")
-    if where is not None:
-        customer = customer.where(where)
+PROFILE_OF_CUSTOMER = {
+    "url": "concat(if(c_custkey % 2 = 0, 'fb://', 'vk://id'), c_custkey)",
+    "crawl_date": "1470000000000 + c_custkey",
+    "id": "concat(if(c_custkey % 2 = 0, 'fb://', 'vk://id'), c_custkey)",
+    "segment": "c_mktsegment",
+    "href": "concat(if(c_custkey % 2 = 0, 'https://www.facebook.com/', 'http://vk.com/id'), c_custkey)",
+    "source": "if(c_custkey % 2 = 0, 'fb', 'vk')",
+    "sm_profile_id": "cast(c_custkey AS string)",
+    "name": "c_name",
+    "city": "n_name",
+    "reach": "cast(floor(c_acctbal) AS string)",
+    "friend_count": "cast(c_nationkey AS string)",
+    "follower_count": "cast(NULL AS string)",
+    "gender": "CASE c_nationkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' END",
+}
+
+
+def profiles(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    customer = table(spark, sf_dir, "customer").where(where)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    url = _author_url("c_custkey")
-    site = F.when(F.col("c_custkey") % 2 == 0, "https://www.facebook.com/").otherwise("http://vk.com/id")
-    gender = F.when(F.col("c_nationkey") % 3 == 0, "F").when(F.col("c_nationkey") % 3 == 1, "M")
-    return rows.select(
-        url.alias("url"),
-        (F.lit(1470000000000) + F.col("c_custkey")).alias("crawl_date"),
-        url.alias("id"),
-        F.col("c_mktsegment").alias("segment"),
-        F.concat(site, _text("c_custkey")).alias("href"),
-        _network("c_custkey").alias("source"),
-        _text("c_custkey").alias("sm_profile_id"),
-        F.col("c_name").alias("name"),
-        F.col("n_name").alias("city"),
-        _floor_text("c_acctbal").alias("reach"),
-        _text("c_nationkey").alias("friend_count"),
-        F.lit(None).cast("string").alias("follower_count"),
-        gender.alias("gender"),
-    ).select(*PROFILE.names)
-
-
-def _post_url() -> Column:
-    """One of four forms: post or comment, on either network."""
-    author, key, reply = _text("o_custkey"), _text("o_orderkey"), (F.col("o_orderkey") + 1).cast("string")
-    fb_id = F.concat_ws("_", author, key)
-    fb = F.concat(F.lit("fb://"), author, F.lit("/posts/"), fb_id)
-    vk = F.concat(F.lit("vk://id"), author, F.lit("/posts/"), key)
-    is_fb, is_comment = F.col("o_custkey") % 2 == 0, F.col("o_orderkey") % 2 == 1
-    return (
-        F.when(is_fb & is_comment, F.concat(fb, F.lit("/comments/"), key, F.lit("_"), reply))
-        .when(is_fb, fb)
-        .when(is_comment, F.concat(vk, F.lit("/comments/"), reply))
-        .otherwise(vk)
-    )
-
-
-def _body() -> Column:
-    full = F.concat_ws(" ", "o_orderpriority", "o_orderstatus")
-    return F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).when(
-        F.col("o_orderkey") % 7 == 1, F.lit("")
-    ).otherwise(full)
-
-
-def offset_date(column: str = "o_orderdate") -> Column:
-    """A post date as text, written at +0300."""
-    return F.concat(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000+0300"))
-
-
-def posts(spark: SparkSession, sf_dir: str, where: Column | str | None = None) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    if where is not None:
-        orders = orders.where(where)
-    is_comment = F.col("o_orderkey") % 2 == 1
-    parent = F.when(is_comment, F.concat(_author_url("o_custkey"), F.lit("/posts/"), _text("o_orderkey")))
-    return orders.select(
-        _post_url().alias("url"),
-        (millis("o_orderdate") + 86400000).alias("crawl_date"),
-        _post_url().alias("id"),
-        F.date_format("o_orderdate", "yyyyMM").alias("segment"),
-        F.concat(F.lit("http://old.example/"), _text("o_orderkey")).alias("href"),
-        _network("o_custkey").alias("source"),
-        _author_url("o_custkey").alias("profile_id"),
-        _text("o_orderkey").alias("sm_post_id"),
-        parent.alias("parent_post_id"),
-        _body().alias("body"),
-        offset_date().alias("date"),
-        _floor_text("o_totalprice").alias("engagement"),
-        is_comment.alias("is_comment"),
-    ).select(*POST.names)
+    return rows.selectExpr(*[f"{PROFILE_OF_CUSTOMER[n]} AS {n}" for n in PROFILE.names])
+
+
+# One of four forms: post or comment, on either network.
+_AUTHOR = "concat(if(o_custkey % 2 = 0, 'fb://', 'vk://id'), o_custkey)"
+_URL = """concat(
+    if(o_custkey % 2 = 0, concat('fb://', o_custkey, '/posts/', o_custkey, '_', o_orderkey),
+       concat('vk://id', o_custkey, '/posts/', o_orderkey)),
+    CASE WHEN o_orderkey % 2 = 0 THEN '' WHEN o_custkey % 2 = 0
+         THEN concat('/comments/', o_orderkey, '_', o_orderkey + 1)
+         ELSE concat('/comments/', o_orderkey + 1) END)"""
+
+POST_OF_ORDER = {
+    "url": _URL,
+    "crawl_date": "unix_millis(cast(o_orderdate AS timestamp)) + 86400000",
+    "id": _URL,
+    "segment": "date_format(o_orderdate, 'yyyyMM')",
+    "href": "concat('http://old.example/', o_orderkey)",
+    "source": "if(o_custkey % 2 = 0, 'fb', 'vk')",
+    "profile_id": _AUTHOR,
+    "sm_post_id": "cast(o_orderkey AS string)",
+    "parent_post_id": f"if(o_orderkey % 2 = 1, concat({_AUTHOR}, '/posts/', o_orderkey), NULL)",
+    "body": "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' "
+    "ELSE concat_ws(' ', o_orderpriority, o_orderstatus) END",
+    "date": "concat(date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\"), '.000+0300')",
+    "engagement": "cast(floor(o_totalprice) AS string)",
+    "is_comment": "o_orderkey % 2 = 1",
+}
+
+
+def posts(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    orders = table(spark, sf_dir, "orders").where(where)
+    return orders.selectExpr(*[f"{POST_OF_ORDER[n]} AS {n}" for n in POST.names])
 
 
 def crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,10 +116,6 @@ def crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(*[columns[n].alias(n) for n in PROFILE.names])
 
 
-def detailed(enriched: DataFrame) -> DataFrame:
-    return enriched.select(*DETAILED.names)
-
-
 # --- crawl segments -------------------------------------------------------------
 
 def _json_element(kind: str | None, url: Column, meta: dict[str, Column]) -> Column:

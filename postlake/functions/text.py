@@ -51,4 +51,4 @@ def url_hash(url: Column | str) -> Column:
 
 def words(text: Column | str) -> Column:
     """Lower-case words of a text, split on non-word characters."""
-    return F.filter(F.split(F.lower(_col(text)), r"\W+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(_col(text)), r"\W+"), "")

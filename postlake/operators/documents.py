@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import days_before, local_date
-from postlake.functions.text import field, flag, lookup, not_empty
+from postlake.functions.text import field, not_empty
 from postlake.operators.filters import DETAILED_DAYS, POST_DAYS
 from postlake.schemas import (
     DETAILED,
@@ -80,38 +80,27 @@ def unnest(pages: DataFrame) -> DataFrame:
     ).where(F.col("kind").isNotNull())
 
 
-def _value(name: str) -> Column:
-    """A metadata field of either sort of page. Page metadata is taken as it is."""
-    from_page = lookup("parse_meta", name)
-    from_element = field("element", f"$.parseMeta.{name}")
-    return F.when(F.col("route") == "multi", from_element).otherwise(from_page)
+_SCHEMAS = {"profile": PROFILE, "post": POST, "detailed": DETAILED}
+
+
+def _value(name: str) -> str:
+    """A metadata field of either sort of page, for the kinds that have it. Page
+    metadata is taken as it is."""
+    kinds = ", ".join(f"'{kind}'" for kind, schema in _SCHEMAS.items() if name in schema.names)
+    if name == "is_comment":
+        value = f"coalesce(try_variant_get(element, '$.parseMeta.{name}', 'boolean'), false)"
+    else:
+        value = (
+            f"CASE route WHEN 'multi' THEN try_variant_get(element, '$.parseMeta.{name}', 'string') "
+            f"ELSE try_element_at(parse_meta, '{name}') END"
+        )
+    return f"CASE WHEN kind IN ({kinds}) THEN {value} END AS {name}"
 
 
 def project(documents: DataFrame) -> DataFrame:
     """Every record column of each document; those of other kinds are null."""
-    columns = {
-        "url": F.col("url"),
-        "crawl_date": F.col("crawl_date"),
-        "id": F.col("url"),
-        "segment": F.col("segment"),
-        "is_comment": F.when(
-            F.col("kind").isin("post", "detailed"), flag("element", "$.parseMeta.is_comment")
-        ),
-        "kind": F.col("kind"),
-        "reason": F.col("reason"),
-    }
-    kinds_of = {
-        name: [
-            kind
-            for kind, schema in (("profile", PROFILE), ("post", POST), ("detailed", DETAILED))
-            if name in schema.names
-        ]
-        for name in EXTRACTED.names
-    }
-    for name in EXTRACTED.names:
-        if name not in columns:
-            columns[name] = F.when(F.col("kind").isin(*kinds_of[name]), _value(name))
-    return documents.select("from_segment", *[columns[n].alias(n) for n in EXTRACTED.names])
+    known = {"id": "url AS id"} | {n: n for n in ("url", "crawl_date", "segment", "kind", "reason")}
+    return documents.selectExpr("from_segment", *[known.get(n) or _value(n) for n in EXTRACTED.names])
 
 
 def keep_recent(
@@ -146,5 +135,4 @@ def raise_on_quarantine(records: DataFrame) -> DataFrame:
 
 def demux(records: DataFrame, kind: str) -> DataFrame:
     """The records of one kind, with the columns of that kind."""
-    names = {"post": POST, "profile": PROFILE, "detailed": DETAILED}[kind].names
-    return records.where(F.col("kind") == kind).select(*names)
+    return records.where(F.col("kind") == kind).select(*_SCHEMAS[kind].names)

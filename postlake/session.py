@@ -36,6 +36,8 @@ def local_session(app: str = "postlake", cores: str = "*", **config: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording call sites for error messages takes longer than building a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in config.items():
         builder = builder.config(name, value)
