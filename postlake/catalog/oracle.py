@@ -55,7 +55,7 @@ CRAWLS = """
 """
 
 PAGES = """
-  SELECT *, conv_id + turn AS number, conv_id || '/' || turn AS key, 's' || (conv_id % 10) AS seg,
+  SELECT *, length(text) AS size, conv_id || '/' || turn AS key, 's' || (conv_id % 10) AS seg,
     role = 'system' AS is_single,
     1470000000000 + conv_id * 1000 + turn AS fetch_time,
     DATE '2016-05-01' + CAST(conv_id % 20 AS INTEGER) AS day
@@ -63,7 +63,7 @@ PAGES = """
 """
 
 USABLE_PAGES = f"""
-  SELECT * FROM ({PAGES}) WHERE number % 7 <> 3 AND number % 11 <> 5 AND number % 5 <> 4
+  SELECT * FROM ({PAGES}) WHERE size >= 70 AND size <= 1400 AND NOT size BETWEEN 250 AND 300
 """
 
 MONTH_OF_UTC = """'y' || year(utc) || '-hy' || CASE WHEN month(utc) > 6 THEN 2 ELSE 1 END
@@ -146,8 +146,10 @@ _MONTHS = "SELECT *, strftime(o_orderdate, '%Y-%m') AS segment FROM orders"
 _USER_LATEST = """SELECT url, crawl_date, name, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, event_id DESC) AS r
     FROM (%s) WHERE %s) WHERE r = 1"""
-_NEW = _USER_LATEST % (CRAWLS, "event_type IN ('click', 'view')")
-_SAVED = _USER_LATEST % (CRAWLS, "event_type IN ('purchase', 'error') AND user_id % 5 <> 0")
+_NEW = f"""SELECT url, 1470000000000 + CAST(floor(CAST(reach AS BIGINT) / 400.0) AS BIGINT) AS crawl_date, name
+    FROM ({PROFILES})"""
+_SAVED = f"""SELECT url, 1470000000000 + CAST(friend_count AS BIGINT) AS crawl_date, 'saved ' || name AS name
+    FROM ({PROFILES}) WHERE segment <> 'BUILDING'"""
 
 
 def _matched(sql: str, flag: bool) -> str:
@@ -164,7 +166,7 @@ ORACLE: dict[str, str] = {
         FROM ({CRAWLS}) GROUP BY 1, 2""",
     "conditional_upsert": f"""SELECT n.* FROM ({_NEW}) n LEFT JOIN ({_SAVED}) s USING (url)
         WHERE s.url IS NULL OR s.crawl_date < n.crawl_date""",
-    "upsert_profile_view": f"""SELECT url, crawl_date, name, event_id FROM (
+    "upsert_profile_view": f"""SELECT url, crawl_date, name FROM (
         SELECT *, row_number() OVER (PARTITION BY url ORDER BY crawl_date DESC, is_new) AS r
         FROM (SELECT *, 0 AS is_new FROM ({_SAVED}) UNION ALL SELECT *, 1 FROM ({_NEW}))) WHERE r = 1""",
     "post_view": f"""SELECT url, max(crawl_date) AS crawl_date, count(DISTINCT crawl_date) AS crawls
@@ -195,18 +197,18 @@ ORACLE: dict[str, str] = {
         SELECT 'fetch' AS part, key AS url FROM ({PAGES}) UNION ALL SELECT 'parse_data', key FROM ({PAGES})
         UNION ALL SELECT 'parse_text', key FROM ({PAGES}) WHERE NOT is_single) GROUP BY part""",
     "status_filter": f"""SELECT part, 'page://' || key AS url FROM (
-        SELECT 'fetch' AS part, key FROM ({PAGES}) WHERE number % 7 <> 3
-        UNION ALL SELECT 'parse_data', key FROM ({PAGES}) WHERE number % 11 <> 5
+        SELECT 'fetch' AS part, key FROM ({PAGES}) WHERE size >= 70
+        UNION ALL SELECT 'parse_data', key FROM ({PAGES}) WHERE size <= 1400
         UNION ALL SELECT 'parse_text', key FROM ({PAGES}) WHERE NOT is_single)""",
     "segment_counts": f"""SELECT seg AS segment, count(*) AS records FROM (
-        SELECT seg FROM ({PAGES}) WHERE number % 7 <> 3
-        UNION ALL SELECT seg FROM ({PAGES}) WHERE number % 11 <> 5
+        SELECT seg FROM ({PAGES}) WHERE size >= 70
+        UNION ALL SELECT seg FROM ({PAGES}) WHERE size <= 1400
         UNION ALL SELECT seg FROM ({PAGES}) WHERE NOT is_single) GROUP BY seg""",
     "assemble_documents": """
         SELECT 'doc://' || d.doc_id AS url, 1470000000000 + d.doc_id AS crawl_date, d.lang AS segment,
           p.html AS text
         FROM documents d JOIN labels l USING (doc_id) LEFT JOIN pages p ON p.page_id = d.doc_id
-        WHERE d.doc_id % 10 <> 9 AND l.quality = 1 AND l.toxic = 0""",
+        WHERE d.n_chars >= 500 AND l.quality = 1 AND l.toxic = 0""",
     "assemble_pages": f"""
         SELECT seg AS from_segment, 'page://' || key AS url, fetch_time AS crawl_date,
           CASE WHEN is_single THEN 'profile' ELSE 'detailed_post' END AS page_type,
@@ -253,7 +255,7 @@ ORACLE: dict[str, str] = {
             SELECT *, 0 AS is_direct FROM ({_matched(enriched(), True)}) UNION ALL
             SELECT *, 1 FROM ({_matched(enriched('MACHINERY'), True)}) UNION ALL
             SELECT * REPLACE (crawl_date + 1 AS crawl_date, 'direct' AS segment), 1
-            FROM ({_matched(enriched(), True)}) WHERE CAST(sm_post_id AS BIGINT) % 3 = 0)) WHERE r = 1""",
+            FROM ({_matched(enriched(), True)}) WHERE is_comment)) WHERE r = 1""",
     "index_rows": _index(_matched(enriched(), True)),
     "export_for_index": f"""SELECT url, body, CAST(left(date, 10) AS DATE) AS post_local_date
         FROM ({_matched(enriched(), True)}) WHERE body IS NOT NULL AND body <> ''""",

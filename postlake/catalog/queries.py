@@ -54,8 +54,8 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- latest version per key -------------------------------------------------------
 
 
-def _observations(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    events = records.table(spark, sf_dir, "events").where(where)
+def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = records.table(spark, sf_dir, "events")
     return events.select(
         F.concat(F.lit("vk://id"), F.col("user_id").cast("string")).alias("url"),
         records.millis("ts").alias("crawl_date"),
@@ -65,15 +65,10 @@ def _observations(spark: SparkSession, sf_dir: str, where: str = "true") -> Data
     )
 
 
-def _latest_of(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    rows = _observations(spark, sf_dir, where)
-    newest = latest.latest_per_key(rows, ["url"], "ts", [F.col("event_id").desc()])
-    return newest.drop("ts")
-
-
 @query
 def latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latest_of(spark, sf_dir)
+    rows = _observations(spark, sf_dir)
+    return latest.latest_per_key(rows, ["url"], "ts", [F.col("event_id").desc()]).drop("ts")
 
 
 @query
@@ -91,8 +86,16 @@ def distinct_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_and_saved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    new = _latest_of(spark, sf_dir, "event_type IN ('click', 'view')")
-    saved = _latest_of(spark, sf_dir, "event_type IN ('purchase', 'error') AND user_id % 5 <> 0")
+    """Profiles crawled again, and an earlier view without one market segment."""
+    base = F.lit(1470000000000)
+    new = records.profiles(spark, sf_dir).select(
+        "url", (base + F.floor(F.col("reach").cast("bigint") / 400)).alias("crawl_date"), "name"
+    )
+    saved = records.profiles(spark, sf_dir, "c_mktsegment <> 'BUILDING'").select(
+        "url",
+        (base + F.col("friend_count").cast("bigint")).alias("crawl_date"),
+        F.concat(F.lit("saved "), F.col("name")).alias("name"),
+    )
     return new, saved
 
 
@@ -247,7 +250,7 @@ def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = records.table(spark, sf_dir, "documents")
     fetch = docs.select(
         url("doc_id"), one,
-        F.when(F.col("doc_id") % 10 == 9, "fetch_gone").otherwise("fetch_success").alias("status"),
+        F.when(F.col("n_chars") < 500, "fetch_gone").otherwise("fetch_success").alias("status"),
         (F.lit(1470000000000) + F.col("doc_id")).alias("fetch_time"),
     )
     # The language rides along as the segment name in the metadata.
@@ -427,7 +430,7 @@ def index_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = records.posts(spark, sf_dir)
     joined = enrich.with_author(_enriched(spark, sf_dir))
     direct = enrich.with_author(enrich.enrich(posts, _machinery(spark, sf_dir)))
-    again = joined.where(F.col("sm_post_id").cast("bigint") % 3 == 0).withColumns(
+    again = joined.where("is_comment").withColumns(
         {"crawl_date": F.col("crawl_date") + 1, "segment": F.lit("direct")}
     )
     lake.post_to_es.append(joined)

@@ -134,19 +134,19 @@ def page_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     Turns said by the system are single-document profile pages. All others are
     multi-document pages of a post, a profile and a detailed post without a type
-    of its own, which takes the type of the page. Every fifth turn is flagged to be
-    skipped, every seventh failed to fetch, every eleventh failed to parse.
+    of its own, which takes the type of the page. Very short turns failed to fetch,
+    very long ones to parse, and some in between are flagged to be skipped.
     """
     turns = table(spark, sf_dir, "conversations")
     key = F.concat(_text("conv_id"), F.lit("/"), _text("turn"))
     url = F.concat(F.lit("page://"), key)
-    number = F.col("conv_id") + F.col("turn")
+    length = F.length("text")
     segment = F.concat(F.lit("s"), F.col("conv_id") % 10)
     is_single = F.col("role") == "system"
 
     fetch = turns.select(
         url.alias("url"),
-        F.when(number % 7 == 3, "fetch_gone").otherwise("fetch_success").alias("status"),
+        F.when(length < 70, "fetch_gone").otherwise("fetch_success").alias("status"),
         (F.lit(1470000000000) + F.col("conv_id") * 1000 + F.col("turn")).alias("fetch_time"),
         segment.alias("segment"),
     )
@@ -154,7 +154,7 @@ def page_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.array(*[F.lit(k) for k in ("type", "skip", "multiple", "segment")]),
         F.array(
             F.when(is_single, "profile").otherwise("detailed_post"),
-            F.when(number % 5 == 4, "1").otherwise("0"),
+            F.when(length.between(250, 300), "1").otherwise("0"),
             F.when(is_single, "false").otherwise("true"),
             segment,
         ),
@@ -165,7 +165,7 @@ def page_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     parse_data = turns.select(
         url.alias("url"),
-        F.when(number % 11 == 5, "failed").otherwise("success").alias("status"),
+        F.when(length > 1400, "failed").otherwise("success").alias("status"),
         content_meta.alias("content_meta"),
         parse_meta.alias("parse_meta"),
         segment.alias("segment"),

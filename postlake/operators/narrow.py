@@ -1,0 +1,28 @@
+"""Narrowing a large table to the keys a small one asks for."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_KEYS = 1_000_000
+MAX_BYTES = 64 << 20
+
+
+def narrow(
+    df: DataFrame, column: str, keys: DataFrame, max_keys: int = MAX_KEYS, max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """Rows of `df` whose `column` is among the single-column `keys`, or all rows.
+
+    The distinct keys are counted first. A set within both bounds is broadcast, so
+    that a table much larger than what is asked of it is cut down while it is
+    scanned and the rest never reaches a shuffle. Beyond the bounds `df` comes
+    back as it is, for the join that follows to sort out.
+    """
+    wanted: Column = F.col(keys.columns[0])
+    distinct = keys.where(wanted.isNotNull()).distinct()
+    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(wanted)).alias("bytes")).first()
+    if size.n > max_keys or (size.bytes or 0) > max_bytes:
+        return df
+    asked = F.broadcast(distinct.select(wanted.alias("_asked")))
+    return df.join(asked, F.col(column) == F.col("_asked"), "left_semi")

@@ -1,4 +1,8 @@
-"""View building: latest profiles, latest posts, posts joined to authors."""
+"""View building: latest profiles, latest posts, posts joined to authors.
+
+The profile table outgrows what a cycle brings by far. Both jobs that meet it
+first narrow it to the urls they need, while these are few.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark import StorageLevel
 
 from postlake.operators.enrich import enrich, with_author, without_author
 from postlake.operators.latest import latest_per_key
+from postlake.operators.narrow import narrow
 from postlake.operators.upsert import conditional_upsert
 from postlake.session import fit_shuffles
 from postlake.tables import Lake
@@ -15,7 +20,8 @@ def build_profile_view(lake: Lake) -> None:
     """Add the queued profiles that are new or strictly newer than the saved ones."""
     fit_shuffles(lake.spark, lake.profile_to_process.bytes() + lake.profile.bytes())
     latest = latest_per_key(lake.profile_to_process.rows())
-    lake.profile.append(conditional_upsert(latest, lake.profile.rows()), unique=True)
+    saved = narrow(lake.profile.rows(), "url", lake.profile_to_process.rows().select("url"))
+    lake.profile.append(conditional_upsert(latest, saved), unique=True)
 
 
 def build_post_view(lake: Lake) -> None:
@@ -31,7 +37,10 @@ def build_post_view(lake: Lake) -> None:
 def build_post_join(lake: Lake) -> None:
     """Queue posts with an author for the index, and set the others aside."""
     fit_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes())
-    joined = enrich(lake.post.read(), lake.profile.read())
+    posts = lake.post.read()
+    authors = posts.select("profile_id")
+    profiles = lake.profile.read(lambda rows: narrow(rows, "url", authors))
+    joined = enrich(posts, profiles)
     joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         lake.post_to_es.append(with_author(joined), unique=True)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,10 +103,12 @@ class KeyedTable:
         """All rows as written since the last full write, several per key."""
         return self._scan(self._to_scan()).select(*self.schema.names)
 
-    def read(self) -> DataFrame:
-        """One row per key."""
+    def read(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """One row per key. `narrow` drops whole keys before they are grouped."""
         writes = self._to_scan()
         rows = self._scan(writes)
+        if narrow is not None:
+            rows = narrow(rows)
         if not writes or [kind for _, kind, _ in writes] in (["full"], ["unique"]):
             return rows.select(*self.schema.names)
         order = [F.col(self.date).desc_nulls_last()] if self.date else []

@@ -12,6 +12,7 @@ from postlake.catalog import queries, records
 from postlake.operators import filters, latest, upsert
 from postlake.operators.documents import project, unnest
 from postlake.operators.enrich import enrich, posts_lacking_author
+from postlake.operators.narrow import narrow
 from postlake.operators.segments import assemble
 from postlake.schemas import EXPORT
 from postlake.session import fit_shuffles, shared_folder
@@ -129,6 +130,15 @@ def test_posts_without_author_id_are_spread(spark, salt, share):
         assert lacking.count() == joined.where("NOT author_matched").count() == 20_000
 
 
+def test_join_narrows_the_profiles_before_their_shuffle(spark, lake):
+    for url in "ab":
+        lake.profile.append(profiles(spark, {"url": url}), unique=True)
+    keys = posts(spark, {"url": "p", "profile_id": "a"}).select("profile_id")
+    text = plan(lake.profile.read(lambda rows: narrow(rows, "url", keys)))
+    # Printed from the top down: the scan's semi join is below the exchange.
+    assert text.index("Exchange hashpartitioning(url") < text.index("BroadcastHashJoin") < text.index("FileScan")
+
+
 def test_year_filter_reaches_the_scan(spark, folder):
     spark.createDataFrame([], EXPORT).write.parquet(folder)
     read = spark.read.schema(EXPORT).parquet(folder)
