@@ -33,6 +33,13 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, to = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_fs(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

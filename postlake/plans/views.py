@@ -6,14 +6,12 @@ first narrow it to the urls they need, while these are few.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-
-from postlake.operators.enrich import enrich, with_author, without_author
+from postlake.operators.enrich import enrich
 from postlake.operators.latest import latest_per_key
 from postlake.operators.narrow import narrow
 from postlake.operators.upsert import conditional_upsert
 from postlake.session import fit_shuffles
-from postlake.tables import Lake
+from postlake.tables import Lake, append_split
 
 
 def build_profile_view(lake: Lake) -> None:
@@ -40,10 +38,4 @@ def build_post_join(lake: Lake) -> None:
     posts = lake.post.read()
     authors = posts.select("profile_id")
     profiles = lake.profile.read(lambda rows: narrow(rows, "url", authors))
-    joined = enrich(posts, profiles)
-    joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lake.post_to_es.append(with_author(joined), unique=True)
-        lake.post_without_profile.append(without_author(joined), unique=True)
-    finally:
-        joined.unpersist()
+    append_split(enrich(posts, profiles), "author_matched", lake.post_to_es, lake.post_without_profile)

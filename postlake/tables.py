@@ -149,6 +149,23 @@ class KeyedTable:
             for version, _, path in self._writes(committed=False):
                 if version < current[0][0]:
                     files.delete(self.spark, path)
+        files.delete(self.spark, f"{self.path}/staged")
+
+
+def append_split(rows: DataFrame, flag: str, if_true: KeyedTable, if_false: KeyedTable) -> None:
+    """Upsert rows, unique by key, into one of two tables by a boolean column.
+
+    One job writes both sides, so what made the rows runs once and needs no cache.
+    The columns are those of `rows`; each table reads the ones it knows.
+    """
+    staged = f"{if_true.path}/staged/{uuid.uuid4().hex}"
+    rows.write.partitionBy(flag).parquet(staged)
+    for value, table in (("true", if_true), ("false", if_false)):
+        side = f"{staged}/{flag}={value}"
+        if files.exists(table.spark, side):
+            target = table._next("unique")
+            files.move(table.spark, side, target)
+            files.touch(table.spark, f"{target}/_SUCCESS")
 
 
 def rotate(source: KeyedTable, target: KeyedTable, keep=None) -> None:
