@@ -239,6 +239,25 @@ ORACLE: dict[str, str] = {
     "profile_json": f"SELECT url, {_json(PLAIN_KEYS['profile'])} AS json FROM ({PROFILES})",
     "post_json": f"""SELECT url, {_json(PLAIN_KEYS['post'])} AS json
         FROM (SELECT {_list(POST.names)} FROM ({POSTS}))""",
+    "profile_cells": PROFILES,
+    "post_cells": f"SELECT {_list(POST.names)} FROM ({POSTS})",
+    "spread_rows": "SELECT event_id, event_type FROM events",
+    "local_sort": f"SELECT url, crawl_date, name FROM ({CRAWLS})",
+    "segment_total": f"""SELECT count(*) AS records FROM (
+        SELECT seg FROM ({PAGES}) WHERE size >= 70 UNION ALL SELECT seg FROM ({PAGES}) WHERE size <= 1400
+        UNION ALL SELECT seg FROM ({PAGES}) WHERE NOT is_single)""",
+    "extract_segments": f"SELECT * FROM ({EXTRACTED_POSTS}) WHERE segment BETWEEN 's2' AND 's6'",
+    "build_profile_view": f"""SELECT url, coalesce(
+          CASE WHEN s.crawl_date >= n.crawl_date THEN s.crawl_date END, n.crawl_date) AS crawl_date,
+          CASE WHEN s.crawl_date >= n.crawl_date THEN s.name ELSE n.name END AS name
+        FROM ({_NEW}) n LEFT JOIN ({_SAVED}) s USING (url)""",
+    "build_post_view": f"""SELECT {_list(n for n in POST.names if n not in ('crawl_date', 'segment'))},
+          CASE WHEN is_comment THEN crawl_date + 1 ELSE crawl_date END AS crawl_date,
+          CASE WHEN is_comment THEN 'again' ELSE segment END AS segment FROM ({POSTS})""",
+    "build_post_join": f"""SELECT url, profile_name,
+          CASE WHEN author_matched THEN 'post_to_es' ELSE 'post_without_profile' END AS queue
+        FROM ({enriched()})""",
+    "repair_hrefs": f"SELECT url, {HREF} AS href, body FROM ({POSTS})",
     "cells_decode": _matched(enriched(), True),
     "json_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "number_text": """SELECT o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS whole,

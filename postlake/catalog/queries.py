@@ -8,16 +8,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake import files
 from postlake.catalog import records
 from postlake.functions import dates, hrefs, payload, text
-from postlake.operators import documents, enrich, filters, latest, segments, upsert, words
-from postlake.plans import cycle, export, maintain, views
+from postlake.operators import documents, enrich, filters, latest, layout, segments, upsert, words
+from postlake.plans import cycle, export, extract, maintain, views
 from postlake.plans.extract import extracted_records
 from postlake.schemas import DETAILED
 from postlake.session import run_folder
-from postlake.sinks.extracted import write_extracted
+from postlake.sinks.extracted import read_extracted, write_extracted
 from postlake.sinks.index import index_rows
 from postlake.sources.cells import read_cells, readable
+from postlake.sources.segments import SegmentStore
 from postlake.sources.topics import FileTopics
 from postlake.streaming.index import publish_index
 from postlake.streaming.ingest import ingest_slice
@@ -359,6 +361,39 @@ def complete_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_segment(rows)
 
 
+@query
+def spread_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.spread(records.table(spark, sf_dir, "events")).select("event_id", "event_type")
+
+
+@query
+def local_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.sort_locally(records.crawls(spark, sf_dir)).select("url", "crawl_date", "name")
+
+
+@query
+def segment_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable records of all segments, one of the values being a hash of each url."""
+    rows = segments.usable(segments.union_parts(records.page_parts(spark, sf_dir)))
+    return rows.agg(F.count(text.url_hash("url")).alias("records"))
+
+
+@query
+def extract_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing folders, a range of their segments extracted three at a time."""
+    root = run_folder(spark, "segments")
+    for name, rows in records.page_parts(spark, sf_dir).items():
+        rows.write.partitionBy("segment").parquet(f"{root}/landing/{name}")
+    # Segments need not have records in the parse part, but must have the part.
+    for name in records.SEGMENTS:
+        files.touch(spark, f"{root}/landing/parse/segment={name}/_SUCCESS")
+    store = SegmentStore(spark, f"{root}/landing")
+    names = extract.extract_segments(
+        store, f"{root}/out", start="s2", stop="s55", batch_size=3, as_of=POSTS_AS_OF
+    )
+    return read_extracted(spark, f"{root}/out", "post", names)
+
+
 # --- JSON and text ----------------------------------------------------------------
 
 
@@ -377,15 +412,30 @@ def post_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.posts(spark, sf_dir).select("url", payload.plain_json("post").alias("json"))
 
 
+def _through_cells(rows: DataFrame, json: Column, kind: str) -> DataFrame:
+    """Rows written as JSON cells and read back."""
+    spark = rows.sparkSession
+    path = run_folder(spark, "cells")
+    rows.select(F.col("url").alias("id"), "crawl_date", json.alias("json")).write.parquet(path)
+    return readable(read_cells(spark, path, kind))
+
+
 @query
 def cells_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detailed posts as JSON cells, half under each set of keys, read back."""
+    """Detailed posts as cells, comments under the plain keys."""
     posts = enrich.with_author(_enriched(spark, sf_dir))
-    by_number = F.col("sm_post_id").cast("bigint") % 2 == 0
-    json = F.when(by_number, payload.index_json()).otherwise(payload.plain_json("detailed"))
-    path = run_folder(spark, "cells")
-    posts.select(F.col("url").alias("id"), "crawl_date", json.alias("json")).write.parquet(path)
-    return readable(read_cells(spark, path, "detailed"))
+    json = F.when(F.col("is_comment"), payload.plain_json("detailed")).otherwise(payload.index_json())
+    return _through_cells(posts, json, "detailed")
+
+
+@query
+def profile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_cells(records.profiles(spark, sf_dir), payload.plain_json("profile"), "profile")
+
+
+@query
+def post_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_cells(records.posts(spark, sf_dir), payload.plain_json("post"), "post")
 
 
 @query
@@ -423,6 +473,53 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- tables, streams and the cycle --------------------------------------------------
 
 
+@query
+def build_profile_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert as `upsert_profile_view`, from table to table."""
+    lake = Lake(spark, run_folder(spark, "profile_view"))
+    profiles = records.profiles(spark, sf_dir)
+    new, saved = _new_and_saved(spark, sf_dir)
+    rest = profiles.drop("crawl_date", "name")
+    lake.profile.append(saved.join(rest, "url"))
+    lake.profile_to_process.append(new.join(rest, "url"))
+    views.build_profile_view(lake)
+    return lake.profile.read().select("url", "crawl_date", "name")
+
+
+@query
+def build_post_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments come twice, the later crawl in a segment of its own."""
+    lake = Lake(spark, run_folder(spark, "post_view"))
+    posts = records.posts(spark, sf_dir)
+    again = {"crawl_date": F.col("crawl_date") + 1, "segment": F.lit("again")}
+    lake.post_to_process.append(posts.where("is_comment").withColumns(again))
+    lake.post_to_process.append(posts)
+    views.build_post_view(lake)
+    return lake.post.read()
+
+
+@query
+def build_post_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both queues the join fills."""
+    lake = Lake(spark, run_folder(spark, "post_join"))
+    lake.post.append(records.posts(spark, sf_dir), unique=True)
+    lake.profile.append(_building(spark, sf_dir), unique=True)
+    views.build_post_join(lake)
+    matched = lake.post_to_es.read().select("url", "profile_name", F.lit("post_to_es").alias("queue"))
+    alone = lake.post_without_profile.read().select(
+        "url", F.lit(None).cast("string").alias("profile_name"), F.lit("post_without_profile").alias("queue")
+    )
+    return matched.unionByName(alone)
+
+
+@query
+def repair_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = Lake(spark, run_folder(spark, "repair"))
+    lake.post.append(records.posts(spark, sf_dir), unique=True)
+    maintain.repair_hrefs(lake)
+    return lake.post.read().select("url", "href", "body")
+
+
 @query
 def index_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined posts and posts that came with their author, one per url."""
@@ -461,12 +558,11 @@ def publish_topics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_folder(spark, "publish")
     kinds = ("profile", "post", "detailed")
     recent = {"profile": POSTS_AS_OF, "post": POSTS_AS_OF, "detailed": DETAILED_AS_OF}
-    names = [f"s{i}" for i in range(10)]
     topics = FileTopics(spark, f"{root}/topics")
     for as_of in sorted(set(recent.values())):
         kept = {kind: f"t-{kind}" for kind in kinds if recent[kind] == as_of}
-        write_extracted(_extracted(spark, sf_dir, as_of), f"{root}/{as_of}", names)
-        publish_topics(spark, f"{root}/{as_of}", names, topics, kept, f"{root}/checkpoint")
+        write_extracted(_extracted(spark, sf_dir, as_of), f"{root}/{as_of}", records.SEGMENTS)
+        publish_topics(spark, f"{root}/{as_of}", records.SEGMENTS, topics, kept, f"{root}/checkpoint")
     sent = [topics.read(f"t-{kind}").withColumn("kind", F.lit(kind)) for kind in kinds]
     record = F.from_json("value", "url string, crawl_date bigint")
     return reduce(DataFrame.unionByName, sent).select("kind", record.alias("r")).select("kind", "r.*")

@@ -118,6 +118,9 @@ def crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- crawl segments -------------------------------------------------------------
 
+SEGMENTS = [f"s{i}" for i in range(10)]
+
+
 def _json_element(kind: str | None, url: Column, meta: dict[str, Column]) -> Column:
     content = F.struct((F.lit(kind) if kind else F.lit(None).cast("string")).alias("type"))
     return F.to_json(

@@ -72,17 +72,17 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 # Bytes of a shuffle partition that a task sorts without spilling much, and how
-# much larger rows are in a shuffle than in Parquet.
+# much larger rows are in a shuffle than in Parquet. Past the greatest number of
+# partitions these grow, and their sorts spill; more of them would burden the driver.
 PARTITION_BYTES = 128 << 20
 EXPANSION = 3
+MAX_PARTITIONS = 50_000
 
 
 def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the number of shuffle partitions to what an input needs.
-
-    It is never lowered; AQE merges the partitions that turn out small.
-    """
+    """Start the shuffles of the next job with as many partitions as its input
+    needs, and no fewer than configured. AQE merges those that turn out small."""
     needed = -(-input_bytes * EXPANSION // PARTITION_BYTES)
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
-    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(needed, MAX_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
     return count

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from postlake import files
 from postlake.session import empty
 
+LOGGER = logging.getLogger(__name__)
+
 
 def _check(spark: SparkSession, pattern: str, missing: str) -> bool:
     if files.matching(spark, pattern):
         return True
     if missing == "skip":
+        LOGGER.info("skip %s: no such path", pattern)
         return False
     raise FileNotFoundError(f"no such path: {pattern}")
 

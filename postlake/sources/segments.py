@@ -6,6 +6,7 @@ and only those folders are listed and scanned.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from postlake.operators.segments import union_parts
 from postlake.schemas import SEGMENT_PARTS
 from postlake.session import empty
 
+LOGGER = logging.getLogger(__name__)
+
 
 def pick(names: Sequence[str], start: str | None = None, stop: str | None = None) -> list[str]:
     """Names from `start` on, up to and including the first one at or past `stop`."""
@@ -58,6 +61,9 @@ class SegmentStore:
         over all names, so an incomplete segment can end it."""
         chosen = [segment] if segment is not None else pick(self.segments(), start, stop)
         complete = set(self.complete())
+        for name in chosen:
+            if name not in complete:
+                LOGGER.info("skip segment %s: a part is missing", name)
         return [name for name in chosen if name in complete]
 
     def part(self, part: str, segments: Sequence[str]) -> DataFrame:

@@ -28,6 +28,7 @@ from postlake.operators.latest import top_per_key
 from postlake.operators.layout import group_for_write
 from postlake.session import empty
 
+REPLACING = ("full", "empty")
 _WRITE = re.compile(r"/kind=(full|empty|delta|unique)/version=(\d+)/write=(\w+)")
 
 
@@ -57,12 +58,13 @@ class KeyedTable:
             path = path.removesuffix("/_SUCCESS")
             kind, version, _ = _WRITE.search(path).groups()
             writes.append((int(version), kind, path))
-        return sorted(writes)
+        # Of two writes made at once, the one that only adds counts as the later.
+        return sorted(writes, key=lambda w: (w[0], w[1] not in REPLACING, w[2]))
 
     def _current(self) -> list[tuple[int, str, str]]:
         """The writes a reader needs, from the last replacing one on."""
         writes = self._writes()
-        replacing = [i for i, (_, kind, _) in enumerate(writes) if kind in ("full", "empty")]
+        replacing = [i for i, (_, kind, _) in enumerate(writes) if kind in REPLACING]
         return writes[replacing[-1]:] if replacing else writes
 
     def _to_scan(self) -> list[tuple[int, str, str]]:
@@ -84,7 +86,8 @@ class KeyedTable:
         self._write(df, "unique" if unique else "delta")
 
     def replace(self, df: DataFrame) -> None:
-        """Make the rows of `df`, unique by key, the whole table."""
+        """Make the rows of `df`, unique by key, the whole table. Like `truncate`,
+        for use while nothing else writes to it."""
         self._write(df, "full")
 
     def truncate(self) -> None:
