@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TRAILING_ZERO = r"\.0$"
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -21,19 +23,24 @@ def not_empty(value: Column | str) -> Column:
 
 
 def field(value: Column | str, path: str) -> Column:
-    """Text of a variant field. Numbers keep every digit and lose only a
-    trailing `.0`; a missing or null field is null."""
+    """Text of a variant field; a missing or null field is null. Numbers keep
+    every digit and lose only a trailing `.0`."""
     return F.try_variant_get(_col(value), path, "string")
 
 
+def number(value: Column | str) -> Column:
+    """Text of a number without a trailing `.0`, for one that came as a string."""
+    return F.regexp_replace(_col(value), TRAILING_ZERO, "")
+
+
 def flag(value: Column | str, path: str) -> Column:
     """Boolean of a variant field, false when it is missing or null."""
     return F.coalesce(F.try_variant_get(_col(value), path, "boolean"), F.lit(False))
 
 
 def number_text(json: Column | str, path: str) -> Column:
-    """Text of a number inside a JSON string, see `field`."""
-    return field(F.try_parse_json(_col(json)), path)
+    """Text of a number inside a JSON string, see `field` and `number`."""
+    return number(field(F.try_parse_json(_col(json)), path))
 
 
 def millis_text(value: Column | str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import days_before, local_date
-from postlake.functions.text import field, not_empty
+from postlake.functions.text import TRAILING_ZERO, field, not_empty
 from postlake.operators.filters import DETAILED_DAYS, POST_DAYS
 from postlake.schemas import (
     DETAILED,
@@ -80,6 +80,15 @@ def unnest(pages: DataFrame) -> DataFrame:
     ).where(F.col("kind").isNotNull())
 
 
+# Number fields, by the kinds of element in which they are one.
+NUMBERS = {
+    "sm_post_id": "'post', 'detailed'",
+    "engagement": "'post', 'detailed'",
+    "reach": "'profile', 'detailed'",
+    "friend_count": "'profile'",
+    "follower_count": "'profile'",
+    "sm_profile_id": "'detailed'",
+}
 _SCHEMAS = {"profile": PROFILE, "post": POST, "detailed": DETAILED}
 
 
@@ -87,13 +96,13 @@ def _value(name: str) -> str:
     """A metadata field of either sort of page, for the kinds that have it. Page
     metadata is taken as it is."""
     kinds = ", ".join(f"'{kind}'" for kind, schema in _SCHEMAS.items() if name in schema.names)
+    element = f"try_variant_get(element, '$.parseMeta.{name}', 'string')"
+    value = f"CASE route WHEN 'multi' THEN {element} ELSE try_element_at(parse_meta, '{name}') END"
     if name == "is_comment":
         value = f"coalesce(try_variant_get(element, '$.parseMeta.{name}', 'boolean'), false)"
-    else:
-        value = (
-            f"CASE route WHEN 'multi' THEN try_variant_get(element, '$.parseMeta.{name}', 'string') "
-            f"ELSE try_element_at(parse_meta, '{name}') END"
-        )
+    elif name in NUMBERS:
+        as_number = f"regexp_replace({element}, r'{TRAILING_ZERO}', '')"
+        value = f"CASE WHEN route = 'multi' AND kind IN ({NUMBERS[name]}) THEN {as_number} ELSE {value} END"
     return f"CASE WHEN kind IN ({kinds}) THEN {value} END AS {name}"
 
 

@@ -96,7 +96,7 @@ def test_unreadable_date_raises_if_strict(spark):
 
 @pytest.mark.parametrize("number, expected", [
     ("2630.0", "2630"), ("12345678.0", "12345678"), ("102677859783352.0", "102677859783352"),
-    ("1.05", "1.05"), ("null", None), ("7", "7"), ('"7.0"', "7.0"), ("true", "true"),
+    ("1.05", "1.05"), ("null", None), ("7", "7"), ('"7.0"', "7"), ('"1_7"', "1_7"), ('"7.05"', "7.05"), ("true", "true"),
 ])
 def test_number_text(spark, number, expected):
     assert one(spark, text.number_text("j", "$.n"), j=f'{{"n":{number}}}') == expected

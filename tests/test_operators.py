@@ -164,7 +164,8 @@ def landing(spark):
         "mixed": (meta(type="detailed_post"), {}, """[
             {"url":"post1","contentMeta":{"type":"post"},"parseMeta":{"date":"2016-05-31T10:00:00.000+0300",
              "sm_post_id":102677859783352.0,"engagement":null,"is_comment":true,"body":"a\\nb"}},
-            {"url":"profile1","contentMeta":{"type":"profile"},"parseMeta":{"name":"x","reach":1.05}},
+            {"url":"profile1","contentMeta":{"type":"profile"},"parseMeta":{"name":"x","reach":1.05,
+             "friend_count":"30.0","sm_profile_id":"9.0"}},
             {"url":"detailed1","contentMeta":{},"parseMeta":{"date":"2016-05-31T10:00:00+0300","reach":2630.0,
              "sm_profile_id":12345678.0,"profile_city":"c","profile_name":"p"}},
             {"url":"other","contentMeta":{"type":"album"},"parseMeta":{}}]"""),
@@ -191,8 +192,9 @@ def test_extraction(spark):
     found = documents.demux(records, "post")
     assert values(found, "url", "sm_post_id", "engagement", "is_comment", "crawl_date", "segment") == [
         ("post1", "102677859783352", None, True, 200, "seg"), ("yes1", None, None, False, 100, "seg")]
-    assert values(documents.demux(records, "profile"), "url", "id", "name", "reach") == [
-        ("profile1", "profile1", "x", "1.05"), ("single", "single", "n", "7.0")]
+    columns = ("url", "id", "name", "reach", "friend_count", "sm_profile_id")
+    assert values(documents.demux(records, "profile"), *columns) == [
+        ("profile1", "profile1", "x", "1.05", "30", "9.0"), ("single", "single", "n", "7.0", None, None)]
     assert values(documents.demux(records, "detailed"), "url", "reach", "sm_profile_id", "profile_city", "is_comment") == [
         ("detailed1", "2630", "12345678", "c", False)]
     assert values(records.where("kind = 'quarantine'"), "url", "reason") == [
