@@ -6,6 +6,8 @@ first narrow it to the urls they need, while these are few.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from postlake.operators.enrich import enrich
 from postlake.operators.latest import latest_per_key
 from postlake.operators.narrow import narrow
@@ -16,10 +18,12 @@ from postlake.tables import Lake, append_split
 
 def build_profile_view(lake: Lake) -> None:
     """Add the queued profiles that are new or strictly newer than the saved ones."""
-    fit_shuffles(lake.spark, lake.profile_to_process.bytes() + lake.profile.bytes())
-    latest = latest_per_key(lake.profile_to_process.rows())
-    saved = narrow(lake.profile.rows(), "url", lake.profile_to_process.rows().select("url"))
-    lake.profile.append(conditional_upsert(latest, saved), unique=True)
+    queued, saved = lake.profile_to_process, lake.profile
+    fit_shuffles(lake.spark, queued.bytes() + saved.bytes())
+    rows = saved.rows()
+    if saved.bytes() > queued.bytes():
+        rows = narrow(rows, "url", queued.rows().select("url"))
+    saved.append(conditional_upsert(latest_per_key(queued.rows()), rows), unique=True)
 
 
 def build_post_view(lake: Lake) -> None:
@@ -36,6 +40,10 @@ def build_post_join(lake: Lake) -> None:
     """Queue posts with an author for the index, and set the others aside."""
     fit_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes())
     posts = lake.post.read()
-    authors = posts.select("profile_id")
-    profiles = lake.profile.read(lambda rows: narrow(rows, "url", authors))
+
+    def among_authors(rows: DataFrame) -> DataFrame:
+        return narrow(rows, "url", posts.select("profile_id"))
+
+    larger = lake.profile.bytes() > lake.post.bytes()
+    profiles = lake.profile.read(among_authors if larger else None)
     append_split(enrich(posts, profiles), "author_matched", lake.post_to_es, lake.post_without_profile)

@@ -194,3 +194,20 @@ def test_maintenance_jobs(spark, lake):
     with pytest.raises(Exception, match="no link for id"):
         maintain.repair_hrefs(lake, strict=True)
     assert lake.post.read().count() == 2
+
+
+def test_views_with_a_profile_table_larger_than_the_queues(spark, lake):
+    saved = [{"url": f"a{i}", "crawl_date": 5, "name": f"n{i}"} for i in range(500)]
+    lake.profile.append(profiles(spark, *saved[:250]))
+    lake.profile.append(profiles(spark, *saved[200:]))
+    lake.profile_to_process.append(profiles(
+        spark, {"url": "a1", "crawl_date": 5}, {"url": "a2", "crawl_date": 6, "name": "new"}, {"url": "b"}))
+    lake.post_to_process.append(posts(
+        spark, {"url": "p1", "profile_id": "a2"}, {"url": "p2", "profile_id": "a499"}, {"url": "p3", "profile_id": "z"}))
+    views.build_profile_view(lake)
+    assert lake.profile.read().count() == 501
+    assert lake.profile.rows().count() == 500 + 50 + 2
+    views.build_post_view(lake)
+    views.build_post_join(lake)
+    assert values(lake.post_to_es.read(), "url", "profile_name") == [("p1", "new"), ("p2", "n499")]
+    assert values(lake.post_without_profile.read(), "url") == [("p3",)]
