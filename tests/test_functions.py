@@ -4,6 +4,8 @@ import datetime as dt
 import json
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from build import detailed, posts, profiles, values
@@ -158,3 +160,26 @@ def test_decode_keeps_unreadable_cells_apart(spark):
         ("a", "x", False, None), ("b", None, False, "{no")]
     with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
         payload.decode_cells(cells, "post", strict=True).collect()
+
+
+texts = st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=20)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(texts, texts, st.booleans()), min_size=1, max_size=30))
+def test_decode_inverts_encode_for_any_text(spark, rows):
+    made = detailed(spark, *[
+        {"url": f"u{i}", "body": body, "profile_name": name, "is_comment": flag}
+        for i, (body, name, flag) in enumerate(rows)
+    ])
+    for encode in (payload.index_json(), payload.plain_json("detailed")):
+        cells = made.select(F.col("url").alias("id"), "crawl_date", encode.alias("json"))
+        assert values(payload.decode_cells(cells, "detailed", strict=True)) == values(made, *DETAILED.names)
+
+
+def test_message_round_trip(spark):
+    rows = sample(spark)
+    sent = rows.select(payload.message_json().alias("value"))
+    read = sent.select(payload.decode_message("value", DETAILED).alias("r")).select("r.*")
+    assert values(read, *DETAILED.names) == values(rows, *DETAILED.names)
+    assert read.where("_corrupt IS NOT NULL").count() == 0

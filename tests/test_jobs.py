@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,15 @@ def test_segment_counts(store):
     assert all("segment=s3" in path for path in store.part("fetch", ["s3"]).inputFiles())
 
 
+def test_json_landing_tables(spark, folder):
+    for name, rows in zip(("fetch", "parse_data", "parse_text"), landing(spark)):
+        rows.drop("segment").write.json(f"{folder}/{name}/segment=20160801")
+    files.touch(spark, f"{folder}/parse/segment=20160801/_SUCCESS")
+    store = SegmentStore(spark, folder, fmt="json")
+    assert extract_segments(store, f"{folder}/out", as_of="2016-06-01") == ["20160801"]
+    assert values(read_extracted(spark, f"{folder}/out", "post", ["20160801"]), "url") == [("post1",), ("yes1",)]
+
+
 @pytest.mark.parametrize("batch_size", [1, 2])
 def test_extract_and_publish(spark, store, folder, batch_size):
     out = f"{folder}/out"
@@ -133,6 +144,21 @@ def test_ingest_counts_rows(spark, lake, folder):
     assert sum(seen) == 2
 
 
+def test_kafka_options():
+    """What reaches Spark; no broker is needed to check it."""
+    session, rows = MagicMock(), MagicMock()
+    topics = KafkaTopics(session, {"kafka.bootstrap.servers": "a:1", "startingOffsets": "earliest"})
+    topics.stream("t")
+    reader = session.readStream.format
+    reader.assert_called_with("kafka")
+    reader().options.assert_called_with(**topics.options)
+    reader().options().option.assert_called_with("subscribe", "t")
+    topics.write(rows, "t")
+    rows.write.format().options().option.assert_called_with("topic", "t")
+    topics.sink(rows, "t")
+    rows.writeStream.format().options().option.assert_called_with("topic", "t")
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         KafkaTopics(spark, {"kafka.bootstrap.servers": "none:1", "startingOffsets": "earliest"}).stream("t")
