@@ -38,8 +38,9 @@ def write_extracted(records: DataFrame, root: str, segments: Sequence[str]) -> N
 def read_extracted(spark: SparkSession, root: str, kind: str, segments: Sequence[str]) -> DataFrame:
     """Records of one kind from the given segments."""
     schema = BY_KIND.get(kind, QUARANTINE)
-    paths = [folder(root, s, kind) for s in segments]
-    paths = [p for p in paths if files.exists(spark, p)]
+    wanted = {f"from_segment={segment}" for segment in segments}
+    found = files.matching(spark, folder(root, "*", kind))
+    paths = [path for path in found if path.split("/")[-2] in wanted]
     if not paths:
         return empty(spark, schema)
     return spark.read.schema(schema).parquet(*paths)

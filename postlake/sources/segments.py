@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,13 +38,18 @@ def batches(names: Sequence[str], size: int = 1) -> Iterator[list[str]]:
 
 @dataclass
 class SegmentStore:
+    """The segments under `root`, listed once, when first asked for."""
+
     spark: SparkSession
     root: str
     fmt: str = "parquet"
+    _listed: dict[str, dict[str, str]] = field(default_factory=dict, repr=False)
 
     def folders(self, part: str) -> dict[str, str]:
-        paths = files.matching(self.spark, f"{self.root}/{part}/segment=*")
-        return {path.rsplit("segment=", 1)[1]: path for path in paths}
+        if part not in self._listed:
+            paths = files.matching(self.spark, f"{self.root}/{part}/segment=*")
+            self._listed[part] = {path.rsplit("segment=", 1)[1]: path for path in paths}
+        return self._listed[part]
 
     def segments(self) -> list[str]:
         """All segment names, complete or not."""
@@ -76,13 +81,9 @@ class SegmentStore:
         return reader.format(self.fmt).load(paths)
 
     def bytes(self, segments: Sequence[str]) -> int:
-        chosen = set(segments)
-        return sum(
-            files.size(self.spark, path)
-            for part in SEGMENT_PARTS
-            for name, path in self.folders(part).items()
-            if name in chosen
-        )
+        """Size of all parts of the segments."""
+        paths = [self.folders(part).get(name) for part in SEGMENT_PARTS for name in segments]
+        return sum(files.size(self.spark, path) for path in paths if path)
 
     def records(self, segments: Sequence[str]) -> DataFrame:
         """All parts of the segments as one dataset with a `part` column."""
