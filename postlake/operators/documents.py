@@ -1,7 +1,7 @@
 """Documents out of assembled pages.
 
 A single-document page is a profile described by its string metadata. A
-multi-document page carries a JSON array, one element per document, read as
+multi-document page carries a JSON array, one element per document, read through
 variant so that numbers keep their digits.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import days_before, local_date
-from postlake.functions.text import TRAILING_ZERO, field, not_empty
+from postlake.functions.text import TRAILING_ZERO, not_empty
 from postlake.operators.filters import DETAILED_DAYS, POST_DAYS
 from postlake.schemas import (
     DETAILED,
@@ -31,84 +31,84 @@ BAD_ELEMENT = "element lacks metadata"
 BAD_DATE = "unreadable post date"
 JSON_NULL = r"^\s*null\s*$"
 
-_PAGE = ("from_segment", "crawl_date", "segment", "page_type", "route", "parse_meta")
-
-
-def _present(path: str) -> Column:
-    part = F.try_variant_get("element", path, "variant")
-    return part.isNotNull() & ~F.coalesce(F.is_variant_null(part), F.lit(False))
+# Number fields, by the kinds of element in which they are one.
+NUMBERS = {
+    "sm_post_id": "'post', 'detailed'",
+    "engagement": "'post', 'detailed'",
+    "reach": "'profile', 'detailed'",
+    "friend_count": "'profile'",
+    "follower_count": "'profile'",
+    "sm_profile_id": "'detailed'",
+}
+_SCHEMAS = {"profile": PROFILE, "post": POST, "detailed": DETAILED}
+_OWN = ("url", "crawl_date", "id", "segment", "kind", "reason")
+_META = ", ".join(
+    f"{f.name}: {f.dataType.simpleString()}" for f in EXTRACTED.fields if f.name not in _OWN
+)
+# A document as it stands in a page. One cast reads all of its fields.
+ELEMENT = f"struct<url: string, contentMeta: struct<{META_TYPE}: string>, parseMeta: struct<{_META}>>"
 
 
 def unnest(pages: DataFrame) -> DataFrame:
     """One row per document, with `kind`, or with a `reason` it cannot be read.
 
-    Pages and elements that hold no document give no row. Both sorts of page go
-    through the same pass, so the join below runs once.
+    Pages and elements that hold no document give no row. A single-document page
+    is brought into the form of an element, so both sorts of page go through the
+    same pass and the join below runs once.
     """
     multi = F.col("route") == "multi"
     # A page text of JSON null is an empty result, not a malformed one.
     has_results = not_empty("text") & ~F.col("text").rlike(JSON_NULL)
     candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
-    elements = F.try_variant_get(F.try_parse_json("text"), "$", "array<variant>")
-    parsed = candidates.select(
-        *_PAGE, F.col("url").alias("page_url"), F.when(multi, elements).alias("_elements")
+    parsed = F.try_variant_get(F.try_parse_json("text"), "$", f"array<{ELEMENT}>")
+    page = F.struct(
+        "url", F.struct(F.col("page_type").alias(META_TYPE)).alias("contentMeta"),
+        F.col("parse_meta").alias("parseMeta"),
+    )
+    whole_page = F.array(F.try_variant_get(F.to_variant_object(page), "$", ELEMENT))
+    kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
+    elements = candidates.select(
+        *kept, F.col("url").alias("page_url"), F.when(multi, parsed).otherwise(whole_page).alias("elements")
     )
     # Settled before the array is unnested, so that rows need not carry it along.
-    marked = parsed.withColumn("_readable", ~multi | F.col("_elements").isNotNull())
-    no_element = F.array(F.lit(None).cast("variant"))
+    marked = elements.withColumn("readable", F.col("elements").isNotNull())
+    no_element = F.array(F.lit(None).cast(ELEMENT))
     rows = marked.select(
-        *_PAGE, "page_url", "_readable", F.explode(F.coalesce("_elements", no_element)).alias("element")
+        *kept, "page_url", "readable", F.explode(F.coalesce("elements", no_element)).alias("element")
     )
-    has_meta = _present("$.contentMeta") & _present("$.parseMeta")
-    reason = (
-        F.when(~F.col("_readable"), NOT_JSON)
-        .when(multi & ~has_meta, BAD_ELEMENT)
-    )
-    subtype = F.coalesce(field("element", f"$.contentMeta.{META_TYPE}"), F.col("page_type"))
+    lacks_meta = F.col("element.contentMeta").isNull() | F.col("element.parseMeta").isNull()
+    reason = F.when(~F.col("readable"), NOT_JSON).when(multi & lacks_meta, BAD_ELEMENT)
+    subtype = F.coalesce(F.col(f"element.contentMeta.{META_TYPE}"), F.col("page_type"))
     kind = (
         F.when(reason.isNotNull(), "quarantine")
         .when(subtype == TYPE_POST, "post")
         .when(subtype == TYPE_PROFILE, "profile")
         .when(subtype == TYPE_DETAILED, "detailed")
     )
-    url = F.when(multi & F.col("_readable"), field("element", "$.url")).otherwise(F.col("page_url"))
+    url = F.col("element.url")
     return rows.select(
-        *_PAGE, "page_url", "element",
-        F.when(reason.isNotNull(), F.coalesce(url, F.col("page_url"))).otherwise(url).alias("url"),
+        *kept, "page_url", "element",
+        F.when(reason.isNotNull(), F.coalesce(url, "page_url")).otherwise(url).alias("url"),
         kind.alias("kind"),
         reason.alias("reason"),
     ).where(F.col("kind").isNotNull())
 
 
-# Number fields, by the kinds of element in which they are one.
-NUMBERS = {
-    "sm_post_id": "'post', 'detailed'",
-    "engagement": "'post', 'detailed'",
-    "reach": "'profile', 'detailed'",
-    "friend_count": "'profile'",
-    "follower_count": "'profile'",
-    "sm_profile_id": "'detailed'",
-}
-_SCHEMAS = {"profile": PROFILE, "post": POST, "detailed": DETAILED}
-
-
 def _value(name: str) -> str:
-    """A metadata field of either sort of page, for the kinds that have it. Page
-    metadata is taken as it is."""
+    """A metadata field, for the kinds that have it. Page metadata is taken as it is."""
     kinds = ", ".join(f"'{kind}'" for kind, schema in _SCHEMAS.items() if name in schema.names)
-    element = f"try_variant_get(element, '$.parseMeta.{name}', 'string')"
-    value = f"CASE route WHEN 'multi' THEN {element} ELSE try_element_at(parse_meta, '{name}') END"
+    value = f"element.parseMeta.{name}"
     if name == "is_comment":
-        value = f"coalesce(try_variant_get(element, '$.parseMeta.{name}', 'boolean'), false)"
+        value = f"coalesce({value}, false)"
     elif name in NUMBERS:
-        as_number = f"regexp_replace({element}, r'{TRAILING_ZERO}', '')"
+        as_number = f"regexp_replace({value}, r'{TRAILING_ZERO}', '')"
         value = f"CASE WHEN route = 'multi' AND kind IN ({NUMBERS[name]}) THEN {as_number} ELSE {value} END"
     return f"CASE WHEN kind IN ({kinds}) THEN {value} END AS {name}"
 
 
 def project(documents: DataFrame) -> DataFrame:
     """Every record column of each document; those of other kinds are null."""
-    known = {"id": "url AS id"} | {n: n for n in ("url", "crawl_date", "segment", "kind", "reason")}
+    known = {"id": "url AS id"} | {n: n for n in _OWN if n != "id"}
     return documents.selectExpr("from_segment", *[known.get(n) or _value(n) for n in EXTRACTED.names])
 
 
