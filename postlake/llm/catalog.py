@@ -1,4 +1,4 @@
-"""One query for each operator over its whole table, and SQL for those that SQL can express."""
+"""One query for each operator, over its whole table."""
 
 from __future__ import annotations
 
@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
+from .sql import ORACLE  # noqa: F401
+from .warc import derivatives, responses
 from .words import read
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = derivatives(responses(read(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
+    return made.withColumnRenamed("source_key", "page_id")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -20,15 +27,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
 }
-
-ORACLE = {
-    "op9_exact_dedup": """
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               coalesce(doc_id = max(doc_id) OVER same, false) AS kept, sha256(coalesce(text, '')) AS text_sha256
-        FROM documents
-        WINDOW same AS (PARTITION BY coalesce(text, ''))
-    """,
-}
