@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
 from .warc import derivatives, responses
 from .words import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(read(spark, sf_dir, "documents"))
+
+
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = derivatives(responses(read(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
     return made.withColumnRenamed("source_key", "page_id")
@@ -27,6 +32,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
