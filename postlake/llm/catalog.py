@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .language import language_of_documents
 from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
@@ -22,6 +23,10 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumnRenamed("source_key", "page_id")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_of_documents(read(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_warc_derivatives": op4_warc_derivatives,
+    "op5_language": op5_language,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
 }
