@@ -175,7 +175,8 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     placed = placed.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("row", F.monotonically_increasing_id())
     placed = written(placed, "mix-rows")
     times = slots(spark, shares, seed).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    took = block_parts(placed).join(times, ["rank", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # Slots grow with the corpus, which their estimated size does not show: neither side is broadcast.
+    took = block_parts(placed).join(times.hint("shuffle_merge"), ["rank", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return placed.join(took, "row", "left").select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")
     )
