@@ -10,6 +10,7 @@ from .language import language_of_documents
 from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
+from .toxicity import toxicity_of_documents
 from .warc import derivatives, responses
 from .words import read
 
@@ -18,6 +19,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_of_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = derivatives(responses(read(spark, sf_dir, "pages"), "2024-01-01T00:00:00Z"))
     return made.withColumnRenamed("source_key", "page_id")
@@ -38,6 +43,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_language": op5_language,
     "op8_mix_sources": op8_mix_sources,
