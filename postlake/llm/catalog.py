@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_items
 from .exact_dedup import exact_dedup
 from .language import language_of_documents
 from .licenses import license_labels
@@ -41,6 +42,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), F.pmod(F.col("doc_id"), F.lit(2)) == 0)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_toxicity": op3_toxicity,
@@ -48,4 +53,5 @@ QUERIES = {
     "op5_language": op5_language,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
