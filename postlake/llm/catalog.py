@@ -11,6 +11,7 @@ from .language import language_of_documents
 from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
+from .similarity_join import similar_groups
 from .toxicity import toxicity_of_documents
 from .warc import derivatives, responses
 from .words import read
@@ -33,6 +34,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_similar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_language": op5_language,
+    "op6_similar_groups": op6_similar_groups,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
