@@ -11,6 +11,7 @@ from .language import language_of_documents
 from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
+from .pitman_yor import score_documents
 from .similarity_join import similar_groups
 from .toxicity import toxicity_of_documents
 from .warc import derivatives, responses
@@ -21,6 +22,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(read(spark, sf_dir, "documents"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_of_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -53,6 +58,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_language_model": op2_language_model,
     "op3_toxicity": op3_toxicity,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_language": op5_language,
