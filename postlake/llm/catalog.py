@@ -12,6 +12,7 @@ from .licenses import license_labels
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
 from .pitman_yor import score_documents
+from .secrets import scan_secrets
 from .similarity_join import similar_groups
 from .toxicity import toxicity_of_documents
 from .warc import derivatives, responses
@@ -43,6 +44,10 @@ def op6_similar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_language": op5_language,
     "op6_similar_groups": op6_similar_groups,
+    "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
