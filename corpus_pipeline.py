@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.llm.decontaminate import without_items
 from postlake.llm.exact_dedup import exact_dedup
+from postlake.llm.language import keep_known, learn
 from postlake.llm.mixing import mix_sources
-from postlake.llm.words import read, written
+from postlake.llm.similarity_join import Measure, similar_groups
+from postlake.llm.words import fold, read, written
+
+# Mean posterior of a text's language below which it is rejected: little more than chance among four.
+LEAST_LANGUAGE = 0.3
 
 
 def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -22,6 +28,12 @@ def _is_history() -> Column:
     return F.pmod(F.col("doc_id"), F.lit(2)) == 0
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts whose language is told stay; without any labelled text to learn from, all texts with a letter."""
+    model = learn(docs, fold(F.col("doc_id"), 3) != 1)
+    return keep_known(docs, model, LEAST_LANGUAGE) if model else docs.where(F.col("text").rlike(r"\p{L}"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them."""
     found = exact_dedup(docs, _is_history())
@@ -30,6 +42,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_ids(docs, stay).dropDuplicates(["doc_id", "text"])
 
 
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that link, directly or through others, the one with the smallest id stays: five-word shingles, four fifths."""
+    groups = similar_groups(docs, Measure(words=5, least=80))
+    return _with_ids(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in which no benchmark item occurs stay."""
+    return without_items(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     return mix_sources(docs)
@@ -37,7 +60,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
     ("exact dedup", drop_copies),
+    ("similarity join", one_of_similar),
+    ("decontamination", drop_contaminated),
     ("mixing sources", mix),
 ]
 

@@ -13,7 +13,7 @@ from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
 from .pitman_yor import score_documents
 from .secrets import scan_secrets
-from .similarity_join import similar_groups
+from .similarity_join import Measure, similar_groups
 from .toxicity import toxicity_of_documents
 from .warc import derivatives, responses
 from .words import read
@@ -41,7 +41,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_similar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_groups(read(spark, sf_dir, "documents"))
+    return similar_groups(read(spark, sf_dir, "documents"), Measure(words=3, least=90))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

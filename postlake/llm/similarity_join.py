@@ -1,26 +1,29 @@
-"""Links between texts whose sets of three-word shingles have a Jaccard similarity of 0.9 or more: size-aware, heavy and light.
+"""Links between texts whose sets of word shingles have a Jaccard similarity of `least` percent or more: size-aware, heavy
+and light.
 
-Sets of equal size or nearly so can only link if few elements differ: 100 |A and B| >= 90 |A or B| leaves at most
-(|A| + |B|) / 19 of them. Sizes fall into classes; a set also enters the next class if it can link into it. In a class of
-tolerance h the elements are dealt by hash to parts, the same way for every set, and each differing element spoils one part.
+Sets of equal size or nearly so can only link if few elements differ: of |A| + |B|, at most the share (100 - least) / (100 + least).
+Sizes fall into classes; a set also enters the next class if it can link into it. In a class of tolerance h the elements are dealt
+by hash to parts, the same way for every set, and each differing element spoils one part.
 
 - Light classes (small sets) get h + 2 parts, of which two at least agree: all subsets of two parts are enumerated as keys.
 - Heavy classes (large sets) get one part more than h and a reserve, so some agree: each part is a key, and its inverted list,
-  the sets that hold the same elements there, is scanned. Parts of fewer than `THIN` elements are left out where the
-  reserve covers them, as many sets agree on those by chance.
+  the sets that hold the same elements there, is scanned. Thin parts are left out where the reserve covers them, as many
+  sets agree on those by chance.
 
 Which classes are light is decided by cost: keys written, and the list entries expected to be scanned, which depend on how many
 sets a class has. Either way no link is lost. Sets on one key form candidate groups; a group is searched breadth-first
 with exact intersections, so a set that is linked is compared with no more than the sets still without a link to it. Groups
 of more than `BLOCK` sets are searched by pairs of blocks, which bounds a task's memory.
 
-Equal sets are one class throughout, so copies are compared once. Only classes, keys and links of classes are shuffled, and
-the sets of classes that share a key.
+Equal sets are one class throughout: a task writes the keys of a class once, so copies are compared once. Only keys and links of
+classes are shuffled, and the sets of classes that share a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -31,59 +34,66 @@ from pyspark.sql import functions as F
 from .components import components
 from .words import GOLDEN, WordIds, blank_words, mix, texts, written
 
-WORDS = 3
-LEAST = 90  # percent
 GROWTH = 1.5
-FIRST_LINKED = 9  # sets of fewer elements link only if they are equal
-THIN = 3
-RESERVE = 0.02
+RESERVE = 0.03
 SHARED = 0.2  # assumed chance that an element of a set is also in an unrelated one, for the cost alone
 BYTES_A_WORD = 6  # likewise
 BLOCK = 512
 SIEVE_WORDS = 1 << 17
-SLICE_WORDS = 200_000
-FACTORS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-
-
-def size_classes() -> list[int]:
-    """Smallest sizes of the classes from the first that links unequal sets."""
-    starts = [FIRST_LINKED]
-    while starts[-1] < 1 << 40:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * GROWTH)))
-    return starts
-
-
-CLASSES = np.array(size_classes())
-
-
-def tolerance(of: int) -> int:
-    return int(2 * (CLASSES[of + 1] - 1) * (100 - LEAST) // (100 + LEAST))
-
-
-def heavy_parts(of: int) -> tuple[int, int]:
-    """Parts of a heavy class, and how many of them are reserve."""
-    needed = tolerance(of) + 1
-    reserve = int(np.ceil(RESERVE * needed))
-    return needed + reserve, reserve
-
-
-def classes_of(size: int) -> list[int]:
-    """The class of a size, and the next if a set of this size can link to one there."""
-    own = int(np.searchsorted(CLASSES, size, side="right")) - 1
-    reach = size * 100 // LEAST >= CLASSES[own + 1]
-    return [c for c in ([own, own + 1] if reach else [own]) if c >= 0]
-
-
-def first_heavy(counts: dict[int, int]) -> int:
+TOLD = 1_000_000  # classes a task remembers to have told
+FACTOR = 0x9E3779B97F4A7C15
+
+
+@dataclass(frozen=True)
+class Measure:
+    """What links: shingles of `words` words, `least` percent of similarity."""
+
+    words: int = 5
+    least: int = 80
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Smallest sizes of the classes, from the first size at which unequal sets link."""
+        first = 1
+        while (100 - self.least) * (2 * first + 1) < 100 + self.least:
+            first += 1
+        made = [first]
+        while made[-1] < 1 << 40:
+            made.append(max(made[-1] + 1, int(made[-1] * GROWTH)))
+        return np.array(made)
+
+    def tolerance(self, of: int) -> int:
+        return int(2 * (self.starts[of + 1] - 1) * (100 - self.least) // (100 + self.least))
+
+    def heavy_parts(self, of: int) -> tuple[int, int, int]:
+        """Parts of a heavy class, how many of them are reserve, and below how many elements a part is thin."""
+        needed = self.tolerance(of) + 1
+        reserve = int(np.ceil(RESERVE * needed))
+        mean = self.starts[of] / (needed + reserve)
+        thin, chance, below = 0, np.exp(-mean), 0.0
+        while below + chance < RESERVE / 2:  # of a Poisson variable
+            below += chance
+            thin += 1
+            chance *= mean / thin
+        return needed + reserve, reserve, thin
+
+    def classes_of(self, size: int) -> list[int]:
+        """The class of a size, and the next if a set of this size can link to one there."""
+        own = int(np.searchsorted(self.starts, size, side="right")) - 1
+        reach = size * 100 // self.least >= self.starts[own + 1]
+        return [c for c in ([own, own + 1] if reach else [own]) if c >= 0]
+
+
+def first_heavy(counts: dict[int, int], measure: Measure) -> int:
     """The class from which scanning inverted lists costs less than enumerating pairs of parts. `counts`: sets in each class."""
 
     def enumerate_cost(c: int, n: int) -> float:
-        parts = tolerance(c) + 2
-        return n * parts * (parts - 1) / 2 * (1 + n * SHARED ** (2 * CLASSES[c] / parts))
+        parts = measure.tolerance(c) + 2
+        return n * parts * (parts - 1) / 2 * (1 + n * SHARED ** (2 * measure.starts[c] / parts))
 
     def scan_cost(c: int, n: int) -> float:
-        parts, _ = heavy_parts(c)
-        return n * parts * (1 + n * SHARED ** (CLASSES[c] / parts))
+        parts = measure.heavy_parts(c)[0]
+        return n * parts * (1 + n * SHARED ** (measure.starts[c] / parts))
 
     last = max(counts, default=-1)
     cost = [
@@ -92,37 +102,38 @@ def first_heavy(counts: dict[int, int]) -> int:
     return int(np.argmin(cost)) if cost else 0
 
 
-def shingles(words: np.ndarray) -> np.ndarray:
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """The set of a text's shingles as sorted 64-bit hashes; fewer words than a shingle has are one, no words none."""
     n = len(words)
     if n == 0:
         return words
-    if n < WORDS:
-        return mix(np.array([(words * np.array(FACTORS[:n])).sum() + np.uint64(n)], np.uint64))
-    joined = words[:-2] * FACTORS[0] + words[1:-1] * FACTORS[1] + words[2:] * FACTORS[2]
+    used = min(n, size)
+    joined = np.full(n - used + 1, used, np.uint64)
+    for k in range(used):
+        joined += words[k : n - used + 1 + k] * np.uint64(pow(FACTOR, k + 1, 1 << 64))
     return np.unique(mix(joined))
 
 
 def set_hash(elements: np.ndarray) -> np.uint64:
     with np.errstate(over="ignore"):
-        return mix(np.array([mix(elements ^ FACTORS[1]).sum() + np.uint64(len(elements)) * GOLDEN], np.uint64))[0]
+        return mix(np.array([mix(elements ^ GOLDEN).sum() + np.uint64(len(elements)) * GOLDEN], np.uint64))[0]
 
 
-def keys_of(elements: np.ndarray, heavy: int) -> np.ndarray:
+def keys_of(elements: np.ndarray, heavy: int, measure: Measure) -> np.ndarray:
     """Keys that a set shares with every unequal set it links to."""
     found = [np.zeros(0, np.uint64)]
     mixed = mix(elements + GOLDEN)
-    for c in classes_of(len(elements)):
-        parts, reserve = heavy_parts(c) if c >= heavy else (tolerance(c) + 2, 0)
+    for c in measure.classes_of(len(elements)):
+        parts, reserve, least = measure.heavy_parts(c) if c >= heavy else (measure.tolerance(c) + 2, 0, 0)
         part = (elements % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
         np.add.at(sums, part, mixed)
-        marks = mix(sums + (np.arange(parts, dtype=np.uint64) + np.uint64(c << 40)) * FACTORS[2])
+        marks = mix(sums + (np.arange(parts, dtype=np.uint64) + np.uint64(c << 40)) * GOLDEN)
         if c < heavy:
             one, two = np.array(list(combinations(range(parts), 2))).T
-            found.append(mix(marks[one] * FACTORS[0] + marks[two]))
+            found.append(mix(marks[one] * GOLDEN + marks[two]))
         else:
-            thin = np.bincount(part, minlength=parts) < THIN
+            thin = np.bincount(part, minlength=parts) < least
             found.append(marks if thin.sum() > reserve else marks[~thin])
     return np.concatenate(found)
 
@@ -131,19 +142,23 @@ def word_arrays(values: Iterator[bytes], ids: WordIds) -> Iterator[np.ndarray]:
     return (ids.of(blank_words(value)) for value in values)
 
 
-def sets(docs: DataFrame, heavy: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n (size), cls (hash of the set, null if it is empty), keys."""
+def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n (size), cls (hash of the set, null if it is empty), keys; a task gives the keys of a class once, so that those of
+    copies stay few."""
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds()
+        ids, told = WordIds(), set()
         for batch in batches:
             sizes, classes, keys = [], [], []
             for words in word_arrays(texts(batch.column("text")), ids):
-                elements = shingles(words)
+                elements = shingles(words, measure.words)
                 sizes.append(len(elements))
-                classes.append(set_hash(elements).astype(np.int64) if len(elements) else None)
-                keys.append(keys_of(elements, heavy).view(np.int64))
+                classes.append(int(set_hash(elements).astype(np.int64)) if len(elements) else None)
+                keys.append(np.zeros(0, np.int64) if classes[-1] in told else keys_of(elements, heavy, measure).view(np.int64))
+                if len(told) >= TOLD:
+                    told.clear()
+                told.add(classes[-1])
             offsets = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.record_batch({
@@ -156,8 +171,7 @@ def sets(docs: DataFrame, heavy: int, key: str = "doc_id", text: str = "text") -
 
 def candidates(made: DataFrame) -> DataFrame:
     """u, v: each class with the smallest class on each of its keys. Linear in the keys, whatever the length of a list."""
-    each = made.where("size(keys) > 0").select("cls", "keys").dropDuplicates(["cls"])
-    lists = each.select("cls", F.explode("keys").alias("key"))
+    lists = made.select("cls", F.explode("keys").alias("key"))
     head = F.first("cls").over(Window.partitionBy("key").orderBy("cls").rowsBetween(Window.unboundedPreceding, 0))
     return lists.select("cls", head.alias("head")).where("cls <> head").select(F.col("head").alias("u"), F.col("cls").alias("v"))
 
@@ -172,7 +186,7 @@ def _sieve(classes: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
-def candidate_sets(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> DataFrame:
+def candidate_sets(docs: DataFrame, wanted: np.ndarray, measure: Measure, text: str = "text") -> DataFrame:
     """cls, elements of the classes that pass the sieve, at least once for each task that meets them."""
     rows = docs.select(F.col(text).alias("text"))
 
@@ -181,12 +195,12 @@ def candidate_sets(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> D
         for batch in batches:
             classes, held = [], []
             for words in word_arrays(texts(batch.column("text")), ids):
-                elements = shingles(words)
-                if len(elements) < FIRST_LINKED:
+                elements = shingles(words, measure.words)
+                if len(elements) < measure.starts[0]:
                     continue
                 cls = int(set_hash(elements).astype(np.int64))
                 if wanted[cls % len(wanted)] and cls not in told:
-                    if len(told) > 1_000_000:
+                    if len(told) >= TOLD:
                         told.clear()
                     told.add(cls)
                     classes.append(cls)
@@ -199,7 +213,7 @@ def candidate_sets(docs: DataFrame, wanted: np.ndarray, text: str = "text") -> D
     return rows.mapInArrow(run, "cls bigint, elements binary")
 
 
-def linked(sets_: list[np.ndarray]) -> np.ndarray:
+def linked(sets_: list[np.ndarray], least: int) -> np.ndarray:
     """For each set the number of the first one it reaches by links, breadth-first over the sets not yet reached."""
     n = len(sets_)
     sizes = np.array([len(s) for s in sets_])
@@ -222,7 +236,7 @@ def linked(sets_: list[np.ndarray]) -> np.ndarray:
         marked[own] = True
         common = np.add.reduceat(marked[left_flat], left_starts, dtype=np.int64)
         marked[own] = False
-        hit = 100 * common >= LEAST * (sizes[at] + sizes[left] - common)
+        hit = 100 * common >= least * (sizes[at] + sizes[left] - common)
         if hit.any():
             root[left[hit]] = root[at]
             queue += left[hit].tolist()
@@ -235,16 +249,7 @@ def _without(flat: np.ndarray, starts: np.ndarray, left: np.ndarray, sizes: np.n
     return flat[np.repeat(keep, left_sizes)], np.cumsum(left_sizes[keep]) - left_sizes[keep], left[keep]
 
 
-def _search(table: pa.Table) -> pa.Table:
-    by_class = dict(zip(table["cls"].to_pylist(), table["elements"].to_pylist()))
-    classes = sorted(by_class)
-    root = linked([np.frombuffer(by_class[c], np.uint64) for c in classes])
-    order = np.array(classes, np.int64)
-    new = root != np.arange(len(root))
-    return pa.table({"u": pa.array(order[root[new]], pa.int64()), "v": pa.array(order[new], pa.int64())})
-
-
-def verified_links(groups: DataFrame, held: DataFrame) -> DataFrame:
+def verified_links(groups: DataFrame, held: DataFrame, least: int) -> DataFrame:
     """u, v: links that connect the classes of each candidate group as all its links would.
 
     `groups`: node (class), root (group). Blocks of a group are paired with each other; a group of one block has one pair.
@@ -259,11 +264,18 @@ def verified_links(groups: DataFrame, held: DataFrame) -> DataFrame:
     placed = placed.where("blocks = 1 OR block <> other").select(
         "cls", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    rows = placed.join(held, "cls")
-    return rows.groupBy("root", "low", "high").applyInArrow(_search, "u bigint, v bigint")
+
+    def search(table: pa.Table) -> pa.Table:
+        by_class = dict(zip(table["cls"].to_pylist(), table["elements"].to_pylist()))
+        classes = np.array(sorted(by_class), np.int64)
+        root = linked([np.frombuffer(by_class[c], np.uint64) for c in classes.tolist()], least)
+        new = root != np.arange(len(root))
+        return pa.table({"u": pa.array(classes[root[new]], pa.int64()), "v": pa.array(classes[new], pa.int64())})
+
+    return placed.join(held, "cls").groupBy("root", "low", "high").applyInArrow(search, "u bigint, v bigint")
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id (the smallest id it reaches by links, its own included).
 
     Words are lower-cased (A-Z) runs of anything but blanks. Null, empty and blank texts have empty sets and link with
@@ -271,15 +283,15 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     has no other. Other columns of `docs` are not read.
     """
     size = (F.octet_length(F.coalesce(F.col(text), F.lit(""))) / BYTES_A_WORD).cast("bigint")
-    levels = docs.select(size.alias("size")).where(F.col("size") >= FIRST_LINKED)
-    steps = F.floor(F.log(F.col("size") / FIRST_LINKED) / float(np.log(GROWTH)))
+    levels = docs.select(size.alias("size")).where(F.col("size") >= int(measure.starts[0]))
+    steps = F.floor(F.log(F.col("size") / int(measure.starts[0])) / float(np.log(GROWTH)))
     counts = {int(r["c"]): r["count"] for r in levels.groupBy(steps.alias("c")).count().collect()}
-    heavy = first_heavy(counts)
-    made = written(sets(docs, heavy, key, text), "shingle-sets")
+    heavy = first_heavy(counts, measure)
+    made = written(sets(docs, heavy, measure, key, text), "shingle-sets")
     pairs = written(candidates(made).distinct(), "shingle-candidates")
     groups = written(components(pairs, "u", "v"), "shingle-groups")
-    held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), text)
-    links = written(verified_links(groups, held), "shingle-links")
+    held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), measure, text)
+    links = written(verified_links(groups, held, measure.least), "shingle-links")
     roots = components(links, "u", "v")
     named = made.select("doc_id", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
     named = written(named.select("doc_id", "n", F.coalesce("root", "cls").alias("component")), "shingle-components")
