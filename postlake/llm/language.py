@@ -20,10 +20,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import KNOWN_WORDS, fold, plain_words, texts
+from .words import KNOWN_WORDS, fold, plain_words, smallest, texts
 
 BUCKETS = 1 << 16
 DOCS_PER_LANGUAGE = 300
@@ -163,11 +163,11 @@ def fit(samples: list[tuple[str, bytes]]) -> Model | None:
 def learn(docs: DataFrame, is_training: Column, key: str = "doc_id", text: str = "text", language: str = "lang") -> Model | None:
     """A model from the documents marked for training that have a language; None if there are none."""
     rows = docs.where(is_training & F.col(language).isNotNull()).select(
-        F.col(language).alias("language"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("id"), F.col(text).alias("t")
+        F.col(language).alias("language"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t")
     )
-    rank = F.row_number().over(Window.partitionBy("language").orderBy("h", F.xxhash64("t")))
-    ids = rows.select("language", "h", "id", rank.alias("n")).where(F.col("n") <= DOCS_PER_LANGUAGE)
-    picked = rows.join(F.broadcast(ids.select("language", "h").distinct()), ["language", "h"]).select("language", "t", "h")
+    hashes = smallest(rows.select("language", "h"), "language", ["h"], DOCS_PER_LANGUAGE).distinct()
+    # Ids may repeat: of their texts, too, no more are taken.
+    picked = smallest(rows.join(F.broadcast(hashes), ["language", "h"]), "language", ["h", "t"], DOCS_PER_LANGUAGE)
     return fit(sorted((r["language"], (r["t"] or "").encode()) for r in picked.collect()))
 
 

@@ -17,10 +17,10 @@ import math
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import written
+from .words import smallest, written
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 BESIDE = 64
@@ -125,8 +125,8 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, seed: int = 7) -> RandomForestClassificationModel | None:
     """A forest over the columns of `FEATURES`; None unless both labels occur."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("candidate", "before", "after"), "candidate", "before", "after")
-    few = labelled.where("label IN (0, 1)").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE)
+    marked = labelled.where("label IN (0, 1)").withColumn("_hash", F.xxhash64("candidate", "before", "after"))
+    few = smallest(marked, "label", ["_hash", "candidate", "before", "after"], SAMPLE)
     few = written(few.select(F.col("label").cast("double").alias("label"), *FEATURES), "labelled-findings")
     if few.select("label").distinct().count() < 2:
         return None

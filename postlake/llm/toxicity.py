@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from .words import KNOWN_WORDS, fold, plain_words, texts
+from .words import KNOWN_WORDS, fold, plain_words, smallest, texts
 
 BUCKETS = 1 << 22
 STEMS = (4, 5)
@@ -124,10 +124,10 @@ def learn(docs: DataFrame, labels: DataFrame, is_training: Column, key: str = "d
     """A model from the documents marked for training whose label is 0 or 1; the larger one counts if a document has both."""
     marks = labels.where(is_training & F.col(label).isin(0, 1) & F.col(key).isNotNull())
     marks = marks.groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("mark"))
-    rank = F.row_number().over(Window.partitionBy("mark").orderBy(F.xxhash64("id"), "id"))
-    picked = marks.withColumn("n", rank).where(F.col("n") <= SAMPLE).select("id", "mark")
+    picked = smallest(marks.withColumn("h", F.xxhash64("id")), "mark", ["h", "id"], SAMPLE)
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    found = rows.join(F.broadcast(picked), "id").select("mark", "t").collect()
+    # Ids may repeat: of their texts, too, no more are taken.
+    found = smallest(rows.join(F.broadcast(picked), "id"), "mark", ["h", "t"], SAMPLE).select("mark", "t").collect()
     return fit(sorted((r["mark"], r["t"].encode()) for r in found))
 
 

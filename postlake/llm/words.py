@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.session import run_folder
@@ -16,6 +16,7 @@ from postlake.session import run_folder
 PLAIN = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 # A task forgets the words it knows beyond this many, so its memory does not grow with the vocabulary.
 KNOWN_WORDS = 500_000
+SALTS = 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,6 +64,15 @@ def fold(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit(""))), F.lit(modulus))
 
 
+def smallest(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """The first `n` rows of each group by `order`, whose first column is a hash. They are the first of the first of each salt, so
+    no task sees more of a group than `n` rows of each task before it, for one salt in `SALTS`."""
+    salted = rows.withColumn("_salt", F.pmod(F.col(order[0]), F.lit(SALTS)))
+    for by in ([group, "_salt"], [group]):
+        salted = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rank") <= n)
+    return salted.drop("_salt", "_rank")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder, which outlives lost executors."""
     path = run_folder(df.sparkSession, name)
