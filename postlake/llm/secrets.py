@@ -99,7 +99,8 @@ def with_features(found: DataFrame, words: list[str], transitions: dict[str, flo
     # Transitions that no word has, such as those with a digit, count as the least likely.
     rare = min(transitions.values(), default=0.0) - 1
     table = F.create_map(*[F.lit(x) for pair in sorted(transitions.items()) for x in pair]) if transitions else F.create_map(F.lit(""), F.lit(0.0))
-    pairs = F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.coalesce(F.element_at(table, F.substring(low, i, F.lit(2))), F.lit(rare)))
+    next_ones = F.slice(F.split(low, ""), F.lit(2), size)
+    pairs = F.zip_with(F.slice(F.split(low, ""), F.lit(1), size - 1), next_ones, lambda a, b: F.coalesce(F.element_at(table, F.concat(a, b)), F.lit(rare)))
     likely = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) / (size - 1)
     known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "(?!)"
     made = {

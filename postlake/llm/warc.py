@@ -45,8 +45,8 @@ def _steps(value: Column, steps: tuple) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """Text of a page: no comments, scripts or styles, a line for each block element, references replaced, blanks folded. An
-    element or comment that is never closed loses its tag alone."""
+    """Text of a page: no comments, scripts or styles, a line for each block element, references replaced, blanks folded. A
+    script or style that is never closed loses its tag alone, an open comment all up to the next tag's end."""
     value = _steps(html, TEXT_STEPS)
     for name, char in ENTITIES:
         value = F.replace(value, F.lit(name), F.lit(char))
