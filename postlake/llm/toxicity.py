@@ -61,14 +61,14 @@ class Terms(dict):
         self[word] = found
         return found
 
-    def of(self, text: bytes) -> set[int]:
-        return {f for word in set(plain_words(text)) for f in self[word]}
+    def of(self, text: bytes) -> np.ndarray:
+        return np.array(sorted({f for word in set(plain_words(text)) for f in self[word]}), np.int32)
 
 
-def _flat(terms: list[set[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of texts one after another in order, and whose they are."""
+def _flat(terms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of texts one after another, and whose they are."""
     owner = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-    return np.fromiter((f for t in terms for f in sorted(t)), np.int64, len(owner)), owner
+    return np.concatenate([*terms, np.zeros(0, np.int32)]), owner
 
 
 def _logits(model: Model, flat: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,10 +83,9 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(samples: list[tuple[int, bytes]], seed: int = 3) -> Model:
-    """A model from (label, text) pairs; without any, one that scores 0.5 throughout."""
-    met = Terms()
-    flat, owner = _flat([met.of(text) for _, text in samples])
+def fit(samples: list[tuple[int, np.ndarray]], seed: int = 3) -> Model:
+    """A model from labels and terms of texts; without any, one that scores 0.5 throughout."""
+    flat, owner = _flat([terms for _, terms in samples])
     label = np.array([x for x, _ in samples], np.float64)
     n, toxic = len(label), label.sum()
     buckets, at = np.unique(flat, return_inverse=True)
@@ -127,8 +126,16 @@ def learn(docs: DataFrame, labels: DataFrame, is_training: Column, key: str = "d
     picked = smallest(marks.withColumn("h", F.xxhash64("id")), "mark", ["h", "id"], SAMPLE)
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # Ids may repeat: of their texts, too, no more are taken.
-    found = smallest(rows.join(F.broadcast(picked), "id"), "mark", ["h", "t"], SAMPLE).select("mark", "t").collect()
-    return fit(sorted((r["mark"], r["t"].encode()) for r in found))
+    few = smallest(rows.join(F.broadcast(picked), "id"), "mark", ["h", "t"], SAMPLE).select("mark", "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = Terms()
+        for batch in batches:
+            terms = [met.of(value).tobytes() for value in texts(batch.column("t"))]
+            yield pa.record_batch({"mark": batch.column("mark"), "terms": pa.array(terms, pa.binary())})
+
+    found = sorted((r["mark"], bytes(r["terms"])) for r in few.mapInArrow(run, "mark int, terms binary").collect())
+    return fit([(mark, np.frombuffer(terms, np.int32)) for mark, terms in found])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
