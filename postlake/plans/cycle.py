@@ -30,7 +30,6 @@ class CycleConfig:
     min_year: int = MIN_YEAR
     deliver: Callable[[DataFrame], None] | None = None
     max_age_ms: int | None = None
-    max_deltas: int = 64
     strict: bool = False
 
 
@@ -55,6 +54,6 @@ def run_cycle(lake: Lake, config: CycleConfig) -> None:
     )
 
     rotate_queues(lake, config.max_age_ms)
-    lake.profile.compact(config.max_deltas)
-    lake.index.compact(config.max_deltas)
+    lake.profile.compact()
+    lake.index.compact()
     files.delete(lake.spark, export)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from postlake.operators.documents import keep_recent, project, raise_on_quarantine, unnest
 from postlake.operators.segments import assemble, count_usable
-from postlake.session import fit_shuffles
+from postlake.session import fitted_shuffles
 from postlake.sinks.extracted import write_extracted
 from postlake.sources.segments import SegmentStore, batches
 
@@ -40,12 +40,12 @@ def extract_segments(
     """Extract a range of segments, or one, a batch at a time. Returns their names."""
     chosen = store.select(start, stop, segment)
     for names in batches(chosen, batch_size):
-        fit_shuffles(store.spark, store.bytes(names))
         records = extracted_records(
             store.fetched(names), store.part("parse_data", names), store.part("parse_text", names),
             as_of, strict,
         )
-        write_extracted(records, out, names)
+        with fitted_shuffles(store.spark, store.bytes(names)):
+            write_extracted(records, out, names)
     return chosen
 
 

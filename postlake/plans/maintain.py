@@ -13,11 +13,14 @@ def clean_profiles(lake: Lake, prefix: str = "fb") -> None:
     lake.profile_tmp.append(without_prefix(lake.profile.read(), prefix), unique=True)
 
 
-def repair_hrefs(lake: Lake, strict: bool = False):
-    """Rebuild the link of every post. Returns the posts whose id gives none."""
-    posts = lake.post.read()
-    lake.post.append(repair_href(posts, strict), unique=True)
-    return unrepairable(posts)
+def repair_hrefs(lake: Lake, strict: bool = False) -> None:
+    """Rebuild the links of posts from their ids. Posts whose link is right already
+    are not written again; those whose id gives none keep the link they have and
+    are set aside in `unrepaired`."""
+    posts = lake.post.settled()
+    repaired = repair_href(posts.withColumn("_old", F.col("href")), strict)
+    lake.post.append(repaired.where("href IS NOT NULL AND NOT href <=> _old"), unique=True)
+    lake.unrepaired.append(unrepairable(posts), unique=True)
 
 
 def rotate_queues(lake: Lake, max_age_ms: int | None = None, now_ms: int | None = None) -> None:

@@ -1,49 +1,50 @@
 """View building: latest profiles, latest posts, posts joined to authors.
 
 The profile table outgrows what a cycle brings by far. Both jobs that meet it
-first narrow it to the urls they need, while these are few.
+keep only the urls they need, by a semi join whose form Spark picks from the
+sizes it measures.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from postlake.operators.enrich import enrich
-from postlake.operators.latest import latest_per_key
-from postlake.operators.narrow import narrow
 from postlake.operators.upsert import conditional_upsert
-from postlake.session import fit_shuffles
+from postlake.session import fitted_shuffles
 from postlake.tables import Lake, append_split
 
 
+def _among(column: str, keys: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Filter for the rows whose `column` is one of the single-column `keys`."""
+    asked = keys.toDF("_asked").where("_asked IS NOT NULL").distinct()
+    return lambda rows: rows.join(asked, F.col(column) == F.col("_asked"), "left_semi")
+
+
 def build_profile_view(lake: Lake) -> None:
     """Add the queued profiles that are new or strictly newer than the saved ones."""
     queued, saved = lake.profile_to_process, lake.profile
-    fit_shuffles(lake.spark, queued.bytes() + saved.bytes())
-    rows = saved.rows()
-    if saved.bytes() > queued.bytes():
-        rows = narrow(rows, "url", queued.rows().select("url"))
-    saved.append(conditional_upsert(latest_per_key(queued.rows()), rows), unique=True)
+    with fitted_shuffles(lake.spark, queued.bytes() + saved.bytes()):
+        known = _among("url", queued.rows().select("url"))(saved.rows().select("url", "crawl_date"))
+        saved.append(conditional_upsert(queued.newest("url"), known), unique=True)
 
 
 def build_post_view(lake: Lake) -> None:
-    """Add the newest queued version of each post.
-
-    One row per url and crawl date comes down to the newest row per url, which
-    one pass over the queue as written gives.
-    """
-    fit_shuffles(lake.spark, lake.post_to_process.bytes())
-    lake.post.append(latest_per_key(lake.post_to_process.rows()), unique=True)
+    """Add the newest queued version of each post, in one pass over the queue as written."""
+    with fitted_shuffles(lake.spark, lake.post_to_process.bytes()):
+        lake.post.append(lake.post_to_process.newest("url"), unique=True)
 
 
 def build_post_join(lake: Lake) -> None:
-    """Queue posts with an author for the index, and set the others aside."""
-    fit_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes())
-    posts = lake.post.read()
-
-    def among_authors(rows: DataFrame) -> DataFrame:
-        return narrow(rows, "url", posts.select("profile_id"))
+    """Queue posts with an author for the index, and set the others aside.
 
-    larger = lake.profile.bytes() > lake.post.bytes()
-    profiles = lake.profile.read(among_authors if larger else None)
-    append_split(enrich(posts, profiles), "author_matched", lake.post_to_es, lake.post_without_profile)
+    The profiles of this cycle's authors are written out first, so that the join
+    is one of two scans, and AQE can split the posts of a hot author.
+    """
+    with fitted_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes()):
+        posts = lake.post.settled()
+        profiles = lake.profile.settled(_among("url", posts.select("profile_id")))
+        append_split(enrich(posts, profiles), "author_matched", lake.post_to_es, lake.post_without_profile)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,17 +74,22 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 # Bytes of a shuffle partition that a task sorts without spilling much, and how
-# much larger rows are in a shuffle than in Parquet. Past the greatest number of
-# partitions these grow, and their sorts spill; more of them would burden the driver.
+# much larger rows are in a shuffle than in Parquet.
 PARTITION_BYTES = 128 << 20
 EXPANSION = 3
-MAX_PARTITIONS = 50_000
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Start the shuffles of the next job with as many partitions as its input
-    needs, and no fewer than configured. AQE merges those that turn out small."""
+@contextmanager
+def fitted_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Start the shuffles of the jobs inside with as many partitions as their input
+    needs, and no fewer than configured. AQE merges those that turn out small; the
+    session is as before afterwards."""
     needed = -(-input_bytes * EXPANSION // PARTITION_BYTES)
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(needed, MAX_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
-    return count
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
+    before = spark.conf.get(INITIAL, None)
+    spark.conf.set(INITIAL, str(count))
+    try:
+        yield count
+    finally:
+        spark.conf.unset(INITIAL) if before is None else spark.conf.set(INITIAL, before)

@@ -25,14 +25,22 @@ def folder(root: str, segment: str, kind: str) -> str:
 
 
 def write_extracted(records: DataFrame, root: str, segments: Sequence[str]) -> None:
-    """Overwrite the output of the given segments; others stay."""
-    for segment in segments:
-        # A kind the segment no longer yields must not leave its old rows.
-        files.delete(records.sparkSession, f"{root}/from_segment={segment}")
-    if len(segments) > 1:
-        records = group_for_write(records, *FOLDERS)
-    rows = sort_locally(records, *FOLDERS, "url").select("from_segment", *EXTRACTED.names)
-    rows.write.mode("append").partitionBy(*FOLDERS).parquet(root)
+    """Overwrite the output of the given segments; others stay.
+
+    Spark puts the new folders in place of the old when the job commits, so a job
+    that fails leaves the old output. A kind that a segment no longer yields is
+    deleted after that.
+    """
+    spark = records.sparkSession
+    before = {s: set(files.matching(spark, f"{folder(root, s, '*')}/part-*")) for s in segments}
+    rows = sort_locally(group_for_write(records, *FOLDERS), *FOLDERS, "url")
+    rows = rows.select("from_segment", *EXTRACTED.names)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*FOLDERS).parquet(root)
+    for segment, old in before.items():
+        for path in {path.rsplit("/", 1)[0] for path in old}:
+            if old.issuperset(files.matching(spark, f"{path}/part-*")):
+                files.delete(spark, path)
 
 
 def read_extracted(spark: SparkSession, root: str, kind: str, segments: Sequence[str]) -> DataFrame:

@@ -3,32 +3,34 @@
 A table is a folder of immutable writes. `delta` and `unique` writes add rows,
 the latter at most one per key; `full` and `empty` writes replace what came
 before them. Reading takes the last of these and what was added since, and keeps
-one row per key. A write counts once Spark has put its `_SUCCESS` file there, so
-a job that dies leaves the table as it was, and writing the same rows twice
-changes nothing.
+one row per key. A write counts once the table has put its own marker there,
+after all its files, so a job that dies leaves the table as it was, whatever
+Hadoop is set to, and writing the same rows twice changes nothing.
 
 An upsert therefore costs the rows it brings, not the size of the table, and the
 reader's group-by-key shuffle is the one a join on that key needs anyway.
-`compact` folds the deltas into a full write once they outgrow it.
+`compact` folds writes by their bytes alone: late small ones among themselves,
+all of them into a full write once they have outgrown it.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from postlake import files, schemas
 from postlake.operators.latest import top_per_key
 from postlake.operators.layout import group_for_write
-from postlake.session import empty
+from postlake.session import empty, run_folder
 
 REPLACING = ("full", "empty")
+MARKER = "_COMMITTED"
 _WRITE = re.compile(r"/kind=(full|empty|delta|unique)/version=(\d+)/write=(\w+)")
 
 
@@ -51,11 +53,11 @@ class KeyedTable:
 
     def _writes(self, committed: bool = True) -> list[tuple[int, str, str]]:
         """(version, kind, path) of the writes, oldest first."""
-        tail = "/_SUCCESS" if committed else ""
+        tail = f"/{MARKER}" if committed else ""
         found = files.matching(self.spark, f"{self.path}/kind=*/version=*/write=*{tail}")
         writes = []
         for path in found:
-            path = path.removesuffix("/_SUCCESS")
+            path = path.removesuffix(f"/{MARKER}")
             kind, version, _ = _WRITE.search(path).groups()
             writes.append((int(version), kind, path))
         # Of two writes made at once, the one that only adds counts as the later.
@@ -78,7 +80,9 @@ class KeyedTable:
         rows = df.select(*self.schema.names)
         if self.partition_by:
             rows = group_for_write(rows, *self.partition_by)
-        rows.write.partitionBy(*self.partition_by).parquet(self._next(kind))
+        target = self._next(kind)
+        rows.write.partitionBy(*self.partition_by).parquet(target)
+        files.touch(self.spark, f"{target}/{MARKER}")
 
     def append(self, df: DataFrame, unique: bool = False) -> None:
         """Upsert the rows of `df`. Rows known to be `unique` by key can be read
@@ -91,7 +95,7 @@ class KeyedTable:
         self._write(df, "full")
 
     def truncate(self) -> None:
-        files.touch(self.spark, f"{self._next('empty')}/_SUCCESS")
+        files.touch(self.spark, f"{self._next('empty')}/{MARKER}")
 
     def _scan(self, writes: list[tuple[int, str, str]]) -> DataFrame:
         schema = StructType(
@@ -106,39 +110,70 @@ class KeyedTable:
         """All rows as written since the last full write, several per key."""
         return self._scan(self._to_scan()).select(*self.schema.names)
 
-    def read(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-        """One row per key. `narrow` drops whole keys before they are grouped."""
-        writes = self._to_scan()
-        rows = self._scan(writes)
-        if narrow is not None:
-            rows = narrow(rows)
-        if not writes or [kind for _, kind, _ in writes] in (["full"], ["unique"]):
-            return rows.select(*self.schema.names)
+    def _plain(self) -> bool:
+        """Whether the rows as written are one per key."""
+        return [kind for _, kind, _ in self._to_scan()] in ([], ["full"], ["unique"])
+
+    def _order(self, keys: Sequence[str]) -> list[Column]:
         order = [F.col(self.date).desc_nulls_last()] if self.date else []
         if self.ties_keep_saved:
             order += [F.col("version"), F.col("write")]
         else:
             order += [F.col("version").desc(), F.col("write").desc()]
-        rest = [c for c in self.schema.names if c not in (*self.keys, self.date)]
-        order += [F.col(c).desc_nulls_last() for c in rest]
-        return top_per_key(rows, self.keys, order).select(*self.schema.names)
-
-    def compact(self, max_deltas: int | None = None) -> None:
-        """Fold the deltas into a full write.
+        rest = [c for c in self.schema.names if c not in (*keys, self.date)]
+        return order + [F.col(c).desc_nulls_last() for c in rest]
 
-        With `max_deltas` only if there are more deltas than that, or they have
-        outgrown the full write. Each rewrite then pays for at least as many new
-        bytes, so its cost per upserted row stays constant as the table grows.
+    def read(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """One row per key. `narrow` drops whole keys before they are grouped."""
+        rows = self._scan(self._to_scan())
+        if narrow is not None:
+            rows = narrow(rows)
+        if not self._plain():
+            rows = top_per_key(rows, self.keys, self._order(self.keys))
+        return rows.select(*self.schema.names)
+
+    def newest(self, *keys: str) -> DataFrame:
+        """One row for each value of some of the keys, as `read` and the newest of
+        it would give, in one pass: the same order decides between dates and writes."""
+        return top_per_key(self._scan(self._to_scan()), keys, self._order(keys)).select(*self.schema.names)
+
+    def settled(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """One row per key as a plain scan: what `read` gives, written out if it
+        takes more. AQE can split a hot key of a join only if the join's input
+        comes straight from its shuffle."""
+        if narrow is None and self._plain():
+            return self.read()
+        path = run_folder(self.spark, "settled")
+        self.read(narrow).write.parquet(path)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def compact(self) -> None:
+        """Fold the deltas into a full write if they hold more bytes than it;
+        else fold the last ones into one delta, from the first that is no larger
+        than those after it.
+
+        A row is so rewritten once for each doubling of what it lies in, however
+        many upserts there are and however small. The deltas that were folded go
+        only when their rows are in the new one; rows in both change nothing.
         """
         writes = self._to_scan()
-        deltas = [path for _, kind, path in writes if kind != "full"]
-        if not deltas:
+        sizes = [files.size(self.spark, path) for _, _, path in writes]
+        full = sum(size for size, (_, kind, _) in zip(sizes, writes) if kind == "full")
+        deltas = [(size, write) for size, write in zip(sizes, writes) if write[1] != "full"]
+        if sum(size for size, _ in deltas) > full:
+            if len(writes) > 1 or writes[0][1] == "delta":
+                self.replace(self.read())
             return
-        if max_deltas is not None and len(deltas) <= max_deltas:
-            full = sum(files.size(self.spark, p) for _, kind, p in writes if kind == "full")
-            if sum(files.size(self.spark, p) for p in deltas) <= full:
-                return
-        self.replace(self.read())
+        after = [sum(size for size, _ in deltas[i + 1 :]) for i in range(len(deltas))]
+        first = next((i for i, (size, _) in enumerate(deltas[:-1]) if size <= after[i]), None)
+        if first is None:
+            return
+        folded = [write for _, write in deltas[first:]]
+        self.append(top_per_key(self._scan(folded), self.keys, self._order(self.keys)), unique=True)
+        for _, _, path in folded:
+            # Without its marker a half-deleted write is none.
+            files.delete(self.spark, f"{path}/{MARKER}")
+            files.delete(self.spark, path)
 
     def bytes(self) -> int:
         """Size of what a reader scans."""
@@ -159,7 +194,9 @@ def append_split(rows: DataFrame, flag: str, if_true: KeyedTable, if_false: Keye
     """Upsert rows, unique by key, into one of two tables by a boolean column.
 
     One job writes both sides, so what made the rows runs once and needs no cache.
-    The columns are those of `rows`; each table reads the ones it knows.
+    The columns are those of `rows`; each table reads the ones it knows. The sides
+    are then moved to their tables, which an object store does by copying; a side
+    counts once its marker is there.
     """
     staged = f"{if_true.path}/staged/{uuid.uuid4().hex}"
     rows.write.partitionBy(flag).parquet(staged)
@@ -168,7 +205,7 @@ def append_split(rows: DataFrame, flag: str, if_true: KeyedTable, if_false: Keye
         if files.exists(table.spark, side):
             target = table._next("unique")
             files.move(table.spark, side, target)
-            files.touch(table.spark, f"{target}/_SUCCESS")
+            files.touch(table.spark, f"{target}/{MARKER}")
 
 
 def rotate(source: KeyedTable, target: KeyedTable, keep=None) -> None:
@@ -230,6 +267,10 @@ class Lake:
     def undated(self) -> KeyedTable:
         return self._table("undated", schemas.DETAILED, "url")
 
+    @property
+    def unrepaired(self) -> KeyedTable:
+        return self._table("unrepaired", schemas.POST, "url")
+
     @property
     def bad_messages(self) -> KeyedTable:
         return self._table("bad_messages", schemas.BAD_MESSAGE, "topic", "message", date=None)
@@ -237,5 +278,6 @@ class Lake:
     def tables(self) -> list[KeyedTable]:
         return [
             self.profile_to_process, self.post_to_process, self.profile, self.profile_tmp, self.post,
-            self.post_without_profile, self.post_to_es, self.index, self.undated, self.bad_messages,
+            self.post_without_profile, self.post_to_es, self.index, self.undated, self.unrepaired,
+            self.bad_messages,
         ]

@@ -29,9 +29,7 @@ def part(spark, name, *rows):
     """A landing part; `segment` defaults to s1."""
     schema = SEGMENT_PARTS[name]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", segment string"
-    made = [
-        tuple({n: None for n in schema.names} | {"segment": "s1"} | r for _ in "1")[0] for r in rows
-    ]
+    made = [{n: None for n in schema.names} | {"segment": "s1"} | r for r in rows]
     names = [*schema.names, "segment"]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in made], ddl)
 

@@ -66,6 +66,24 @@ def test_json_landing_tables(spark, folder):
     assert values(read_extracted(spark, f"{folder}/out", "post", ["20160801"]), "url") == [("post1",), ("yes1",)]
 
 
+def test_extracting_again_replaces_what_was_there_and_only_after_success(spark, folder):
+    for name, rows in zip(("fetch", "parse_data", "parse_text"), landing(spark)):
+        rows.drop("segment").write.json(f"{folder}/{name}/segment=20160801")
+    files.touch(spark, f"{folder}/parse/segment=20160801/_SUCCESS")
+    store = SegmentStore(spark, folder, fmt="json")
+
+    def found(kind):
+        return values(read_extracted(spark, f"{folder}/out", kind, ["20160801"]), "url")
+
+    extract_segments(store, f"{folder}/out", as_of="2016-06-01")
+    assert found("post") == [("post1",), ("yes1",)] and found("quarantine")
+    with pytest.raises(Exception, match="no JSON array|lacks metadata|post date"):
+        extract_segments(store, f"{folder}/out", as_of="2016-06-01", strict=True)
+    assert found("post") == [("post1",), ("yes1",)]
+    extract_segments(store, f"{folder}/out", as_of="2026-06-01")
+    assert found("post") == [] and found("quarantine")
+
+
 @pytest.mark.parametrize("batch_size", [1, 2])
 def test_extract_and_publish(spark, store, folder, batch_size):
     out = f"{folder}/out"

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from build import detailed, part, posts, profiles, values
 from postlake.functions.dates import local_date
 from postlake.operators import documents, enrich, filters, latest, layout, segments, upsert, words
-from postlake.operators.narrow import narrow
 from postlake.plans.extract import extracted_records
 from postlake.schemas import DETAILED, POST
 from postlake.sources.segments import batches, pick
@@ -132,10 +131,7 @@ def test_batches():
     assert list(batches(["a", "b"])) == [["a"], ["b"]]
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_complete_segments(spark, limit, monkeypatch):
-    original = segments.in_segments
-    monkeypatch.setattr(segments, "in_segments", lambda df, wanted: original(df, wanted, limit))
+def test_complete_segments(spark):
     rows = [("s1", p) for p in ("fetch", "parse", "parse_data", "parse_text")] + [("s2", "fetch")]
     found = segments.complete_segments(spark.createDataFrame(rows, "segment string, part string"))
     assert values(found.select("segment").distinct()) == [("s1",)]
@@ -222,16 +218,3 @@ def test_usable_records(spark):
 
 def test_detailed_helper_matches_schema(spark):
     assert detailed(spark, {"url": "u"}).columns == DETAILED.names
-
-
-@pytest.mark.parametrize("bounds", [{}, {"max_keys": 1}, {"max_bytes": 5}])
-def test_narrow_drops_no_wanted_row(spark, bounds):
-    rows = profiles(spark, *[{"url": u} for u in "aabcd"])
-    keys = spark.createDataFrame([("a",), ("c",), ("a",), (None,), ("zzzzz",)], "k string")
-    kept = values(narrow(rows, "url", keys, **bounds), "url")
-    assert kept == ([("a",), ("a",), ("c",)] if not bounds else values(rows, "url"))
-
-
-def test_narrow_by_no_keys(spark):
-    keys = spark.createDataFrame([], "k string")
-    assert narrow(profiles(spark, {"url": "a"}), "url", keys).count() == 0

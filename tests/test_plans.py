@@ -12,10 +12,10 @@ from postlake.catalog import queries, records
 from postlake.operators import filters, latest, upsert
 from postlake.operators.documents import project, unnest
 from postlake.operators.enrich import enrich, posts_lacking_author
-from postlake.operators.narrow import narrow
 from postlake.operators.segments import assemble
 from postlake.schemas import EXPORT
-from postlake.session import fit_shuffles, shared_folder
+from postlake.plans import views
+from postlake.session import fitted_shuffles, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,19 +103,30 @@ def authors(spark):
     return names.select("url", *[F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields])
 
 
-def test_hot_author_is_split(spark):
+def test_hot_author_is_split_in_the_job(spark, lake, monkeypatch):
+    """On a profile table of three writes, its normal state."""
     settings = NO_BROADCAST | {
         "adaptive__skewJoin__skewedPartitionThresholdInBytes": "500KB",
         "adaptive__skewJoin__skewedPartitionFactor": "2",
         "adaptive__advisoryPartitionSizeInBytes": "200KB",
         "adaptive__maxShuffledHashJoinLocalMapThreshold": "0",
     }
+    seen = []
+
+    def watched(rows, *args):
+        rows.collect()
+        seen.append(plan(rows))
+        return original(rows, *args)
+
+    original = views.append_split
+    monkeypatch.setattr(views, "append_split", watched)
     with conf(spark, **settings):
-        joined = enrich(hot_posts(spark).repartition(8), authors(spark))
-        assert joined.where("author_matched").count() == 40_000 - joined.where(
-            "profile_id LIKE 'a%' AND NOT author_matched").count()
-        joined.collect()
-        assert "skew=true" in plan(joined)
+        for _ in range(3):
+            lake.profile.append(authors(spark), unique=True)
+        lake.post.append(hot_posts(spark).repartition(8), unique=True)
+        views.build_post_join(lake)
+    assert "skew=true" in seen[0]
+    assert lake.post_to_es.read().count() == lake.post.read().where("profile_id IS NOT NULL").count()
 
 
 @pytest.mark.parametrize("salt, share", [(1, 0.6), (16, 0.25)])
@@ -130,13 +141,14 @@ def test_posts_without_author_id_are_spread(spark, salt, share):
         assert lacking.count() == joined.where("NOT author_matched").count() == 20_000
 
 
-def test_join_narrows_the_profiles_before_their_shuffle(spark, lake):
+def test_join_keeps_the_wanted_profiles_before_they_are_grouped(spark, lake):
     for url in "ab":
         lake.profile.append(profiles(spark, {"url": url}), unique=True)
     keys = posts(spark, {"url": "p", "profile_id": "a"}).select("profile_id")
-    text = plan(lake.profile.read(lambda rows: narrow(rows, "url", keys)))
-    # Printed from the top down: the scan's semi join is below the exchange.
-    assert text.index("Exchange hashpartitioning(url") < text.index("BroadcastHashJoin") < text.index("FileScan")
+    text = plan(lake.profile.read(views._among("url", keys)))
+    # Printed from the top down.
+    assert text.index("Window") < text.index("Join") < text.index("FileScan")
+    assert "LeftSemi" in text
 
 
 def test_year_filter_reaches_the_scan(spark, folder):
@@ -156,15 +168,14 @@ def test_recency_needs_no_shuffle(spark):
     assert "Exchange" not in plan(filters.recent(records.posts(spark, SF), 7, "2001-08-01"))
 
 
-def test_shuffles_grow_with_the_input(spark):
+def test_shuffles_grow_with_the_input_and_the_session_stays(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
     with conf(spark, shuffle__partitions="8"):
-        try:
-            assert fit_shuffles(spark, 1 << 40) == 3 * 8192
-            assert fit_shuffles(spark, 1 << 50) == 50_000
-            wide = spark.range(10).repartition("id").rdd.getNumPartitions()
-            assert wide <= 10
-        finally:
-            assert fit_shuffles(spark, 1 << 20) == 8
+        for size, count in ((1 << 40, 3 * 8192), (1 << 50, 3 * 8192 * 1024), (1 << 20, 8)):
+            with fitted_shuffles(spark, size) as made:
+                assert made == count and spark.conf.get(name) == str(count)
+            assert spark.conf.get(name, None) == before
 
 
 def test_shared_folder_is_the_configured_one(spark):

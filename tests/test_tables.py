@@ -11,7 +11,7 @@ from postlake.operators.enrich import enrich, with_author, without_author
 from postlake.operators.upsert import conditional_upsert
 from postlake.plans import maintain, views
 from postlake.session import run_folder
-from postlake.tables import Lake, rotate
+from postlake.tables import MARKER, Lake, rotate
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -48,7 +48,7 @@ def test_unfinished_write_is_ignored_and_vacuumed(spark, lake):
     table.append(profiles(spark, {"url": "a"}))
     table.append(profiles(spark, {"url": "b"}))
     last = table._writes()[-1][2]
-    files.delete(spark, f"{last}/_SUCCESS")
+    files.delete(spark, f"{last}/{MARKER}")
     assert values(table.read(), "url") == [("a",)]
     table.append(profiles(spark, {"url": "c"}))
     table.compact()
@@ -69,15 +69,41 @@ def test_truncate_and_unique_writes(spark, lake):
 
 
 def test_compaction_waits_for_deltas_to_outgrow_the_full_write(spark, lake):
-    rows = profiles(spark, *[{"url": f"u{i}", "name": "x" * 50} for i in range(200)])
+    rows = profiles(spark, *[{"url": f"u{i}", "name": "x" * 50} for i in range(2000)])
     lake.profile.replace(rows)
     lake.profile.append(rows.limit(1))
-    lake.profile.compact(max_deltas=4)
+    lake.profile.compact()
     assert [kind for _, kind, _ in lake.profile._current()] == ["full", "delta"]
     lake.profile.append(rows.withColumn("crawl_date", F.lit(2).cast("bigint")))
-    lake.profile.compact(max_deltas=4)
+    lake.profile.append(rows.withColumn("crawl_date", F.lit(3).cast("bigint")))
+    lake.profile.compact()
     assert [kind for _, kind, _ in lake.profile._current()] == ["full"]
-    assert lake.profile.read().where("crawl_date = 2").count() == 200
+    assert lake.profile.read().where("crawl_date = 3").count() == 2000
+
+
+def test_many_small_deltas_are_folded_without_the_full_write(spark, lake):
+    names = [F.sha2(F.concat(F.lit(str(k)), F.col("id")), 512) for k in range(20)]
+    many = profiles(spark, {"url": "x"}).drop("url", "name").crossJoin(
+        spark.range(20_000).select(F.concat(F.lit("u"), "id").alias("url"), F.concat(*names).alias("name")))
+    lake.profile.replace(many)
+    base = lake.profile._current()[0]
+    for k in range(12):
+        lake.profile.append(profiles(spark, {"url": "u1", "crawl_date": 5, "name": f"{k}"}, {"url": f"new{k}"}))
+        lake.profile.compact()
+        assert lake.profile._current()[0] == base
+        assert len(lake.profile._current()) <= 5
+    assert values(lake.profile.read().where("url = 'u1'"), "name") == [("0",)]
+    assert lake.profile.read().count() == 20_012
+
+
+def test_writes_count_without_hadoops_own_marker(spark, lake):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark._jsc.hadoopConfiguration().set(name, "false")
+    try:
+        lake.profile.append(profiles(spark, {"url": "a"}))
+        assert values(lake.profile.read(), "url") == [("a",)]
+    finally:
+        spark._jsc.hadoopConfiguration().unset(name)
 
 
 def test_index_table_is_keyed_by_index_and_id(spark, lake):
@@ -186,14 +212,37 @@ def test_maintenance_jobs(spark, lake):
     lake.profile.append(profiles(spark, {"url": "fb://1"}, {"url": "vk://id1"}))
     maintain.clean_profiles(lake)
     assert values(lake.profile_tmp.read(), "url") == [("vk://id1",)]
-    lake.post.append(posts(spark, {"url": "vk://id1/posts/2", "href": "x"}, {"url": "ok://1", "href": "y"}))
-    left = maintain.repair_hrefs(lake)
-    assert values(left, "url") == [("ok://1",)]
+    lake.post.append(posts(
+        spark, {"url": "vk://id1/posts/2", "href": "x"}, {"url": "ok://1", "href": "y"},
+        {"url": "vk://id1/posts/3", "href": "http://vk.com/wall1_3"},
+    ))
+    maintain.repair_hrefs(lake)
+    assert values(lake.unrepaired.read(), "url", "href") == [("ok://1", "y")]
     assert values(lake.post.read(), "url", "href") == [
-        ("ok://1", None), ("vk://id1/posts/2", "http://vk.com/wall1_2")]
+        ("ok://1", "y"), ("vk://id1/posts/2", "http://vk.com/wall1_2"), ("vk://id1/posts/3", "http://vk.com/wall1_3")]
+    assert lake.post.rows().count() == 4
     with pytest.raises(Exception, match="no link for id"):
         maintain.repair_hrefs(lake, strict=True)
-    assert lake.post.read().count() == 2
+    assert lake.post.read().count() == 3
+
+
+writes = st.lists(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 1), st.sampled_from("xyz")), min_size=1, max_size=4), min_size=1, max_size=4)
+
+
+@FEW
+@given(writes)
+def test_views_of_a_queue_are_views_of_what_it_reads(spark, seen):
+    """Later writes win within a url and crawl date, in the views as in the queue."""
+    lake = Lake(spark, run_folder(spark, "test"))
+    for rows in seen:
+        lake.profile_to_process.append(rows_of(spark, rows))
+        lake.post_to_process.append(posts(spark, *[{"url": u, "crawl_date": d, "body": n} for u, d, n in rows]))
+    for queue, view, column in ((lake.profile_to_process, lake.profile, "name"), (lake.post_to_process, lake.post, "body")):
+        newest = {}
+        for r in queue.read().collect():
+            newest[r["url"]] = max(newest.get(r["url"], (-1, "")), (r["crawl_date"], r[column]))
+        (views.build_profile_view if view is lake.profile or column == "name" else views.build_post_view)(lake)
+        assert {r["url"]: (r["crawl_date"], r[column]) for r in view.read().collect()} == newest
 
 
 def test_views_with_a_profile_table_larger_than_the_queues(spark, lake):
