@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from postlake.schemas import DETAILED, INDEX_KEYS, PLAIN_KEYS, POST
 
 PROFILES = """
   SELECT CASE WHEN c_custkey % 2 = 0 THEN 'fb://' || c_custkey ELSE 'vk://id' || c_custkey END AS url,
@@ -35,7 +34,9 @@ POSTS = """
     strftime(o_orderdate, '%Y%m') AS segment,
     'http://old.example/' || o_orderkey AS href,
     CASE WHEN o_custkey % 2 = 0 THEN 'fb' ELSE 'vk' END AS source,
-    CASE WHEN o_custkey % 2 = 0 THEN 'fb://' || o_custkey ELSE 'vk://id' || o_custkey END AS profile_id,
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL
+         ELSE CASE WHEN o_custkey % 2 = 0 THEN 'fb://' ELSE 'vk://id' END || o_custkey
+           || CASE WHEN o_orderkey % 5 = 0 THEN '0x' ELSE '' END END AS profile_id,
     CAST(o_orderkey AS VARCHAR) AS sm_post_id,
     CASE WHEN o_orderkey % 2 = 1 THEN
       CASE WHEN o_custkey % 2 = 0 THEN 'fb://' ELSE 'vk://id' END || o_custkey || '/posts/' || o_orderkey
@@ -78,34 +79,45 @@ HREF = r"""CASE
     ELSE 'http://vk.com/wall' || o_custkey || '_' || o_orderkey END"""
 
 
-def _list(names) -> str:
-    return ", ".join("url AS id" if n == "id" else n for n in names)
-
-
-POST_LIST = ", ".join("p.url AS id" if n == "id" else f"p.{n}" for n in POST.names)
+POST_COLUMNS = """url, crawl_date, id, segment, href, source, profile_id, sm_post_id, parent_post_id, body, date,
+    engagement, is_comment"""
+DETAILED_COLUMNS = POST_COLUMNS + """, profile_city, profile_gender, profile_href, profile_name, reach,
+    sm_profile_id"""
+# Of POSTS, whose id is its url.
+OF_POSTS = POST_COLUMNS.replace("id, segment", "url AS id, segment", 1)
+POST_LIST = """p.url, p.crawl_date, p.url AS id, p.segment, p.href, p.source, p.profile_id, p.sm_post_id, p.parent_post_id,
+    p.body, p.date, p.engagement, p.is_comment"""
 AUTHOR_LIST = """a.city AS profile_city, a.gender AS profile_gender, a.href AS profile_href,
     a.name AS profile_name, a.reach, a.sm_profile_id"""
 
 
-def enriched(segment: str = "BUILDING") -> str:
+def enriched(which: str = "true") -> str:
     return f"""
   SELECT {POST_LIST}, {AUTHOR_LIST}, a.url IS NOT NULL AS author_matched
-  FROM ({POSTS}) p LEFT JOIN (SELECT * FROM ({PROFILES}) WHERE segment = '{segment}') a ON p.profile_id = a.url
+  FROM ({POSTS}) p LEFT JOIN (SELECT * FROM ({PROFILES}) WHERE {which}) a ON p.profile_id = a.url
 """
 
 
-def _json(keys: dict[str, str]) -> str:
-    parts = []
-    for key, column in keys.items():
-        value = "CAST(crawl_date AS VARCHAR)" if column == "crawl_date" else column
-        parts.append(f"'{key}', {value}")
-    return f"CAST(json_object({', '.join(parts)}) AS VARCHAR)"
+FIRST_HALF = "CAST(sm_profile_id AS BIGINT) % 3 = 0"
+
+
+PROFILE_JSON = """CAST(json_object('smProfileId', sm_profile_id, 'name', name, 'city', city, 'reach', reach,
+    'friendCount', friend_count, 'followerCount', follower_count, 'gender', gender, 'id', id, 'segment', segment,
+    'crawlDate', CAST(crawl_date AS VARCHAR), 'href', href, 'source', source) AS VARCHAR)"""
+POST_JSON = """CAST(json_object('profileId', profile_id, 'smPostId', sm_post_id, 'parentPostId', parent_post_id,
+    'body', body, 'date', date, 'engagement', engagement, 'isComment', is_comment, 'id', id, 'segment', segment,
+    'crawlDate', CAST(crawl_date AS VARCHAR), 'href', href, 'source', source) AS VARCHAR)"""
+INDEX_JSON = """CAST(json_object('profile_city', profile_city, 'profile_gender', profile_gender,
+    'profile_href', profile_href, 'profile_name', profile_name, 'reach', reach, 'sm_profile_id', sm_profile_id,
+    'profile_id', profile_id, 'sm_post_id', sm_post_id, 'parent_post_id', parent_post_id, 'post_body', body,
+    'post_date', date, 'engagement', engagement, 'is_comment', is_comment, 'id', id, 'segment', segment,
+    'fetch_time', CAST(crawl_date AS VARCHAR), 'post_href', href, 'source', source) AS VARCHAR)"""
 
 
 def _index(posts: str) -> str:
     """Index rows of detailed posts with text and a local year from 1998 on."""
     return f"""
-  SELECT 'posts-monthly-' || {MONTH_OF_UTC} AS index_name, url AS _id, {_json(INDEX_KEYS)} AS source
+  SELECT 'posts-monthly-' || {MONTH_OF_UTC} AS index_name, url AS _id, {INDEX_JSON} AS source
   FROM (SELECT *, strptime(replace(date, '.000+0300', ''), '%Y-%m-%dT%H:%M:%S') - INTERVAL 3 HOUR AS utc
         FROM ({posts}))
   WHERE body IS NOT NULL AND body <> '' AND CAST(left(date, 4) AS INTEGER) >= 1998
@@ -153,8 +165,8 @@ _SAVED = f"""SELECT url, 1470000000000 + CAST(friend_count AS BIGINT) AS crawl_d
 
 
 def _matched(sql: str, flag: bool) -> str:
-    names = DETAILED.names if flag else POST.names
-    return f"SELECT {', '.join(names)} FROM ({sql}) WHERE {'' if flag else 'NOT '}author_matched"
+    names = DETAILED_COLUMNS if flag else POST_COLUMNS
+    return f"SELECT {names} FROM ({sql}) WHERE {'' if flag else 'NOT '}author_matched"
 
 
 ORACLE: dict[str, str] = {
@@ -177,8 +189,8 @@ ORACLE: dict[str, str] = {
     "posts_lacking_author": _matched(enriched(), False),
     "retry_cycle": f"""
         SELECT p.*, {AUTHOR_LIST}, a.url IS NOT NULL AS author_matched
-        FROM ({_matched(enriched(), False)}) p
-        LEFT JOIN (SELECT * FROM ({PROFILES}) WHERE segment = 'MACHINERY') a ON p.profile_id = a.url""",
+        FROM ({_matched(enriched(FIRST_HALF), False)}) p
+        LEFT JOIN (SELECT * FROM ({PROFILES}) WHERE NOT {FIRST_HALF}) a ON p.profile_id = a.url""",
     "clean_profiles": f"SELECT * FROM ({PROFILES}) WHERE segment NOT LIKE 'B%'",
     "clean_profile_urls": f"SELECT * FROM ({PROFILES}) WHERE NOT starts_with(url, 'fb')",
     "href_repair": f"SELECT url, {HREF} AS href FROM ({POSTS})",
@@ -235,12 +247,12 @@ ORACLE: dict[str, str] = {
         SELECT segment FROM ({_MONTHS}) GROUP BY segment
         HAVING count(DISTINCT o_orderpriority) = (SELECT count(DISTINCT o_orderpriority) FROM orders))
         GROUP BY segment""",
-    "index_json": f"SELECT url, {_json(INDEX_KEYS)} AS source FROM ({enriched()})",
-    "profile_json": f"SELECT url, {_json(PLAIN_KEYS['profile'])} AS json FROM ({PROFILES})",
-    "post_json": f"""SELECT url, {_json(PLAIN_KEYS['post'])} AS json
-        FROM (SELECT {_list(POST.names)} FROM ({POSTS}))""",
+    "index_json": f"SELECT url, {INDEX_JSON} AS source FROM ({enriched()})",
+    "profile_json": f"SELECT url, {PROFILE_JSON} AS json FROM ({PROFILES})",
+    "post_json": f"""SELECT url, {POST_JSON} AS json
+        FROM (SELECT {OF_POSTS} FROM ({POSTS}))""",
     "profile_cells": PROFILES,
-    "post_cells": f"SELECT {_list(POST.names)} FROM ({POSTS})",
+    "post_cells": f"SELECT {OF_POSTS} FROM ({POSTS})",
     "spread_rows": "SELECT event_id, event_type FROM events",
     "local_sort": f"SELECT url, crawl_date, name FROM ({CRAWLS})",
     "segment_total": f"""SELECT count(*) AS records FROM (
@@ -251,13 +263,15 @@ ORACLE: dict[str, str] = {
           CASE WHEN s.crawl_date >= n.crawl_date THEN s.crawl_date END, n.crawl_date) AS crawl_date,
           CASE WHEN s.crawl_date >= n.crawl_date THEN s.name ELSE n.name END AS name
         FROM ({_NEW}) n LEFT JOIN ({_SAVED}) s USING (url)""",
-    "build_post_view": f"""SELECT {_list(n for n in POST.names if n not in ('crawl_date', 'segment'))},
+    "build_post_view": f"""SELECT * REPLACE (
           CASE WHEN is_comment THEN crawl_date + 1 ELSE crawl_date END AS crawl_date,
-          CASE WHEN is_comment THEN 'again' ELSE segment END AS segment FROM ({POSTS})""",
+          CASE WHEN is_comment THEN 'again' ELSE segment END AS segment) FROM (SELECT {OF_POSTS} FROM ({POSTS}))""",
     "build_post_join": f"""SELECT url, profile_name,
           CASE WHEN author_matched THEN 'post_to_es' ELSE 'post_without_profile' END AS queue
         FROM ({enriched()})""",
-    "repair_hrefs": f"SELECT url, {HREF} AS href, body FROM ({POSTS})",
+    "repair_hrefs": f"""SELECT 'post' AS table_name, url, CASE WHEN o_orderkey % 13 = 0 THEN href ELSE fixed END AS href, body
+        FROM (SELECT *, {HREF} AS fixed FROM ({POSTS}))
+        UNION ALL SELECT 'unrepaired', url, href, body FROM ({POSTS}) WHERE o_orderkey % 13 = 0""",
     "cells_decode": _matched(enriched(), True),
     "json_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "number_text": """SELECT o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS whole,
@@ -269,10 +283,10 @@ ORACLE: dict[str, str] = {
         SELECT unnest(regexp_split_to_array(lower(text), '[^a-zA-Z_0-9]+')) AS word FROM documents)
         WHERE word <> '' GROUP BY word""",
     "index_queue": f"""
-        SELECT {', '.join(DETAILED.names)} FROM (
+        SELECT {DETAILED_COLUMNS} FROM (
           SELECT *, row_number() OVER (PARTITION BY url ORDER BY crawl_date DESC, is_direct DESC) AS r FROM (
             SELECT *, 0 AS is_direct FROM ({_matched(enriched(), True)}) UNION ALL
-            SELECT *, 1 FROM ({_matched(enriched('MACHINERY'), True)}) UNION ALL
+            SELECT * REPLACE ('streamed' AS segment), 1 FROM ({_matched(enriched(FIRST_HALF), True)}) UNION ALL
             SELECT * REPLACE (crawl_date + 1 AS crawl_date, 'direct' AS segment), 1
             FROM ({_matched(enriched(), True)}) WHERE is_comment)) WHERE r = 1""",
     "index_rows": _index(_matched(enriched(), True)),
@@ -289,8 +303,5 @@ ORACLE: dict[str, str] = {
         FROM ({_matched(enriched(), False)}) UNION ALL
         SELECT name, 0 FROM (VALUES ('profile_to_process'), ('post_to_es'), ('post'),
           ('post_without_profile')) t(name)""",
-    "cycle_output": _index(
-        f"SELECT {', '.join(DETAILED.names)} FROM ({enriched('BUILDING')}) WHERE author_matched UNION ALL "
-        f"SELECT {', '.join(DETAILED.names)} FROM ({enriched('MACHINERY')}) WHERE author_matched"
-    ),
+    "cycle_output": _index(_matched(enriched(), True)),
 }

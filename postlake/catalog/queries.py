@@ -41,16 +41,12 @@ def query(function: Query) -> Query:
     return function
 
 
-def _building(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.profiles(spark, sf_dir, "c_mktsegment = 'BUILDING'")
-
-
-def _machinery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.profiles(spark, sf_dir, "c_mktsegment = 'MACHINERY'")
+# Half of the customers each, for jobs that meet the authors in two goes.
+FIRST_HALF, SECOND_HALF = "c_custkey % 3 = 0", "c_custkey % 3 <> 0"
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(records.posts(spark, sf_dir), _building(spark, sf_dir))
+    return enrich.enrich(records.posts(spark, sf_dir), records.profiles(spark, sf_dir))
 
 
 # --- latest version per key -------------------------------------------------------
@@ -141,13 +137,14 @@ def posts_without_author(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def posts_lacking_author(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.posts_lacking_author(records.posts(spark, sf_dir), _building(spark, sf_dir))
+    return enrich.posts_lacking_author(records.posts(spark, sf_dir), records.profiles(spark, sf_dir))
 
 
 @query
 def retry_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left_over = enrich.without_author(_enriched(spark, sf_dir))
-    return enrich.enrich(left_over, _machinery(spark, sf_dir))
+    """Posts that found no author among some of the profiles, joined to the others."""
+    first = enrich.enrich(records.posts(spark, sf_dir), records.profiles(spark, sf_dir, FIRST_HALF))
+    return enrich.enrich(enrich.without_author(first), records.profiles(spark, sf_dir, SECOND_HALF))
 
 
 @query
@@ -475,12 +472,14 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def build_profile_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert as `upsert_profile_view`, from table to table."""
+    """The same upsert as `upsert_profile_view`, from table to table. Every new profile
+    comes twice with one crawl date; the later write counts, though it sorts lower."""
     lake = Lake(spark, run_folder(spark, "profile_view"))
     profiles = records.profiles(spark, sf_dir)
     new, saved = _new_and_saved(spark, sf_dir)
     rest = profiles.drop("crawl_date", "name")
     lake.profile.append(saved.join(rest, "url"))
+    lake.profile_to_process.append(new.join(rest, "url").withColumn("name", F.lit("~ earlier write")))
     lake.profile_to_process.append(new.join(rest, "url"))
     views.build_profile_view(lake)
     return lake.profile.read().select("url", "crawl_date", "name")
@@ -488,11 +487,13 @@ def build_profile_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def build_post_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments come twice, the later crawl in a segment of its own."""
+    """Comments come twice, the later crawl in a segment of its own; all other posts twice with one crawl date, of which
+    the later write counts, though its body sorts lower."""
     lake = Lake(spark, run_folder(spark, "post_view"))
     posts = records.posts(spark, sf_dir)
     again = {"crawl_date": F.col("crawl_date") + 1, "segment": F.lit("again")}
     lake.post_to_process.append(posts.where("is_comment").withColumns(again))
+    lake.post_to_process.append(posts.withColumn("body", F.lit("~ earlier write")))
     lake.post_to_process.append(posts)
     views.build_post_view(lake)
     return lake.post.read()
@@ -500,10 +501,14 @@ def build_post_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def build_post_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both queues the join fills."""
+    """Both queues the join fills, from a profile table of several writes."""
     lake = Lake(spark, run_folder(spark, "post_join"))
     lake.post.append(records.posts(spark, sf_dir), unique=True)
-    lake.profile.append(_building(spark, sf_dir), unique=True)
+    profiles = records.profiles(spark, sf_dir)
+    for turn in range(3):
+        older = {"crawl_date": F.col("crawl_date") - 3 + turn, "name": F.lit(f"write {turn}")}
+        lake.profile.append(profiles.where(f"friend_count % 3 >= {turn}").withColumns(older), unique=True)
+    lake.profile.append(profiles, unique=True)
     views.build_post_join(lake)
     matched = lake.post_to_es.read().select("url", "profile_name", F.lit("post_to_es").alias("queue"))
     alone = lake.post_without_profile.read().select(
@@ -514,10 +519,14 @@ def build_post_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def repair_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts after the repair and what it set aside; the id of some posts fits no pattern."""
     lake = Lake(spark, run_folder(spark, "repair"))
-    lake.post.append(records.posts(spark, sf_dir), unique=True)
+    odd = F.when(F.col("sm_post_id") % 13 == 0, F.concat(F.lit("ok://"), "sm_post_id")).otherwise(F.col("id"))
+    lake.post.append(records.posts(spark, sf_dir).withColumn("id", odd), unique=True)
     maintain.repair_hrefs(lake)
-    return lake.post.read().select("url", "href", "body")
+    tables = (("post", lake.post), ("unrepaired", lake.unrepaired))
+    found = [table.read().select(F.lit(name).alias("table_name"), "url", "href", "body") for name, table in tables]
+    return found[0].unionAll(found[1])
 
 
 @query
@@ -526,7 +535,8 @@ def index_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, run_folder(spark, "index_queue"))
     posts = records.posts(spark, sf_dir)
     joined = enrich.with_author(_enriched(spark, sf_dir))
-    direct = enrich.with_author(enrich.enrich(posts, _machinery(spark, sf_dir)))
+    direct = enrich.with_author(enrich.enrich(posts, records.profiles(spark, sf_dir, FIRST_HALF)))
+    direct = direct.withColumn("segment", F.lit("streamed"))
     again = joined.where("is_comment").withColumns(
         {"crawl_date": F.col("crawl_date") + 1, "segment": F.lit("direct")}
     )
@@ -602,7 +612,7 @@ def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rotate_queues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the queues after a cycle's end."""
     lake = Lake(spark, run_folder(spark, "rotate"))
-    lake.profile_to_process.append(_building(spark, sf_dir))
+    lake.profile_to_process.append(records.profiles(spark, sf_dir))
     lake.post_to_process.append(records.posts(spark, sf_dir))
     views.build_profile_view(lake)
     views.build_post_view(lake)
@@ -624,7 +634,7 @@ def rotate_queues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cycle_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index after two cycles; half the authors arrive with the second."""
+    """The index after two cycles; some of the authors arrive with the second."""
     lake = Lake(spark, run_folder(spark, "cycle"))
     topics = FileTopics(spark, f"{lake.root}/topics")
     config = cycle.CycleConfig(
@@ -636,8 +646,8 @@ def cycle_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         min_year=FIRST_YEAR,
     )
     _send(topics, "posts", records.posts(spark, sf_dir))
-    _send(topics, "profiles", _building(spark, sf_dir))
+    _send(topics, "profiles", records.profiles(spark, sf_dir, FIRST_HALF))
     cycle.run_cycle(lake, config)
-    _send(topics, "profiles", _machinery(spark, sf_dir))
+    _send(topics, "profiles", records.profiles(spark, sf_dir, SECOND_HALF))
     cycle.run_cycle(lake, config)
     return lake.index.read()

@@ -82,7 +82,9 @@ POST_OF_ORDER = {
     "segment": "date_format(o_orderdate, 'yyyyMM')",
     "href": "concat('http://old.example/', o_orderkey)",
     "source": "if(o_custkey % 2 = 0, 'fb', 'vk')",
-    "profile_id": _AUTHOR,
+    # Some posts name no author, some one that no profile is of.
+    "profile_id": f"CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN concat({_AUTHOR}, '0x') "
+    f"ELSE {_AUTHOR} END",
     "sm_post_id": "cast(o_orderkey AS string)",
     "parent_post_id": f"if(o_orderkey % 2 = 1, concat({_AUTHOR}, '/posts/', o_orderkey), NULL)",
     "body": "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' "
