@@ -16,6 +16,7 @@ from postlake.session import run_folder
 PLAIN = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 # A task forgets the words it knows beyond this many, so its memory does not grow with the vocabulary.
 KNOWN_WORDS = 500_000
+KNOWN_IDS = 250_000  # likewise for ids, which are cheaper to work out again
 SALTS = 64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -24,7 +25,7 @@ class WordIds(dict):
     """bytes -> 64-bit id, worked out once for each word a task meets."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
+        if len(self) >= KNOWN_IDS:
             self.clear()
         made = self[word] = xxhash.xxh64_intdigest(word)
         return made
