@@ -18,10 +18,11 @@ from postlake.llm.words import fold, read, written
 LEAST_LANGUAGE = 0.3
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id, null or not, is among `ids`."""
-    wanted = ids.select(F.col("doc_id").alias("_wanted"))
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
+def _staying(docs: DataFrame, rows: DataFrame, hashed: Column) -> DataFrame:
+    """Documents that are among `rows` by id, null or not, and by a hash of their text; ids alone may repeat."""
+    rows = rows.toDF("_id", "_hash")
+    same = docs["doc_id"].eqNullSafe(rows["_id"]) & (hashed == rows["_hash"])
+    return docs.join(rows, same, "left_semi")
 
 
 def _is_history() -> Column:
@@ -38,14 +39,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them."""
     found = exact_dedup(docs, _is_history())
     # Texts whose ids are all null have no winner; one row of each stays.
-    stay = found.where(F.col("kept") | F.col("keep_id").isNull()).select("doc_id")
-    return _with_ids(docs, stay).dropDuplicates(["doc_id", "text"])
+    stay = found.where(F.col("kept") | F.col("keep_id").isNull()).select("doc_id", "text_sha256")
+    kept = _staying(docs, stay, F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    return kept.dropDuplicates(["doc_id", "text"])
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that link, directly or through others, the one with the smallest id stays: five-word shingles, four fifths."""
     groups = similar_groups(docs, Measure(words=5, least=80))
-    return _with_ids(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
+    return _staying(docs, stay, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,9 +143,10 @@ def word_arrays(values: Iterator[bytes], ids: WordIds) -> Iterator[np.ndarray]:
 
 
 def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n (size), cls (hash of the set, null if it is empty), keys; a task gives the keys of a class once, so that those of
+    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty), keys; a task gives the keys of a class once, so that those of
     copies stay few."""
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, told = WordIds(), set()
@@ -162,11 +163,11 @@ def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", tex
             offsets = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()), "cls": pa.array(classes, pa.int64()),
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n": pa.array(sizes, pa.int64()), "cls": pa.array(classes, pa.int64()),
                 "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
             })
 
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, cls bigint, keys array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, keys array<bigint>")
 
 
 def candidates(made: DataFrame) -> DataFrame:
@@ -276,7 +277,8 @@ def verified_links(groups: DataFrame, held: DataFrame, least: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of `docs`: doc_id, n_shingles, component_id (the smallest id it reaches by links, its own included).
+    """One row for each row of `docs`: doc_id, n_shingles, component_id (the smallest id it reaches by links, its own included)
+    and text_hash, which tells rows of one id apart.
 
     Words are lower-cased (A-Z) runs of anything but blanks. Null, empty and blank texts have empty sets and link with
     nothing, not even each other. Rows that repeat a text link; null ids are passed over for component_id unless a component
@@ -293,9 +295,10 @@ def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "do
     held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), measure, text)
     links = written(verified_links(groups, held, measure.least), "shingle-links")
     roots = components(links, "u", "v")
-    named = made.select("doc_id", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
-    named = written(named.select("doc_id", "n", F.coalesce("root", "cls").alias("component")), "shingle-components")
+    named = made.select("doc_id", "text_hash", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
+    named = written(named.select("doc_id", "text_hash", "n", F.coalesce("root", "cls").alias("component")), "shingle-components")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    reached = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return named.join(least, "component", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), reached.alias("component_id"), "text_hash"
     )

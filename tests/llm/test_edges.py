@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pytest
-from conftest import ITEMS, ODD, PAGES  # noqa: F401
+
+from odd_rows import ODD, PAGES
 
 from postlake.llm.catalog import QUERIES
 from postlake.llm.words import read, written
