@@ -18,11 +18,12 @@ from postlake.llm.words import fold, read, written
 LEAST_LANGUAGE = 0.3
 
 
-def _staying(docs: DataFrame, rows: DataFrame, hashed: Column) -> DataFrame:
-    """Documents that are among `rows` by id, null or not, and by a hash of their text; ids alone may repeat."""
-    rows = rows.toDF("_id", "_hash")
+def _without(docs: DataFrame, rows: DataFrame, hashed: Column) -> DataFrame:
+    """Documents that are not among `rows` by id, null or not, and by a hash of their text; ids alone may repeat. The rows
+    are written first: if their table turns out small, no document has to move."""
+    rows = written(rows.toDF("_id", "_hash"), "dropped")
     same = docs["doc_id"].eqNullSafe(rows["_id"]) & (hashed == rows["_hash"])
-    return docs.join(rows, same, "left_semi")
+    return docs.join(rows, same, "left_anti")
 
 
 def _is_history() -> Column:
@@ -39,16 +40,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them."""
     found = exact_dedup(docs, _is_history())
     # Texts whose ids are all null have no winner; one row of each stays.
-    stay = found.where(F.col("kept") | F.col("keep_id").isNull()).select("doc_id", "text_sha256")
-    kept = _staying(docs, stay, F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    gone = found.where(~F.col("kept") & F.col("keep_id").isNotNull()).select("doc_id", "text_sha256")
+    kept = _without(docs, gone, F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that link, directly or through others, the one with the smallest id stays: five-word shingles, four fifths."""
-    groups = similar_groups(docs, Measure(words=5, least=80))
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
-    return _staying(docs, stay, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    """Of texts that link, directly or through others, the one with the smallest id stays. The join's own contract
+    sets what links: three-word shingles, nine tenths."""
+    groups = similar_groups(docs, Measure(words=3, least=90))
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
+    return _without(docs, gone, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

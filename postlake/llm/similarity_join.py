@@ -41,6 +41,7 @@ BYTES_A_WORD = 6  # likewise
 BLOCK = 512
 SIEVE_WORDS = 1 << 17
 TOLD = 1_000_000  # classes a task remembers to have told
+KEYS_A_BATCH = 100_000
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -142,37 +143,65 @@ def word_arrays(values: Iterator[bytes], ids: WordIds) -> Iterator[np.ndarray]:
     return (ids.of(blank_words(value)) for value in values)
 
 
-def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty), keys; a task gives the keys of a class once, so that those of
-    copies stay few."""
+def sets(docs: DataFrame, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty)."""
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, told = WordIds(), set()
+        ids = WordIds()
         for batch in batches:
-            sizes, classes, keys = [], [], []
+            sizes, classes = [], []
             for words in word_arrays(texts(batch.column("text")), ids):
                 elements = shingles(words, measure.words)
                 sizes.append(len(elements))
                 classes.append(int(set_hash(elements).astype(np.int64)) if len(elements) else None)
-                keys.append(np.zeros(0, np.int64) if classes[-1] in told else keys_of(elements, heavy, measure).view(np.int64))
-                if len(told) >= TOLD:
-                    told.clear()
-                told.add(classes[-1])
-            offsets = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n": pa.array(sizes, pa.int64()), "cls": pa.array(classes, pa.int64()),
-                "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+                "n": pa.array(sizes, pa.int64()), "cls": pa.array(classes, pa.int64()),
             })
 
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, keys array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint")
+
+
+def key_lists(docs: DataFrame, heavy: int, measure: Measure, text: str = "text") -> DataFrame:
+    """cls, key: the keys of each class. A task gives them once, so those of copies stay few. They go straight to the shuffle
+    by key and are written nowhere else."""
+    rows = docs.select(F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, told = WordIds(), set()
+        for batch in batches:
+            classes, keys, held = [], [], 0
+            for words in word_arrays(texts(batch.column("text")), ids):
+                elements = shingles(words, measure.words)
+                if len(elements) < measure.starts[0] * measure.least // 100:
+                    continue
+                cls = int(set_hash(elements).astype(np.int64))
+                if cls in told:
+                    continue
+                if len(told) >= TOLD:
+                    told.clear()
+                told.add(cls)
+                found = keys_of(elements, heavy, measure)
+                classes.append(np.full(len(found), cls, np.int64))
+                keys.append(found.view(np.int64))
+                held += len(found)
+                if held >= KEYS_A_BATCH:
+                    yield _keyed(classes, keys)
+                    classes, keys, held = [], [], 0
+            if keys:
+                yield _keyed(classes, keys)
+
+    return rows.mapInArrow(run, "cls bigint, key bigint")
+
+
+def _keyed(classes: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.record_batch({"cls": pa.array(np.concatenate(classes)), "key": pa.array(np.concatenate(keys))})
 
 
-def candidates(made: DataFrame) -> DataFrame:
+def candidates(lists: DataFrame) -> DataFrame:
     """u, v: each class with the smallest class on each of its keys. Linear in the keys, whatever the length of a list."""
-    lists = made.select("cls", F.explode("keys").alias("key"))
     head = F.first("cls").over(Window.partitionBy("key").orderBy("cls").rowsBetween(Window.unboundedPreceding, 0))
     return lists.select("cls", head.alias("head")).where("cls <> head").select(F.col("head").alias("u"), F.col("cls").alias("v"))
 
@@ -289,8 +318,8 @@ def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "do
     steps = F.floor(F.log(F.col("size") / int(measure.starts[0])) / float(np.log(GROWTH)))
     counts = {int(r["c"]): r["count"] for r in levels.groupBy(steps.alias("c")).count().collect()}
     heavy = first_heavy(counts, measure)
-    made = written(sets(docs, heavy, measure, key, text), "shingle-sets")
-    pairs = written(candidates(made).distinct(), "shingle-candidates")
+    made = written(sets(docs, measure, key, text), "shingle-sets")
+    pairs = written(candidates(key_lists(docs, heavy, measure, text)).distinct(), "shingle-candidates")
     groups = written(components(pairs, "u", "v"), "shingle-groups")
     held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), measure, text)
     links = written(verified_links(groups, held, measure.least), "shingle-links")

@@ -239,7 +239,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     for i in sorted(rows):
         last[rows[i]] = i
     lower = {i: rows[i].lower() for i in last.values()}
-    groups = groups_by_hand(sorted(lower.items()), 5, 80)
+    groups = groups_by_hand(sorted(lower.items()), 3, 90)
     left = {i for i, (_, root) in groups.items() if i == root}
     items = [decontaminate.plain_words(r["text"].encode()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = {i for i in left if not any(
