@@ -258,7 +258,7 @@ ORACLE: dict[str, str] = {
     "segment_total": f"""SELECT count(*) AS records FROM (
         SELECT seg FROM ({PAGES}) WHERE size >= 70 UNION ALL SELECT seg FROM ({PAGES}) WHERE size <= 1400
         UNION ALL SELECT seg FROM ({PAGES}) WHERE NOT is_single)""",
-    "extract_segments": f"SELECT * FROM ({EXTRACTED_POSTS}) WHERE segment BETWEEN 's2' AND 's6'",
+    "extract_segments": f"SELECT * FROM ({EXTRACTED_POSTS}) WHERE segment BETWEEN 's2' AND 's6' OR segment = 's9'",
     "build_profile_view": f"""SELECT url, coalesce(
           CASE WHEN s.crawl_date >= n.crawl_date THEN s.crawl_date END, n.crawl_date) AS crawl_date,
           CASE WHEN s.crawl_date >= n.crawl_date THEN s.name ELSE n.name END AS name
@@ -295,9 +295,10 @@ ORACLE: dict[str, str] = {
     "publish_topics": f"SELECT 'profile' AS kind, url, crawl_date FROM ({EXTRACTED_PROFILES}) UNION ALL "
         f"SELECT 'post', url, crawl_date FROM ({EXTRACTED_POSTS}) UNION ALL "
         f"SELECT 'detailed', url, crawl_date FROM ({EXTRACTED_DETAILED})",
-    "stream_ingest": f"""SELECT url, crawl_date, name, reach FROM (
-        SELECT *, row_number() OVER (PARTITION BY url, crawl_date ORDER BY name DESC, reach DESC) AS r
-        FROM ({CRAWLS})) WHERE r = 1""",
+    "stream_ingest": f"""SELECT DISTINCT 'profile' AS queue, url, crawl_date FROM ({CRAWLS})
+        UNION ALL SELECT 'post', url, crawl_date FROM ({POSTS})
+        UNION ALL SELECT 'detailed', url, crawl_date FROM ({_matched(enriched(), True)})
+        UNION ALL SELECT 'bad', '{{broken ' || reach, 0 FROM ({CRAWLS}) WHERE name = 'purchase'""",
     "stream_index": _index(_matched(enriched(), True)),
     "rotate_queues": f"""SELECT 'post_to_process' AS queue, count(*) AS n
         FROM ({_matched(enriched(), False)}) UNION ALL

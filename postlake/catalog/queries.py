@@ -196,16 +196,20 @@ def min_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.from_year(dated, FIRST_YEAR).select("url", "date")
 
 
+def _recent(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Posts within the age limit of their kind, by the extraction's own rule."""
+    tagged = records.posts(spark, sf_dir).withColumns({"kind": F.lit(kind), "reason": F.lit(None).cast("string")})
+    return documents.keep_recent(tagged, ORDERS_AS_OF).where(F.col("kind") == kind).select("url", "date")
+
+
 @query
 def recent_posts_90(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = records.posts(spark, sf_dir)
-    return filters.recent(posts, filters.POST_DAYS, ORDERS_AS_OF).select("url", "date")
+    return _recent(spark, sf_dir, "post")
 
 
 @query
 def recent_posts_7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = records.posts(spark, sf_dir)
-    return filters.recent(posts, filters.DETAILED_DAYS, ORDERS_AS_OF).select("url", "date")
+    return _recent(spark, sf_dir, "detailed")
 
 
 @query
@@ -377,7 +381,7 @@ def segment_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def extract_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing folders, a range of their segments extracted three at a time."""
+    """Landing folders, a range of their segments extracted three at a time, then one by its name."""
     root = run_folder(spark, "segments")
     for name, rows in records.page_parts(spark, sf_dir).items():
         rows.write.partitionBy("segment").parquet(f"{root}/landing/{name}")
@@ -388,6 +392,10 @@ def extract_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = extract.extract_segments(
         store, f"{root}/out", start="s2", stop="s55", batch_size=3, as_of=POSTS_AS_OF
     )
+    names += extract.extract_segments(store, f"{root}/out", segment="s9", as_of=POSTS_AS_OF)
+    # Twice over, the first time with another date: what was there is replaced.
+    extract.extract_segments(store, f"{root}/out", segment="s3", as_of="2026-01-01")
+    extract.extract_segments(store, f"{root}/out", segment="s3", as_of=POSTS_AS_OF)
     return read_extracted(spark, f"{root}/out", "post", names)
 
 
@@ -587,14 +595,31 @@ def _send(topics: FileTopics, topic: str, rows: DataFrame) -> None:
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations through a topic into the profile queue, twice over."""
+    """Three kinds of topic from two tenants into the same queues, twice over, with messages that hold no record."""
     lake = Lake(spark, run_folder(spark, "ingest"))
     topics = FileTopics(spark, f"{lake.root}/topics")
-    names = {"profile": ["crawls"]}
+    names = {"profile": ["a-profile", "b-profile"], "post": ["a-post", "b-post"], "detailed": ["b-merged"]}
+    crawls, posts = records.crawls(spark, sf_dir), records.posts(spark, sf_dir)
+    merged = enrich.with_author(_enriched(spark, sf_dir))
+    odd = F.col("sm_profile_id").cast("bigint") % 2 == 1
     for _ in range(2):
-        _send(topics, "crawls", records.crawls(spark, sf_dir))
+        _send(topics, "a-profile", crawls.where(odd))
+        _send(topics, "b-profile", crawls.where(~odd))
+        _send(topics, "a-post", posts.where("source = 'fb'"))
+        _send(topics, "b-post", posts.where("source = 'vk'"))
+        _send(topics, "b-merged", merged)
+        broken = crawls.where("name = 'purchase'").select(F.concat(F.lit("{broken "), "reach").alias("value"))
+        topics.write(broken, "b-profile")
         ingest_slice(lake, topics, names, f"{lake.root}/checkpoint")
-    return lake.profile_to_process.read().select("url", "crawl_date", "name", "reach")
+    queues = {"profile": lake.profile_to_process, "post": lake.post_to_process, "detailed": lake.post_to_es}
+    # No row of a queue lacks the time it came in.
+    missing = {kind: table.rows_beside().where("ingest_ts IS NULL").isEmpty() for kind, table in queues.items()}
+    found = [
+        table.read().select(F.lit(kind if missing[kind] else "unstamped").alias("queue"), "url", "crawl_date")
+        for kind, table in queues.items()
+    ]
+    bad = lake.bad_messages.read().select(F.lit("bad").alias("queue"), F.col("message").alias("url"), F.lit(0).cast("bigint").alias("crawl_date"))
+    return reduce(DataFrame.unionByName, [*found, bad])
 
 
 @query

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions.dates import days_before, local_date, year_start
+from postlake.functions.dates import year_start
 from postlake.functions.hrefs import href
 from postlake.functions.text import not_empty
 
@@ -17,17 +15,6 @@ DETAILED_DAYS = 7
 MIN_YEAR = 2014
 
 
-def recent(
-    df: DataFrame,
-    days: int,
-    as_of: Column | dt.date | str | None = None,
-    strict: bool = False,
-    date: str = "date",
-) -> DataFrame:
-    """Posts whose local date is after `as_of` minus `days`, that day excluded."""
-    return df.where(local_date(date, strict) > days_before(as_of, days))
-
-
 def nonempty_body(df: DataFrame, body: str = "body") -> DataFrame:
     return df.where(not_empty(body))
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 _TYPES: dict[str, DataType] = {
@@ -42,6 +43,8 @@ AUTHOR_COLUMNS = (
 DETAILED = record(*POST.names, *AUTHOR_COLUMNS)
 EXPORT = record(*DETAILED.names, "post_local_date")
 INDEX_ROW = record("index_name", "_id", "source")
+# When a record came in from a topic, stored beside it in the queues.
+INGESTED = StructType([StructField("ingest_ts", TimestampType())])
 BAD_MESSAGE = record("topic", "message", "reason")
 
 BY_KIND = {"profile": PROFILE, "post": POST, "detailed": DETAILED}

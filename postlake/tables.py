@@ -50,6 +50,8 @@ class KeyedTable:
     date: str | None = "crawl_date"
     ties_keep_saved: bool = False
     partition_by: tuple[str, ...] = field(default=())
+    # Columns stored beside the record, null where a write lacks them.
+    beside: StructType = field(default_factory=StructType)
 
     def _writes(self, committed: bool = True) -> list[tuple[int, str, str]]:
         """(version, kind, path) of the writes, oldest first."""
@@ -77,7 +79,8 @@ class KeyedTable:
         return f"{self.path}/kind={kind}/version={version}/write=w{uuid.uuid4().hex}"
 
     def _write(self, df: DataFrame, kind: str) -> None:
-        rows = df.select(*self.schema.names)
+        beside = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.beside]
+        rows = df.select(*self.schema.names, *beside)
         if self.partition_by:
             rows = group_for_write(rows, *self.partition_by)
         target = self._next(kind)
@@ -99,7 +102,8 @@ class KeyedTable:
 
     def _scan(self, writes: list[tuple[int, str, str]]) -> DataFrame:
         schema = StructType(
-            [*self.schema.fields, StructField("version", LongType()), StructField("write", StringType())]
+            [*self.schema.fields, *self.beside.fields, StructField("version", LongType()),
+             StructField("write", StringType())]
         )
         if not writes:
             return empty(self.spark, schema)
@@ -110,6 +114,10 @@ class KeyedTable:
         """All rows as written since the last full write, several per key."""
         return self._scan(self._to_scan()).select(*self.schema.names)
 
+    def rows_beside(self) -> DataFrame:
+        """The same with the columns stored beside the records."""
+        return self._scan(self._to_scan()).select(*self.schema.names, *self.beside.names)
+
     def _plain(self) -> bool:
         """Whether the rows as written are one per key."""
         return [kind for _, kind, _ in self._to_scan()] in ([], ["full"], ["unique"])
@@ -231,11 +239,11 @@ class Lake:
 
     @property
     def profile_to_process(self) -> KeyedTable:
-        return self._table("profile_to_process", schemas.PROFILE, "url", "crawl_date")
+        return self._table("profile_to_process", schemas.PROFILE, "url", "crawl_date", beside=schemas.INGESTED)
 
     @property
     def post_to_process(self) -> KeyedTable:
-        return self._table("post_to_process", schemas.POST, "url", "crawl_date")
+        return self._table("post_to_process", schemas.POST, "url", "crawl_date", beside=schemas.INGESTED)
 
     @property
     def profile(self) -> KeyedTable:
@@ -255,7 +263,7 @@ class Lake:
 
     @property
     def post_to_es(self) -> KeyedTable:
-        return self._table("post_to_es", schemas.DETAILED, "url")
+        return self._table("post_to_es", schemas.DETAILED, "url", beside=schemas.INGESTED)
 
     @property
     def index(self) -> KeyedTable:

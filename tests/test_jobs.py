@@ -18,8 +18,9 @@ from postlake.sources.exports import read_export, stream_export
 from postlake.sources.segments import SegmentStore
 from postlake.sources.topics import FileTopics, KafkaTopics
 from postlake.streaming.index import publish_index
-from postlake.streaming.ingest import ingest, ingest_slice
-from postlake.streaming.publish import publish_batch, publish_topics
+from postlake.streaming.ingest import CONTINUOUS, ingest, ingest_slice
+from postlake.streaming import publish
+from postlake.streaming.publish import publish_streams, publish_topics
 from test_operators import landing
 
 
@@ -107,7 +108,10 @@ def test_extract_and_publish(spark, store, folder, batch_size):
     assert topics.read("merged").count() == 2
     one = topics.read("merged").select(F.get_json_object("value", "$.profile_city")).first()[0]
     assert one == "c"
-    publish_batch(spark, out, ["s1"], topics, names)
+    running = publish_streams(spark, out, ["s1"], topics, names, f"{folder}/other", publish.CONTINUOUS)
+    for query in running:
+        query.processAllAvailable()
+        query.stop()
     assert topics.read("posts").count() == 6
 
 
@@ -162,6 +166,17 @@ def test_ingest_counts_rows(spark, lake, folder):
     assert sum(seen) == 2
 
 
+def test_ingest_at_an_interval_keeps_the_time(spark, lake, folder):
+    topics = FileTopics(spark, f"{folder}/topics")
+    send_to(topics, "t", profiles(spark, {"url": "a"}, {"url": "b"}))
+    (running,) = ingest(lake, topics, {"profile": ["t"]}, f"{folder}/checkpoint", CONTINUOUS)
+    running.processAllAvailable()
+    running.stop()
+    lake.profile_to_process.append(profiles(spark, {"url": "c"}))
+    assert values(lake.profile_to_process.read(), "url") == [("a",), ("b",), ("c",)]
+    assert values(lake.profile_to_process.rows_beside().where("ingest_ts IS NOT NULL"), "url") == [("a",), ("b",)]
+
+
 def test_kafka_options():
     """What reaches Spark; no broker is needed to check it."""
     session, rows = MagicMock(), MagicMock()

@@ -71,12 +71,16 @@ def test_recency_excludes_the_limit_day(spark):
         {"url": d, "date": f"{d}T00:30:00.000+0300"}
         for d in ("2016-03-03", "2016-03-04", "2016-05-25", "2016-05-26")
     ], {"url": "bad", "date": "bad"})
-    kept = filters.recent(rows, filters.POST_DAYS, dt.date(2016, 6, 1))
-    assert values(kept, "url") == [("2016-03-04",), ("2016-05-25",), ("2016-05-26",)]
-    assert values(filters.recent(rows, filters.DETAILED_DAYS, "2016-06-01"), "url") == [("2016-05-26",)]
-    assert filters.recent(rows, filters.POST_DAYS).count() == 0
-    with pytest.raises(Exception, match="unreadable post date"):
-        filters.recent(rows, 7, "2016-06-01", strict=True).collect()
+
+    def kept(kind, as_of):
+        tagged = rows.withColumns({"kind": F.lit(kind), "reason": F.lit(None).cast("string")})
+        return values(documents.keep_recent(tagged, as_of), "url", "kind")
+
+    aside = ("bad", "quarantine")
+    assert kept("post", dt.date(2016, 6, 1)) == [
+        ("2016-03-04", "post"), ("2016-05-25", "post"), ("2016-05-26", "post"), aside]
+    assert kept("detailed", "2016-06-01") == [("2016-05-26", "detailed"), aside]
+    assert kept("post", None) == [aside]
 
 
 def test_year_is_local(spark):

@@ -165,7 +165,7 @@ def test_reading_prunes_columns(spark, lake):
 
 
 def test_recency_needs_no_shuffle(spark):
-    assert "Exchange" not in plan(filters.recent(records.posts(spark, SF), 7, "2001-08-01"))
+    assert "Exchange" not in plan(queries.QUERIES["recent_posts_7"](spark, SF))
 
 
 def test_shuffles_grow_with_the_input_and_the_session_stays(spark):
