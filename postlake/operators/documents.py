@@ -27,8 +27,11 @@ from postlake.schemas import (
 )
 
 NOT_JSON = "page text is no JSON array"
+TOO_LARGE = "page text is no JSON array, or too large to read"
 BAD_ELEMENT = "element lacks metadata"
 BAD_DATE = "unreadable post date"
+# Fixed value: bytes up to which Spark's variant is sure to take a text.
+SURE_BYTES = 16 << 20
 JSON_NULL = r"^\s*null\s*$"
 
 # Number fields, by the kinds of element in which they are one.
@@ -68,16 +71,17 @@ def unnest(pages: DataFrame) -> DataFrame:
     whole_page = F.array(F.try_variant_get(F.to_variant_object(page), "$", ELEMENT))
     kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
     elements = candidates.select(
-        *kept, F.col("url").alias("page_url"), F.when(multi, parsed).otherwise(whole_page).alias("elements")
+        *kept, F.col("url").alias("page_url"), F.when(multi, parsed).otherwise(whole_page).alias("elements"),
+        F.when(F.octet_length("text") > SURE_BYTES, TOO_LARGE).otherwise(NOT_JSON).alias("unreadable"),
     )
     # Settled before the array is unnested, so that rows need not carry it along.
     marked = elements.withColumn("readable", F.col("elements").isNotNull())
     no_element = F.array(F.lit(None).cast(ELEMENT))
     rows = marked.select(
-        *kept, "page_url", "readable", F.explode(F.coalesce("elements", no_element)).alias("element")
+        *kept, "page_url", "readable", "unreadable", F.explode(F.coalesce("elements", no_element)).alias("element")
     )
     lacks_meta = F.col("element.contentMeta").isNull() | F.col("element.parseMeta").isNull()
-    reason = F.when(~F.col("readable"), NOT_JSON).when(multi & lacks_meta, BAD_ELEMENT)
+    reason = F.when(~F.col("readable"), F.col("unreadable")).when(multi & lacks_meta, BAD_ELEMENT)
     subtype = F.coalesce(F.col(f"element.contentMeta.{META_TYPE}"), F.col("page_type"))
     kind = (
         F.when(reason.isNotNull(), "quarantine")

@@ -222,3 +222,13 @@ def test_usable_records(spark):
 
 def test_detailed_helper_matches_schema(spark):
     assert detailed(spark, {"url": "u"}).columns == DETAILED.names
+
+
+def test_pages_too_large_to_read_say_so(spark):
+    pages = spark.range(2).select(
+        F.lit("s").alias("from_segment"), F.concat(F.lit("u"), "id").alias("url"), F.lit(1).cast("bigint").alias("crawl_date"),
+        F.lit("s").alias("segment"), F.lit("post").alias("page_type"), F.lit("multi").alias("route"),
+        F.lit(None).cast("map<string,string>").alias("parse_meta"),
+        F.when(F.col("id") == 0, F.concat(F.lit('[{"url":"'), F.expr(f"repeat('x', int({150 << 20} + id))"), F.lit('"}]'))).otherwise("[").alias("text"),
+    )
+    assert values(documents.unnest(pages), "page_url", "reason") == [("u0", documents.TOO_LARGE), ("u1", documents.NOT_JSON)]
