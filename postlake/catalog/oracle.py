@@ -234,6 +234,21 @@ ORACLE: dict[str, str] = {
     "extract_posts": EXTRACTED_POSTS,
     "extract_profiles": EXTRACTED_PROFILES,
     "extract_detailed": EXTRACTED_DETAILED,
+    "extract_dirty": f"""
+        SELECT kind, reason, count(*) AS n, CAST(sum(fetch_time) AS BIGINT) AS crawl_sum FROM (
+          SELECT fetch_time, 'profile' AS kind, NULL AS reason FROM ({USABLE_PAGES})
+          WHERE CASE WHEN is_single THEN conv_id % 8 <> 5 ELSE conv_id % 8 IN (3, 5, 6, 7) END
+          UNION ALL SELECT fetch_time, 'post', NULL FROM ({USABLE_PAGES})
+          WHERE NOT is_single AND conv_id % 8 IN (5, 6, 7) AND day > DATE '2016-05-20' - 90
+          UNION ALL SELECT fetch_time, 'detailed', NULL FROM ({USABLE_PAGES})
+          WHERE NOT is_single AND conv_id % 8 IN (5, 6, 7) AND day > DATE '2016-05-20' - 7
+          UNION ALL SELECT fetch_time, 'quarantine', 'unreadable post date'
+          FROM ({USABLE_PAGES}), (VALUES ('post'), ('detailed')) k(kind) WHERE NOT is_single AND conv_id % 8 = 3
+          UNION ALL SELECT fetch_time, 'quarantine', 'page text is no JSON array'
+          FROM ({USABLE_PAGES}) WHERE NOT is_single AND conv_id % 8 = 2
+          UNION ALL SELECT fetch_time, 'quarantine', 'element lacks metadata'
+          FROM ({USABLE_PAGES}) WHERE NOT is_single AND conv_id % 8 = 4)
+        GROUP BY kind, reason""",
     "demux_counts": """
         SELECT 'profile' AS kind, count(*) AS n FROM customer UNION ALL
         SELECT 'post', count(*) FROM orders UNION ALL SELECT 'detailed', count(*) FROM events""",

@@ -332,6 +332,15 @@ def demux_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+@query
+def extract_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by kind, and quarantined ones by reason, of pages with several records of a kind and texts of all sorts."""
+    parts = records.dirty_parts(spark, sf_dir)
+    fetched = parts["fetch"].unionByName(parts["parse"])
+    rows = extracted_records(fetched, parts["parse_data"], parts["parse_text"], DETAILED_AS_OF)
+    return rows.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"), F.sum("crawl_date").alias("crawl_sum"))
+
+
 def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = records.table(spark, sf_dir, "orders")
     return orders.withColumn("segment", F.date_format("o_orderdate", "yyyy-MM"))

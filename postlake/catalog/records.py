@@ -203,3 +203,25 @@ def page_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     parse_text = turns.where(~is_single).select(url.alias("url"), text.alias("text"), segment.alias("segment"))
     parse = fetch.where("1 = 0")
     return {"fetch": fetch, "parse": parse, "parse_data": parse_data, "parse_text": parse_text}
+
+
+def dirty_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same pages as crawls really are, by the conversation's number modulo 8: texts that are empty (0), JSON null (1) or
+    broken (2), dates that cannot be read (3), elements without metadata (4), single pages of a type that holds nothing (5).
+    Every record comes twice; the older fetch of a page is in the parse part."""
+    parts = page_parts(spark, sf_dir)
+    number = F.regexp_extract("url", "//([0-9]+)/", 1).cast("bigint") % 8
+    text = (
+        F.when(number == 0, "").when(number == 1, " null ").when(number == 2, "[{broken").when(number == 4, '[{"url":"x"}]')
+        .when(number == 3, F.replace("text", F.lit("2016-05"), F.lit("May 16"))).otherwise(F.col("text"))
+    )
+    holds_nothing = (number == 5) & (F.element_at("content_meta", "multiple") == "false")
+    content = F.when(holds_nothing, F.map_concat(
+        F.map_filter("content_meta", lambda k, v: k != "type"), F.create_map(F.lit("type"), F.lit("group"))
+    )).otherwise(F.col("content_meta"))
+    twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy")
+    dirty = {name: rows.select("*", twice).drop("_copy") for name, rows in parts.items()}
+    dirty["parse_text"] = dirty["parse_text"].withColumn("text", text)
+    dirty["parse_data"] = dirty["parse_data"].withColumn("content_meta", content)
+    dirty["parse"] = parts["fetch"].withColumn("fetch_time", F.col("fetch_time") - 5)
+    return dirty
