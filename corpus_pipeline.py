@@ -18,12 +18,11 @@ from postlake.llm.words import fold, read, written
 LEAST_LANGUAGE = 0.3
 
 
-def _without(docs: DataFrame, rows: DataFrame, hashed: Column) -> DataFrame:
-    """Documents that are not among `rows` by id, null or not, and by a hash of their text; ids alone may repeat. The rows
-    are written first: if their table turns out small, no document has to move."""
-    rows = written(rows.toDF("_id", "_hash"), "dropped")
-    same = docs["doc_id"].eqNullSafe(rows["_id"]) & (hashed == rows["_hash"])
-    return docs.join(rows, same, "left_anti")
+def _match(docs: DataFrame, rows: DataFrame, hashed: Column, how: str) -> DataFrame:
+    """Documents that are, or are not, among `rows` by id, null or not, and by a hash of their text; ids alone may repeat. The
+    rows are written first: if their table turns out small, no document has to move."""
+    rows = written(rows.toDF("_id", "_hash"), "rows")
+    return docs.join(rows, docs["doc_id"].eqNullSafe(rows["_id"]) & (hashed == rows["_hash"]), how)
 
 
 def _is_history() -> Column:
@@ -40,9 +39,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them."""
     found = exact_dedup(docs, _is_history())
     # Texts whose ids are all null have no winner; one row of each stays.
-    gone = found.where(~F.col("kept") & F.col("keep_id").isNotNull()).select("doc_id", "text_sha256")
-    kept = _without(docs, gone, F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
-    return kept.dropDuplicates(["doc_id", "text"])
+    # For one id a short hash of the digest tells texts apart.
+    row = (F.col("doc_id"), F.hash("text_sha256").alias("h"))
+    stays = F.col("kept") | F.col("keep_id").isNull()
+    gone = found.where(~stays).select(*row)
+    again = found.where(stays).groupBy(*row).count().where("count > 1").drop("count")
+    hashed = F.hash(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    once = _match(docs, gone.unionAll(again), hashed, "left_anti")
+    return once.unionAll(_match(docs, again, hashed, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +54,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     sets what links: three-word shingles, nine tenths."""
     groups = similar_groups(docs, Measure(words=3, least=90))
     gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
-    return _without(docs, gone, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    return _match(docs, gone, F.xxhash64(F.coalesce(docs["text"], F.lit(""))), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,5 +93,12 @@ def test_stages_keep_columns_and_take_odd_rows(spark, tables):
     assert left[4] == left[3]
 
 
+def test_one_of_repeated_winners_stays(spark):
+    rows = [(1, "a b", 1), (1, "a b", 2), (1, "other", 3), (0, "a b", 4), (None, "c", 5), (None, "c", 6), (None, "d", 7), (2, "d", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_copies(spark, docs, "").collect()]
+    assert sorted(left, key=repr) == [(1, "a b"), (1, "other"), (2, "d"), (None, "c")]
+
+
 def test_stages_take_empty_tables(spark, tables):
     assert corpus_pipeline.run(spark, tables["empty"]).collect() == []
