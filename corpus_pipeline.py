@@ -38,12 +38,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them."""
     found = exact_dedup(docs, _is_history())
-    # Texts whose ids are all null have no winner; one row of each stays.
-    # For one id a short hash of the digest tells texts apart.
-    row = (F.col("doc_id"), F.hash("text_sha256").alias("h"))
-    stays = F.col("kept") | F.col("keep_id").isNull()
-    gone = found.where(~stays).select(*row)
-    again = found.where(stays).groupBy(*row).count().where("count > 1").drop("count")
+    # Texts whose ids are all null have no winner; one row of each stays. For one id a short hash of the digest tells texts apart.
+    stays = (F.col("kept") | F.col("keep_id").isNull()).alias("stays")
+    found = written(found.select("doc_id", F.hash("text_sha256").alias("h"), stays), "dedup")
+    gone = found.where("NOT stays").select("doc_id", "h")
+    again = found.where("stays").groupBy("doc_id", "h").count().where("count > 1").drop("count")
     hashed = F.hash(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
     once = _match(docs, gone.unionAll(again), hashed, "left_anti")
     return once.unionAll(_match(docs, again, hashed, "left_semi").dropDuplicates(["doc_id", "text"]))
