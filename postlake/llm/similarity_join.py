@@ -11,9 +11,11 @@ by hash to parts, the same way for every set, and each differing element spoils
   sets agree on those by chance.
 
 Which classes are light is decided by cost: keys written, and the list entries expected to be scanned, which depend on how many
-sets a class has. Either way no link is lost. Sets on one key form candidate groups; a group is searched breadth-first
-with exact intersections, so a set that is linked is compared with no more than the sets still without a link to it. Groups
-of more than `BLOCK` sets are searched by pairs of blocks, which bounds a task's memory.
+sets a class has. Either way no link is lost. Each list, the sets on one key, is searched breadth-first by sketches: parities of elements by
+hash, two bits or more an element, whose distance is never above that of the sets, so what they rule out cannot link. Sets
+that may link through others form candidate groups, and texts that merely share a passage do not; a group is
+searched in the same way with exact intersections, so a set that is linked is compared with no more than the sets still
+without a link to it. Lists and groups of more than `BLOCK` sets are searched by pairs of blocks, which bounds a task's memory.
 
 Equal sets are one class throughout: a task writes the keys of a class once, so copies are compared once. Only keys and links of
 classes are shuffled, and the sets of classes that share a key.
@@ -21,7 +23,7 @@ classes are shuffled, and the sets of classes that share a key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import combinations
@@ -38,6 +40,7 @@ GROWTH = 1.5
 RESERVE = 0.03
 SHARED = 0.2  # assumed chance that an element of a set is also in an unrelated one, for the cost alone
 BYTES_A_WORD = 6  # likewise
+LOOK = 0.05  # looking at a list's entry by its sketch, against writing a key, likewise
 BLOCK = 512
 SIEVE_WORDS = 1 << 17
 TOLD = 1_000_000  # classes a task remembers to have told
@@ -90,11 +93,11 @@ def first_heavy(counts: dict[int, int], measure: Measure) -> int:
 
     def enumerate_cost(c: int, n: int) -> float:
         parts = measure.tolerance(c) + 2
-        return n * parts * (parts - 1) / 2 * (1 + n * SHARED ** (2 * measure.starts[c] / parts))
+        return n * parts * (parts - 1) / 2 * (1 + LOOK * n * SHARED ** (2 * measure.starts[c] / parts))
 
     def scan_cost(c: int, n: int) -> float:
         parts = measure.heavy_parts(c)[0]
-        return n * parts * (1 + n * SHARED ** (measure.starts[c] / parts))
+        return n * parts * (1 + LOOK * n * SHARED ** (measure.starts[c] / parts))
 
     last = max(counts, default=-1)
     cost = [
@@ -200,10 +203,15 @@ def _keyed(classes: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch({"cls": pa.array(np.concatenate(classes)), "key": pa.array(np.concatenate(keys))})
 
 
-def candidates(lists: DataFrame) -> DataFrame:
-    """u, v: each class with the smallest class on each of its keys. Linear in the keys, whatever the length of a list."""
-    head = F.first("cls").over(Window.partitionBy("key").orderBy("cls").rowsBetween(Window.unboundedPreceding, 0))
-    return lists.select("cls", head.alias("head")).where("cls <> head").select(F.col("head").alias("u"), F.col("cls").alias("v"))
+def shared_lists(lists: DataFrame) -> DataFrame:
+    """cls, root (list), members: the classes on each key that more than one class has. Lists of the same classes are one."""
+    on = Window.partitionBy("key")
+    held = lists.repartition("key").distinct().select(
+        "cls", F.count(F.lit(1)).over(on).alias("members"), F.min("cls").over(on).alias("head"),
+        F.bit_xor(F.xxhash64("cls")).over(on).alias("mark"),
+    )
+    held = held.where("members > 1")
+    return held.select("cls", F.xxhash64("members", "head", "mark").alias("root"), "members").distinct()
 
 
 def _sieve(classes: DataFrame) -> np.ndarray:
@@ -216,8 +224,17 @@ def _sieve(classes: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
-def candidate_sets(docs: DataFrame, wanted: np.ndarray, measure: Measure, text: str = "text") -> DataFrame:
-    """cls, elements of the classes that pass the sieve, at least once for each task that meets them."""
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """The number of elements, then parities of elements by hash: a power of two of them, two or more for each element."""
+    width = 1 << max(6, (2 * len(elements) - 1).bit_length())
+    odd = np.bincount(((elements >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.append(np.uint64(len(elements)), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64))
+
+
+def candidate_sets(
+    docs: DataFrame, wanted: np.ndarray, measure: Measure, text: str = "text", made: Callable[[np.ndarray], np.ndarray] = np.asarray
+) -> DataFrame:
+    """cls, elements (or what `made` makes of them) of the classes that pass the sieve, at least once for each task that meets them."""
     rows = docs.select(F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +251,7 @@ def candidate_sets(docs: DataFrame, wanted: np.ndarray, measure: Measure, text:
                         told.clear()
                     told.add(cls)
                     classes.append(cls)
-                    held.append(elements.tobytes())
+                    held.append(made(elements).tobytes())
                     if sum(map(len, held[-64:])) > 1 << 23:
                         yield pa.record_batch({"cls": pa.array(classes, pa.int64()), "elements": pa.array(held, pa.binary())})
                         classes, held = [], []
@@ -279,30 +296,79 @@ def _without(flat: np.ndarray, starts: np.ndarray, left: np.ndarray, sizes: np.n
     return flat[np.repeat(keep, left_sizes)], np.cumsum(left_sizes[keep]) - left_sizes[keep], left[keep]
 
 
-def verified_links(groups: DataFrame, held: DataFrame, least: int) -> DataFrame:
-    """u, v: links that connect the classes of each candidate group as all its links would.
+def may_link(sketches: list[np.ndarray], least: int) -> np.ndarray:
+    """As `linked`, from sketches: a link is assumed unless the sketches rule it out."""
+    n = len(sketches)
+    sizes = np.array([s[0] for s in sketches]).astype(np.int64)
+    narrow = min(map(len, sketches)) - 1
+    table = np.stack([np.bitwise_xor.reduce(s[1:].reshape(-1, narrow), axis=0) for s in sketches])
+    root, left, queue = np.full(n, -1), np.arange(n), []
+    while len(left):
+        if queue:
+            at = queue.pop()
+        else:
+            at, left = int(left[0]), left[1:]
+            root[at] = at
+        apart = np.bitwise_count(table[left] ^ table[at]).sum(axis=1, dtype=np.int64)
+        both = sizes[at] + sizes[left]
+        common = np.minimum((both - apart) // 2, np.minimum(sizes[at], sizes[left]))
+        hit = 100 * common >= least * (both - common)
+        root[left[hit]] = root[at]
+        queue += left[hit].tolist()
+        left = left[~hit]
+    return root
 
-    `groups`: node (class), root (group). Blocks of a group are paired with each other; a group of one block has one pair.
+
+def _links(groups: DataFrame, held: DataFrame, search: Callable[[list[np.ndarray], int], np.ndarray], least: int) -> DataFrame:
+    """u, v: links that connect the classes of each group as all its links would.
+
+    `groups`: cls, root (group), members. Blocks of a group are paired with each other; a group of one block has one pair.
     """
-    size = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    placed = groups.join(size, "root").select(
-        F.col("node").alias("cls"), "root", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
-    )
+    placed = groups.select("cls", "root", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("cls"), "blocks").cast("int")
     placed = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # Pair (i, i) is covered by (i, j); with one block it is the only one.
     placed = placed.where("blocks = 1 OR block <> other").select(
         "cls", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
+    by = ["root", "low", "high"]
 
-    def search(table: pa.Table) -> pa.Table:
-        by_class = dict(zip(table["cls"].to_pylist(), table["elements"].to_pylist()))
-        classes = np.array(sorted(by_class), np.int64)
-        root = linked([np.frombuffer(by_class[c], np.uint64) for c in classes.tolist()], least)
+    def found(group: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        classes = np.array(sorted(group), np.int64)
+        root = search([np.frombuffer(group[c], np.uint64) for c in classes.tolist()], least)
         new = root != np.arange(len(root))
-        return pa.table({"u": pa.array(classes[root[new]], pa.int64()), "v": pa.array(classes[new], pa.int64())})
+        return classes[root[new]], classes[new]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, group = None, {}
+        for batch in batches:
+            made = []
+            for *pair, cls, elements in zip(*(batch.column(c).to_pylist() for c in (*by, "cls", "elements"))):
+                if pair != last:
+                    made += [found(group)] if len(group) > 1 else []
+                    last, group = pair, {}
+                group[cls] = elements
+            yield _linked(made)
+        yield _linked([found(group)] if len(group) > 1 else [])
+
+    # Small groups by the thousand go through one task's batches, sorted, rather than one by one.
+    return placed.join(held, "cls").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "u bigint, v bigint")
+
 
-    return placed.join(held, "cls").groupBy("root", "low", "high").applyInArrow(search, "u bigint, v bigint")
+def _linked(made: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    u, v = (np.concatenate([np.zeros(0, np.int64), *(m[k] for m in made)]) for k in (0, 1))
+    return pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def candidates(lists: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
+    """u, v: links between the classes of each list that their sketches do not rule out, as far as they are needed to connect them."""
+    return _links(lists, sketches, may_link, least)
+
+
+def verified_links(groups: DataFrame, held: DataFrame, least: int) -> DataFrame:
+    """u, v: links that connect the classes of each candidate group as all its links would. `groups`: node (class), root (group)."""
+    size = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    return _links(groups.join(size, "root").select(F.col("node").alias("cls"), "root", "members"), held, linked, least)
 
 
 def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,7 +385,9 @@ def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "do
     counts = {int(r["c"]): r["count"] for r in levels.groupBy(steps.alias("c")).count().collect()}
     heavy = first_heavy(counts, measure)
     made = written(sets(docs, measure, key, text), "shingle-sets")
-    pairs = written(candidates(key_lists(docs, heavy, measure, text)).distinct(), "shingle-candidates")
+    lists = written(shared_lists(key_lists(docs, heavy, measure, text)), "shingle-lists")
+    sketches = candidate_sets(docs, _sieve(lists), measure, text, sketch)
+    pairs = written(candidates(lists, sketches, measure.least).distinct(), "shingle-candidates")
     groups = written(components(pairs, "u", "v"), "shingle-groups")
     held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), measure, text)
     links = written(verified_links(groups, held, measure.least), "shingle-links")

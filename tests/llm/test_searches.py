@@ -247,3 +247,27 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     made = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
     assert set(made) == clean and len(clean) < len(left) < len(rows)
     assert sum(r["size"] for r in made.values()) == sum(len(rows[i].encode().split()) for i in clean)
+
+
+def test_pipeline_keeps_one_of_near_copies(spark):
+    """By five-word shingles and four fifths; three words and nine tenths would keep them all."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").dropDuplicates(["text"])
+    rows = sorted((r["doc_id"], (r["text"] or "").lower()) for r in docs.collect())
+    groups = groups_by_hand(rows, 5, 80)
+    left = {i for i, (_, root) in groups.items() if i == root}
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_similar(spark, docs, SF).collect()} == left and len(left) < len(rows)
+
+
+def test_sketches_rule_out_no_link_but_texts_that_share_a_passage():
+    rng = np.random.default_rng(8)
+    for size in (10, 63, 64, 65, 300, 3000):
+        one = np.unique(rng.integers(0, 1 << 62, size, np.uint64))
+        for gone in (0, size // 20, size // 9, size // 2):
+            fresh = rng.integers(0, 1 << 62, size // 15, np.uint64)
+            other = np.unique(np.concatenate([one[gone:], fresh]))
+            pair = [one, other]
+            if (similarity_join.linked(pair, 80) == 0).all():
+                assert (similarity_join.may_link([similarity_join.sketch(x) for x in pair], 80) == 0).all()
+    passage = rng.integers(0, 1 << 62, 150, np.uint64)
+    apart = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 62, 150, np.uint64)])) for _ in range(20)]
+    assert list(similarity_join.may_link([similarity_join.sketch(x) for x in apart], 80)) == list(range(20))
