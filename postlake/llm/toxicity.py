@@ -4,8 +4,9 @@ A text's terms are its distinct words and the first `STEMS` bytes of each, hashe
 each term and, for each pair of terms, the product of their vectors, by which an insult weighs more beside some words than
 beside others.
 
-It is fitted on the driver from labelled documents: of each label those with the smallest hash of the id, `SAMPLE` at most. Of
-the terms met there the `TERMS` with the largest chi-square against the label get weights, so the model has a fixed size.
+It is fitted on the driver from labelled documents: of each label those with the smallest hash of the id, `SAMPLE` at most, each
+of which weighs as many as it stands for. Of the terms met there the `TERMS` with the largest chi-square against the label get
+weights, so the model has a fixed size.
 Scoring is one scan without a shuffle.
 """
 
@@ -27,7 +28,7 @@ BUCKETS = 1 << 22
 STEMS = (4, 5)
 SAMPLE = 4000
 TERMS = 8192
-LEAST_CHI_SQUARE = 20.0
+LEAST_CHI_SQUARE = 20.0  # of the sample's texts at the labels' true shares
 FACTORS = 8
 PASSES = 150
 RATE = 0.1
@@ -83,14 +84,17 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(samples: list[tuple[int, np.ndarray]], seed: int = 3) -> Model:
-    """A model from labels and terms of texts; without any, one that scores 0.5 throughout."""
+def fit(samples: list[tuple[int, np.ndarray]], seed: int = 3, weighs: dict[int, float] | None = None) -> Model:
+    """A model from labels and terms of texts; without any, one that scores 0.5 throughout. `weighs`: for each label how many
+    texts one of the sample stands for, one if not given."""
     flat, owner = _flat([terms for _, terms in samples])
     label = np.array([x for x, _ in samples], np.float64)
-    n, toxic = len(label), label.sum()
+    weight = np.array([(weighs or {}).get(x, 1.0) for x, _ in samples], np.float64)
+    weight *= len(weight) / max(weight.sum(), 1.0)
+    n, toxic = weight.sum(), (weight * label).sum()
     buckets, at = np.unique(flat, return_inverse=True)
-    seen = np.bincount(at, minlength=len(buckets)).astype(np.float64)
-    bad = np.bincount(at, label[owner], len(buckets))
+    seen = np.bincount(at, weight[owner], len(buckets))
+    bad = np.bincount(at, (weight * label)[owner], len(buckets))
     spread = seen * (n - seen) * toxic * (n - toxic)
     chi = np.divide(n * (bad * n - seen * toxic) ** 2, spread, out=np.zeros(len(seen)), where=spread > 0)
     chosen = np.sort(np.argsort(-chi, kind="stable")[:TERMS])
@@ -105,8 +109,8 @@ def fit(samples: list[tuple[int, np.ndarray]], seed: int = 3) -> Model:
         return model
     bias_square, squares = 1e-8, [np.full_like(x, 1e-8) for x in (model.weights, model.vectors)]
     for _ in range(PASSES):
-        logits, sums = _logits(model, flat, owner, n)
-        off = (_logistic(logits) - label) / n
+        logits, sums = _logits(model, flat, owner, len(label))
+        off = weight * (_logistic(logits) - label) / n
         on = off[owner]
         slope_w = np.bincount(flat, on, len(chosen)) + DECAY * model.weights
         pull = on[:, None] * (sums[owner] - model.vectors[flat])
@@ -127,6 +131,10 @@ def learn(docs: DataFrame, labels: DataFrame, is_training: Column, key: str = "d
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # Ids may repeat: of their texts, too, no more are taken.
     few = smallest(rows.join(F.broadcast(picked), "id"), "mark", ["h", "t"], SAMPLE).select("mark", "t")
+    ids = {r["mark"]: r["count"] for r in marks.groupBy("mark").count().collect()}
+    met = {r["mark"]: r["count"] for r in rows.select("id").join(F.broadcast(picked), "id").groupBy("mark").count().collect()}
+    # What both cuts left out of a label, so that the fit sees the labels' true shares at every size.
+    weighs = {mark: max(1.0, ids[mark] / SAMPLE) * max(1.0, n / SAMPLE) for mark, n in met.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = Terms()
@@ -135,7 +143,7 @@ def learn(docs: DataFrame, labels: DataFrame, is_training: Column, key: str = "d
             yield pa.record_batch({"mark": batch.column("mark"), "terms": pa.array(terms, pa.binary())})
 
     found = sorted((r["mark"], bytes(r["terms"])) for r in few.mapInArrow(run, "mark int, terms binary").collect())
-    return fit([(mark, np.frombuffer(terms, np.int32)) for mark, terms in found])
+    return fit([(mark, np.frombuffer(terms, np.int32)) for mark, terms in found], weighs=weighs)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -156,3 +156,15 @@ def test_seating_follows_the_restaurant_rule():
             tables += rng.random() < 2.0 / (k - 0.5 * tables + 2.0)
         slow.append(tables)
     assert abs(many.mean() - np.mean(slow)) < 0.1 * np.mean(slow)
+
+
+def test_a_small_sample_keeps_the_share_of_toxic_texts(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"word{k}" for k in rng.integers(0, 30, 8)), int(i % 10 == 0)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    models = []
+    for sample in (4000, 150):
+        monkeypatch.setattr(toxicity, "SAMPLE", sample)
+        models.append(toxicity.learn(docs, docs, toxicity.F.lit(True)))
+    blank = [r["score"] for m in models for r in toxicity.score(spark.createDataFrame([(1, "")], "doc_id long, text string"), m).collect()]
+    assert max(blank) < 0.3 and abs(models[0].bias - models[1].bias) < 0.3
