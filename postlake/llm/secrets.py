@@ -1,6 +1,7 @@
 """Secret scans: candidates by their shape, false positives removed by a random forest.
 
-Candidates are all runs of 16 or more letters, digits and + / _ - in whole texts. Their features: length, shares of kinds of
+Candidates are all values, of any length and characters, that are assigned to what is named as a secret or stand as the password
+of a URL, and all runs of 16 or more letters, digits and + / _ - in whole texts, joined by dots if such runs are. Their features: length, shares of kinds of
 characters, entropy, how likely their character transitions are in the corpus's words, how much of them dictionary words cover,
 the path, and the words beside them. The dictionary and the transitions come from counts of the words of all documents.
 
@@ -22,7 +23,15 @@ from pyspark.sql import functions as F
 
 from .words import smallest, written
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+NAMES = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private.?key|credentials?|auth)"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\.[A-Za-z0-9+/_-]{16,}+)*+={0,2}"
+# The short look behind spares most places the long one. A bare value ends before closing punctuation.
+VALUE = (
+    r"(?<=[:=]\s{0,4}[\x22\x27\x60]?)(?<=(?i:" + NAMES + r")[^A-Za-z0-9:=]{0,8}[:=]{1,2}\s{0,4}[\x22\x27\x60]?)"
+    r"(?:(?<=[\x22\x27\x60])[^\x22\x27\x60\r\n]++(?=[\x22\x27\x60])|[^\s\x22\x27\x60:=](?:[^\s\x22\x27\x60]*[^\s\x22\x27\x60.,;:!?)\]}>])?)"
+)
+IN_URL = r"(?<=:)(?<=://[^\s:/@]{0,64}:)[^\s/][^\s]*(?=@[A-Za-z0-9\[])"
+CANDIDATE = f"{VALUE}|{IN_URL}|{RUN}"
 BESIDE = 64
 SAMPLE = 3000
 TREES = 20
@@ -30,7 +39,7 @@ DEPTH = 6
 DICTIONARY = 1000
 DICTIONARY_WORD = "[a-z]{4,}"
 # What secrets are called, what stands in for one, how issued ones begin, where made-up ones lie.
-NAMED = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private.?key|credentials?|auth)[^A-Za-z0-9]{0,8}$"
+NAMED = "(?i)" + NAMES + r"[^A-Za-z0-9]{0,8}$"
 ASSIGNED = r"[:=]\s*[\x22\x27\x60]?$"
 STAND_IN = r"(?i)example|sample|dummy|placeholder|change.?me|your.?|xxxx|0000|1234567|abcdef"
 ISSUED = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})$"
@@ -101,7 +110,7 @@ def with_features(found: DataFrame, words: list[str], transitions: dict[str, flo
     table = F.create_map(*[F.lit(x) for pair in sorted(transitions.items()) for x in pair]) if transitions else F.create_map(F.lit(""), F.lit(0.0))
     next_ones = F.slice(F.split(low, ""), F.lit(2), size)
     pairs = F.zip_with(F.slice(F.split(low, ""), F.lit(1), size - 1), next_ones, lambda a, b: F.coalesce(F.element_at(table, F.concat(a, b)), F.lit(rare)))
-    likely = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) / (size - 1)
+    likely = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) / F.greatest(size - 1, F.lit(1))
     known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "(?!)"
     made = {
         "length": F.log(size), "digits": _share(c, "[0-9]"), "uppers": _share(c, "[A-Z]"), "lowers": _share(c, "[a-z]"),

@@ -138,3 +138,15 @@ def test_forest_removes_false_positives_by_labelled_findings(spark):
     made = secrets.scan_secrets(docs, labels.where("doc_id % 2 = 0"))
     held_out = made.where("doc_id % 2 = 1").select("secret", F.col("candidate").rlike("[0-9]").alias("truth")).collect()
     assert len(held_out) == 400 and sum(r["secret"] == r["truth"] for r in held_out) > 390
+
+
+def test_assigned_values_are_candidates_whatever_their_shape(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    rows = [
+        (1, 'password = "Tr0ub4dor&3" here', "Tr0ub4dor&3"), (2, "run with pwd=hunter2, then stop", "hunter2"),
+        (3, "at postgres://user:p@ss@host/db now", "p@ss"), (4, f"sent {jwt} along", jwt), (5, "secret: x", "x"),
+        (6, 'api_key = "AAAABBBBCCCCDDDD1111&tail"', "AAAABBBBCCCCDDDD1111&tail"),
+    ]
+    docs = spark.createDataFrame([(i, t, "a") for i, t, _ in rows], "doc_id long, text string, source string")
+    found = [(r["doc_id"], r["start"], r["candidate"]) for r in secrets.scan_secrets(docs).collect()]
+    assert sorted(found) == [(i, t.index(v), v) for i, t, v in rows]
