@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bottom_k import Sketch, near_copies
 from .decontaminate import find_items
 from .exact_dedup import exact_dedup
 from .language import language_of_documents
@@ -61,6 +62,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"), Sketch(words=5, least=85))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_language_model": op2_language_model,
@@ -72,4 +77,5 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_near_copies": op12_near_copies,
 }
