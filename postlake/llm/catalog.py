@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bottom_k import Sketch, near_copies
+from .collocations import collocations
 from .decontaminate import find_items
 from .exact_dedup import exact_dedup
 from .language import language_of_documents
 from .licenses import license_labels
+from .merkle import document_manifest
 from .mixing import mix_sources
 from .sql import ORACLE  # noqa: F401
 from .pitman_yor import score_documents
@@ -62,10 +64,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(read(spark, sf_dir, "documents"))
+
+
 def op12_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(read(spark, sf_dir, "documents"), Sketch(words=5, least=85))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_language_model": op2_language_model,
@@ -77,5 +87,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_near_copies": op12_near_copies,
+    "op13_collocations": op13_collocations,
 }

@@ -1,5 +1,7 @@
 """SQL for the queries that SQL can express, written apart from the operators."""
 
+from .merkle_sql import MANIFEST
+
 ORACLE = {
     "op4_warc_derivatives": r"""
         WITH response AS (
@@ -65,4 +67,43 @@ ORACLE = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_merkle_manifest": MANIFEST,
+    "op13_collocations": r"""
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+            FROM documents
+        ), total AS (
+            SELECT lang, sum(len(words))::BIGINT AS n FROM piece GROUP BY lang
+        ), gram AS (
+            SELECT lang, unnest(list_transform(range(1, (len(words) - k + 2)::BIGINT), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+            FROM piece, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(words) >= k
+        ), freq AS (
+            SELECT lang, phrase, count(*) AS f FROM gram GROUP BY lang, phrase HAVING count(*) >= 30
+        ), split AS (
+            SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws FROM freq WHERE contains(phrase, ' ')
+        ), cut AS (
+            SELECT lang, phrase, a, k, array_to_string(ws[:k], ' ') AS left_part, array_to_string(ws[k + 1:], ' ') AS right_part
+            FROM split, (SELECT unnest([1, 2, 3]) AS k) WHERE k < len(ws)
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, c.k, (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+            FROM cut c JOIN freq x ON c.lang = x.lang AND c.left_part = x.phrase JOIN freq y ON c.lang = y.lang AND c.right_part = y.phrase
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_part AS (
+            SELECT lang, a, unnest(list_concat(
+                       CASE WHEN len(ws) >= 3 THEN [array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')] ELSE [] END,
+                       CASE WHEN len(ws) = 4 THEN [array_to_string(ws[3:4], ' '), array_to_string(ws[1:3], ' '), array_to_string(ws[2:4], ' ')]
+                            ELSE [] END)) AS phrase
+            FROM split
+        ), longer AS (
+            SELECT lang, phrase, max(a) AS most FROM inner_part GROUP BY lang, phrase
+        ), ranked AS (
+            SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, score
+            FROM lowest s LEFT JOIN longer o ON s.lang = o.lang AND s.phrase = o.phrase
+            WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * a
+        )
+        SELECT r.lang, rank, phrase, a, l, r.r, n, score FROM ranked r JOIN total t ON r.lang = t.lang WHERE rank <= 2000
+    """,
 }

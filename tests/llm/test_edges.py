@@ -10,7 +10,7 @@ from odd_rows import ODD, PAGES
 from postlake.llm.catalog import QUERIES
 from postlake.llm.words import read, written
 
-ROW_EACH = [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op3", "op5", "op6", "op8", "op9", "op12")]
+ROW_EACH = [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op3", "op5", "op6", "op8", "op9", "op11", "op12")]
 COLUMNS = {
     "op1": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint",
             "base_labels": "string", "labels": "string", "score": "double"},
@@ -20,6 +20,8 @@ COLUMNS = {
     "op5": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op6": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op8": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op11": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
+             "folded_root": "string", "verified": "boolean"},
     "op12": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op9": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
 }
