@@ -31,8 +31,6 @@ from .similarity_join import linked, set_hash, shingles
 from .words import GOLDEN, WordIds, blank_words, mix, texts, written
 
 MISS = 1e-9
-SKETCH_BLOCK = 4096  # sketches of a group that a task compares at once, two times over
-SET_BLOCK = 512  # likewise whole sets
 TOLD = 200_000  # classes a task remembers to have told
 SKETCHES_A_BATCH = 4096
 
@@ -115,16 +113,17 @@ def inverted_lists(classes: DataFrame, measure: Sketch) -> DataFrame:
 
 
 def meeting(lists: DataFrame) -> DataFrame:
-    """cls, root: classes that meet in one of their shortest lists, grouped by the smallest class in it. Lists in which the same
-    class is smallest are one group, so near copies, which share many lists, meet once."""
+    """cls, root, weight: classes that meet in one of their shortest lists, grouped by the smallest class in it, and the length of
+    all lists of a class together, which is largest in the midst of near copies. Lists in which the same class is smallest
+    are one group, so near copies, which share many lists, meet once."""
     long = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("head")).where("members > 1")
     own = Window.partitionBy("cls")
     ranked = lists.join(long, "value").select(
-        "cls", "head", "needed", F.count(F.lit(1)).over(own).alias("common"),
+        "cls", "head", "needed", F.count(F.lit(1)).over(own).alias("common"), F.sum("members").over(own).alias("weight"),
         F.row_number().over(own.orderBy("members", "value")).alias("at"),
     )
     # Values that no other class retains are in the shortest lists of all, so they come before these.
-    return ranked.where("at <= common - needed + 1").select("cls", F.col("head").alias("root")).distinct()
+    return ranked.where("at <= common - needed + 1").select("cls", F.col("head").alias("root"), "weight").distinct()
 
 
 def may_link(held: list[np.ndarray], measure: Sketch) -> np.ndarray:
@@ -204,13 +203,18 @@ def near_copies(docs: DataFrame, measure: Sketch = Sketch(), key: str = "doc_id"
     made = written(sketches(docs, measure, key, text), "sketched")
     told = made.where("elements IS NOT NULL").select("cls", "elements").dropDuplicates(["cls"])
     classes = written(told, "sketches")
-    groups = written(meeting(inverted_lists(classes, measure)), "meeting")
-    pairs = search_groups(groups, classes, lambda held: may_link(held, measure), SKETCH_BLOCK)
+    groups = written(meeting(inverted_lists(classes, measure)), "meeting").withColumn("bytes", F.lit(8 * (measure.k + 1)))
+    pairs = search_groups(groups, classes, lambda held: may_link(held, measure))
     candidates = written(components(written(pairs.distinct(), "sketch-links"), "u", "v"), "candidates")
     candidates = candidates.select(F.col("node").alias("cls"), "root")
-    rows = made.join(candidates.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-    held = whole_sets(docs, written(rows.select("r.*"), "asked"), measure, key, text)
-    links = search_groups(candidates, held, lambda sets_: linked(sets_, measure.least), SET_BLOCK)
+    # One row stands for its class.
+    rows = made.join(candidates.select("cls"), "cls", "left_semi").groupBy("cls").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("row"), (8 * F.min("n")).alias("bytes")
+    )
+    rows = written(rows.select("cls", "bytes", "row.*"), "asked")
+    held = written(whole_sets(docs, rows, measure, key, text), "whole-sets")
+    candidates = candidates.join(rows.select("cls", "bytes"), "cls").join(groups.select("cls", "weight").distinct(), "cls")
+    links = search_groups(candidates, held, lambda sets_: linked(sets_, measure.least))
     links = written(links.distinct(), "links")
     found = named_components(made.select("doc_id", "text_hash", "n", "cls"), components(links, "u", "v"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

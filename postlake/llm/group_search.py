@@ -15,50 +15,91 @@ from pyspark.sql import functions as F
 from .words import written
 
 Search = Callable[[list[np.ndarray]], np.ndarray]
+BLOCK_BYTES = 4 << 20
 
 
-def search_groups(groups: DataFrame, held: DataFrame, search: Search, block: int) -> DataFrame:
+def search_groups(groups: DataFrame, held: DataFrame, search: Search) -> DataFrame:
     """u, v: links that connect the classes of each group as all its links would.
 
-    `groups`: cls, root (group), distinct. `held`: cls, elements (binary of 64-bit values), at least once a class. `search` gives
-    for each of some sets, in the order of their classes, the number of the first one it reaches by links. A group of more than
-    `block` classes is dealt to blocks, which are paired with each other, so a task holds two blocks at most.
+    `groups`: cls, root (group), bytes (of the class's elements), weight; a row for each class of a group. `held`: cls, elements
+    (binary of 64-bit values), at least once a class. `search` gives for each of some sets, in the order of their classes, the
+    number of the first one it reaches by links.
+
+    A group of more than `BLOCK_BYTES` is dealt to blocks. Its class of the largest weight, the pivot, joins every block: what
+    reaches the pivot in its own block need not meet what reaches it in another. Only the classes left over are then searched
+    with all blocks, in blocks of their own. So in a group of copies of one text a set moves once or twice, however many
+    there are, and a task holds two blocks at most.
     """
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    placed = groups.join(sizes, "root").select("cls", "root", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+    sizes = groups.groupBy("root").agg(
+        F.count(F.lit(1)).alias("members"), F.max_by("cls", F.struct("weight", "cls")).alias("pivot"),
+        F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"),
+    )
+    sizes = written(sizes.where("members > 1").select("root", "pivot", F.greatest("blocks", F.lit(1)).alias("blocks")), "group-sizes")
+    placed = groups.select("cls", "root").join(sizes, "root")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("cls", "root"), "blocks").cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Pair (i, i) is covered by (i, j); with one block it is the only one.
-    placed = placed.where("blocks = 1 OR block <> other").select(
-        "cls", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pivots = sizes.where("blocks > 1").select(F.col("pivot").alias("cls"), "root", "pivot", each.alias("block"))
+    alone = F.when(F.col("blocks") > 1, F.col("pivot")).alias("pivot")
+    first = placed.select("cls", "root", alone, "block").unionByName(pivots).withColumn("other", F.lit(0))
+    found = written(_searched(first, held, search), "searched")
+    # A class with a root and no partner reached no pivot.
+    over = found.where("v IS NULL").select(F.col("u").alias("cls"), "root")
+    links = found.where("v IS NOT NULL").select("u", "v")
+    if over.isEmpty():
+        return links
+    rest = over.groupBy("root").agg(F.count(F.lit(1)).alias("over"))
+    rest = sizes.join(rest, "root").join(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root")
+    # The share of the group's blocks that its left-over classes fill.
+    others = F.ceil(F.col("blocks") * F.col("over") / F.col("members")).cast("int")
+    rest = rest.select("root", "blocks", others.alias("others"))
+    other = F.pmod(F.xxhash64("root", "cls"), "others").cast("int")
+    queries = over.join(rest, "root").select("cls", "root", each.alias("block"), other.alias("other"))
+    asked = placed.drop("blocks").join(rest, "root").select(
+        "cls", "root", "block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other")
     )
-    by = ["root", "low", "high"]
+    both = queries.unionByName(asked).withColumn("pivot", F.lit(None).cast("bigint"))
+    return links.unionAll(_searched(both, held, search).select("u", "v"))
+
 
-    def found(group: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _searched(placed: DataFrame, held: DataFrame, search: Search) -> DataFrame:
+    """u, v, root: the links found in each root, block and other; where there is a pivot, u alone of those that do not reach it."""
+    by = ["root", "block", "other"]
+
+    def found(place: tuple, pivot: int | None, group: dict[int, bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if len(group) < 2:
+            return []
         classes = np.array(sorted(group), np.int64)
         root = search([np.frombuffer(group[c], np.uint64) for c in classes.tolist()])
-        new = root != np.arange(len(root))
-        return classes[root[new]], classes[new]
+        new = np.flatnonzero(root != np.arange(len(root)))
+        made = [(classes[root[new]], classes[new], place[0], False)]
+        if pivot is not None:
+            over = classes[root != root[np.searchsorted(classes, pivot)]]
+            made.append((over, over, place[0], True))
+        return made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, group = None, {}
+        last, pivot, group = None, None, {}
         for batch in batches:
             made = []
-            for *pair, cls, elements in zip(*(batch.column(c).to_pylist() for c in (*by, "cls", "elements"))):
-                if pair != last:
-                    made += [found(group)] if len(group) > 1 else []
-                    last, group = pair, {}
+            for *place, given, cls, elements in zip(*(batch.column(c).to_pylist() for c in (*by, "pivot", "cls", "elements"))):
+                if place != last:
+                    made += found(last, pivot, group)
+                    last, pivot, group = place, given, {}
                 group[cls] = elements
             yield _pairs(made)
-        yield _pairs([found(group)] if len(group) > 1 else [])
+        yield _pairs(found(last, pivot, group))
 
     # Small groups by the thousand go through one task's batches, sorted, rather than one by one.
-    return placed.join(held, "cls").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "u bigint, v bigint")
+    rows = placed.join(held, "cls").repartition(*by).sortWithinPartitions(*by)
+    return rows.mapInArrow(run, "u bigint, v bigint, root bigint")
 
 
-def _pairs(made: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    u, v = (np.concatenate([np.zeros(0, np.int64), *(m[k] for m in made)]) for k in (0, 1))
-    return pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+def _pairs(made: list[tuple[np.ndarray, np.ndarray, int, bool]]) -> pa.RecordBatch:
+    u, v, root = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (
+        [m[0] for m in made], [m[1] for m in made], [np.full(len(m[0]), m[2], np.int64) for m in made]
+    ))
+    alone = np.concatenate([np.zeros(0, bool), *(np.full(len(m[0]), m[3]) for m in made)])
+    return pa.record_batch({"u": pa.array(u), "v": pa.array(v, mask=alone), "root": pa.array(root)})
 
 
 def named_components(rows: DataFrame, roots: DataFrame) -> DataFrame:

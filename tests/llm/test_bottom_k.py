@@ -9,7 +9,7 @@ import pytest
 
 from test_searches import groups_by_hand, near_copies
 
-from postlake.llm import bottom_k
+from postlake.llm import bottom_k, group_search
 from postlake.llm.bottom_k import Sketch
 
 
@@ -17,10 +17,9 @@ def sketch_of(elements: np.ndarray, k: int) -> np.ndarray:
     return np.append(np.uint64(len(elements)), bottom_k.bottom(elements, k))
 
 
-@pytest.mark.parametrize("words, least, block", [(5, 85, 4096), (5, 80, 4), (3, 90, 7)])
+@pytest.mark.parametrize("words, least, block", [(5, 85, 4 << 20), (5, 80, 2000), (3, 90, 9000)])
 def test_no_link_is_lost(spark, monkeypatch, words, least, block):
-    monkeypatch.setattr(bottom_k, "SKETCH_BLOCK", block)
-    monkeypatch.setattr(bottom_k, "SET_BLOCK", block)
+    monkeypatch.setattr(group_search, "BLOCK_BYTES", block)
     rows = near_copies(words + least, [4, 6, 9, 10, 12, 15, 20, 30, 45, 60, 64, 66, 90, 150, 300, 1200])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = bottom_k.near_copies(docs, Sketch(words, least)).collect()
@@ -84,6 +83,32 @@ def test_small_unions_are_estimated_by_rank():
             assert (bottom_k.may_link(held, measure)[1] == 0) == wanted
 
 
+def test_blocks_find_what_one_search_finds(spark, monkeypatch):
+    """Groups of chains and stars of integers, linked if they differ by 2, dealt to one block or many."""
+    from postlake.llm.components import components
+
+    rng = random.Random(9)
+    groups = [(g, c) for g, n in ((1, 90), (2, 40), (3, 2), (4, 1)) for c in rng.sample(range(1000 * g, 1000 * g + 120), n)]
+    held = spark.createDataFrame([(c, np.array([c], np.uint64).tobytes()) for _, c in groups] * 2, "cls long, elements binary")
+
+    def search(sets):
+        values, root = [int(s[0]) for s in sets], list(range(len(sets)))
+        for i in range(len(values)):
+            for j in range(i):
+                if abs(values[i] - values[j]) == 2:
+                    a, b = sorted((root[i], root[j]))
+                    root = [a if r == b else r for r in root]
+        return np.array(root)
+
+    rows = spark.createDataFrame([(c, g, 8, c % 7) for g, c in groups], "cls long, root long, bytes long, weight long")
+    made = []
+    for block in (1 << 20, 64, 200):
+        monkeypatch.setattr(group_search, "BLOCK_BYTES", block)
+        links = group_search.search_groups(rows, held, search)
+        made.append({r["node"]: r["root"] for r in components(links, "u", "v").collect()})
+    assert made[0] == made[1] == made[2] and len(set(made[0].values())) > 10
+
+
 def test_rows_without_an_id_and_repeats(spark):
     rows = [(None, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (5, None), (None, ""), (6, "x y"), (6, "x y"), (7, "X  y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
