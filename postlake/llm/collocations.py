@@ -8,15 +8,14 @@ occurs is met that way without being listed first. Where one of them turns out t
 the phrases that only now lie inside the border, until there are no more such failures. What is then frequent is so by exact counts,
 and complete: the parts of a frequent phrase are frequent.
 
-Tasks tell what lies inside the border by filters of two bits a phrase. Their size grows with the phrases up to
-`FILTER_WORDS`; a filter may pass phrases it should not, more of them beyond that size, which are then counted for nothing. It
-never holds one back, and it passes or fails all occurrences of a phrase alike, so results do not depend on it.
+Tasks tell what lies inside the border by filters of bounded size (`bits`). A filter may pass phrases it should not, which are then
+counted for nothing. It never holds one back, and it passes or fails all occurrences of a phrase alike, so results do not
+depend on it.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,58 +24,96 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bits import Filter, filter_of
 from .words import fold, mix, texts, written
 
 LONGEST = 4
-SHARE = 4  # one of so many documents is in the sample
-FILTER_WORDS = 1 << 22  # 64 bits each, 32 MB
-BITS_A_PHRASE = 16
-KNOWN_WORDS, KNOWN_LANGUAGES = 300_000, 16  # a task forgets the words it knows of a language, or all, beyond so many
-CHUNK = 1 << 21  # words that a task counts at once
+SHARE = 8  # one of so many documents is in the sample
+SLICE_BYTES = 1 << 21  # text that a task looks at at once, or one longer text
+CHUNK = 1 << 20  # words that a task counts at once
+KNOWN_WORDS = 200_000  # words of which a task keeps the count
 UNKNOWN = "und"
 SCORE = 2_000_000
 # A-Z lower-cased, the bytes that end a piece as line feed, tab as blank.
 PIECES = bytes(10 if b in b".,;:!?\n\v\f\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-BREAK, BLANK = 0, 1  # ids of the end of a piece and of nothing
+BREAK = 0  # the id of the end of a piece
 PHRASE = [f"w{i}" for i in range(1, LONGEST + 1)]
-FACTORS = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(LONGEST)]
+FACTOR = 0x9E3779B97F4A7C15
+FACTORS = [pow(FACTOR, k + 1, 1 << 64) for k in range(LONGEST)]
 
 
 # --- words as ids -------------------------------------------------------------------
 
 
-class Words(dict):
-    """word -> id in one language; ids of the same word in two languages differ."""
+def powers(factor: int, n: int) -> np.ndarray:
+    made = np.full(n, factor, np.uint64)
+    made[:1] = 1
+    return np.multiply.accumulate(made)
 
-    def __init__(self, language: str):
-        super().__init__({b"\n": BREAK, b"": BLANK})
-        self.seed = xxhash.xxh64_intdigest(language.encode())
 
-    def __missing__(self, word: bytes) -> int:
-        made = self[word] = max(xxhash.xxh64_intdigest(word, self.seed), 2)
-        return made
+class Slices:
+    """Words of texts by their hashes, which differ between languages, some texts at a time."""
 
+    def __init__(self):
+        self.up, self.down = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.seeds: dict[str, int] = {}
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words, line feeds between pieces, and empty ones between blanks."""
-    return text.translate(PIECES).replace(b"\n", b" \n ").split(b" ")
+    def of(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """`words` of a slice of the rows: language, text."""
+        for batch in batches:
+            held, languages, size = [], [], 0
+            for language, text in zip(batch.column("language").to_pylist(), texts(batch.column("text"))):
+                held.append(text)
+                languages.append(language)
+                size += len(text) + 1
+                if size >= SLICE_BYTES:
+                    yield self.words(held, languages)
+                    held, languages, size = [], [], 0
+            if held:
+                yield self.words(held, languages)
+
+    def words(self, held: list[bytes], languages: list[str]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray, Callable[[int], str]]:
+        """ids (`BREAK` after each piece), and of each word its place among them, the bytes with begin and end, and its language."""
+        raw = b"\n".join(held).translate(PIECES) + b"\n"
+        data = np.frombuffer(raw, np.uint8)
+        if len(data) > len(self.up):
+            self.up, self.down = powers(FACTOR, len(data)), powers(pow(FACTOR, -1, 1 << 64), len(data))
+        line = data == 10
+        apart = line | (data == 32)
+        edge = np.flatnonzero(apart[1:] != apart[:-1]) + 1
+        edge = edge if apart[0] else np.append(0, edge)
+        begin, end = edge[0::2], edge[1::2]
+        if not len(begin):
+            return np.zeros(0, np.uint64), begin, raw, begin, end, languages.__getitem__
+        value = data * self.up[: len(data)]
+        value[apart] = 0
+        # A word's bytes as the digits of a number, of which its place in the slice is divided out.
+        number = np.add.reduceat(value, begin) * self.down[begin]
+        row = np.searchsorted(np.cumsum([len(t) + 1 for t in held]), begin, side="right")
+        for language in languages:
+            if language not in self.seeds:
+                self.seeds[language] = xxhash.xxh64_intdigest(language.encode())
+        seed = np.array([self.seeds[language] for language in languages], np.uint64)
+        ids = np.maximum(mix(mix(number + (end - begin).astype(np.uint64)) + seed[row]), np.uint64(1))
+        lines = np.cumsum(line)
+        last = np.append(lines[begin[1:]] != lines[begin[:-1]], True)
+        place = np.arange(len(ids)) + np.cumsum(last) - last
+        spaced = np.zeros(len(ids) + int(last.sum()), np.uint64)
+        spaced[place] = ids
+        if len(self.seeds) > 1000:
+            self.seeds.clear()
+        return spaced, place, raw, begin, end, lambda at: languages[row[at]]
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Word ids of whole texts in their order, with breaks between pieces and texts."""
-    known, held, size = {}, [], 0
-    for batch in batches:
-        for language, text in zip(batch.column("language").to_pylist(), texts(batch.column("text"))):
-            words = known.get(language) or known.setdefault(language, Words(language))
-            if len(words) > KNOWN_WORDS or len(known) > KNOWN_LANGUAGES:
-                known = {language: (words := Words(language))}
-            found = tokens(text)
-            ids = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-            held += [ids[ids != BLANK], np.zeros(1, np.uint64)]
-            size += len(ids)
-            if size >= CHUNK:
-                yield np.concatenate(held)
-                held, size = [], 0
+    held, size = [], 0
+    for ids, *_ in Slices().of(batches):
+        held.append(ids)
+        size += len(ids)
+        if size >= CHUNK:
+            yield np.concatenate(held)
+            held, size = [], 0
     if held:
         yield np.concatenate(held)
 
@@ -88,25 +125,29 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def count_words(rows: DataFrame) -> DataFrame:
     """id, language, word, n. `rows`: language, text."""
 
-    def made(language: str, counts: Counter) -> pa.RecordBatch:
-        words = Words(language)
-        counts = {w: n for w, n in counts.items() if w not in (b"", b"\n")}
-        ids = np.fromiter((words[w] for w in counts), np.uint64, len(counts)).view(np.int64)
+    def made(counts: dict[int, list]) -> pa.RecordBatch:
+        ids = np.fromiter(counts, np.uint64, len(counts)).view(np.int64)
+        n, languages, words = zip(*counts.values())
         return pa.record_batch({
-            "id": pa.array(ids), "language": pa.array([language] * len(counts), pa.string()),
-            "word": pa.array(list(counts), pa.binary()).cast(pa.string()), "n": pa.array(list(counts.values()), pa.int64()),
+            "id": pa.array(ids), "language": pa.array(languages, pa.string()),
+            "word": pa.array(words, pa.binary()).cast(pa.string()), "n": pa.array(n, pa.int64()),
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
-        for batch in batches:
-            for language, text in zip(batch.column("language").to_pylist(), texts(batch.column("text"))):
-                count = counts.setdefault(language, Counter())
-                count.update(tokens(text))
-                if len(count) > KNOWN_WORDS or len(counts) > KNOWN_LANGUAGES:
-                    yield from (made(*item) for item in counts.items())
-                    counts = {}
-        yield from (made(*item) for item in counts.items())
+        counts: dict[int, list] = {}
+        for ids, place, raw, begin, end, language in Slices().of(batches):
+            found, first, n = np.unique(ids[place], return_index=True, return_counts=True)
+            for word, at, more in zip(found.tolist(), first.tolist(), n.tolist()):
+                entry = counts.get(word)
+                if entry is None:
+                    counts[word] = [more, language(at), raw[begin[at] : end[at]]]
+                else:
+                    entry[0] += more
+            if len(counts) > KNOWN_WORDS:
+                yield made(counts)
+                counts = {}
+        if counts:
+            yield made(counts)
 
     told = rows.mapInArrow(run, "id bigint, language string, word string, n bigint")
     return told.groupBy("id", "language", "word").agg(F.sum("n").alias("n"))
@@ -123,38 +164,14 @@ def hash_of(ids: list[np.ndarray]) -> np.ndarray:
     return mix(joined)
 
 
-class Filter:
-    """Which phrases are in a set: two bits of one 64-bit word for each."""
-
-    def __init__(self, table: np.ndarray):
-        self.table = table
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        place, bits = spots(hashes, len(self.table))
-        return self.table[place] & bits == bits
-
-
-def spots(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word of a table of a power of two words, and the bits in it, for each hash."""
-    bits = (np.uint64(1) << (hashes & np.uint64(63))) | (np.uint64(1) << ((hashes >> np.uint64(6)) & np.uint64(63)))
-    return ((hashes >> np.uint64(12)) & np.uint64(size - 1)).astype(np.int64), bits
-
-
-def filter_of(phrases: DataFrame, length: int) -> Filter:
-    """Of the phrases of one length among `phrases`. The driver gets a table of bounded size."""
-    rows = phrases.where(_is_long(length)).select(*PHRASE[:length])
-    wanted = max(rows.count() * BITS_A_PHRASE // 64, 1)
-    size = min(1 << int(wanted - 1).bit_length(), FILTER_WORDS)
+def hashed(phrases: DataFrame, length: int) -> DataFrame:
+    """The hashes of the phrases of one length among `phrases`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place, bits = spots(hash_of([_ids(batch, c) for c in PHRASE[:length]]), size)
-            yield pa.record_batch({"place": pa.array(place), "bits": pa.array(bits.view(np.int64))})
+            yield pa.record_batch({"hash": pa.array(hash_of([_ids(batch, c) for c in PHRASE[:length]]).view(np.int64))})
 
-    table = np.zeros(size, np.uint64)
-    found = rows.mapInArrow(run, "place bigint, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return Filter(table)
+    return phrases.where(_is_long(length)).select(*PHRASE[:length]).mapInArrow(run, "hash bigint")
 
 
 def _ids(batch: pa.RecordBatch, column: str) -> np.ndarray:
@@ -169,25 +186,26 @@ def _is_long(length: int) -> Column:
 
 def count_phrases(rows: DataFrame, inside: dict[int, Filter], lengths: list[int], fresh: dict[int, Filter] | None = None) -> DataFrame:
     """w1 ... (ids, null after a phrase's end), n: how often each phrase of the `lengths` occurs whose parts of one word less
-    pass their filters, `inside` by length. With `fresh`, only if one of the two parts passes that as well."""
+    pass their filters, `inside` by length. With `fresh`, only phrases in which some shorter phrase passes that; parts that
+    themselves hold one need not pass `inside`, as they are counted at the same time."""
     sent = rows.sparkSession.sparkContext.broadcast((inside, fresh))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, fresh = sent.value
         for ids in chunks(batches):
-            at = np.flatnonzero(ids != BREAK)  # where phrases of the length before start
+            at = np.flatnonzero(ids != BREAK)  # where phrases of the length before start, and which of them hold a fresh one
+            new = np.zeros(len(at), bool)
             for length in range(2, max(lengths) + 1):
                 hashes = hash_of([ids[at + k] for k in range(length - 1)])
-                passes = inside[length - 1].has(hashes)
-                at, hashes = at[passes], hashes[passes]
+                if fresh and length > 2:
+                    new |= fresh[length - 1].has(hashes)
+                passes = inside[length - 1].has(hashes) | new
+                at, new = at[passes], new[passes]
                 follows = np.flatnonzero(np.diff(at) == 1)
-                counted = follows
-                if fresh and length in lengths:
-                    new = fresh[length - 1].has(hashes)
-                    counted = follows[new[follows] | new[follows + 1]]
+                at, new = at[follows], new[follows] | new[follows + 1]
+                counted = at[new] if fresh else at
                 if length in lengths and len(counted):
-                    yield _counted(ids, at[counted], length)
-                at = at[follows]
+                    yield _counted(ids, counted, length)
 
     schema = ", ".join(f"{c} bigint" for c in [*PHRASE, "n"])
     told = rows.mapInArrow(run, schema)
@@ -211,31 +229,30 @@ def frequent_phrases(rows: DataFrame, words: DataFrame, least: int, sampled: Col
     rows that propose."""
     names = [*PHRASE, "n"]
     bar = max(2, -(-least * 2 // (5 * SHARE)))
-    inside = {1: filter_of(words, 1)}
+    inside = {1: filter_of(hashed(words, 1))}
     sample, proposed = rows.where(sampled), []
     for length in range(2, LONGEST + 1):
         found = count_phrases(sample, inside, [length]).where(F.col("n") >= bar)
         proposed.append(written(found.select(*names), f"proposed-{length}"))
-        inside[length] = filter_of(proposed[-1], length)
+        inside[length] = filter_of(hashed(proposed[-1], length))
     inside.pop(LONGEST)
     known = _union(proposed).select(*PHRASE)
     counted = count_phrases(rows, inside, list(range(2, LONGEST + 1)))
     found = [written(counted.where(F.col("n") >= least).select(*names), "frequent")]
+    same = reduce(lambda a, b: a & b, [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in PHRASE])
     while True:
-        same = reduce(lambda a, b: a & b, [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in PHRASE])
         failed = written(found[-1].alias("f").join(known.alias("k"), same, "left_anti").select(*PHRASE), "failures")
         # The longest phrases are parts of none.
-        fresh = {length: filter_of(failed, length) for length in range(2, LONGEST)}
-        lengths = [length + 1 for length, f in fresh.items() if f.table.any()]
-        if not lengths:
+        fresh = {length: filter_of(hashed(failed, length)) for length in range(2, LONGEST)}
+        if not any(f.table.any() for f in fresh.values()):
             return _union(found)
         known = _union([known, failed])
-        inside = {1: inside[1]} | {length: filter_of(known, length) for length in range(2, LONGEST)}
-        more = count_phrases(rows, inside, lengths, fresh).where(F.col("n") >= least).select(*names)
-        # A filter may have let a phrase pass earlier.
-        earlier = _union(found)
-        same = reduce(lambda a, b: a & b, [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in PHRASE])
-        found.append(written(more.alias("f").join(earlier.alias("k"), same, "left_anti").select("f.*"), "frequent"))
+        inside = {1: inside[1]} | {length: filter_of(hashed(known, length)) for length in range(2, LONGEST)}
+        more = count_phrases(rows, inside, list(range(3, LONGEST + 1)), fresh).where(F.col("n") >= least).select(*names)
+        # Some were counted before. What is new holds a phrase that failed, as do all phrases that hold it: those are counted too.
+        more = written(more.alias("f").join(_union(found).alias("k"), same, "left_anti").select("f.*"), "frequent")
+        found.append(more)
+        known = _union([known, more.select(*PHRASE)])
 
 
 # --- scores -------------------------------------------------------------------------
