@@ -22,11 +22,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
-from .group_search import Batches, named_components, search_groups
+from .group_search import linked_rows, meeting
 from .similarity_join import linked, set_hash, shingles
 from .words import GOLDEN, WordIds, blank_words, mix, texts, written
 
@@ -64,6 +63,21 @@ def bottom(elements: np.ndarray, k: int) -> np.ndarray:
     return np.sort(hashed if len(hashed) <= k else np.partition(hashed, k - 1)[:k])
 
 
+def elements_of(measure: Sketch):
+    """Makes in each task what tells the class and the set of a text."""
+
+    def start():
+        ids = WordIds()
+
+        def tell(value: bytes) -> tuple[int | None, np.ndarray]:
+            elements = shingles(ids.of(blank_words(value)), measure.words)
+            return (int(set_hash(elements).astype(np.int64)) if len(elements) else None), elements
+
+        return tell
+
+    return start
+
+
 def sketches(docs: DataFrame, measure: Sketch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty), elements: the size, then the sketch, told by a task
     for the first of the rows of a class."""
@@ -71,12 +85,11 @@ def sketches(docs: DataFrame, measure: Sketch, key: str = "doc_id", text: str =
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, told = WordIds(), set()
+        tell, told = elements_of(measure)(), set()
         for batch in batches:
             sizes, classes, held = [], [], []
             for value in texts(batch.column("text")):
-                elements = shingles(ids.of(blank_words(value)), measure.words)
-                cls = int(set_hash(elements).astype(np.int64)) if len(elements) else None
+                cls, elements = tell(value)
                 sizes.append(len(elements))
                 classes.append(cls)
                 if cls is None or cls in told:
@@ -95,7 +108,7 @@ def sketches(docs: DataFrame, measure: Sketch, key: str = "doc_id", text: str =
 
 
 def inverted_lists(classes: DataFrame, measure: Sketch) -> DataFrame:
-    """cls, value, needed: a row for each value that a class retains. `classes`: cls, elements, one row each."""
+    """cls, value, needed: a row for each value that a class retains. `classes`: cls, elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,20 +125,6 @@ def inverted_lists(classes: DataFrame, measure: Sketch) -> DataFrame:
     return classes.select("cls", "elements").mapInArrow(run, "cls bigint, value bigint, needed int")
 
 
-def meeting(lists: DataFrame) -> DataFrame:
-    """cls, root, weight: classes that meet in one of their shortest lists, grouped by the smallest class in it, and the length of
-    all lists of a class together, which is largest in the midst of near copies. Lists in which the same class is smallest
-    are one group, so near copies, which share many lists, meet once."""
-    long = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("head")).where("members > 1")
-    own = Window.partitionBy("cls")
-    ranked = lists.join(long, "value").select(
-        "cls", "head", "needed", F.count(F.lit(1)).over(own).alias("common"), F.sum("members").over(own).alias("weight"),
-        F.row_number().over(own.orderBy("members", "value")).alias("at"),
-    )
-    # Values that no other class retains are in the shortest lists of all, so they come before these.
-    return ranked.where("at <= common - needed + 1").select("cls", F.col("head").alias("root"), "weight").distinct()
-
-
 def may_link(held: list[np.ndarray], measure: Sketch) -> np.ndarray:
     """For each sketch the number of the first one it reaches by links, breadth-first; a link is assumed unless the estimate
     from the two sketches rules it out."""
@@ -172,25 +171,6 @@ def may_link(held: list[np.ndarray], measure: Sketch) -> np.ndarray:
     return root
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, measure: Sketch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """cls, elements of one row of each class. `wanted`: doc_id, text_hash of these rows."""
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed.alias("text_hash"), F.col(text).alias("text"))
-    asked = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    rows = rows.join(asked, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, made = WordIds(), Batches()
-        for batch in batches:
-            for value in texts(batch.column("text")):
-                elements = shingles(ids.of(blank_words(value)), measure.words)
-                if len(elements) and made.add(int(set_hash(elements).astype(np.int64)), elements.tobytes()):
-                    yield made.take()
-        yield made.take()
-
-    return rows.select("text").mapInArrow(run, "cls bigint, elements binary")
-
-
 def near_copies(docs: DataFrame, measure: Sketch = Sketch(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id (the smallest id it reaches by links, its own included),
     kept (it is that one) and text_hash, which tells rows of one id apart.
@@ -201,20 +181,9 @@ def near_copies(docs: DataFrame, measure: Sketch = Sketch(), key: str = "doc_id"
     not read.
     """
     made = written(sketches(docs, measure, key, text), "sketched")
-    told = made.where("elements IS NOT NULL").select("cls", "elements").dropDuplicates(["cls"])
-    classes = written(told, "sketches")
-    groups = written(meeting(inverted_lists(classes, measure)), "meeting").withColumn("bytes", F.lit(8 * (measure.k + 1)))
-    pairs = search_groups(groups, classes, lambda held: may_link(held, measure))
-    candidates = written(components(written(pairs.distinct(), "sketch-links"), "u", "v"), "candidates")
-    candidates = candidates.select(F.col("node").alias("cls"), "root")
-    # One row stands for its class.
-    rows = made.join(candidates.select("cls"), "cls", "left_semi").groupBy("cls").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("row"), (8 * F.min("n")).alias("bytes")
+    lists = inverted_lists(made.where("elements IS NOT NULL"), measure)
+    groups = written(meeting(lists).withColumn("bytes", F.lit(8 * (measure.k + 1))), "meeting")
+    found = linked_rows(
+        docs, made, groups, lambda held: may_link(held, measure), lambda held: linked(held, measure.least), elements_of(measure), key, text
     )
-    rows = written(rows.select("cls", "bytes", "row.*"), "asked")
-    held = written(whole_sets(docs, rows, measure, key, text), "whole-sets")
-    candidates = candidates.join(rows.select("cls", "bytes"), "cls").join(groups.select("cls", "weight").distinct(), "cls")
-    links = search_groups(candidates, held, lambda sets_: linked(sets_, measure.least))
-    links = written(links.distinct(), "links")
-    found = named_components(made.select("doc_id", "text_hash", "n", "cls"), components(links, "u", "v"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -9,12 +9,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import written
+from .bits import filter_of
+from .components import components
+from .words import texts, written
 
 Search = Callable[[list[np.ndarray]], np.ndarray]
+Elements = Callable[[], Callable[[bytes], tuple[int | None, np.ndarray]]]
 BLOCK_BYTES = 4 << 20
 
 
@@ -102,9 +105,80 @@ def _pairs(made: list[tuple[np.ndarray, np.ndarray, int, bool]]) -> pa.RecordBat
     return pa.record_batch({"u": pa.array(u), "v": pa.array(v, mask=alone), "root": pa.array(root)})
 
 
+def meeting(lists: DataFrame) -> DataFrame:
+    """cls, root, weight, needed: classes that meet in one of their shortest lists, grouped by the smallest class in it, and the
+    length of all lists of a class together, which is largest in the midst of near copies. Lists in which the same class is
+    smallest are one group, so near copies, which share many lists, meet once.
+
+    `lists`: cls, value, needed; a row may come more than once. Of its values, a class shares `needed` at least with any class it
+    links to, so one of these is in the lists that are left when the `needed - 1` longest are not looked at. Values that no
+    other class has are in the shortest lists of all.
+    """
+    # One shuffle, by value, serves the three uses.
+    each = lists.repartition("value").distinct()
+    long = each.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("head")).where("members > 1")
+    own = Window.partitionBy("cls", "needed")
+    ranked = each.join(long, "value").select(
+        "cls", "head", "needed", F.count(F.lit(1)).over(own).alias("common"), F.sum("members").over(own).alias("weight"),
+        F.row_number().over(own.orderBy("members", "value")).alias("at"),
+    )
+    ranked = ranked.where("at <= common - needed + 1")
+    return ranked.groupBy("cls", F.col("head").alias("root")).agg(F.max("weight").alias("weight"), F.max("needed").alias("needed"))
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, elements_of: Elements, key: str, text: str) -> DataFrame:
+    """cls, elements of one row of each class. `wanted`: doc_id, text_hash of these rows. Tasks leave out most other rows by a filter of
+    text hashes; sets are joined, not texts."""
+    passing = filter_of(wanted.select("text_hash"))
+    sent = docs.sparkSession.sparkContext.broadcast(passing)
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed.alias("text_hash"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing, sets = sent.value, elements_of()
+        made = Batches()
+        for batch in batches:
+            at = np.flatnonzero(passing.has(batch.column("text_hash").to_numpy().view(np.uint64)))
+            batch = batch.take(pa.array(at))
+            for doc_id, hashed, value in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), texts(batch.column("text"))):
+                cls, elements = sets(value)
+                if cls is not None and made.add(doc_id, hashed, cls, elements.tobytes()):
+                    yield made.take()
+        yield made.take()
+
+    found = rows.mapInArrow(run, "doc_id bigint, text_hash bigint, cls bigint, elements binary")
+    asked = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return found.join(asked, same, "left_semi").select("cls", "elements")
+
+
+def linked_rows(
+    docs: DataFrame, made: DataFrame, groups: DataFrame, may_link: Search, linked: Search, elements_of: Elements, key: str, text: str
+) -> DataFrame:
+    """The rows of `made` with their components, by links of classes that share a group.
+
+    `made`: doc_id, text_hash, n, cls and elements (what `may_link` looks at, told at least once a class); `groups`: cls, root, weight,
+    bytes of these elements. `may_link` leaves out what cannot link; what may, through others too, forms candidate
+    groups, which `linked` searches with whole sets. `elements_of` makes in each task what tells class and set of a text.
+    """
+    sketches = made.where("elements IS NOT NULL").select("cls", "elements")
+    pairs = written(search_groups(groups, sketches, may_link).distinct(), "may-link")
+    candidates = written(components(pairs, "u", "v"), "candidates").select(F.col("node").alias("cls"), "root")
+    # One row stands for its class.
+    rows = made.join(candidates.select("cls"), "cls", "left_semi").groupBy("cls").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("row"), (8 * F.min("n")).alias("bytes")
+    )
+    rows = written(rows.select("cls", "bytes", "row.*"), "asked")
+    held = written(whole_sets(docs, rows, elements_of, key, text), "whole-sets")
+    weights = groups.groupBy("cls").agg(F.max("weight").alias("weight"))
+    candidates = candidates.join(rows.select("cls", "bytes"), "cls").join(weights, "cls")
+    links = written(search_groups(candidates, held, linked).distinct(), "links")
+    return named_components(made.select("doc_id", "text_hash", "n", "cls"), components(links, "u", "v"))
+
+
 def named_components(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """`rows` (doc_id, text_hash, n, cls) as doc_id, n_shingles, component_id, text_hash, given the `roots` (node, root) of the
-    classes that have a link. Null ids are passed over unless a component has no other; without a class a row is on its own."""
+    """`rows` (doc_id, text_hash, n, cls) as doc_id, n_shingles, component_id, text_hash and component (its smallest class, null for an
+    empty set), given the `roots` (node, root) of the classes that have a link. Null ids are passed over unless a component has no other; without a class a row is on its own."""
     named = rows.join(roots, F.col("cls") == F.col("node"), "left")
     named = written(named.select("doc_id", "text_hash", "n", F.coalesce("root", "cls").alias("component")), "components")
     # Only components of several rows have to be looked up.
@@ -113,7 +187,7 @@ def named_components(rows: DataFrame, roots: DataFrame) -> DataFrame:
     )
     least = least.where("rows > 1").drop("rows")
     return named.join(least, "component", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "text_hash"
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "text_hash", "component"
     )
 
 
@@ -121,16 +195,17 @@ class Batches:
     """Rows of classes and their elements, gathered to batches of bounded bytes."""
 
     def __init__(self, most: int = 8 << 20):
-        self.most, self.classes, self.held, self.bytes = most, [], [], 0
+        self.most, self.rows, self.bytes = most, [], 0
 
-    def add(self, cls: int, elements: bytes) -> bool:
-        """Whether the batch is full."""
-        self.classes.append(cls)
-        self.held.append(elements)
-        self.bytes += len(elements)
+    def add(self, *row) -> bool:
+        """doc_id, text_hash, cls, elements; whether the batch is full."""
+        self.rows.append(row)
+        self.bytes += len(row[-1])
         return self.bytes >= self.most
 
     def take(self) -> pa.RecordBatch:
-        made = pa.record_batch({"cls": pa.array(self.classes, pa.int64()), "elements": pa.array(self.held, pa.binary())})
-        self.classes, self.held, self.bytes = [], [], 0
+        columns = list(zip(*self.rows)) or [(), (), (), ()]
+        names = (("doc_id", pa.int64()), ("text_hash", pa.int64()), ("cls", pa.int64()), ("elements", pa.binary()))
+        made = pa.record_batch({name: pa.array(c, kind) for (name, kind), c in zip(names, columns)})
+        self.rows, self.bytes = [], 0
         return made

@@ -38,7 +38,7 @@ def test_texts_that_share_a_passage_do_not_meet(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     measure = Sketch(5, 85)
     made = bottom_k.sketches(docs, measure).select("cls", "elements")
-    met = bottom_k.meeting(bottom_k.inverted_lists(made, measure)).collect()
+    met = group_search.meeting(bottom_k.inverted_lists(made, measure)).collect()
     assert len({r["cls"] for r in met}) == 2
     found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_copies(docs, measure).collect()}
     assert found == {i: i for i in range(60)} | {99: 7}
