@@ -261,13 +261,24 @@ def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: st
     return rows.mapInArrow(_predicted(model, "text", make), "doc_id bigint, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model | None, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose language is known with a score of `least` or more."""
+def keep_known(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose words are of a known language: whose likeliest languages have a mean
+    posterior of `least` or more over the words, each word by itself. At half, a word is likelier of its language than of
+    all others together, so the rule does not turn with the number of languages, and text that mixes languages whose words
+    are sure stays. Rows go whose text is null or holds no letter."""
 
-    def make(batch: pa.RecordBatch, names: list[str], sure: np.ndarray) -> pa.RecordBatch:
-        return batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, sure)], pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            values, sure = list(texts(batch.column(text))), []
+            for _, post, counts in scorer.slices(iter(values)):
+                owner = np.repeat(np.arange(len(counts)), counts)
+                sums = np.bincount(owner, post.max(axis=1), len(counts)) if len(owner) else np.zeros(len(counts))
+                sure.append(sums / np.maximum(counts, 1))
+            known = np.fromiter(map(has_letter, values), bool, len(values))
+            yield batch.filter(pa.array(known & (np.concatenate(sure or [np.zeros(0)]) >= least), pa.bool_()))
 
-    return docs.mapInArrow(_predicted(model, text, make), docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def label_words(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,49 +1,43 @@
 """Links between texts whose sets of word shingles have a Jaccard similarity of `least` percent or more: size-aware, heavy
 and light.
 
-Sets of equal size or nearly so can only link if few elements differ: of |A| + |B|, at most the share (100 - least) / (100 + least).
-Sizes fall into classes; a set also enters the next class if it can link into it. In a class of tolerance h the elements are dealt
-by hash to parts, the same way for every set, and each differing element spoils one part.
-
-- Light classes (small sets) get h + 2 parts, of which two at least agree: all subsets of two parts are enumerated as keys.
-- Heavy classes (large sets) get one part more than h and a reserve, so some agree: each part is a key, and its inverted list,
-  the sets that hold the same elements there, is scanned. Thin parts are left out where the reserve covers them, as many
-  sets agree on those by chance.
-
-Which classes are light is decided by cost: keys written, and the list entries expected to be scanned, which depend on how many
-sets a class has. Either way no link is lost. Each list, the sets on one key, is searched breadth-first by sketches: parities of elements by
-hash, two bits or more an element, whose distance is never above that of the sets, so what they rule out cannot link. Sets
-that may link through others form candidate groups, and texts that merely share a passage do not; a group is
-searched in the same way with exact intersections, so a set that is linked is compared with no more than the sets still
-without a link to it. Lists and groups of more than `BLOCK` sets are searched by pairs of blocks, which bounds a task's memory.
-
-Equal sets are one class throughout: a task writes the keys of a class once, so copies are compared once. Only keys and links of
-classes are shuffled, and the sets of classes that share a key.
+- Light sets, the small ones, are enumerated: two sets of a and b elements that link have c(a, b) elements in common, so they share
+  a subset of that fixed size. A set's keys are its subsets of each size that a partner may ask for.
+- Heavy sets, the large ones, stand in the inverted lists of their elements. An order of all elements by hash is fixed, and a set is
+  listed under the first of its own, so many that linked sets have `extra` listed elements at least in common. So a set needs to be
+  looked up in its shortest lists only, and texts that merely share a passage are out before they are compared: they
+  share fewer listed elements than a link takes.
+- The boundary between the two is chosen by cost: keys written, and list entries expected to be scanned. Light sets that may link to
+  a heavy one are listed too.
+
+Either way no link is lost. Sets that meet are compared by sketches: parities of elements by hash, two bits or more an element, whose
+distance is never above that of the sets, so what they rule out cannot link. What is left forms candidate groups, in which the
+exact similarity of whole sets decides (`group_search`).
+
+Equal sets are one class throughout, and a task tells the keys of a class once, so copies are compared once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .group_search import linked_rows, meeting
 from .words import GOLDEN, WordIds, blank_words, mix, texts, written
 
-GROWTH = 1.5
-RESERVE = 0.03
 SHARED = 0.2  # assumed chance that an element of a set is also in an unrelated one, for the cost alone
 BYTES_A_WORD = 6  # likewise
-LOOK = 0.05  # looking at a list's entry by its sketch, against writing a key, likewise
-BLOCK = 512
-SIEVE_WORDS = 1 << 17
-TOLD = 1_000_000  # classes a task remembers to have told
+LOOK = 0.05  # looking at a list's entry, against writing a key, likewise
+SMALL = 64  # sizes from which sets are heavy whatever the cost, as their subsets are beyond number
+TOLD = 500_000  # classes a task remembers to have told
 KEYS_A_BATCH = 100_000
 FACTOR = 0x9E3779B97F4A7C15
 
@@ -56,54 +50,53 @@ class Measure:
     least: int = 80
 
     @cached_property
-    def starts(self) -> np.ndarray:
-        """Smallest sizes of the classes, from the first size at which unequal sets link."""
-        first = 1
-        while (100 - self.least) * (2 * first + 1) < 100 + self.least:
-            first += 1
-        made = [first]
-        while made[-1] < 1 << 40:
-            made.append(max(made[-1] + 1, int(made[-1] * GROWTH)))
-        return np.array(made)
-
-    def tolerance(self, of: int) -> int:
-        return int(2 * (self.starts[of + 1] - 1) * (100 - self.least) // (100 + self.least))
-
-    def heavy_parts(self, of: int) -> tuple[int, int, int]:
-        """Parts of a heavy class, how many of them are reserve, and below how many elements a part is thin."""
-        needed = self.tolerance(of) + 1
-        reserve = int(np.ceil(RESERVE * needed))
-        mean = self.starts[of] / (needed + reserve)
-        thin, chance, below = 0, np.exp(-mean), 0.0
-        while below + chance < RESERVE / 2:  # of a Poisson variable
-            below += chance
-            thin += 1
-            chance *= mean / thin
-        return needed + reserve, reserve, thin
-
-    def classes_of(self, size: int) -> list[int]:
-        """The class of a size, and the next if a set of this size can link to one there."""
-        own = int(np.searchsorted(self.starts, size, side="right")) - 1
-        reach = size * 100 // self.least >= self.starts[own + 1]
-        return [c for c in ([own, own + 1] if reach else [own]) if c >= 0]
+    def first(self) -> int:
+        """The size from which a set can link to an unequal one."""
+        n = 1
+        while 100 * n < self.least * (n + 1):
+            n += 1
+        return n
+
+    def overlap(self, n: int) -> int:
+        """Elements that a set of `n` shares with any set it links to, which is no smaller than that."""
+        return -(-self.least * n // 100)
+
+    def subset_sizes(self, n: int) -> list[int]:
+        """Elements that sets of `n` and of a partner's size have in common if they link, for all such sizes."""
+        partners = range(self.overlap(n), 100 * n // self.least + 1)
+        return sorted({-(-self.least * (n + b) // (100 + self.least)) for b in partners})
+
+    def subsets(self, n: int) -> int:
+        return sum(comb(n, c) for c in self.subset_sizes(n))
+
+    def extra(self, n: int) -> int:
+        return min(1 + 3 * n // 10, self.overlap(n))
+
+    def listed(self, n: int) -> int:
+        """How many of its elements, the first by order, a set is listed under. With the `n - overlap` that a partner may lack all
+        at the front, `extra` of them are left to be in common."""
+        return n - self.overlap(n) + self.extra(n)
+
+    def needed(self, n: int) -> int:
+        """Listed elements in common with any set it links to: the smaller `extra` of the two."""
+        return self.extra(self.overlap(n))
 
 
 def first_heavy(counts: dict[int, int], measure: Measure) -> int:
-    """The class from which scanning inverted lists costs less than enumerating pairs of parts. `counts`: sets in each class."""
+    """The size from which scanning inverted lists costs less than enumerating subsets. `counts`: sets of each size."""
 
-    def enumerate_cost(c: int, n: int) -> float:
-        parts = measure.tolerance(c) + 2
-        return n * parts * (parts - 1) / 2 * (1 + LOOK * n * SHARED ** (2 * measure.starts[c] / parts))
+    def enumerate_cost(n: int) -> float:
+        return counts[n] * measure.subsets(n)
 
-    def scan_cost(c: int, n: int) -> float:
-        parts = measure.heavy_parts(c)[0]
-        return n * parts * (1 + LOOK * n * SHARED ** (measure.starts[c] / parts))
+    def scan_cost(n: int) -> float:
+        return counts[n] * measure.listed(n) * (1 + LOOK * counts[n] * SHARED)
 
-    last = max(counts, default=-1)
-    cost = [
-        sum(enumerate_cost(c, n) if c < x else scan_cost(c, n) for c, n in counts.items()) for x in range(last + 2)
-    ]
-    return int(np.argmin(cost)) if cost else 0
+    sizes = sorted(n for n in counts if measure.first <= n < SMALL)
+    cost = {
+        x: sum(enumerate_cost(n) if n < x else 0 for n in sizes) + sum(scan_cost(n) for n in sizes if 100 * n >= measure.least * x)
+        for x in range(measure.first, SMALL + 1)
+    }
+    return min(cost, key=cost.get)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -123,141 +116,110 @@ def set_hash(elements: np.ndarray) -> np.uint64:
         return mix(np.array([mix(elements ^ GOLDEN).sum() + np.uint64(len(elements)) * GOLDEN], np.uint64))[0]
 
 
-def keys_of(elements: np.ndarray, heavy: int, measure: Measure) -> np.ndarray:
-    """Keys that a set shares with every unequal set it links to."""
-    found = [np.zeros(0, np.uint64)]
-    mixed = mix(elements + GOLDEN)
-    for c in measure.classes_of(len(elements)):
-        parts, reserve, least = measure.heavy_parts(c) if c >= heavy else (measure.tolerance(c) + 2, 0, 0)
-        part = (elements % np.uint64(parts)).astype(np.int64)
-        sums = np.zeros(parts, np.uint64)
-        np.add.at(sums, part, mixed)
-        marks = mix(sums + (np.arange(parts, dtype=np.uint64) + np.uint64(c << 40)) * GOLDEN)
-        if c < heavy:
-            one, two = np.array(list(combinations(range(parts), 2))).T
-            found.append(mix(marks[one] * GOLDEN + marks[two]))
-        else:
-            thin = np.bincount(part, minlength=parts) < least
-            found.append(marks if thin.sum() > reserve else marks[~thin])
-    return np.concatenate(found)
+def keys_of(elements: np.ndarray, heavy: int, measure: Measure) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set's subsets, if it is smaller than `heavy`, and the elements it is listed under, if it may link to a set that is not:
+    of one or the other it shares some with every unequal set it links to."""
+    n = len(elements)
+    subsets, listed = [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
+    if n < measure.first:
+        return subsets[0], listed
+    if n < heavy:
+        mixed = mix(elements + GOLDEN)
+        for c in measure.subset_sizes(n):
+            chosen = np.array(list(combinations(range(n), c)))
+            subsets.append(mix(mixed[chosen].sum(axis=1, dtype=np.uint64) + np.uint64(c)))
+    if 100 * n >= measure.least * heavy:
+        k = measure.listed(n)
+        listed = mix(elements ^ GOLDEN)
+        listed = listed if k >= n else np.partition(listed, k - 1)[:k]
+    return np.concatenate(subsets), listed
 
 
-def word_arrays(values: Iterator[bytes], ids: WordIds) -> Iterator[np.ndarray]:
-    return (ids.of(blank_words(value)) for value in values)
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """The number of elements, then parities of elements by hash: a power of two of them, two or more for each element."""
+    width = 1 << max(6, (2 * len(elements) - 1).bit_length())
+    odd = np.bincount(((elements >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.append(np.uint64(len(elements)), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64))
 
 
-def sets(docs: DataFrame, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty)."""
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
+def elements_of(measure: Measure):
+    """Makes in each task what tells the class and the set of a text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         ids = WordIds()
-        for batch in batches:
-            sizes, classes = [], []
-            for words in word_arrays(texts(batch.column("text")), ids):
-                elements = shingles(words, measure.words)
-                sizes.append(len(elements))
-                classes.append(int(set_hash(elements).astype(np.int64)) if len(elements) else None)
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
-                "n": pa.array(sizes, pa.int64()), "cls": pa.array(classes, pa.int64()),
-            })
 
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint")
+        def tell(value: bytes) -> tuple[int | None, np.ndarray]:
+            elements = shingles(ids.of(blank_words(value)), measure.words)
+            return (int(set_hash(elements).astype(np.int64)) if len(elements) else None), elements
 
+        return tell
 
-def key_lists(docs: DataFrame, heavy: int, measure: Measure, text: str = "text") -> DataFrame:
-    """cls, key: the keys of each class. A task gives them once, so those of copies stay few. They go straight to the shuffle
-    by key and are written nowhere else."""
-    rows = docs.select(F.col(text).alias("text"))
+    return start
+
+
+def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty); elements (the sketch) and keys (how many are of subsets,
+    these, then those listed), told by a task for the first of the rows of a class."""
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, told = WordIds(), set()
+        tell, told = elements_of(measure)(), set()
         for batch in batches:
-            classes, keys, held = [], [], 0
-            for words in word_arrays(texts(batch.column("text")), ids):
-                elements = shingles(words, measure.words)
-                if len(elements) < measure.starts[0] * measure.least // 100:
-                    continue
-                cls = int(set_hash(elements).astype(np.int64))
-                if cls in told:
+            made, size, start = [], 0, 0
+
+            def taken(end: int) -> pa.RecordBatch:
+                n, classes, sketches, keys = zip(*made)
+                return pa.record_batch({
+                    "doc_id": batch.column("doc_id")[start:end], "text_hash": batch.column("text_hash")[start:end],
+                    "n": pa.array(n, pa.int64()), "cls": pa.array(classes, pa.int64()),
+                    "elements": pa.array(sketches, pa.binary()), "keys": pa.array(keys, pa.binary()),
+                })
+
+            for at, value in enumerate(texts(batch.column("text"))):
+                cls, elements = tell(value)
+                if len(elements) < measure.first or cls in told:
+                    made.append((len(elements), cls, None, None))
                     continue
                 if len(told) >= TOLD:
                     told.clear()
                 told.add(cls)
-                found = keys_of(elements, heavy, measure)
-                classes.append(np.full(len(found), cls, np.int64))
-                keys.append(found.view(np.int64))
-                held += len(found)
-                if held >= KEYS_A_BATCH:
-                    yield _keyed(classes, keys)
-                    classes, keys, held = [], [], 0
-            if keys:
-                yield _keyed(classes, keys)
-
-    return rows.mapInArrow(run, "cls bigint, key bigint")
-
-
-def _keyed(classes: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch({"cls": pa.array(np.concatenate(classes)), "key": pa.array(np.concatenate(keys))})
-
-
-def shared_lists(lists: DataFrame) -> DataFrame:
-    """cls, root (list), members: the classes on each key that more than one class has. Lists of the same classes are one."""
-    on = Window.partitionBy("key")
-    held = lists.repartition("key").distinct().select(
-        "cls", F.count(F.lit(1)).over(on).alias("members"), F.min("cls").over(on).alias("head"),
-        F.bit_xor(F.xxhash64("cls")).over(on).alias("mark"),
-    )
-    held = held.where("members > 1")
-    return held.select("cls", F.xxhash64("members", "head", "mark").alias("root"), "members").distinct()
-
+                subsets, listed = keys_of(elements, heavy, measure)
+                keys = np.concatenate([np.array([len(subsets)], np.uint64), subsets, listed])
+                made.append((len(elements), cls, sketch(elements).tobytes(), keys.tobytes()))
+                size += len(keys)
+                if size >= KEYS_A_BATCH:
+                    yield taken(at + 1)
+                    made, size, start = [], 0, at + 1
+            if made:
+                yield taken(batch.num_rows)
 
-def _sieve(classes: DataFrame) -> np.ndarray:
-    """Bits of the classes in a table of fixed size."""
-    bits = classes.select(F.pmod("cls", F.lit(64 * SIEVE_WORDS)).alias("at"))
-    words = bits.select(F.expr("cast(at div 64 AS int) AS word"), F.expr("shiftleft(1L, cast(at % 64 AS int)) AS bit"))
-    table = np.zeros(SIEVE_WORDS, np.int64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        table[row["word"]] = row["bits"]
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, elements binary, keys binary")
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """The number of elements, then parities of elements by hash: a power of two of them, two or more for each element."""
-    width = 1 << max(6, (2 * len(elements) - 1).bit_length())
-    odd = np.bincount(((elements >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
-    return np.append(np.uint64(len(elements)), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64))
-
-
-def candidate_sets(
-    docs: DataFrame, wanted: np.ndarray, measure: Measure, text: str = "text", made: Callable[[np.ndarray], np.ndarray] = np.asarray
-) -> DataFrame:
-    """cls, elements (or what `made` makes of them) of the classes that pass the sieve, at least once for each task that meets them."""
-    rows = docs.select(F.col(text).alias("text"))
+def key_lists(told: DataFrame, measure: Measure) -> DataFrame:
+    """cls, value, needed: the keys of each class. One shared key of a subset is enough. `told`: cls, n, keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, told = WordIds(), set()
         for batch in batches:
-            classes, held = [], []
-            for words in word_arrays(texts(batch.column("text")), ids):
-                elements = shingles(words, measure.words)
-                if len(elements) < measure.starts[0]:
-                    continue
-                cls = int(set_hash(elements).astype(np.int64))
-                if wanted[cls % len(wanted)] and cls not in told:
-                    if len(told) >= TOLD:
-                        told.clear()
-                    told.add(cls)
-                    classes.append(cls)
-                    held.append(made(elements).tobytes())
-                    if sum(map(len, held[-64:])) > 1 << 23:
-                        yield pa.record_batch({"cls": pa.array(classes, pa.int64()), "elements": pa.array(held, pa.binary())})
-                        classes, held = [], []
-            yield pa.record_batch({"cls": pa.array(classes, pa.int64()), "elements": pa.array(held, pa.binary())})
+            classes, values, needed, size = [], [], [], 0
+            for cls, n, data in zip(*(batch.column(c).to_pylist() for c in ("cls", "n", "keys"))):
+                keys = np.frombuffer(data, np.int64)
+                classes.append(np.full(len(keys) - 1, cls))
+                values.append(keys[1:])
+                needed.append(np.where(np.arange(len(keys) - 1) < keys[0], 1, measure.needed(n)).astype(np.int32))
+                size += len(keys)
+                if size >= KEYS_A_BATCH:
+                    yield _listed(classes, values, needed)
+                    classes, values, needed, size = [], [], [], 0
+            if classes:
+                yield _listed(classes, values, needed)
+
+    return told.select("cls", "n", "keys").mapInArrow(run, "cls bigint, value bigint, needed int")
 
-    return rows.mapInArrow(run, "cls bigint, elements binary")
+
+def _listed(classes: list[np.ndarray], values: list[np.ndarray], needed: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.record_batch({k: pa.array(np.concatenate(v)) for k, v in (("cls", classes), ("value", values), ("needed", needed))})
 
 
 def linked(sets_: list[np.ndarray], least: int) -> np.ndarray:
@@ -296,79 +258,50 @@ def _without(flat: np.ndarray, starts: np.ndarray, left: np.ndarray, sizes: np.n
     return flat[np.repeat(keep, left_sizes)], np.cumsum(left_sizes[keep]) - left_sizes[keep], left[keep]
 
 
-def may_link(sketches: list[np.ndarray], least: int) -> np.ndarray:
-    """As `linked`, from sketches: a link is assumed unless the sketches rule it out."""
-    n = len(sketches)
-    sizes = np.array([s[0] for s in sketches]).astype(np.int64)
-    narrow = min(map(len, sketches)) - 1
-    table = np.stack([np.bitwise_xor.reduce(s[1:].reshape(-1, narrow), axis=0) for s in sketches])
-    root, left, queue = np.full(n, -1), np.arange(n), []
-    while len(left):
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, one a row, brought down to a width."""
+    return np.bitwise_xor.reduce(words.reshape(len(words), -1, width), axis=1)
+
+
+def may_link(held: list[np.ndarray], least: int) -> np.ndarray:
+    """As `linked`, from sketches: a link is assumed unless sizes or sketches rule it out."""
+    sizes = np.array([h[0] for h in held]).astype(np.int64)
+    widths = np.array([len(h) - 1 for h in held])
+    # Sketches of one width are a table, in which sets not yet reached stand by size.
+    left, tables, place = {}, {}, np.zeros(len(held), np.int64)
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == width)
+        at = at[np.argsort(sizes[at], kind="stable")]
+        left[width], tables[width] = at, np.stack([held[i][1:] for i in at])
+        place[at] = np.arange(len(at))
+    root, queue, start = np.full(len(held), -1), [], 0
+    while True:
         if queue:
             at = queue.pop()
         else:
-            at, left = int(left[0]), left[1:]
+            while start < len(held) and root[start] >= 0:
+                start += 1
+            if start == len(held):
+                return root
+            at = start
             root[at] = at
-        apart = np.bitwise_count(table[left] ^ table[at]).sum(axis=1, dtype=np.int64)
-        both = sizes[at] + sizes[left]
-        common = np.minimum((both - apart) // 2, np.minimum(sizes[at], sizes[left]))
-        hit = 100 * common >= least * (both - common)
-        root[left[hit]] = root[at]
-        queue += left[hit].tolist()
-        left = left[~hit]
-    return root
-
-
-def _links(groups: DataFrame, held: DataFrame, search: Callable[[list[np.ndarray], int], np.ndarray], least: int) -> DataFrame:
-    """u, v: links that connect the classes of each group as all its links would.
-
-    `groups`: cls, root (group), members. Blocks of a group are paired with each other; a group of one block has one pair.
-    """
-    placed = groups.select("cls", "root", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("cls"), "blocks").cast("int")
-    placed = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Pair (i, i) is covered by (i, j); with one block it is the only one.
-    placed = placed.where("blocks = 1 OR block <> other").select(
-        "cls", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
-    by = ["root", "low", "high"]
-
-    def found(group: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-        classes = np.array(sorted(group), np.int64)
-        root = search([np.frombuffer(group[c], np.uint64) for c in classes.tolist()], least)
-        new = root != np.arange(len(root))
-        return classes[root[new]], classes[new]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, group = None, {}
-        for batch in batches:
-            made = []
-            for *pair, cls, elements in zip(*(batch.column(c).to_pylist() for c in (*by, "cls", "elements"))):
-                if pair != last:
-                    made += [found(group)] if len(group) > 1 else []
-                    last, group = pair, {}
-                group[cls] = elements
-            yield _linked(made)
-        yield _linked([found(group)] if len(group) > 1 else [])
-
-    # Small groups by the thousand go through one task's batches, sorted, rather than one by one.
-    return placed.join(held, "cls").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "u bigint, v bigint")
-
-
-def _linked(made: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    u, v = (np.concatenate([np.zeros(0, np.int64), *(m[k] for m in made)]) for k in (0, 1))
-    return pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-
-def candidates(lists: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
-    """u, v: links between the classes of each list that their sketches do not rule out, as far as they are needed to connect them."""
-    return _links(lists, sketches, may_link, least)
-
-
-def verified_links(groups: DataFrame, held: DataFrame, least: int) -> DataFrame:
-    """u, v: links that connect the classes of each candidate group as all its links would. `groups`: node (class), root (group)."""
-    size = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    return _links(groups.join(size, "root").select(F.col("node").alias("cls"), "root", "members"), held, linked, least)
+            left[widths[at]] = left[widths[at]][left[widths[at]] != at]
+        for width, others in left.items():
+            low = np.searchsorted(sizes[others], -(-sizes[at] * least // 100), side="left")
+            high = np.searchsorted(sizes[others], sizes[at] * 100 // least, side="right")
+            near = others[low:high]
+            if not len(near):
+                continue
+            narrow = min(width, int(widths[at]))
+            one = _folded(held[at][None, 1:], narrow)
+            apart = np.bitwise_count(_folded(tables[width][place[near]], narrow) ^ one).sum(axis=1, dtype=np.int64)
+            both = sizes[at] + sizes[near]
+            common = np.minimum((both - apart) // 2, np.minimum(sizes[at], sizes[near]))
+            hit = 100 * common >= least * (both - common)
+            if hit.any():
+                root[near[hit]] = root[at]
+                queue += near[hit].tolist()
+                left[width] = np.concatenate([others[:low], near[~hit], others[high:]])
 
 
 def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,23 +312,14 @@ def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "do
     nothing, not even each other. Rows that repeat a text link; null ids are passed over for component_id unless a component
     has no other. Other columns of `docs` are not read.
     """
-    size = (F.octet_length(F.coalesce(F.col(text), F.lit(""))) / BYTES_A_WORD).cast("bigint")
-    levels = docs.select(size.alias("size")).where(F.col("size") >= int(measure.starts[0]))
-    steps = F.floor(F.log(F.col("size") / int(measure.starts[0])) / float(np.log(GROWTH)))
-    counts = {int(r["c"]): r["count"] for r in levels.groupBy(steps.alias("c")).count().collect()}
-    heavy = first_heavy(counts, measure)
-    made = written(sets(docs, measure, key, text), "shingle-sets")
-    lists = written(shared_lists(key_lists(docs, heavy, measure, text)), "shingle-lists")
-    sketches = candidate_sets(docs, _sieve(lists), measure, text, sketch)
-    pairs = written(candidates(lists, sketches, measure.least).distinct(), "shingle-candidates")
-    groups = written(components(pairs, "u", "v"), "shingle-groups")
-    held = candidate_sets(docs, _sieve(groups.select(F.col("node").alias("cls"))), measure, text)
-    links = written(verified_links(groups, held, measure.least), "shingle-links")
-    roots = components(links, "u", "v")
-    named = made.select("doc_id", "text_hash", "n", "cls").join(roots, F.col("cls") == F.col("node"), "left")
-    named = written(named.select("doc_id", "text_hash", "n", F.coalesce("root", "cls").alias("component")), "shingle-components")
-    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    reached = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return named.join(least, "component", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), reached.alias("component_id"), "text_hash"
+    size = (F.octet_length(F.coalesce(F.col(text), F.lit(""))) / BYTES_A_WORD).cast("bigint").alias("size")
+    small = docs.select(size).where(F.col("size") < SMALL).groupBy("size").count()
+    heavy = first_heavy({int(r["size"]): r["count"] for r in small.collect()}, measure)
+    made = written(sets(docs, heavy, measure, key, text), "shingle-sets")
+    groups = meeting(key_lists(made.where("keys IS NOT NULL"), measure))
+    # A sketch's bytes from the listed elements it needs in common, which are about a fourth of the set.
+    groups = written(groups.withColumn("bytes", 24 + 2 * F.col("needed")), "meeting")
+    return linked_rows(
+        docs, made, groups, lambda held: may_link(held, measure.least), lambda held: linked(held, measure.least),
+        elements_of(measure), key, text,
     )

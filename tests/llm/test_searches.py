@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.llm import components, decontaminate, exact_dedup, mixing, similarity_join
+from postlake.llm import components, decontaminate, exact_dedup, group_search, mixing, similarity_join
 from postlake.llm.similarity_join import Measure
 
 SF = "/root/testdata/sf0.001"
@@ -77,9 +77,12 @@ def near_copies(seed, sizes):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("words, least, block", [(3, 90, 512), (5, 80, 4)])
-def test_similarity_join_loses_no_link(spark, monkeypatch, words, least, block):
-    monkeypatch.setattr(similarity_join, "BLOCK", block)
+@pytest.mark.parametrize("words, least, block, heavy", [(3, 90, 1 << 22, None), (5, 80, 2000, None), (5, 80, 9000, 4), (3, 90, 500, 14)])
+def test_similarity_join_loses_no_link(spark, monkeypatch, words, least, block, heavy):
+    """Whatever the size of blocks, and with hardly any or many light sets."""
+    monkeypatch.setattr(group_search, "BLOCK_BYTES", block)
+    if heavy:
+        monkeypatch.setattr(similarity_join, "first_heavy", lambda counts, measure: heavy)
     rows = near_copies(words, [4, 6, 9, 10, 11, 12, 15, 20, 22, 30, 45, 60, 90, 150, 300])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     made = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similarity_join.similar_groups(docs, Measure(words, least)).collect()}
@@ -88,26 +91,43 @@ def test_similarity_join_loses_no_link(spark, monkeypatch, words, least, block):
     assert sum(i != root for i, (_, root) in expected.items()) > 20
 
 
-@pytest.mark.parametrize("measure", [Measure(3, 90), Measure(5, 80)])
-@pytest.mark.parametrize("heavy", [0, 4, 99])
-def test_sets_that_link_share_a_key(measure, heavy):
-    """Whichever classes are light."""
+@pytest.mark.parametrize("measure", [Measure(3, 90), Measure(5, 80), Measure(5, 50)])
+@pytest.mark.parametrize("heavy", [2, 10, 16])
+def test_sets_that_link_share_keys(measure, heavy):
+    """One subset, or as many listed elements as either needs, wherever the boundary is."""
     rng = np.random.default_rng(heavy)
-    for size in (4, 5, 8, 9, 10, 13, 19, 28, 40, 61, 140):
-        for _ in range(15):
+    linking = 0
+    for size in (2, 3, 4, 5, 8, 9, 10, 12, 13, 15, 17, 19, 28, 40, 61, 140):
+        for _ in range(60):
             one = np.unique(rng.integers(0, 1 << 62, size, np.uint64))
-            gone = int(rng.integers(0, size))
+            gone = int(rng.integers(0, max(1, size // 2)))
             other = np.unique(np.concatenate([one[gone:], rng.integers(0, 1 << 62, int(rng.integers(0, 4)), np.uint64)]))
             common = len(np.intersect1d(one, other))
-            if len(other) != common and 100 * common >= measure.least * (len(one) + len(other) - common):
-                assert set(similarity_join.keys_of(one, heavy, measure)) & set(similarity_join.keys_of(other, heavy, measure))
+            if len(one) != common or len(other) != common:
+                if 100 * common >= measure.least * (len(one) + len(other) - common):
+                    linking += 1
+                    (a, b), (c, d) = (similarity_join.keys_of(s, heavy, measure) for s in (one, other))
+                    if max(len(one), len(other)) < heavy:
+                        assert set(a) & set(c)
+                    else:
+                        assert len(set(b) & set(d)) >= max(measure.needed(len(one)), measure.needed(len(other)))
+    assert linking > 40
+
+
+def test_a_passage_alone_is_looked_at_by_no_list(spark):
+    """Texts of which less than half is in common do not meet."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(100))
+    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))) for i in range(60)]
+    made = similarity_join.sets(spark.createDataFrame(rows, "doc_id long, text string"), 10, Measure(5, 80))
+    assert group_search.meeting(similarity_join.key_lists(made.where("keys IS NOT NULL"), Measure(5, 80))).isEmpty()
 
 
 def test_boundary_follows_the_cost():
     measure = Measure(3, 90)
-    few, many = ({c: n for c in range(12)} for n in (1, 10_000_000))
-    assert similarity_join.first_heavy({}, measure) == 0
-    assert similarity_join.first_heavy(few, measure) < similarity_join.first_heavy(many, measure)
+    few, many = ({n: count for n in range(64)} for count in (1, 10_000_000))
+    assert similarity_join.first_heavy({}, measure) == measure.first == 9
+    assert measure.first <= similarity_join.first_heavy(few, measure) < similarity_join.first_heavy(many, measure) < 64
 
 
 def test_components_of_paths_and_stars(spark):
