@@ -79,8 +79,8 @@ def elements_of(measure: Sketch):
 
 
 def sketches(docs: DataFrame, measure: Sketch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty), elements: the size, then the sketch, told by a task
-    for the first of the rows of a class."""
+    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty); elements (the size, then the sketch) and
+    needed, told by a task for the first of the rows of a class."""
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
@@ -98,31 +98,19 @@ def sketches(docs: DataFrame, measure: Sketch, key: str = "doc_id", text: str =
                 if len(told) >= TOLD:
                     told.clear()
                 told.add(cls)
-                held.append(np.append(np.uint64(len(elements)), bottom(elements, measure.k)).tobytes())
+                held.append(np.append(np.uint64(len(elements)), bottom(elements, measure.k)).view(np.int64))
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n": pa.array(sizes, pa.int64()),
-                "cls": pa.array(classes, pa.int64()), "elements": pa.array(held, pa.binary()),
+                "cls": pa.array(classes, pa.int64()), "elements": pa.array(held, pa.list_(pa.int64())),
+                "needed": pa.array(measure.needed(np.array(sizes, np.int64)).astype(np.int32)),
             })
 
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, elements binary")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, elements array<bigint>, needed int")
 
 
-def inverted_lists(classes: DataFrame, measure: Sketch) -> DataFrame:
-    """cls, value, needed: a row for each value that a class retains. `classes`: cls, elements."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [np.frombuffer(e, np.int64) for e in batch.column("elements").to_pylist()]
-            if held:
-                long = np.array([len(h) - 1 for h in held])
-                needed = measure.needed(np.array([h[0] for h in held]))
-                yield pa.record_batch({
-                    "cls": pa.array(np.repeat(batch.column("cls").to_numpy(), long)),
-                    "value": pa.array(np.concatenate([h[1:] for h in held])),
-                    "needed": pa.array(np.repeat(needed, long).astype(np.int32)),
-                })
-
-    return classes.select("cls", "elements").mapInArrow(run, "cls bigint, value bigint, needed int")
+def inverted_lists(made: DataFrame) -> DataFrame:
+    """cls, value, needed: a row for each value that a class retains."""
+    return made.where("elements IS NOT NULL").select("cls", F.explode(F.expr("slice(elements, 2, size(elements))")).alias("value"), "needed")
 
 
 def may_link(held: list[np.ndarray], measure: Sketch) -> np.ndarray:
@@ -181,8 +169,7 @@ def near_copies(docs: DataFrame, measure: Sketch = Sketch(), key: str = "doc_id"
     not read.
     """
     made = written(sketches(docs, measure, key, text), "sketched")
-    lists = inverted_lists(made.where("elements IS NOT NULL"), measure)
-    groups = written(meeting(lists).withColumn("bytes", F.lit(8 * (measure.k + 1))), "meeting")
+    groups = written(meeting(inverted_lists(made)).withColumn("bytes", F.lit(8 * (measure.k + 1))), "meeting")
     found = linked_rows(
         docs, made, groups, lambda held: may_link(held, measure), lambda held: linked(held, measure.least), elements_of(measure), key, text
     )

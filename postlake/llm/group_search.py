@@ -25,7 +25,7 @@ def search_groups(groups: DataFrame, held: DataFrame, search: Search) -> DataFra
     """u, v: links that connect the classes of each group as all its links would.
 
     `groups`: cls, root (group), bytes (of the class's elements), weight; a row for each class of a group. `held`: cls, elements
-    (binary of 64-bit values), at least once a class. `search` gives for each of some sets, in the order of their classes, the
+    (64-bit values, as an array or its bytes), at least once a class. `search` gives for each of some sets, in the order of their classes, the
     number of the first one it reaches by links.
 
     A group of more than `BLOCK_BYTES` is dealt to blocks. Its class of the largest weight, the pivot, joins every block: what
@@ -84,7 +84,8 @@ def _searched(placed: DataFrame, held: DataFrame, search: Search) -> DataFrame:
         last, pivot, group = None, None, {}
         for batch in batches:
             made = []
-            for *place, given, cls, elements in zip(*(batch.column(c).to_pylist() for c in (*by, "pivot", "cls", "elements"))):
+            columns = (batch.column(c).to_pylist() for c in (*by, "pivot", "cls"))
+            for *place, given, cls, elements in zip(*columns, _bytes(batch.column("elements"))):
                 if place != last:
                     made += found(last, pivot, group)
                     last, pivot, group = place, given, {}
@@ -97,6 +98,14 @@ def _searched(placed: DataFrame, held: DataFrame, search: Search) -> DataFrame:
     return rows.mapInArrow(run, "u bigint, v bigint, root bigint")
 
 
+def _bytes(elements: pa.Array) -> list[bytes]:
+    if not pa.types.is_list(elements.type):
+        return elements.to_pylist()
+    ends = np.cumsum(elements.value_lengths().to_numpy())
+    values = elements.flatten().to_numpy()
+    return [values[end - long : end].tobytes() for end, long in zip(ends.tolist(), np.diff(ends, prepend=0).tolist())]
+
+
 def _pairs(made: list[tuple[np.ndarray, np.ndarray, int, bool]]) -> pa.RecordBatch:
     u, v, root = (np.concatenate([np.zeros(0, np.int64), *parts]) for parts in (
         [m[0] for m in made], [m[1] for m in made], [np.full(len(m[0]), m[2], np.int64) for m in made]
@@ -114,8 +123,8 @@ def meeting(lists: DataFrame) -> DataFrame:
     links to, so one of these is in the lists that are left when the `needed - 1` longest are not looked at. Values that no
     other class has are in the shortest lists of all.
     """
-    # One shuffle, by value, serves the three uses.
-    each = lists.repartition("value").distinct()
+    # One shuffle, by value, serves all uses: as the filters are what Spark infers for one of them, the plans stay equal.
+    each = lists.where("value IS NOT NULL AND needed IS NOT NULL").repartition("value").distinct()
     long = each.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("head")).where("members > 1")
     own = Window.partitionBy("cls", "needed")
     ranked = each.join(long, "value").select(

@@ -70,7 +70,7 @@ class Measure:
         return sum(comb(n, c) for c in self.subset_sizes(n))
 
     def extra(self, n: int) -> int:
-        return min(1 + 3 * n // 10, self.overlap(n))
+        return min(1 + n // 10, self.overlap(n))
 
     def listed(self, n: int) -> int:
         """How many of its elements, the first by order, a set is listed under. With the `n - overlap` that a partner may lack all
@@ -158,8 +158,8 @@ def elements_of(measure: Measure):
 
 
 def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty); elements (the sketch) and keys (how many are of subsets,
-    these, then those listed), told by a task for the first of the rows of a class."""
+    """doc_id, text_hash, n (size), cls (hash of the set, null if it is empty); elements (the sketch), keys (those of subsets, then those
+    listed), subsets (how many are of these) and needed, told by a task for the first of the rows of a class."""
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), hashed, F.col(text).alias("text"))
 
@@ -169,24 +169,25 @@ def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", tex
             made, size, start = [], 0, 0
 
             def taken(end: int) -> pa.RecordBatch:
-                n, classes, sketches, keys = zip(*made)
+                n, classes, sketches, keys, subsets, needed = zip(*made)
                 return pa.record_batch({
                     "doc_id": batch.column("doc_id")[start:end], "text_hash": batch.column("text_hash")[start:end],
                     "n": pa.array(n, pa.int64()), "cls": pa.array(classes, pa.int64()),
-                    "elements": pa.array(sketches, pa.binary()), "keys": pa.array(keys, pa.binary()),
+                    "elements": pa.array(sketches, pa.binary()), "keys": pa.array(keys, pa.list_(pa.int64())),
+                    "subsets": pa.array(subsets, pa.int32()), "needed": pa.array(needed, pa.int32()),
                 })
 
             for at, value in enumerate(texts(batch.column("text"))):
                 cls, elements = tell(value)
                 if len(elements) < measure.first or cls in told:
-                    made.append((len(elements), cls, None, None))
+                    made.append((len(elements), cls, None, None, None, None))
                     continue
                 if len(told) >= TOLD:
                     told.clear()
                 told.add(cls)
                 subsets, listed = keys_of(elements, heavy, measure)
-                keys = np.concatenate([np.array([len(subsets)], np.uint64), subsets, listed])
-                made.append((len(elements), cls, sketch(elements).tobytes(), keys.tobytes()))
+                keys = np.concatenate([subsets, listed]).view(np.int64)
+                made.append((len(elements), cls, sketch(elements).tobytes(), keys, len(subsets), measure.needed(len(elements))))
                 size += len(keys)
                 if size >= KEYS_A_BATCH:
                     yield taken(at + 1)
@@ -194,32 +195,14 @@ def sets(docs: DataFrame, heavy: int, measure: Measure, key: str = "doc_id", tex
             if made:
                 yield taken(batch.num_rows)
 
-    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, cls bigint, elements binary, keys binary")
+    columns = "n bigint, cls bigint, elements binary, keys array<bigint>, subsets int, needed int"
+    return rows.mapInArrow(run, f"doc_id bigint, text_hash bigint, {columns}")
 
 
-def key_lists(told: DataFrame, measure: Measure) -> DataFrame:
-    """cls, value, needed: the keys of each class. One shared key of a subset is enough. `told`: cls, n, keys."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes, values, needed, size = [], [], [], 0
-            for cls, n, data in zip(*(batch.column(c).to_pylist() for c in ("cls", "n", "keys"))):
-                keys = np.frombuffer(data, np.int64)
-                classes.append(np.full(len(keys) - 1, cls))
-                values.append(keys[1:])
-                needed.append(np.where(np.arange(len(keys) - 1) < keys[0], 1, measure.needed(n)).astype(np.int32))
-                size += len(keys)
-                if size >= KEYS_A_BATCH:
-                    yield _listed(classes, values, needed)
-                    classes, values, needed, size = [], [], [], 0
-            if classes:
-                yield _listed(classes, values, needed)
-
-    return told.select("cls", "n", "keys").mapInArrow(run, "cls bigint, value bigint, needed int")
-
-
-def _listed(classes: list[np.ndarray], values: list[np.ndarray], needed: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.record_batch({k: pa.array(np.concatenate(v)) for k, v in (("cls", classes), ("value", values), ("needed", needed))})
+def key_lists(made: DataFrame) -> DataFrame:
+    """cls, value, needed: the keys of each class. One shared key of a subset is enough."""
+    told = made.where("keys IS NOT NULL").select("cls", "subsets", F.col("needed").alias("all"), F.posexplode("keys").alias("at", "value"))
+    return told.select("cls", "value", F.when(F.col("at") < F.col("subsets"), 1).otherwise(F.col("all")).alias("needed"))
 
 
 def linked(sets_: list[np.ndarray], least: int) -> np.ndarray:
@@ -316,9 +299,9 @@ def similar_groups(docs: DataFrame, measure: Measure = Measure(), key: str = "do
     small = docs.select(size).where(F.col("size") < SMALL).groupBy("size").count()
     heavy = first_heavy({int(r["size"]): r["count"] for r in small.collect()}, measure)
     made = written(sets(docs, heavy, measure, key, text), "shingle-sets")
-    groups = meeting(key_lists(made.where("keys IS NOT NULL"), measure))
-    # A sketch's bytes from the listed elements it needs in common, which are about a fourth of the set.
-    groups = written(groups.withColumn("bytes", 24 + 2 * F.col("needed")), "meeting")
+    groups = meeting(key_lists(made))
+    # A sketch's bytes from the listed elements it needs in common, which are about a twelfth of the set.
+    groups = written(groups.withColumn("bytes", 24 + 6 * F.col("needed")), "meeting")
     return linked_rows(
         docs, made, groups, lambda held: may_link(held, measure.least), lambda held: linked(held, measure.least),
         elements_of(measure), key, text,

@@ -37,8 +37,7 @@ def test_texts_that_share_a_passage_do_not_meet(spark):
     rows = [(i, f"{passage} {text}") for i, text in enumerate(own)] + [(99, f"{passage} {own[7]} end")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     measure = Sketch(5, 85)
-    made = bottom_k.sketches(docs, measure).select("cls", "elements")
-    met = group_search.meeting(bottom_k.inverted_lists(made, measure)).collect()
+    met = group_search.meeting(bottom_k.inverted_lists(bottom_k.sketches(docs, measure))).collect()
     assert len({r["cls"] for r in met}) == 2
     found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_copies(docs, measure).collect()}
     assert found == {i: i for i in range(60)} | {99: 7}
@@ -89,7 +88,7 @@ def test_blocks_find_what_one_search_finds(spark, monkeypatch):
 
     rng = random.Random(9)
     groups = [(g, c) for g, n in ((1, 90), (2, 40), (3, 2), (4, 1)) for c in rng.sample(range(1000 * g, 1000 * g + 120), n)]
-    held = spark.createDataFrame([(c, np.array([c], np.uint64).tobytes()) for _, c in groups] * 2, "cls long, elements binary")
+    held = spark.createDataFrame([(c, [c]) for _, c in groups] * 2, "cls long, elements array<long>")
 
     def search(sets):
         values, root = [int(s[0]) for s in sets], list(range(len(sets)))
