@@ -38,14 +38,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; where a row repeats id and text, one of them. Null counts as empty; of
-    equal texts whose ids are all null one stays. Texts of one id are told apart by their digest."""
+    equal texts whose ids are all null one stays. Texts of one id are told apart by a 64-bit hash."""
     found = exact_dedup(docs, _is_history())
     # Texts whose ids are all null have no winner.
     stays = (F.col("kept") | F.col("keep_id").isNull()).alias("stays")
-    found = written(found.select("doc_id", F.unhex("text_sha256").alias("h"), stays), "dedup")
+    found = written(found.select("doc_id", F.xxhash64("text_sha256").alias("h"), stays), "dedup")
     gone = found.where("NOT stays").select("doc_id", "h")
     again = found.where("stays").groupBy("doc_id", "h").count().where("count > 1").drop("count")
-    hashed = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    hashed = F.xxhash64(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
     once = _match(docs, gone.unionAll(again), hashed, "left_anti")
     return once.unionAll(_match(docs, again, hashed, "left_semi").dropDuplicates(["doc_id", "text"]))
 
