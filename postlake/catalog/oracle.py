@@ -155,6 +155,10 @@ EXTRACTED_PROFILES = f"""
 
 _MONTHS = "SELECT *, strftime(o_orderdate, '%Y-%m') AS segment FROM orders"
 
+# Months that have each part of the landing tables.
+_COMPLETE = f"""SELECT segment FROM ({_MONTHS}) GROUP BY segment
+        HAVING bool_or(o_orderkey % 3 = 0) AND bool_or(o_orderkey % 101 = 0) AND bool_or(o_orderkey % 5 = 0)"""
+
 _USER_LATEST = """SELECT url, crawl_date, name, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, event_id DESC) AS r
     FROM (%s) WHERE %s) WHERE r = 1"""
@@ -252,16 +256,24 @@ ORACLE: dict[str, str] = {
     "demux_counts": """
         SELECT 'profile' AS kind, count(*) AS n FROM customer UNION ALL
         SELECT 'post', count(*) FROM orders UNION ALL SELECT 'detailed', count(*) FROM events""",
+    "extract_large": f"""SELECT url, 'post' AS kind, NULL AS reason, crawl_date, body FROM ({EXTRACTED_POSTS})
+        UNION ALL SELECT 'page://' || key, 'quarantine', 'element is too large to read', fetch_time, NULL
+        FROM ({USABLE_PAGES}) WHERE NOT is_single AND conv_id % 2000 = 0 AND turn = 1""",
     "segment_range": f"""SELECT segment, count(*) AS n FROM ({_MONTHS})
         WHERE segment >= '1996-02-15' AND segment <= coalesce(
           (SELECT min(segment) FROM ({_MONTHS}) WHERE segment >= '1997-06-15'),
-          (SELECT max(segment) FROM ({_MONTHS})))
-        GROUP BY segment""",
-    "single_segment": f"SELECT segment, o_orderkey FROM ({_MONTHS}) WHERE segment = '1998-03'",
-    "complete_segments": f"""SELECT segment, count(*) AS n FROM ({_MONTHS}) WHERE segment IN (
-        SELECT segment FROM ({_MONTHS}) GROUP BY segment
-        HAVING count(DISTINCT o_orderpriority) = (SELECT count(DISTINCT o_orderpriority) FROM orders))
+          (SELECT max(segment) FROM ({_MONTHS}))) AND segment IN ({_COMPLETE})
         GROUP BY segment""",
+    "single_segment": f"""SELECT segment, CAST(o_orderkey AS VARCHAR) AS url FROM ({_MONTHS})
+        WHERE segment = '1998-04' AND segment IN ({_COMPLETE})""",
+    "complete_segments": f"SELECT segment, count(*) AS n FROM ({_MONTHS}) WHERE segment IN ({_COMPLETE}) GROUP BY segment",
+    "missing_path": f"SELECT url, crawl_date FROM ({PROFILES}) UNION ALL SELECT url, crawl_date FROM ({POSTS})",
+    "publish_again": f"SELECT url FROM ({EXTRACTED_POSTS}) WHERE segment IN ('s0', 's1', 's2', 's5', 's9')",
+    "stream_replay": f"SELECT url, crawl_date FROM ({POSTS})",
+    "stream_counts": f"""SELECT 'ingest ' || source AS name, count(*) AS n FROM ({POSTS}) GROUP BY source
+        UNION ALL SELECT 'ingest profiles', 2 * count(*) FROM customer""",
+    "bulk_index": _index(_matched(enriched(), True)),
+    "bounded_export": f"SELECT url, place FROM ({POSTS}), (VALUES ('read'), ('kept')) t(place)",
     "index_json": f"SELECT url, {INDEX_JSON} AS source FROM ({enriched()})",
     "profile_json": f"SELECT url, {PROFILE_JSON} AS json FROM ({PROFILES})",
     "post_json": f"""SELECT url, {POST_JSON} AS json

@@ -14,16 +14,19 @@ from postlake.functions import dates, hrefs, payload, text
 from postlake.operators import documents, enrich, filters, latest, layout, segments, upsert, words
 from postlake.plans import cycle, export, extract, maintain, views
 from postlake.plans.extract import extracted_records
-from postlake.schemas import DETAILED
+from postlake.schemas import DETAILED, POST, record
 from postlake.session import run_folder
+from postlake.sinks.bulk import read_bulks
 from postlake.sinks.extracted import read_extracted, write_extracted
 from postlake.sinks.index import index_rows
 from postlake.sources.cells import read_cells, readable
+from postlake.sources.exports import read_export, stream_export
 from postlake.sources.segments import SegmentStore
-from postlake.sources.topics import FileTopics
-from postlake.streaming.index import publish_index
+from postlake.sources.topics import FileTopics, finish
+from postlake.streaming.index import publish_bulks, publish_index
 from postlake.streaming.ingest import ingest_slice
 from postlake.streaming.publish import publish_topics
+from postlake.streaming.watch import Watch
 from postlake.tables import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,7 +159,7 @@ def clean_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_profile_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleanup job, from table to table."""
     lake = Lake(spark, run_folder(spark, "clean_profiles"))
-    lake.profile.append(records.profiles(spark, sf_dir))
+    lake.profile.upsert(records.profiles(spark, sf_dir))
     maintain.clean_profiles(lake)
     return lake.profile_tmp.read()
 
@@ -341,34 +344,77 @@ def extract_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"), F.sum("crawl_date").alias("crawl_sum"))
 
 
-def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def extract_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of pages that are all split before they are read, one of every 2000th conversation holding a document past any limit
+    besides: that document alone is set aside."""
+    parts = records.page_parts(spark, sf_dir)
+    number = F.regexp_extract("url", "//([0-9]+)/1$", 1).try_cast("bigint")
+    filler = F.concat(F.lit('[{"url":"x","contentMeta":{"type":"post"},"parseMeta":{"body":"'), F.repeat(F.lit("0123456789abcdef"), OVER_LIMIT), F.lit('"}},'))
+    large = F.when(number % 2000 == 0, F.concat(filler, F.substring("text", 2, 1 << 30))).otherwise(F.col("text"))
+    texts = parts["parse_text"].withColumn("text", large)
+    fetched = parts["fetch"].unionByName(parts["parse"])
+    rows = extracted_records(fetched, parts["parse_data"], texts, POSTS_AS_OF, large_bytes=1)
+    return rows.where("kind IN ('post', 'quarantine')").select("url", "kind", "reason", "crawl_date", "body")
+
+
+# Times 16 bytes, past what Spark's variant takes.
+OVER_LIMIT = (130 << 20) // 16
+
+
+def _month_store(spark: SparkSession, sf_dir: str) -> SegmentStore:
+    """Orders as landing tables by month: all of them fetched, every third parsed, and some of few numbers with data and text, so that
+    early and late months may lack a part."""
+    root = run_folder(spark, "months")
     orders = records.table(spark, sf_dir, "orders")
-    return orders.withColumn("segment", F.date_format("o_orderdate", "yyyy-MM"))
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("segment")
+    url = F.col("o_orderkey").cast("string").alias("url")
+    status, time = F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("fetch_time")
+    no_meta = F.lit(None).cast("map<string,string>")
+    made = {
+        "fetch": orders.select(url, status, time, month),
+        "parse": orders.where("o_orderkey % 3 = 0").select(url, status, time, month),
+        "parse_data": orders.where("o_orderkey % 101 = 0").select(url, status, no_meta.alias("content_meta"), no_meta.alias("parse_meta"), month),
+        "parse_text": orders.where("o_orderkey % 5 = 0").select(url, F.col("o_orderpriority").alias("text"), month),
+    }
+    for name, rows in made.items():
+        layout.group_for_write(rows, "segment").write.partitionBy("segment").parquet(f"{root}/{name}")
+    return SegmentStore(spark, root)
 
 
-def _per_segment(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+def _fetched_each(store: SegmentStore, names: list[str]) -> DataFrame:
+    return store.part("fetch", names).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def segment_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both ends fall between two segment names."""
-    return _per_segment(segments.segment_range(_months(spark, sf_dir), "1996-02-15", "1997-06-15"))
+    """Both ends fall between two segment names; segments that lack a part are left out."""
+    store = _month_store(spark, sf_dir)
+    return _fetched_each(store, store.select("1996-02-15", "1997-06-15"))
 
 
 @query
 def single_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _months(spark, sf_dir).where(F.col("segment") == "1998-03").select("segment", "o_orderkey")
+    store = _month_store(spark, sf_dir)
+    names = store.select(segment="1998-04")
+    return store.part("fetch", names).select("segment", "url")
 
 
-# The order priorities, here the parts a segment must have.
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+@query
+def complete_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _month_store(spark, sf_dir)
+    return _fetched_each(store, store.complete())
 
 
 @query
-def complete_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segments.complete_segments(_months(spark, sf_dir), "o_orderpriority", PRIORITIES)
-    return _per_segment(rows)
+def missing_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders as exports, and a third one that is not there."""
+    schema = record("url", "crawl_date")
+    root = run_folder(spark, "missing")
+    records.profiles(spark, sf_dir).select("url", "crawl_date").write.parquet(f"{root}/profiles")
+    records.posts(spark, sf_dir).select("url", "crawl_date").write.parquet(f"{root}/posts")
+    found = [read_export(spark, f"{root}/{name}", schema, missing="skip") for name in ("profiles", "comments", "posts")]
+    return reduce(DataFrame.unionAll, found)
 
 
 @query
@@ -495,7 +541,7 @@ def build_profile_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = records.profiles(spark, sf_dir)
     new, saved = _new_and_saved(spark, sf_dir)
     rest = profiles.drop("crawl_date", "name")
-    lake.profile.append(saved.join(rest, "url"))
+    lake.profile.upsert(saved.join(rest, "url"))
     lake.profile_to_process.append(new.join(rest, "url").withColumn("name", F.lit("~ earlier write")))
     lake.profile_to_process.append(new.join(rest, "url"))
     views.build_profile_view(lake)
@@ -520,12 +566,12 @@ def build_post_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_post_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both queues the join fills, from a profile table of several writes."""
     lake = Lake(spark, run_folder(spark, "post_join"))
-    lake.post.append(records.posts(spark, sf_dir), unique=True)
+    lake.post.upsert(records.posts(spark, sf_dir))
     profiles = records.profiles(spark, sf_dir)
     for turn in range(3):
         older = {"crawl_date": F.col("crawl_date") - 3 + turn, "name": F.lit(f"write {turn}")}
-        lake.profile.append(profiles.where(f"friend_count % 3 >= {turn}").withColumns(older), unique=True)
-    lake.profile.append(profiles, unique=True)
+        lake.profile.upsert(profiles.where(f"friend_count % 3 >= {turn}").withColumns(older))
+    lake.profile.upsert(profiles)
     views.build_post_join(lake)
     matched = lake.post_to_es.read().select("url", "profile_name", F.lit("post_to_es").alias("queue"))
     alone = lake.post_without_profile.read().select(
@@ -539,7 +585,7 @@ def repair_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts after the repair and what it set aside; the id of some posts fits no pattern."""
     lake = Lake(spark, run_folder(spark, "repair"))
     odd = F.when(F.col("sm_post_id") % 13 == 0, F.concat(F.lit("ok://"), "sm_post_id")).otherwise(F.col("id"))
-    lake.post.append(records.posts(spark, sf_dir).withColumn("id", odd), unique=True)
+    lake.post.upsert(records.posts(spark, sf_dir).withColumn("id", odd))
     maintain.repair_hrefs(lake)
     tables = (("post", lake.post), ("unrepaired", lake.unrepaired))
     found = [table.read().select(F.lit(name).alias("table_name"), "url", "href", "body") for name, table in tables]
@@ -598,6 +644,17 @@ def publish_topics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["publish_topics"] = QUERIES.pop("publish_topics_query")
 
 
+@query
+def publish_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of segments that overlap and leave gaps, published one after the other under one checkpoint; each record is sent once."""
+    root = run_folder(spark, "publish-again")
+    topics = FileTopics(spark, f"{root}/topics")
+    write_extracted(_extracted(spark, sf_dir, POSTS_AS_OF), f"{root}/out", records.SEGMENTS)
+    for names in (["s1", "s5"], ["s0", "s1", "s2"], ["s2", "s9", "none"], ["s5"]):
+        publish_topics(spark, f"{root}/out", names, topics, {"post": "posts"}, f"{root}/checkpoint")
+    return topics.read("posts").select(F.get_json_object("value", "$.url").alias("url"))
+
+
 def _send(topics: FileTopics, topic: str, rows: DataFrame) -> None:
     topics.write(rows.select(payload.message_json().alias("value")), topic)
 
@@ -631,13 +688,77 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*found, bad])
 
 
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts sent three times, twice in one slice; the queue gets each message once, before its keys would tell."""
+    lake = Lake(spark, run_folder(spark, "replay"))
+    topics = FileTopics(spark, f"{lake.root}/topics")
+    for times in (2, 1):
+        for _ in range(times):
+            _send(topics, "posts", records.posts(spark, sf_dir))
+        ingest_slice(lake, topics, {"post": ["posts"]}, f"{lake.root}/checkpoint", replay_window="1 hour")
+    return lake.post_to_process.rows().select("url", "crawl_date")
+
+
+@query
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each topic as the running streams report them, in two slices."""
+    lake = Lake(spark, run_folder(spark, "counts"))
+    topics = FileTopics(spark, f"{lake.root}/topics")
+    names = {"profile": ["profiles"], "post": ["fb", "vk"]}
+    with Watch(spark) as watch:
+        for part in ("sm_post_id % 2 = 0", "sm_post_id % 2 = 1"):
+            posts = records.posts(spark, sf_dir).where(part)
+            _send(topics, "fb", posts.where("source = 'fb'"))
+            _send(topics, "vk", posts.where("source = 'vk'"))
+            _send(topics, "profiles", records.profiles(spark, sf_dir))
+            watch.settle(ingest_slice(lake, topics, names, f"{lake.root}/checkpoint"))
+        counts = [(name, n) for name, n in watch.rows.items()]
+    return spark.createDataFrame(counts, "name string, n long")
+
+
+@query
+def bulk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export delivered in bulks by a stream of small micro-batches, as the bulks hold it; what was read lies in the archive."""
+    lake = Lake(spark, run_folder(spark, "bulk"))
+    root = f"{lake.root}/export"
+    lake.post_to_es.append(enrich.with_author(_enriched(spark, sf_dir)))
+    export.export_for_index(lake, root)
+    spark.read.parquet(root).repartition(5).write.parquet(f"{lake.root}/parts")
+    for _ in range(2):  # the second run finds nothing new to deliver and clears up after the first
+        publish_bulks(
+            spark, f"{lake.root}/parts", f"{lake.root}/bulks", f"{lake.root}/checkpoint", PREFIX, FIRST_YEAR,
+            bulk_bytes=100_000, max_files=2, archive=f"{lake.root}/archive",
+        )
+    return read_bulks(spark, f"{lake.root}/bulks").drop("bulk")
+
+
+@query
+def bounded_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the files of an export are after it was read in several micro-batches: all but those of the last one in the archive."""
+    root = run_folder(spark, "bounded")
+    records.posts(spark, sf_dir).repartition(6).write.parquet(f"{root}/export")
+    with Watch(spark) as watch:
+        rows = stream_export(spark, f"{root}/export", POST, max_files=2, archive=f"{root}/archive")
+        sink = rows.writeStream.queryName("bounded").format("parquet").option("path", f"{root}/out")
+        running = sink.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        finish([running])
+        watch.settle([running])
+    if watch.batches["bounded"] < 3:
+        raise RuntimeError(f"expected three micro-batches, not {watch.batches['bounded']}")
+    read = spark.read.parquet(f"{root}/out").select("url", F.lit("read").alias("place"))
+    archived = spark.read.option("recursiveFileLookup", "true").schema(POST).parquet(f"{root}/archive")
+    left = spark.read.schema(POST).parquet(f"{root}/export")
+    return read.unionAll(archived.unionAll(left).select("url", F.lit("kept").alias("place")))
+
+
 @query
 def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, run_folder(spark, "index"))
     lake.post_to_es.append(enrich.with_author(_enriched(spark, sf_dir)))
     export.export_for_index(lake, f"{lake.root}/export")
     publish_index(
-        spark, f"{lake.root}/export", lake.index.append, f"{lake.root}/checkpoint", PREFIX, FIRST_YEAR
+        spark, f"{lake.root}/export", lake.index.put, f"{lake.root}/checkpoint", PREFIX, FIRST_YEAR
     )
     return lake.index.read()
 

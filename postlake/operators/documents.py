@@ -2,7 +2,9 @@
 
 A single-document page is a profile described by its string metadata. A
 multi-document page carries a JSON array, one element per document, read through
-variant so that numbers keep their digits.
+variant so that numbers keep their digits. A text larger than a variant takes is
+split into its elements first, so only an element that is itself too large is
+set aside.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from postlake.schemas import (
 )
 
 NOT_JSON = "page text is no JSON array"
-TOO_LARGE = "page text is no JSON array, or too large to read"
+TOO_LARGE = "element is too large to read"
 BAD_ELEMENT = "element lacks metadata"
 BAD_DATE = "unreadable post date"
 # Fixed value: bytes up to which Spark's variant is sure to take a text.
@@ -52,8 +54,9 @@ _META = ", ".join(
 ELEMENT = f"struct<url: string, contentMeta: struct<{META_TYPE}: string>, parseMeta: struct<{_META}>>"
 
 
-def unnest(pages: DataFrame) -> DataFrame:
-    """One row per document, with `kind`, or with a `reason` it cannot be read.
+def unnest(pages: DataFrame, large_bytes: int = SURE_BYTES) -> DataFrame:
+    """One row per document, with `kind`, or with a `reason` it cannot be read. Texts
+    of more than `large_bytes` are split before they are read.
 
     Pages and elements that hold no document give no row. A single-document page
     is brought into the form of an element, so both sorts of page go through the
@@ -63,16 +66,24 @@ def unnest(pages: DataFrame) -> DataFrame:
     # A page text of JSON null is an empty result, not a malformed one.
     has_results = not_empty("text") & ~F.col("text").rlike(JSON_NULL)
     candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
-    parsed = F.try_variant_get(F.try_parse_json("text"), "$", f"array<{ELEMENT}>")
+    # Elements of a large page are split off as text, which has no limit, and read as arrays of one.
+    large = multi & (F.octet_length("text") > large_bytes)
+    split = F.from_json(F.when(large, F.col("text")), "array<string>", {"maxStringLen": str((1 << 31) - 1)})
+    pieces = F.when(large, F.coalesce(split, F.array(F.lit("")))).otherwise(F.array("text"))
+    kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
+    pages = candidates.select(*kept, "url", "parse_meta", large.alias("large"), F.explode(pieces).alias("piece"))
+    piece = F.coalesce("piece", F.lit("null"))
+    one = F.col("large") & (piece != "")
+    json = F.when(one, F.concat(F.lit("["), piece, F.lit("]"))).otherwise(F.col("piece"))
+    parsed = F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")
     page = F.struct(
         "url", F.struct(F.col("page_type").alias(META_TYPE)).alias("contentMeta"),
         F.col("parse_meta").alias("parseMeta"),
     )
     whole_page = F.array(F.try_variant_get(F.to_variant_object(page), "$", ELEMENT))
-    kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
-    elements = candidates.select(
+    elements = pages.select(
         *kept, F.col("url").alias("page_url"), F.when(multi, parsed).otherwise(whole_page).alias("elements"),
-        F.when(F.octet_length("text") > SURE_BYTES, TOO_LARGE).otherwise(NOT_JSON).alias("unreadable"),
+        F.when(one & piece.startswith("{"), TOO_LARGE).when(one, BAD_ELEMENT).otherwise(NOT_JSON).alias("unreadable"),
     )
     # Settled before the array is unnested, so that rows need not carry it along.
     marked = elements.withColumn("readable", F.col("elements").isNotNull())

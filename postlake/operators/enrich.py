@@ -7,13 +7,16 @@ Skew: posts without an author id get a key of their own, which spreads them over
 all partitions; a left join would send them to a single one. An author with a
 large share of the posts is split by AQE's skew join, which cuts the hot
 partition of posts into pieces and gives each its copy of that partition's
-profiles. `salt` does the same by hand for a session without AQE.
+profiles. `salt` does the same by hand for a session without AQE, for all authors alike;
+`enrich_unevenly` finds the authors that need it and how much, and leaves the
+profiles of all others where they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from postlake.schemas import DETAILED, POST
 
@@ -69,3 +72,46 @@ def posts_lacking_author(posts: DataFrame, profiles: DataFrame, salt: int = 1) -
     """Posts whose author has no profile, as an anti join of its own."""
     authors = profiles.select(F.col("url").alias("_author"))
     return _join(posts, authors, "left_anti", salt, None)
+
+
+# Authors looked for at most; beyond as many tasks a single author's share no longer holds one up. And bytes of the profiles of
+# such authors up to which every task gets all of them.
+MOST_HOT = 10_000
+HOT_BYTES = 64 << 20
+
+
+def hot_authors(posts: DataFrame, tasks: int) -> dict[str, int]:
+    """Authors with more posts than half a task's even share, and over how many tasks to spread each. Their counts come from a
+    mergeable frequency sketch: one pass, combined before the shuffle, of a size that depends on `tasks` alone."""
+    k = min(2 * tasks, MOST_HOT)
+    found = posts.where("profile_id IS NOT NULL").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(profile_id, {k}, {max(16 * k, 64)})").alias("top")
+    ).first()
+    half = found["n"] / (2 * tasks)
+    return {t["item"]: -(-int(t["count"]) // max(int(half), 1)) for t in found["top"] or () if t["count"] > half}
+
+
+def enrich_unevenly(posts: DataFrame, profiles: DataFrame, tasks: int) -> DataFrame:
+    """As `enrich`. Posts of hot authors, of whom there are few whatever the size of the tables, are joined apart: with all their
+    profiles in every task, if these are measured to be small, so these posts do not move; else each author's posts spread over as
+    many salts as their count asks for. The other posts meet the profiles by `profile_id`, without a shuffle of profiles that
+    are bucketed by url."""
+    hot = hot_authors(posts, tasks)
+    if not hot:
+        return enrich(posts, profiles)
+    names = list(hot)
+    is_hot = F.coalesce(F.col("profile_id").isin(names), F.lit(False))
+    authors, many = _author(profiles.where(F.col("url").isin(names))), posts.where(is_hot)
+    on = F.col("profile_id") == F.col("_author")
+    if (authors.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= HOT_BYTES:
+        authors = F.broadcast(authors)
+    else:
+        schema = StructType([StructField("_hot", StringType()), StructField("_salts", IntegerType())])
+        salts = posts.sparkSession.createDataFrame(list(hot.items()), schema)
+        spread = F.pmod(F.xxhash64("url"), "_salts").cast("int").alias("_salt")
+        many = many.join(salts, F.col("profile_id") == F.col("_hot")).select(*posts.columns, spread)
+        copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_author_salt")
+        authors = authors.join(salts, F.col("_author") == F.col("_hot")).select(*authors.columns, copies)
+        on = on & (F.col("_salt") == F.col("_author_salt"))
+    joined = many.join(authors, on, "left").withColumn("author_matched", F.col("_author").isNotNull())
+    return enrich(posts.where(~is_hot), profiles).unionByName(joined.drop("_author", "_salt", "_author_salt"))

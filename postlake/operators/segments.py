@@ -34,33 +34,6 @@ def count_usable(records: DataFrame) -> DataFrame:
     return usable(records).groupBy("segment").agg(F.count(F.lit(1)).alias("records"))
 
 
-def segment_range(df: DataFrame, start: str | None = None, stop: str | None = None) -> DataFrame:
-    """Rows of the segments from `start` on, up to and including the first
-    segment named `stop` or later."""
-    picked = df
-    if start is not None:
-        picked = picked.where(F.col("segment") >= start)
-    if stop is not None:
-        names = df.select("segment").where(F.col("segment") >= stop)
-        last = names.agg(F.min("segment")).scalar()
-        # No segment at or past `stop` means no end.
-        picked = picked.where(F.coalesce(F.col("segment") <= last, F.lit(True)))
-    return picked
-
-
-def complete_segments(
-    df: DataFrame, part: str = "part", required: Sequence[str] = tuple(SEGMENT_PARTS)
-) -> DataFrame:
-    """Rows of the segments that have every required part."""
-    bits = [
-        F.max(F.when(F.col(part) == name, 1).otherwise(0)).alias(f"_has{i}")
-        for i, name in enumerate(required)
-    ]
-    present = df.groupBy("segment").agg(*bits)
-    full = present.where(" AND ".join(f"_has{i} = 1" for i in range(len(required)))).select("segment")
-    return df.join(full, "segment", "left_semi")
-
-
 def _one_per_page(df: DataFrame, *order: Column) -> DataFrame:
     return top_per_key(df, ["segment", "url"], list(order))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,3 +36,27 @@ def merge_newest(
     rest = [F.col(c).desc_nulls_last() for c in saved.columns if c not in (*keys, date)]
     order = [F.col(date).desc_nulls_last(), F.col("_new"), *rest]
     return top_per_key(rows, keys, order).drop("_new")
+
+
+def merge_into(
+    saved: DataFrame, new: DataFrame, keys: Sequence[str], date: str | None = "crawl_date", ties_keep_saved: bool = True
+) -> DataFrame:
+    """The rows of `saved` after an upsert, where both sides have one row per key. A saved row stays if its date is newer, or the
+    same with `ties_keep_saved`; without a date every new row replaces. A join on the keys does it, so a side that is bucketed
+    by them is not shuffled. A null key is an error."""
+    named = new.select(*[F.col(c).alias(f"_new_{c}") for c in saved.columns], F.lit(True).alias("_is_new"))
+    for key in keys:
+        message = F.lit(f"a row without {key} has no place in a keyed table")
+        named = named.withColumn(f"_new_{key}", F.coalesce(F.col(f"_new_{key}"), F.raise_error(message).cast(saved.schema[key].dataType)))
+    on = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_new_{key}") for key in keys])
+    # No key is null, so a null one stands for a missing side.
+    wins = F.col(keys[0]).isNull()
+    if date is None:
+        wins = wins | F.col("_is_new")
+    else:
+        before, after = F.col(date), F.col(f"_new_{date}")
+        newer = after > before if ties_keep_saved else after >= before
+        wins = wins | (F.col("_is_new") & (F.coalesce(newer, before.isNull() & (after.isNotNull() | F.lit(not ties_keep_saved)))))
+    wins = F.coalesce(wins, F.lit(False))
+    joined = saved.join(named, on, "full_outer")
+    return joined.select(*[F.when(wins, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in saved.columns])

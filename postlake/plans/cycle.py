@@ -35,10 +35,7 @@ class CycleConfig:
 
 def run_cycle(lake: Lake, config: CycleConfig) -> None:
     """One cycle. Tables are emptied only after every step has succeeded; after a
-    failure the next cycle takes up all that is left. What the last cycle
-    replaced is deleted first, when nothing reads it any more."""
-    for table in lake.tables():
-        table.vacuum()
+    failure the next cycle takes up all that is left."""
     ingest_slice(lake, config.topics, config.names, config.checkpoint, config.strict)
     build_profile_view(lake)
     build_post_view(lake)
@@ -49,11 +46,9 @@ def run_cycle(lake: Lake, config: CycleConfig) -> None:
     export = f"{config.exports}/{uuid.uuid4().hex}"
     export_for_index(lake, f"{export}/rows", config.strict)
     publish_index(
-        lake.spark, f"{export}/rows", config.deliver or lake.index.append,
+        lake.spark, f"{export}/rows", config.deliver or lake.index.put,
         f"{export}/checkpoint", config.prefix, config.min_year,
     )
 
     rotate_queues(lake, config.max_age_ms)
-    lake.profile.compact()
-    lake.index.compact()
     files.delete(lake.spark, export)

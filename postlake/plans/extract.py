@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from postlake.operators.documents import keep_recent, project, raise_on_quarantine, unnest
+from postlake.operators.documents import SURE_BYTES, keep_recent, project, raise_on_quarantine, unnest
 from postlake.operators.segments import assemble, count_usable
 from postlake.session import fitted_shuffles
 from postlake.sinks.extracted import write_extracted
@@ -20,10 +20,11 @@ def extracted_records(
     parse_text: DataFrame,
     as_of: Column | dt.date | str | None = None,
     strict: bool = False,
+    large_bytes: int = SURE_BYTES,
 ) -> DataFrame:
     """Tagged records of all kinds, too old posts dropped. Duplicates are kept;
     the tables they go to are keyed."""
-    records = keep_recent(project(unnest(assemble(fetch, parse_data, parse_text))), as_of)
+    records = keep_recent(project(unnest(assemble(fetch, parse_data, parse_text), large_bytes)), as_of)
     return raise_on_quarantine(records) if strict else records
 
 

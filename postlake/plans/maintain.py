@@ -10,17 +10,18 @@ from postlake.tables import Lake, rotate
 
 def clean_profiles(lake: Lake, prefix: str = "fb") -> None:
     """Copy the profiles whose url does not start with a prefix to a table of their own."""
-    lake.profile_tmp.append(without_prefix(lake.profile.read(), prefix), unique=True)
+    lake.profile_tmp.upsert(without_prefix(lake.profile.read(), prefix))
 
 
 def repair_hrefs(lake: Lake, strict: bool = False) -> None:
     """Rebuild the links of posts from their ids. Posts whose link is right already
     are not written again; those whose id gives none keep the link they have and
     are set aside in `unrepaired`."""
-    posts = lake.post.settled()
+    posts = lake.post.read()
     repaired = repair_href(posts.withColumn("_old", F.col("href")), strict)
-    lake.post.append(repaired.where("href IS NOT NULL AND NOT href <=> _old"), unique=True)
-    lake.unrepaired.append(unrepairable(posts), unique=True)
+    if not strict:
+        lake.unrepaired.append(unrepairable(posts))
+    lake.post.upsert(repaired.where("href IS NOT NULL AND NOT href <=> _old"))
 
 
 def rotate_queues(lake: Lake, max_age_ms: int | None = None, now_ms: int | None = None) -> None:

@@ -1,50 +1,30 @@
 """View building: latest profiles, latest posts, posts joined to authors.
 
-The profile table outgrows what a cycle brings by far. Both jobs that meet it
-keep only the urls they need, by a semi join whose form Spark picks from the
-sizes it measures.
+The profile table outgrows what a cycle brings by far. Both jobs that meet it join on its buckets, so its rows stay where they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from postlake.operators.enrich import enrich
-from postlake.operators.upsert import conditional_upsert
-from postlake.session import fitted_shuffles
+from postlake.operators.enrich import enrich_unevenly
+from postlake.session import co_located
 from postlake.tables import Lake, append_split
 
 
-def _among(column: str, keys: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Filter for the rows whose `column` is one of the single-column `keys`."""
-    asked = keys.toDF("_asked").where("_asked IS NOT NULL").distinct()
-    return lambda rows: rows.join(asked, F.col(column) == F.col("_asked"), "left_semi")
-
-
 def build_profile_view(lake: Lake) -> None:
     """Add the queued profiles that are new or strictly newer than the saved ones."""
-    queued, saved = lake.profile_to_process, lake.profile
-    with fitted_shuffles(lake.spark, queued.bytes() + saved.bytes()):
-        known = _among("url", queued.rows().select("url"))(saved.rows().select("url", "crawl_date"))
-        saved.append(conditional_upsert(queued.newest("url"), known), unique=True)
+    queued = lake.profile_to_process
+    lake.profile.upsert(queued.newest("url"), touching=queued.rows())
 
 
 def build_post_view(lake: Lake) -> None:
     """Add the newest queued version of each post, in one pass over the queue as written."""
-    with fitted_shuffles(lake.spark, lake.post_to_process.bytes()):
-        lake.post.append(lake.post_to_process.newest("url"), unique=True)
+    queued = lake.post_to_process
+    lake.post.upsert(queued.newest("url"), touching=queued.rows())
 
 
 def build_post_join(lake: Lake) -> None:
-    """Queue posts with an author for the index, and set the others aside.
-
-    The profiles of this cycle's authors are written out first, so that the join
-    is one of two scans, and AQE can split the posts of a hot author.
-    """
-    with fitted_shuffles(lake.spark, lake.post.bytes() + lake.profile.bytes()):
-        posts = lake.post.settled()
-        profiles = lake.profile.settled(_among("url", posts.select("profile_id")))
-        append_split(enrich(posts, profiles), "author_matched", lake.post_to_es, lake.post_without_profile)
+    """Queue posts with an author for the index, and set the others aside. Posts go to the buckets of the profiles, those of
+    authors with very many to several tasks."""
+    with co_located(lake.spark, lake.profile.buckets):
+        joined = enrich_unevenly(lake.post.read(), lake.profile.read(), lake.profile.buckets)
+        append_split(joined, "author_matched", lake.post_to_es.path)

@@ -77,7 +77,30 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 # much larger rows are in a shuffle than in Parquet.
 PARTITION_BYTES = 128 << 20
 EXPANSION = 3
-INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def setting(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Options of `spark.sql` for the jobs inside, two underscores for a dot; the session is as before afterwards."""
+    names = {f"spark.sql.{name.replace('__', '.')}": value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def co_located(spark: SparkSession, buckets: int):
+    """Jobs that meet a table of so many buckets: shuffles deal rows as the buckets do, a bucket's one sorted file needs no sort,
+    and a write replaces the folders it has rows for. A bucketed side of fewer partitions than shuffles have would be shuffled."""
+    return setting(
+        spark, shuffle__partitions=str(buckets), adaptive__coalescePartitions__initialPartitionNum=str(buckets),
+        sources__bucketing__enabled="true", legacy__bucketedTableScan__outputOrdering="true",
+        sources__partitionOverwriteMode="dynamic",
+    )
 
 
 @contextmanager
@@ -87,9 +110,5 @@ def fitted_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     session is as before afterwards."""
     needed = -(-input_bytes * EXPANSION // PARTITION_BYTES)
     count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
-    before = spark.conf.get(INITIAL, None)
-    spark.conf.set(INITIAL, str(count))
-    try:
+    with setting(spark, adaptive__coalescePartitions__initialPartitionNum=str(count)):
         yield count
-    finally:
-        spark.conf.unset(INITIAL) if before is None else spark.conf.set(INITIAL, before)

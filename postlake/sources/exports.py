@@ -38,11 +38,21 @@ def stream_export(
     schema: StructType,
     missing: str = "fail",
     max_files: int | None = None,
+    max_bytes: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame | None:
-    """The same as a stream, or None for a path that is missing and skipped."""
+    """The same as a stream, or None for a path that is missing and skipped.
+
+    A micro-batch takes up to `max_files` files, or `max_bytes` and the file that passes them, so an export of any size is read
+    in batches of bounded size. Files whose batch is done go to the `archive` folder, under their own path.
+    """
     if not _check(spark, path, missing):
         return None
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(path)

@@ -5,8 +5,11 @@ Both give and take rows of one text column `value`.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -16,6 +19,8 @@ from postlake.schemas import record
 from postlake.session import empty
 from postlake.sources.exports import read_export
 
+LOGGER = logging.getLogger(__name__)
+
 
 @dataclass
 class KafkaTopics:
@@ -40,7 +45,7 @@ class KafkaTopics:
 
 @dataclass
 class FileTopics:
-    """Topics as folders of Parquet files."""
+    """Topics as folders, with one of Parquet files for each write, so several writers can send at once."""
 
     spark: SparkSession
     root: str
@@ -54,14 +59,14 @@ class FileTopics:
         if not files.exists(self.spark, self._path(topic)):
             self.write(empty(self.spark, record("value")), topic)
         reader = self.spark.readStream.schema("value string").options(**self.options)
-        return reader.parquet(self._path(topic))
+        return reader.parquet(f"{self._path(topic)}/*")
 
     def read(self, topic: str) -> DataFrame:
         """All messages so far; none for a topic nobody has written to."""
-        return read_export(self.spark, self._path(topic), record("value"), missing="skip")
+        return read_export(self.spark, f"{self._path(topic)}/*", record("value"), missing="skip")
 
     def write(self, messages: DataFrame, topic: str) -> None:
-        messages.select("value").write.mode("append").parquet(self._path(topic))
+        messages.select("value").write.parquet(f"{self._path(topic)}/sent-{uuid.uuid4().hex}")
 
     def sink(self, messages: DataFrame, topic: str) -> DataStreamWriter:
         def deliver(batch: DataFrame, _: int) -> None:
@@ -74,10 +79,23 @@ Topics = KafkaTopics | FileTopics
 
 
 def finish(queries: list[StreamingQuery]) -> None:
-    """Wait for bounded streams. The first failure stops the others and is raised."""
+    """Wait until all queries have ended. The first failure of any of them stops the others and is raised, also where those run on."""
+    if not queries:
+        return
+    streams = SparkSession.active().streams
     try:
-        for query in queries:
-            query.awaitTermination()
+        while True:
+            # Ended ones are forgotten before they are looked at, so none is missed.
+            streams.resetTerminated()
+            for query in queries:
+                if query.exception() is not None:
+                    query.awaitTermination()
+            if not any(query.isActive for query in queries):
+                return
+            try:
+                streams.awaitAnyTermination()
+            except StreamingQueryException as failed:
+                LOGGER.info("a stream failed: %s", failed)
     finally:
         for query in queries:
             if query.isActive:

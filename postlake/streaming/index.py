@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlake.operators.filters import MIN_YEAR, from_year
 from postlake.schemas import EXPORT
+from postlake.sinks.bulk import BULK_BYTES, register
 from postlake.sinks.index import PREFIX, index_rows
 from postlake.sources.exports import stream_export
 from postlake.sources.topics import finish
@@ -51,3 +52,24 @@ def publish_index(
 ) -> None:
     """Index what the export holds now, then return."""
     finish([publish_index_stream(spark, export, deliver, checkpoint, prefix, min_year)])
+
+
+def publish_bulks(
+    spark: SparkSession,
+    export: str,
+    path: str,
+    checkpoint: str,
+    prefix: str = PREFIX,
+    min_year: int = MIN_YEAR,
+    bulk_bytes: int = BULK_BYTES,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    archive: str | None = None,
+) -> None:
+    """Deliver what the export holds now to a folder of bulks, in micro-batches of bounded size, then return. Files that
+    are delivered go to `archive`."""
+    register(spark)
+    posts = stream_export(spark, export, EXPORT, max_files=max_files, max_bytes=max_bytes, archive=archive)
+    rows = index_rows(from_year(posts, min_year), prefix)
+    sink = rows.writeStream.format("bulk_index").option("path", path).option("bulk_bytes", bulk_bytes)
+    finish([sink.queryName("publish bulks").option("checkpointLocation", checkpoint).trigger(**SLICE).start()])

@@ -2,7 +2,9 @@
 
 Each topic is a query of its own with its own checkpoint. A micro-batch becomes
 one keyed append; delivery is at least once and the keys make a repeated batch
-harmless. Messages that hold no record go to the `bad_messages` table.
+harmless. Messages that hold no record go to the `bad_messages` table. With a
+replay window, messages that a topic repeats within it are dropped before they
+are written.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.functions.payload import CORRUPT, decode_message
 from postlake.schemas import BY_KIND
 from postlake.sources.topics import Topics, finish
-from postlake.tables import KeyedTable, Lake
+from postlake.tables import Lake, Queue
 
 # A slice reads what is there when it starts, then ends.
 SLICE = {"availableNow": True}
@@ -35,6 +37,13 @@ def decode_stream(messages: DataFrame, kind: str, strict: bool = False) -> DataF
     return rows.withColumn(CORRUPT, F.coalesce(CORRUPT, unkeyed))
 
 
+def without_replays(rows: DataFrame, window: str) -> DataFrame:
+    """Decoded messages but those that came before, byte for byte, up to `window` earlier. The clock is the time they came in, which
+    never runs behind, so no message is too late; the state holds a digest of each message of one window."""
+    timed = rows.withColumn("_digest", F.sha2(F.coalesce("value", F.lit("")), 256)).withWatermark("ingest_ts", window)
+    return timed.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+
+
 def _bad(batch: DataFrame, topic: str) -> DataFrame:
     return batch.where(F.col(CORRUPT).isNotNull()).select(
         F.lit(topic).alias("topic"),
@@ -43,7 +52,7 @@ def _bad(batch: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def _deliver(batch: DataFrame, topic: str, table: KeyedTable, bad: KeyedTable) -> None:
+def _deliver(batch: DataFrame, topic: str, table: Queue, bad: Queue) -> None:
     counts = Observation()
     observed = batch.observe(counts, F.count(F.col(CORRUPT)).alias("bad"))
     table.append(observed.where(F.col(CORRUPT).isNull()))
@@ -56,14 +65,17 @@ def ingest_topic(
     topics: Topics,
     topic: str,
     kind: str,
-    table: KeyedTable,
-    bad: KeyedTable,
+    table: Queue,
+    bad: Queue,
     checkpoint: str,
     trigger: Mapping | None = None,
     strict: bool = False,
+    replay_window: str | None = None,
 ) -> StreamingQuery:
     """Start the query that feeds one topic into one table."""
     rows = decode_stream(topics.stream(topic), kind, strict)
+    if replay_window:
+        rows = without_replays(rows, replay_window)
     counted = rows.observe(f"{kind}_rows", F.count(F.lit(1)).alias("rows"))
 
     def deliver(batch: DataFrame, _: int) -> None:
@@ -85,6 +97,7 @@ def ingest(
     checkpoint: str,
     trigger: Mapping | None = None,
     strict: bool = False,
+    replay_window: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one query per topic; `names` lists the topics of each kind.
 
@@ -98,7 +111,7 @@ def ingest(
     }
     jobs = [(kind, topic) for kind in tables for topic in names.get(kind, ())]
     return [
-        ingest_topic(topics, topic, kind, tables[kind], lake.bad_messages, checkpoint, trigger, strict)
+        ingest_topic(topics, topic, kind, tables[kind], lake.bad_messages, checkpoint, trigger, strict, replay_window)
         for kind, topic in jobs
     ]
 
@@ -109,6 +122,9 @@ def ingest_slice(
     names: Mapping[str, Sequence[str]],
     checkpoint: str,
     strict: bool = False,
-) -> None:
-    """Take in what the topics hold now, then return."""
-    finish(ingest(lake, topics, names, checkpoint, SLICE, strict))
+    replay_window: str | None = None,
+) -> list[StreamingQuery]:
+    """Take in what the topics hold now, then return the queries that did."""
+    queries = ingest(lake, topics, names, checkpoint, SLICE, strict, replay_window)
+    finish(queries)
+    return queries

@@ -11,10 +11,12 @@ from postlake.functions.payload import message_json
 from postlake.schemas import BY_KIND
 from postlake.sinks.extracted import folder
 from postlake.sources.exports import stream_export
+from postlake.sources.segments import batches
 from postlake.sources.topics import Topics, finish
 
 SLICE = {"availableNow": True}
 CONTINUOUS = {"processingTime": "3 seconds"}
+SEGMENTS_AT_ONCE = 4
 
 
 def publish_streams(
@@ -26,24 +28,24 @@ def publish_streams(
     checkpoint: str,
     trigger: Mapping | None = None,
 ) -> list[StreamingQuery]:
-    """Start a query per kind over the given segments.
+    """Start a query per kind and segment.
 
-    The checkpoint remembers files, so a segment is sent once however often the
-    job runs. A kind that none of the segments has is skipped.
+    Each has a folder as its source that stays the same, and a checkpoint of its own under the given one, so whatever lists of
+    segments the calls name, a record is sent once. A kind that a segment lacks is skipped.
     """
     queries = []
     for kind, topic in names.items():
-        path = folder(extracted, "{" + ",".join(segments) + "}", kind)
-        rows = stream_export(spark, path, BY_KIND[kind], missing="skip")
-        if rows is None:
-            continue
-        sink = topics.sink(rows.select(message_json().alias("value")), topic)
-        queries.append(
-            sink.queryName(f"publish {topic}")
-            .option("checkpointLocation", f"{checkpoint}/{kind}/{topic}")
-            .trigger(**(trigger or SLICE))
-            .start()
-        )
+        for segment in segments:
+            rows = stream_export(spark, folder(extracted, segment, kind), BY_KIND[kind], missing="skip")
+            if rows is None:
+                continue
+            sink = topics.sink(rows.select(message_json().alias("value")), topic)
+            queries.append(
+                sink.queryName(f"publish {topic} {segment}")
+                .option("checkpointLocation", f"{checkpoint}/{kind}/{topic}/{segment}")
+                .trigger(**(trigger or SLICE))
+                .start()
+            )
     return queries
 
 
@@ -55,5 +57,6 @@ def publish_topics(
     names: Mapping[str, str],
     checkpoint: str,
 ) -> None:
-    """Send what the segments hold now, then return."""
-    finish(publish_streams(spark, extracted, segments, topics, names, checkpoint))
+    """Send what the segments hold now, a few of them at a time, then return."""
+    for few in batches(segments, SEGMENTS_AT_ONCE):
+        finish(publish_streams(spark, extracted, few, topics, names, checkpoint))

@@ -1,227 +1,153 @@
-"""Keyed tables on plain Parquet.
-
-A table is a folder of immutable writes. `delta` and `unique` writes add rows,
-the latter at most one per key; `full` and `empty` writes replace what came
-before them. Reading takes the last of these and what was added since, and keeps
-one row per key. A write counts once the table has put its own marker there,
-after all its files, so a job that dies leaves the table as it was, whatever
-Hadoop is set to, and writing the same rows twice changes nothing.
-
-An upsert therefore costs the rows it brings, not the size of the table, and the
-reader's group-by-key shuffle is the one a join on that key needs anyway.
-`compact` folds writes by their bytes alone: late small ones among themselves,
-all of them into a full write once they have outgrown it.
+"""Tables of one deployment: queues that writes add to, and keyed tables that upserts change.
+
+Both are plain Parquet that Spark writes and reads by itself. A queue gets a folder for each write and is read down to one row per
+key, so whatever comes twice counts once. A keyed table holds one row per key in a folder for each hash bucket of its keys;
+an upsert rewrites the buckets its keys fall into, by dynamic partition overwrite, and no others. The buckets are those of Spark's
+own bucketed tables, so a join on the keys, an upsert above all, shuffles the other side only.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Callable, Sequence
+import hashlib
+import time
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from postlake import files, schemas
 from postlake.operators.latest import top_per_key
-from postlake.operators.layout import group_for_write
-from postlake.session import empty, run_folder
+from postlake.operators.upsert import merge_into
+from postlake.session import co_located, empty
 
-REPLACING = ("full", "empty")
-MARKER = "_COMMITTED"
-_WRITE = re.compile(r"/kind=(full|empty|delta|unique)/version=(\d+)/write=(\w+)")
+BUCKETS = 8
 
 
 @dataclass
-class KeyedTable:
-    """One row per `keys`.
-
-    `date` orders the rows of a key, newest first; without it the last write
-    wins. Rows of the same date go to the later write, or to the earlier one if
-    `ties_keep_saved`.
-    """
+class Queue:
+    """Rows by the write they came with. `date` orders the rows of a key, newest first; rows of one date go to the later write,
+    further ties by the other columns. Without a date the later write wins."""
 
     spark: SparkSession
     path: str
     schema: StructType
     keys: tuple[str, ...]
     date: str | None = "crawl_date"
-    ties_keep_saved: bool = False
-    partition_by: tuple[str, ...] = field(default=())
     # Columns stored beside the record, null where a write lacks them.
     beside: StructType = field(default_factory=StructType)
+    # A subfolder of each write, where one job writes two queues.
+    side: str = ""
+
+    def batches(self) -> list[str]:
+        return files.matching(self.spark, f"{self.path}/batch=*{self.side}")
 
-    def _writes(self, committed: bool = True) -> list[tuple[int, str, str]]:
-        """(version, kind, path) of the writes, oldest first."""
-        tail = f"/{MARKER}" if committed else ""
-        found = files.matching(self.spark, f"{self.path}/kind=*/version=*/write=*{tail}")
-        writes = []
-        for path in found:
-            path = path.removesuffix(f"/{MARKER}")
-            kind, version, _ = _WRITE.search(path).groups()
-            writes.append((int(version), kind, path))
-        # Of two writes made at once, the one that only adds counts as the later.
-        return sorted(writes, key=lambda w: (w[0], w[1] not in REPLACING, w[2]))
-
-    def _current(self) -> list[tuple[int, str, str]]:
-        """The writes a reader needs, from the last replacing one on."""
-        writes = self._writes()
-        replacing = [i for i, (_, kind, _) in enumerate(writes) if kind in REPLACING]
-        return writes[replacing[-1]:] if replacing else writes
-
-    def _to_scan(self) -> list[tuple[int, str, str]]:
-        return [write for write in self._current() if write[1] != "empty"]
-
-    def _next(self, kind: str) -> str:
-        version = max((v for v, _, _ in self._writes(committed=False)), default=0) + 1
-        return f"{self.path}/kind={kind}/version={version}/write=w{uuid.uuid4().hex}"
-
-    def _write(self, df: DataFrame, kind: str) -> None:
+    def append(self, df: DataFrame) -> None:
         beside = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.beside]
-        rows = df.select(*self.schema.names, *beside)
-        if self.partition_by:
-            rows = group_for_write(rows, *self.partition_by)
-        target = self._next(kind)
-        rows.write.partitionBy(*self.partition_by).parquet(target)
-        files.touch(self.spark, f"{target}/{MARKER}")
-
-    def append(self, df: DataFrame, unique: bool = False) -> None:
-        """Upsert the rows of `df`. Rows known to be `unique` by key can be read
-        back without grouping while nothing else is in the table."""
-        self._write(df, "unique" if unique else "delta")
+        df.select(*self.schema.names, *beside).write.parquet(f"{self.path}/batch={time.time_ns()}{self.side}")
 
     def replace(self, df: DataFrame) -> None:
-        """Make the rows of `df`, unique by key, the whole table. Like `truncate`,
-        for use while nothing else writes to it."""
-        self._write(df, "full")
+        """Make the rows of `df` the whole queue. Until the old ones are gone both are there, which the keys absorb."""
+        old = self.batches()
+        self.append(df)
+        self._delete(old)
 
     def truncate(self) -> None:
-        files.touch(self.spark, f"{self._next('empty')}/{MARKER}")
-
-    def _scan(self, writes: list[tuple[int, str, str]]) -> DataFrame:
-        schema = StructType(
-            [*self.schema.fields, *self.beside.fields, StructField("version", LongType()),
-             StructField("write", StringType())]
-        )
-        if not writes:
+        self._delete(self.batches())
+
+    def _delete(self, paths: Sequence[str]) -> None:
+        for path in paths:
+            files.delete(self.spark, path)
+
+    def rows_beside(self) -> DataFrame:
+        """All rows as written, several per key, with the columns beside them and `batch`, which orders the writes."""
+        schema = StructType([*self.schema.fields, *self.beside.fields, StructField("batch", LongType())])
+        found = self.batches()
+        if not found:
             return empty(self.spark, schema)
-        reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*[path for _, _, path in writes])
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*found)
 
     def rows(self) -> DataFrame:
-        """All rows as written since the last full write, several per key."""
-        return self._scan(self._to_scan()).select(*self.schema.names)
+        return self.rows_beside().select(*self.schema.names)
 
-    def rows_beside(self) -> DataFrame:
-        """The same with the columns stored beside the records."""
-        return self._scan(self._to_scan()).select(*self.schema.names, *self.beside.names)
-
-    def _plain(self) -> bool:
-        """Whether the rows as written are one per key."""
-        return [kind for _, kind, _ in self._to_scan()] in ([], ["full"], ["unique"])
-
-    def _order(self, keys: Sequence[str]) -> list[Column]:
-        order = [F.col(self.date).desc_nulls_last()] if self.date else []
-        if self.ties_keep_saved:
-            order += [F.col("version"), F.col("write")]
-        else:
-            order += [F.col("version").desc(), F.col("write").desc()]
-        rest = [c for c in self.schema.names if c not in (*keys, self.date)]
-        return order + [F.col(c).desc_nulls_last() for c in rest]
-
-    def read(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-        """One row per key. `narrow` drops whole keys before they are grouped."""
-        rows = self._scan(self._to_scan())
-        if narrow is not None:
-            rows = narrow(rows)
-        if not self._plain():
-            rows = top_per_key(rows, self.keys, self._order(self.keys))
+    def newest(self, *keys: str) -> DataFrame:
+        """One row for each value of some of the keys, in one pass: dates, then writes decide."""
+        first = [F.col(self.date).desc_nulls_last()] if self.date else []
+        rest = [F.col(c).desc_nulls_last() for c in self.schema.names if c not in (*keys, self.date)]
+        return top_per_key(self.rows_beside(), keys, [*first, F.col("batch").desc(), *rest]).select(*self.schema.names)
+
+    def read(self) -> DataFrame:
+        return self.newest(*self.keys)
+
+
+@dataclass
+class KeyedTable:
+    """One row per `keys`, none of which may be null. An upsert replaces a saved row unless the saved `date` is newer, or the same
+    with `ties_keep_saved`; without a date the last upsert wins. One writer at a time."""
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    keys: tuple[str, ...]
+    date: str | None = "crawl_date"
+    ties_keep_saved: bool = False
+    buckets: int = BUCKETS
+
+    def table(self) -> str:
+        """Its name in the session's catalog, where the buckets are declared."""
+        name = f"postlake_{hashlib.md5(f'{self.path} {self.buckets}'.encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet PARTITIONED BY (bucket) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            )
+            if files.exists(self.spark, self.path):
+                self.spark.catalog.recoverPartitions(name)
+        return name
+
+    def bucket(self) -> Column:
+        """The hash by which Spark deals rows to partitions and buckets."""
+        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        rows = self.spark.table(self.table())
+        if buckets is not None and len(buckets) < self.buckets:
+            rows = rows.where(F.col("bucket").isin(list(buckets)))
         return rows.select(*self.schema.names)
 
-    def newest(self, *keys: str) -> DataFrame:
-        """One row for each value of some of the keys, as `read` and the newest of
-        it would give, in one pass: the same order decides between dates and writes."""
-        return top_per_key(self._scan(self._to_scan()), keys, self._order(keys)).select(*self.schema.names)
-
-    def settled(self, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-        """One row per key as a plain scan: what `read` gives, written out if it
-        takes more. AQE can split a hot key of a join only if the join's input
-        comes straight from its shuffle."""
-        if narrow is None and self._plain():
-            return self.read()
-        path = run_folder(self.spark, "settled")
-        self.read(narrow).write.parquet(path)
-        return self.spark.read.schema(self.schema).parquet(path)
-
-    def compact(self) -> None:
-        """Fold the deltas into a full write if they hold more bytes than it;
-        else fold the last ones into one delta, from the first that is no larger
-        than those after it.
-
-        A row is so rewritten once for each doubling of what it lies in, however
-        many upserts there are and however small. The deltas that were folded go
-        only when their rows are in the new one; rows in both change nothing.
-        """
-        writes = self._to_scan()
-        sizes = [files.size(self.spark, path) for _, _, path in writes]
-        full = sum(size for size, (_, kind, _) in zip(sizes, writes) if kind == "full")
-        deltas = [(size, write) for size, write in zip(sizes, writes) if write[1] != "full"]
-        if sum(size for size, _ in deltas) > full:
-            if len(writes) > 1 or writes[0][1] == "delta":
-                self.replace(self.read())
-            return
-        after = [sum(size for size, _ in deltas[i + 1 :]) for i in range(len(deltas))]
-        first = next((i for i, (size, _) in enumerate(deltas[:-1]) if size <= after[i]), None)
-        if first is None:
-            return
-        folded = [write for _, write in deltas[first:]]
-        self.append(top_per_key(self._scan(folded), self.keys, self._order(self.keys)), unique=True)
-        for _, _, path in folded:
-            # Without its marker a half-deleted write is none.
-            files.delete(self.spark, f"{path}/{MARKER}")
-            files.delete(self.spark, path)
+    def merged(self, new: DataFrame, touching: DataFrame | None = None) -> DataFrame:
+        """The buckets that an upsert writes, as they are after it."""
+        found = (new if touching is None else touching).select(self.bucket().alias("bucket")).distinct().collect()
+        rows = merge_into(self.read([r["bucket"] for r in found]), new, self.keys, self.date, self.ties_keep_saved)
+        return rows.select(*self.schema.names, self.bucket().alias("bucket"))
+
+    def upsert(self, new: DataFrame, touching: DataFrame | None = None) -> None:
+        """Put rows, unique by key. `touching` has the keys of all of them where that is cheaper to read."""
+        with co_located(self.spark, self.buckets):
+            self.merged(new.select(*self.schema.names), touching).write.mode("overwrite").insertInto(self.table())
+
+    def put(self, rows: DataFrame) -> None:
+        """Put rows that may repeat a key; the newest of each counts, ties by the other columns."""
+        first = [F.col(self.date).desc_nulls_last()] if self.date else []
+        rest = [F.col(c).desc_nulls_last() for c in self.schema.names if c not in (*self.keys, self.date)]
+        self.upsert(top_per_key(rows, self.keys, [*first, *rest]), touching=rows)
+
+    def truncate(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table()}")
+        files.delete(self.spark, self.path)
+
+
+def append_split(rows: DataFrame, flag: str, root: str) -> None:
+    """Append rows to the two queues of a root by a boolean column; one job writes both, so what made the rows runs once."""
+    rows.write.partitionBy(flag).parquet(f"{root}/batch={time.time_ns()}")
 
-    def bytes(self) -> int:
-        """Size of what a reader scans."""
-        return sum(files.size(self.spark, path) for _, _, path in self._to_scan())
-
-    def vacuum(self) -> None:
-        """Delete the writes no reader needs any more: those before the last full
-        one, and older ones that never finished."""
-        current = self._current()
-        if current:
-            for version, _, path in self._writes(committed=False):
-                if version < current[0][0]:
-                    files.delete(self.spark, path)
-        files.delete(self.spark, f"{self.path}/staged")
-
-
-def append_split(rows: DataFrame, flag: str, if_true: KeyedTable, if_false: KeyedTable) -> None:
-    """Upsert rows, unique by key, into one of two tables by a boolean column.
-
-    One job writes both sides, so what made the rows runs once and needs no cache.
-    The columns are those of `rows`; each table reads the ones it knows. The sides
-    are then moved to their tables, which an object store does by copying; a side
-    counts once its marker is there.
-    """
-    staged = f"{if_true.path}/staged/{uuid.uuid4().hex}"
-    rows.write.partitionBy(flag).parquet(staged)
-    for value, table in (("true", if_true), ("false", if_false)):
-        side = f"{staged}/{flag}={value}"
-        if files.exists(table.spark, side):
-            target = table._next("unique")
-            files.move(table.spark, side, target)
-            files.touch(table.spark, f"{target}/{MARKER}")
-
-
-def rotate(source: KeyedTable, target: KeyedTable, keep=None) -> None:
-    """Move the rows of one table into another of the same keys, replacing its rows.
-
-    The target is written before the source is emptied, so a failure in between
-    leaves the rows in both, never in neither.
-    """
+
+def rotate(source: Queue, target: Queue, keep: Column | None = None) -> None:
+    """Move the rows of one queue into another of the same keys, replacing its rows. The target is written before the source is
+    emptied, so a failure in between leaves the rows in both, never in neither."""
     rows = source.read()
     target.replace(rows if keep is None else rows.where(keep))
     source.truncate()
@@ -229,63 +155,58 @@ def rotate(source: KeyedTable, target: KeyedTable, keep=None) -> None:
 
 @dataclass
 class Lake:
-    """The tables of one deployment, as folders under `root`."""
+    """The tables of one deployment, as folders under `root`. `buckets` of its keyed tables stays the same for good."""
 
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS
+
+    def _queue(self, name: str, schema: StructType, *keys: str, **options) -> Queue:
+        return Queue(self.spark, f"{self.root}/{name}", schema, keys, **options)
 
-    def _table(self, name: str, schema: StructType, *keys: str, **options) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/{name}", schema, keys, **options)
+    def _keyed(self, name: str, schema: StructType, *keys: str, **options) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/{name}", schema, keys, buckets=self.buckets, **options)
 
     @property
-    def profile_to_process(self) -> KeyedTable:
-        return self._table("profile_to_process", schemas.PROFILE, "url", "crawl_date", beside=schemas.INGESTED)
+    def profile_to_process(self) -> Queue:
+        return self._queue("profile_to_process", schemas.PROFILE, "url", "crawl_date", beside=schemas.INGESTED)
 
     @property
-    def post_to_process(self) -> KeyedTable:
-        return self._table("post_to_process", schemas.POST, "url", "crawl_date", beside=schemas.INGESTED)
+    def post_to_process(self) -> Queue:
+        return self._queue("post_to_process", schemas.POST, "url", "crawl_date", beside=schemas.INGESTED)
 
     @property
-    def profile(self) -> KeyedTable:
-        return self._table("profile", schemas.PROFILE, "url", ties_keep_saved=True)
+    def post_to_es(self) -> Queue:
+        return self._queue("joined", schemas.DETAILED, "url", beside=schemas.INGESTED, side="/author_matched=true")
 
     @property
-    def profile_tmp(self) -> KeyedTable:
-        return self._table("profile_tmp", schemas.PROFILE, "url")
+    def post_without_profile(self) -> Queue:
+        return self._queue("joined", schemas.POST, "url", "crawl_date", side="/author_matched=false")
 
     @property
-    def post(self) -> KeyedTable:
-        return self._table("post", schemas.POST, "url")
+    def undated(self) -> Queue:
+        return self._queue("undated", schemas.DETAILED, "url")
 
     @property
-    def post_without_profile(self) -> KeyedTable:
-        return self._table("post_without_profile", schemas.POST, "url", "crawl_date")
+    def unrepaired(self) -> Queue:
+        return self._queue("unrepaired", schemas.POST, "url")
 
     @property
-    def post_to_es(self) -> KeyedTable:
-        return self._table("post_to_es", schemas.DETAILED, "url", beside=schemas.INGESTED)
+    def bad_messages(self) -> Queue:
+        return self._queue("bad_messages", schemas.BAD_MESSAGE, "topic", "message", date=None)
 
     @property
-    def index(self) -> KeyedTable:
-        return self._table(
-            "index", schemas.INDEX_ROW, "index_name", "_id", date=None, partition_by=("index_name",)
-        )
+    def profile(self) -> KeyedTable:
+        return self._keyed("profile", schemas.PROFILE, "url", ties_keep_saved=True)
 
     @property
-    def undated(self) -> KeyedTable:
-        return self._table("undated", schemas.DETAILED, "url")
+    def profile_tmp(self) -> KeyedTable:
+        return self._keyed("profile_tmp", schemas.PROFILE, "url")
 
     @property
-    def unrepaired(self) -> KeyedTable:
-        return self._table("unrepaired", schemas.POST, "url")
+    def post(self) -> KeyedTable:
+        return self._keyed("post", schemas.POST, "url")
 
     @property
-    def bad_messages(self) -> KeyedTable:
-        return self._table("bad_messages", schemas.BAD_MESSAGE, "topic", "message", date=None)
-
-    def tables(self) -> list[KeyedTable]:
-        return [
-            self.profile_to_process, self.post_to_process, self.profile, self.profile_tmp, self.post,
-            self.post_without_profile, self.post_to_es, self.index, self.undated, self.unrepaired,
-            self.bad_messages,
-        ]
+    def index(self) -> KeyedTable:
+        return self._keyed("index", schemas.INDEX_ROW, "index_name", "_id", date=None)

@@ -13,7 +13,7 @@ from postlake.tables import Lake  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("postlake-tests", cores="8")
+    session = local_session("postlake-tests", cores="8", **{"spark.driver.memory": "6g"})
     yield session
     session.stop()
 

@@ -16,9 +16,11 @@ from postlake.sinks.index import index_rows, send
 from postlake.sources.cells import read_cells, readable, unreadable
 from postlake.sources.exports import read_export, stream_export
 from postlake.sources.segments import SegmentStore
-from postlake.sources.topics import FileTopics, KafkaTopics
-from postlake.streaming.index import publish_index
-from postlake.streaming.ingest import CONTINUOUS, ingest, ingest_slice
+from postlake.sinks import bulk
+from postlake.sources.topics import FileTopics, KafkaTopics, finish
+from postlake.streaming.index import publish_bulks, publish_index
+from postlake.streaming.ingest import CONTINUOUS, ingest, ingest_slice, without_replays
+from postlake.streaming.watch import Watch
 from postlake.streaming import publish
 from postlake.streaming.publish import publish_streams, publish_topics
 from test_operators import landing
@@ -197,6 +199,68 @@ def test_kafka_needs_its_connector(spark):
         KafkaTopics(spark, {"kafka.bootstrap.servers": "none:1", "startingOffsets": "earliest"}).stream("t")
 
 
+def test_a_failure_of_one_running_stream_stops_the_others(spark, lake, folder):
+    """Both run on; the second one fails while the first has nothing to do."""
+    topics = FileTopics(spark, f"{folder}/topics")
+    names = {"profile": ["fine"], "post": ["broken"]}
+    send_to(topics, "fine", profiles(spark, {"url": "a"}))
+    running = ingest(lake, topics, names, f"{folder}/checkpoint", {"processingTime": "1 second"}, strict=True)
+    for query in running:
+        query.processAllAvailable()
+    topics.write(spark.createDataFrame([("{no",)], "value string"), "broken")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        finish(running)
+    assert not any(query.isActive for query in running)
+    assert values(lake.profile_to_process.read(), "url") == [("a",)]
+    finish([])
+
+
+def test_watch_counts_rows_and_failures(spark, lake, folder):
+    topics = FileTopics(spark, f"{folder}/topics")
+    send_to(topics, "t", profiles(spark, {"url": "a"}, {"url": "b"}))
+    topics.write(spark.createDataFrame([("{no",)], "value string"), "u")
+    with Watch(spark) as watch:
+        watch.settle(ingest_slice(lake, topics, {"profile": ["t", "u"]}, f"{folder}/checkpoint"))
+        assert dict(watch.rows) == {"ingest t": 2, "ingest u": 1} and not watch.failures
+        failing = ingest(lake, topics, {"post": ["u"]}, f"{folder}/strict", strict=True)
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+            finish(failing)
+        watch.settle(failing)
+        assert list(watch.failures) == ["ingest u"]
+
+
+def test_replays_within_the_window_are_not_written(spark, lake, folder):
+    topics = FileTopics(spark, f"{folder}/topics")
+    names, rows = {"profile": ["t"]}, profiles(spark, {"url": "a"}, {"url": "a"}, {"url": "b"})
+    for _ in range(3):
+        send_to(topics, "t", rows)
+        topics.write(spark.createDataFrame([("{no",), (None,)], "value string"), "t")
+        ingest_slice(lake, topics, names, f"{folder}/checkpoint", replay_window="1 hour")
+    assert values(lake.profile_to_process.rows(), "url") == [("a",), ("b",)]
+    assert lake.bad_messages.rows().count() == 2
+    # A later version of a record is no replay.
+    send_to(topics, "t", profiles(spark, {"url": "a", "name": "new"}))
+    (query,) = ingest_slice(lake, topics, names, f"{folder}/checkpoint", replay_window="1 hour")
+    assert lake.profile_to_process.rows().count() == 3
+    state = query.lastProgress["stateOperators"][0]
+    assert state["operatorName"] == "dedupeWithinWatermark" and state["numRowsTotal"] <= 5
+
+
+def test_state_of_replays_is_bounded(spark, folder):
+    """Digests older than the window are forgotten."""
+    schema = "value string, ingest_ts timestamp"
+    for k in range(4):
+        made = spark.sql(f"SELECT concat('m', id) AS value, timestamp_seconds({k} * 7200) AS ingest_ts FROM range(10)")
+        made.write.parquet(f"{folder}/in/{k}")
+    rows = without_replays(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*"), "1 hour")
+    sink = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    running = sink.trigger(availableNow=True).start()
+    finish([running])
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]]
+    assert max(states) <= 20
+    assert spark.read.parquet(f"{folder}/out").count() == 40
+
+
 # --- cells, exports and the index -----------------------------------------------------
 
 
@@ -227,7 +291,7 @@ def test_export_and_index(spark, lake, folder):
     assert values(spark.read.parquet(f"{folder}/export"), "url") == [("a",), ("blank",), ("edge",), ("old",)]
     assert values(lake.undated.read(), "url") == [("bad",)]
     for checkpoint in ("one", "one", "two"):
-        publish_index(spark, f"{folder}/export", lake.index.append, f"{folder}/{checkpoint}", "m-")
+        publish_index(spark, f"{folder}/export", lake.index.put, f"{folder}/{checkpoint}", "m-")
     assert values(lake.index.read(), "index_name", "_id") == [
         ("m-y2013-hy2-q4-m12", "edge"), ("m-y2016-hy1-q2-m4", "a"), ("m-y2016-hy1-q2-m4", "blank")]
     with pytest.raises(Exception, match="unreadable post date"):
@@ -240,6 +304,60 @@ def test_index_rows_can_go_to_any_writer(spark, folder):
     assert values(spark.read.json(folder), "_id", "index_name") == [("a", "m-y2016-hy1-q2-m4")]
 
 
+def test_bulks_are_cut_by_bytes():
+    rows = [("m", f"id{k}", "x" * n) for k, n in enumerate([10, 60, 5, 500, 5, 5])]
+    made = list(bulk.bulks(iter(rows), 120))
+    assert b"".join(made).count(b"\n") == 12
+    assert [(len(b) <= 120, b.count(b"\n")) for b in made] == [(True, 2), (True, 2), (True, 2), (False, 2), (True, 4)]
+    assert list(bulk.bulks(iter([]), 120)) == []
+
+
+def test_bulks_hold_what_was_written_and_a_repeated_batch_replaces(spark, folder):
+    bulk.register(spark)
+    rows = spark.createDataFrame([("m", f"ü\"{k}", f'{{"a":"line\\n{k}"}}') for k in range(100)], "index_name string, _id string, source string").repartition(3)
+    rows.write.format("bulk_index").option("path", f"{folder}/batch").option("bulk_bytes", 500).mode("append").save()
+    found = bulk.read_bulks(spark, f"{folder}/batch")
+    assert values(found.drop("bulk")) == values(rows)
+    assert found.select("bulk").distinct().count() > 10
+    failing = rows.withColumn("source", F.when(F.col("_id") == 'ü"7', F.raise_error(F.lit("no"))).otherwise(F.col("source")))
+    with pytest.raises(Exception, match="no"):
+        failing.write.format("bulk_index").option("path", f"{folder}/failed").mode("append").save()
+    assert files.matching(spark, f"{folder}/failed/job=*") == [] and files.matching(spark, f"{folder}/failed/_staged/*") == []
+
+    # A batch whose commit was lost runs again.
+    rows.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    sink = stream.writeStream.format("bulk_index").option("path", f"{folder}/stream").option("checkpointLocation", f"{folder}/checkpoint")
+    for _ in range(2):
+        finish([sink.trigger(availableNow=True).start()])
+        assert values(bulk.read_bulks(spark, f"{folder}/stream").drop("bulk")) == values(rows)
+        files.delete(spark, f"{folder}/checkpoint/commits/0")
+
+
+def test_an_export_is_read_in_batches_and_archived(spark, lake, folder):
+    detailed(spark, *[{"url": f"u{k}"} for k in range(6)]).withColumn("post_local_date", F.lit("2016-01-01").cast("date")).repartition(3).write.parquet(f"{folder}/export")
+    parts = len(files.matching(spark, f"{folder}/export/part-*"))
+    for _ in range(2):
+        publish_bulks(spark, f"{folder}/export", f"{folder}/bulks", f"{folder}/checkpoint", "m-", max_files=1, archive=f"{folder}/archive")
+    assert bulk.read_bulks(spark, f"{folder}/bulks").count() == 6
+    assert len(files.matching(spark, f"{folder}/bulks/batch=*")) >= parts
+    left = files.matching(spark, f"{folder}/export/part-*")
+    assert len(left) <= 1  # the last batch's
+    with pytest.raises(Exception, match="maxBytesPerTrigger"):
+        stream_export(spark, f"{folder}/export", POST, max_files=1, max_bytes=1).writeStream.format("noop").option(
+            "checkpointLocation", f"{folder}/none").trigger(availableNow=True).start().awaitTermination()
+
+
+def test_segments_are_published_once_whatever_the_lists(spark, store, folder):
+    out, topics = f"{folder}/out", FileTopics(spark, f"{folder}/topics")
+    extract_segments(store, out, as_of="2016-06-01")
+    sent = []
+    for segments in (["s5"], ["s1", "s5"], ["s3"], ["s1", "s3", "s5"]):
+        publish_topics(spark, out, segments, topics, {"post": "posts", "profile": "profiles"}, f"{folder}/checkpoint")
+        sent.append((topics.read("posts").count(), topics.read("profiles").count()))
+    assert sent == [(2, 2), (4, 4), (6, 6), (6, 6)]
+
+
 # --- the cycle ----------------------------------------------------------------------
 
 

@@ -124,10 +124,8 @@ def test_layout_changes_no_rows(spark):
     ("s2", "s4", ["s3", "s5"]), (None, None, ["s1", "s3", "s5"]), ("s3", None, ["s3", "s5"]),
     (None, "s3", ["s1", "s3"]), ("s4", "s2", []), (None, "s9", ["s1", "s3", "s5"]), ("s6", None, []),
 ])
-def test_segment_range(spark, start, stop, expected):
+def test_segment_range(start, stop, expected):
     assert pick(["s5", "s1", "s3"], start, stop) == expected
-    rows = spark.createDataFrame([(s,) for s in ("s1", "s3", "s5")], "segment string")
-    assert values(segments.segment_range(rows, start, stop)) == [(s,) for s in expected]
 
 
 def test_batches():
@@ -135,12 +133,6 @@ def test_batches():
     assert list(batches(["a", "b"])) == [["a"], ["b"]]
 
 
-def test_complete_segments(spark):
-    rows = [("s1", p) for p in ("fetch", "parse", "parse_data", "parse_text")] + [("s2", "fetch")]
-    found = segments.complete_segments(spark.createDataFrame(rows, "segment string, part string"))
-    assert values(found.select("segment").distinct()) == [("s1",)]
-
-
 def landing(spark):
     """A page of each sort, most of them holding nothing."""
     def meta(**content):
@@ -232,3 +224,19 @@ def test_pages_too_large_to_read_say_so(spark):
         F.when(F.col("id") == 0, F.concat(F.lit('[{"url":"'), F.expr(f"repeat('x', int({150 << 20} + id))"), F.lit('"}]'))).otherwise("[").alias("text"),
     )
     assert values(documents.unnest(pages), "page_url", "reason") == [("u0", documents.TOO_LARGE), ("u1", documents.NOT_JSON)]
+
+
+ELEMENTS = [
+    '{"url":"a","contentMeta":{"type":"post"},"parseMeta":{"date":"d","engagement":12345678901234567890.0,"body":"q\\"[,]{ é"}}',
+    '{"url":"b","contentMeta":{"type":"profile"},"parseMeta":{"reach":1.50,"name":null}}', '{"url":"c"}', "null", '"text"', "[1]", "7",
+]
+
+
+@pytest.mark.parametrize("text", [
+    "[" + ",".join(ELEMENTS) + "]", " [ " + " , ".join(ELEMENTS[:2]) + " ] ", "[]", " [ ] ", "[{broken", "{}", "7", '["', "[" + ELEMENTS[0], "",
+])
+def test_split_pages_give_what_whole_ones_give(spark, text):
+    schema = "from_segment string, url string, crawl_date long, segment string, page_type string, route string, parse_meta map<string,string>, text string"
+    pages = spark.createDataFrame([("s", "page", 1, "s", "post", "multi", None, text)], schema)
+    whole, split = (values(documents.project(documents.unnest(pages, limit))) for limit in (1 << 20, 0))
+    assert split == whole

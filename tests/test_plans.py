@@ -7,15 +7,16 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from build import posts, profiles
+from build import posts, profiles, values
 from postlake.catalog import queries, records
+from postlake.operators import enrich as enrichment
 from postlake.operators import filters, latest, upsert
 from postlake.operators.documents import project, unnest
 from postlake.operators.enrich import enrich, posts_lacking_author
 from postlake.operators.segments import assemble
 from postlake.schemas import EXPORT
 from postlake.plans import views
-from postlake.session import fitted_shuffles, shared_folder
+from postlake.session import co_located, fitted_shuffles, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,30 +104,66 @@ def authors(spark):
     return names.select("url", *[F.lit(None).cast(f.dataType).alias(f.name) for f in base.schema.fields])
 
 
-def test_hot_author_is_split_in_the_job(spark, lake, monkeypatch):
-    """On a profile table of three writes, its normal state."""
-    settings = NO_BROADCAST | {
-        "adaptive__skewJoin__skewedPartitionThresholdInBytes": "500KB",
-        "adaptive__skewJoin__skewedPartitionFactor": "2",
-        "adaptive__advisoryPartitionSizeInBytes": "200KB",
-        "adaptive__maxShuffledHashJoinLocalMapThreshold": "0",
-    }
-    seen = []
+def test_upsert_shuffles_the_new_rows_only_and_reads_their_buckets(spark, lake):
+    lake.profile.put(profiles(spark, *[{"url": f"u{i}"} for i in range(100)]))
+    new = profiles(spark, {"url": "u1", "crawl_date": 9})
+    with conf(spark, **NO_BROADCAST), co_located(spark, lake.buckets):
+        text = plan(lake.profile.merged(new))
+    scan = text[text.index("FileScan"):]
+    assert text.count("Exchange") == 1 and text.index("Exchange") > text.index("FileScan")
+    assert "Bucketed: true" in scan and "PartitionFilters: [isnotnull(bucket" in scan.replace("IN (", "(")
+    # One file for each bucket, sorted: only the new rows are sorted, and the write's own order comes on top.
+    assert text.count("Sort [") == 1
+
+
+@pytest.fixture
+def seen(monkeypatch):
+    """Plans of the rows that the author join writes, and how many rows of posts each of its tasks gives."""
+    found = {}
 
     def watched(rows, *args):
-        rows.collect()
-        seen.append(plan(rows))
+        found["plan"] = plan(rows)
+        found["tasks"] = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
         return original(rows, *args)
 
     original = views.append_split
     monkeypatch.setattr(views, "append_split", watched)
-    with conf(spark, **settings):
-        for _ in range(3):
-            lake.profile.append(authors(spark), unique=True)
-        lake.post.append(hot_posts(spark).repartition(8), unique=True)
+    return found
+
+
+def half_hot(spark, rows=40_000):
+    base = hot_posts(spark, rows).drop("profile_id", "body")
+    number = F.substring("url", 2, 9).cast("int")
+    author = F.when(number % 2 == 0, "hot").otherwise(F.concat(F.lit("a"), number % 5000))
+    return base.select("url", author.alias("profile_id"), F.lit("b").alias("body"), *[c for c in base.columns if c != "url"])
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])
+def test_profiles_stay_and_hot_authors_are_spread(spark, lake, seen, monkeypatch, most):
+    """Half the posts are by one author; without AQE no task has twice the median. The profile table is of two upserts."""
+    monkeypatch.setattr(enrichment, "HOT_BYTES", most)
+    with conf(spark, **NO_BROADCAST, adaptive__enabled="false"):
+        lake.profile.put(authors(spark).where("url < 'a3'"))
+        lake.profile.put(authors(spark).where("url >= 'a2'"))
+        lake.post.put(half_hot(spark))
         views.build_post_join(lake)
-    assert "skew=true" in seen[0]
-    assert lake.post_to_es.read().count() == lake.post.read().where("profile_id IS NOT NULL").count()
+    cold = seen["plan"][: seen["plan"].index("hot", seen["plan"].index("FileScan"))]
+    assert "Bucketed: true" in seen["plan"] and "Cartesian" not in seen["plan"] and cold
+    if most:
+        scans = seen["plan"].split("FileScan")
+        # Posts are shuffled to the buckets, profiles are not.
+        assert seen["plan"].count("Exchange hashpartitioning") == 1 and len(scans) == 5
+        tasks = sorted(seen["tasks"])
+        assert tasks[-1] < 2 * tasks[len(tasks) // 2]
+    assert lake.post_to_es.rows().count() == 40_000 and lake.post_without_profile.rows().count() == 0
+    assert values(lake.post_to_es.read().groupBy("profile_name").count())
+
+
+def test_heavy_authors_are_found_and_weighed(spark):
+    found = enrichment.hot_authors(half_hot(spark).where("url < 'p3'"), 8)
+    assert set(found) == {"hot"} and 7 <= found["hot"] <= 9
+    assert enrichment.hot_authors(half_hot(spark).where("profile_id <> 'hot'"), 8) == {}
+    assert enrichment.hot_authors(half_hot(spark).limit(0), 8) == {}
 
 
 @pytest.mark.parametrize("salt, share", [(1, 0.6), (16, 0.25)])
@@ -141,16 +178,6 @@ def test_posts_without_author_id_are_spread(spark, salt, share):
         assert lacking.count() == joined.where("NOT author_matched").count() == 20_000
 
 
-def test_join_keeps_the_wanted_profiles_before_they_are_grouped(spark, lake):
-    for url in "ab":
-        lake.profile.append(profiles(spark, {"url": url}), unique=True)
-    keys = posts(spark, {"url": "p", "profile_id": "a"}).select("profile_id")
-    text = plan(lake.profile.read(views._among("url", keys)))
-    # Printed from the top down.
-    assert text.index("Window") < text.index("Join") < text.index("FileScan")
-    assert "LeftSemi" in text
-
-
 def test_year_filter_reaches_the_scan(spark, folder):
     spark.createDataFrame([], EXPORT).write.parquet(folder)
     read = spark.read.schema(EXPORT).parquet(folder)
@@ -158,7 +185,7 @@ def test_year_filter_reaches_the_scan(spark, folder):
 
 
 def test_reading_prunes_columns(spark, lake):
-    lake.post.append(posts(spark, {"url": "a"}), unique=True)
+    lake.post.put(posts(spark, {"url": "a"}))
     text = plan(lake.post.read().select("url", "body"))
     assert "ReadSchema: struct<url:string,body:string>" in text
     assert "Exchange" not in text

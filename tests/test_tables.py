@@ -8,32 +8,41 @@ from pyspark.sql import functions as F
 from build import posts, profiles, values
 from postlake import files
 from postlake.operators.enrich import enrich, with_author, without_author
-from postlake.operators.upsert import conditional_upsert
 from postlake.plans import maintain, views
 from postlake.session import run_folder
-from postlake.tables import MARKER, Lake, rotate
+from postlake.tables import Lake, append_split, rotate
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
+def files_of(spark, table):
+    return {path.rsplit("/", 2)[1]: path for path in files.matching(spark, f"{table.path}/bucket=*/part-*")}
+
+
 def test_upsert_keeps_the_newest(spark, lake):
     assert lake.profile.read().count() == 0
-    lake.profile.append(profiles(spark, {"url": "a", "crawl_date": 2, "name": "1"}, {"url": "b", "name": "1"}))
-    lake.profile.append(profiles(spark, {"url": "a", "crawl_date": 1, "name": "2"}, {"url": "c", "name": "2"}))
-    lake.profile.append(profiles(spark, {"url": "b", "crawl_date": 9, "name": "3"}, {"url": "c", "name": "3"}))
+    lake.profile.put(profiles(spark, {"url": "a", "crawl_date": 2, "name": "1"}, {"url": "b", "name": "1"}))
+    lake.profile.put(profiles(spark, {"url": "a", "crawl_date": 1, "name": "2"}, {"url": "c", "name": "2"}))
+    lake.profile.put(profiles(spark, {"url": "b", "crawl_date": 9, "name": "3"}, {"url": "c", "name": "3"}))
     expected = [("a", 2, "1"), ("b", 9, "3"), ("c", 1, "2")]
     assert values(lake.profile.read(), "url", "crawl_date", "name") == expected
-    assert lake.profile.rows().count() == 6
-    lake.profile.compact()
-    assert values(lake.profile.rows(), "url", "crawl_date", "name") == expected
 
 
 def test_ties_go_to_the_later_write_where_nothing_says_otherwise(spark, lake):
     for name in "xba":
-        lake.profile_tmp.append(profiles(spark, {"url": "u", "name": name}))
-        lake.profile.append(profiles(spark, {"url": "u", "name": name}))
+        lake.profile_tmp.put(profiles(spark, {"url": "u", "name": name}))
+        lake.profile.put(profiles(spark, {"url": "u", "name": name}))
+        lake.profile_to_process.append(profiles(spark, {"url": "u", "name": name}))
     assert values(lake.profile_tmp.read(), "name") == [("a",)]
     assert values(lake.profile.read(), "name") == [("x",)]
+    assert values(lake.profile_to_process.read(), "name") == [("a",)]
+
+
+def test_rows_without_a_date_give_way(spark, lake):
+    for table, kept in ((lake.profile, ["x", "x", "z", "z"]), (lake.profile_tmp, ["x", "y", "z", "z"])):
+        for (date, name), left in zip([(None, "x"), (None, "y"), (5, "z"), (None, "w")], kept):
+            table.put(profiles(spark, {"url": "u", "crawl_date": date, "name": name}))
+            assert values(table.read(), "name") == [(left,)]
 
 
 def test_history_keeps_every_crawl(spark, lake):
@@ -41,80 +50,74 @@ def test_history_keeps_every_crawl(spark, lake):
     lake.profile_to_process.append(rows)
     lake.profile_to_process.append(rows)
     assert values(lake.profile_to_process.read(), "url", "crawl_date") == [("a", 1), ("a", 2)]
+    assert lake.profile_to_process.rows().count() == 4
 
 
-def test_unfinished_write_is_ignored_and_vacuumed(spark, lake):
+def test_an_upsert_writes_only_the_buckets_of_its_keys(spark, lake):
     table = lake.profile
-    table.append(profiles(spark, {"url": "a"}))
-    table.append(profiles(spark, {"url": "b"}))
-    last = table._writes()[-1][2]
-    files.delete(spark, f"{last}/{MARKER}")
-    assert values(table.read(), "url") == [("a",)]
-    table.append(profiles(spark, {"url": "c"}))
-    table.compact()
-    table.vacuum()
-    assert [kind for _, kind, _ in table._writes(committed=False)] == ["full"]
-    assert values(table.read(), "url") == [("a",), ("c",)]
-
-
-def test_truncate_and_unique_writes(spark, lake):
-    rows = profiles(spark, {"url": "a"}, {"url": "b"})
-    lake.profile.append(rows, unique=True)
-    assert "Window" not in lake.profile.read()._jdf.queryExecution().optimizedPlan().toString()
+    table.put(profiles(spark, *[{"url": f"u{i}"} for i in range(200)]))
+    before = files_of(spark, table)
+    assert len(before) == lake.buckets  # one file each
+    new = profiles(spark, {"url": "u3", "crawl_date": 9, "name": "new"}, {"url": "v1"})
+    touched = {f"bucket={r[0]}" for r in new.select(table.bucket()).collect()}
+    table.put(new)
+    after = files_of(spark, table)
+    assert {b for b in after if after[b] != before.get(b)} == touched and len(touched) < lake.buckets
+    assert table.read().count() == 201 and values(table.read().where("url = 'u3'"), "name") == [("new",)]
+    table.put(new.limit(0))
+    assert files_of(spark, table) == after
+
+
+def test_a_table_is_found_by_another_session(spark, lake):
+    lake.profile.put(profiles(spark, *[{"url": f"u{i}"} for i in range(20)]))
+    other = Lake(spark.newSession(), lake.root)
+    spark.sql(f"DROP TABLE {lake.profile.table()}")
+    assert other.profile.read().count() == 20
+    other.profile.put(profiles(other.spark, {"url": "z"}))
+    assert lake.profile.read().count() == 21
+
+
+def test_null_keys_are_an_error(spark, lake):
+    with pytest.raises(Exception, match="a row without url"):
+        lake.profile.put(profiles(spark, {"url": None}))
+
+
+def test_truncate(spark, lake):
+    lake.profile.put(profiles(spark, {"url": "a"}, {"url": "b"}))
     lake.profile.truncate()
-    assert lake.profile.read().count() == 0 and lake.profile.bytes() == 0
-    lake.profile.append(rows, unique=True)
-    lake.profile.append(rows, unique=True)
-    assert values(lake.profile.read(), "url") == [("a",), ("b",)]
-
-
-def test_compaction_waits_for_deltas_to_outgrow_the_full_write(spark, lake):
-    rows = profiles(spark, *[{"url": f"u{i}", "name": "x" * 50} for i in range(2000)])
-    lake.profile.replace(rows)
-    lake.profile.append(rows.limit(1))
-    lake.profile.compact()
-    assert [kind for _, kind, _ in lake.profile._current()] == ["full", "delta"]
-    lake.profile.append(rows.withColumn("crawl_date", F.lit(2).cast("bigint")))
-    lake.profile.append(rows.withColumn("crawl_date", F.lit(3).cast("bigint")))
-    lake.profile.compact()
-    assert [kind for _, kind, _ in lake.profile._current()] == ["full"]
-    assert lake.profile.read().where("crawl_date = 3").count() == 2000
-
-
-def test_many_small_deltas_are_folded_without_the_full_write(spark, lake):
-    names = [F.sha2(F.concat(F.lit(str(k)), F.col("id")), 512) for k in range(20)]
-    many = profiles(spark, {"url": "x"}).drop("url", "name").crossJoin(
-        spark.range(20_000).select(F.concat(F.lit("u"), "id").alias("url"), F.concat(*names).alias("name")))
-    lake.profile.replace(many)
-    base = lake.profile._current()[0]
-    for k in range(12):
-        lake.profile.append(profiles(spark, {"url": "u1", "crawl_date": 5, "name": f"{k}"}, {"url": f"new{k}"}))
-        lake.profile.compact()
-        assert lake.profile._current()[0] == base
-        assert len(lake.profile._current()) <= 5
-    assert values(lake.profile.read().where("url = 'u1'"), "name") == [("0",)]
-    assert lake.profile.read().count() == 20_012
-
-
-def test_writes_count_without_hadoops_own_marker(spark, lake):
-    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    spark._jsc.hadoopConfiguration().set(name, "false")
-    try:
-        lake.profile.append(profiles(spark, {"url": "a"}))
-        assert values(lake.profile.read(), "url") == [("a",)]
-    finally:
-        spark._jsc.hadoopConfiguration().unset(name)
+    assert lake.profile.read().count() == 0 and files.matching(spark, lake.profile.path) == []
+    lake.profile.put(profiles(spark, {"url": "a"}, {"url": "a"}))
+    assert values(lake.profile.read(), "url") == [("a",)]
+    lake.profile_to_process.append(profiles(spark, {"url": "a"}))
+    lake.profile_to_process.replace(profiles(spark, {"url": "b"}))
+    assert values(lake.profile_to_process.read(), "url") == [("b",)]
+    lake.profile_to_process.truncate()
+    assert lake.profile_to_process.read().count() == 0
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, lake):
+    lake.profile.put(profiles(spark, {"url": "a"}, {"url": "b"}))
+    failing = profiles(spark, {"url": "a", "crawl_date": 9}).withColumn("name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        lake.profile.put(failing)
+    assert values(lake.profile.read(), "url", "crawl_date") == [("a", 1), ("b", 1)]
 
 
 def test_index_table_is_keyed_by_index_and_id(spark, lake):
     schema = "index_name string, _id string, source string"
-    lake.index.append(spark.createDataFrame([("m1", "a", "1"), ("m2", "a", "2")], schema))
-    lake.index.append(spark.createDataFrame([("m1", "a", "3"), ("m1", "b", "4")], schema))
+    lake.index.put(spark.createDataFrame([("m1", "a", "1"), ("m2", "a", "2")], schema))
+    lake.index.put(spark.createDataFrame([("m1", "a", "3"), ("m1", "b", "4")], schema))
     assert values(lake.index.read()) == [("m1", "a", "3"), ("m1", "b", "4"), ("m2", "a", "2")]
-    month = lake.index.read().where("index_name = 'm2'")
-    assert values(month) == [("m2", "a", "2")]
-    plan = month._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(index_name" in plan
+
+
+def test_queues_of_one_root_are_apart(spark, lake):
+    rows = posts(spark, {"url": "a"}, {"url": "b", "crawl_date": 5})
+    joined = enrich(rows.withColumn("profile_id", F.when(F.col("url") == "a", "x")), profiles(spark, {"url": "x"}))
+    append_split(joined, "author_matched", lake.post_to_es.path)
+    lake.post_to_es.append(with_author(joined).withColumn("url", F.lit("c")))
+    assert values(lake.post_to_es.read(), "url") == [("a",), ("c",)]
+    lake.post_to_es.truncate()
+    assert values(lake.post_without_profile.read(), "url") == [("b",)] and lake.post_to_es.read().count() == 0
 
 
 def test_rotate_writes_the_target_before_it_empties_the_source(spark, lake):
@@ -138,9 +141,9 @@ def rows_of(spark, seen):
 @given(observations)
 def test_upsert_twice_is_upsert_once(spark, seen):
     lake = Lake(spark, run_folder(spark, "test"))
-    lake.profile.append(rows_of(spark, seen))
+    lake.profile.put(rows_of(spark, seen))
     once = values(lake.profile.read())
-    lake.profile.append(rows_of(spark, seen))
+    lake.profile.put(rows_of(spark, seen))
     assert values(lake.profile.read()) == once
 
 
@@ -151,7 +154,7 @@ def test_order_of_upserts_does_not_matter_for_the_date(spark, first, second):
     for pair in ((first, second), (second, first)):
         lake = Lake(spark, run_folder(spark, "test"))
         for seen in pair:
-            lake.profile.append(rows_of(spark, seen))
+            lake.profile.put(rows_of(spark, seen))
         results.append(values(lake.profile.read(), "url", "crawl_date"))
     newest = {u: max(d for v, d, _ in first + second if v == u) for u, _, _ in first + second}
     assert results == [sorted(newest.items())] * 2
@@ -161,7 +164,7 @@ def test_order_of_upserts_does_not_matter_for_the_date(spark, first, second):
 @given(observations, observations)
 def test_profile_view_equals_the_rule_applied_row_by_row(spark, saved, new):
     lake = Lake(spark, run_folder(spark, "test"))
-    lake.profile.append(rows_of(spark, saved))
+    lake.profile.put(rows_of(spark, saved))
     before = {r.url: (r.crawl_date, r.name) for r in lake.profile.read().collect()}
     lake.profile_to_process.append(rows_of(spark, new))
     views.build_profile_view(lake)
@@ -209,10 +212,10 @@ def test_retry_age_limit(spark, lake):
 
 
 def test_maintenance_jobs(spark, lake):
-    lake.profile.append(profiles(spark, {"url": "fb://1"}, {"url": "vk://id1"}))
+    lake.profile.put(profiles(spark, {"url": "fb://1"}, {"url": "vk://id1"}))
     maintain.clean_profiles(lake)
     assert values(lake.profile_tmp.read(), "url") == [("vk://id1",)]
-    lake.post.append(posts(
+    lake.post.put(posts(
         spark, {"url": "vk://id1/posts/2", "href": "x"}, {"url": "ok://1", "href": "y"},
         {"url": "vk://id1/posts/3", "href": "http://vk.com/wall1_3"},
     ))
@@ -220,7 +223,6 @@ def test_maintenance_jobs(spark, lake):
     assert values(lake.unrepaired.read(), "url", "href") == [("ok://1", "y")]
     assert values(lake.post.read(), "url", "href") == [
         ("ok://1", "y"), ("vk://id1/posts/2", "http://vk.com/wall1_2"), ("vk://id1/posts/3", "http://vk.com/wall1_3")]
-    assert lake.post.rows().count() == 4
     with pytest.raises(Exception, match="no link for id"):
         maintain.repair_hrefs(lake, strict=True)
     assert lake.post.read().count() == 3
@@ -247,15 +249,14 @@ def test_views_of_a_queue_are_views_of_what_it_reads(spark, seen):
 
 def test_views_with_a_profile_table_larger_than_the_queues(spark, lake):
     saved = [{"url": f"a{i}", "crawl_date": 5, "name": f"n{i}"} for i in range(500)]
-    lake.profile.append(profiles(spark, *saved[:250]))
-    lake.profile.append(profiles(spark, *saved[200:]))
+    lake.profile.put(profiles(spark, *saved[:250]))
+    lake.profile.put(profiles(spark, *saved[200:]))
     lake.profile_to_process.append(profiles(
         spark, {"url": "a1", "crawl_date": 5}, {"url": "a2", "crawl_date": 6, "name": "new"}, {"url": "b"}))
     lake.post_to_process.append(posts(
         spark, {"url": "p1", "profile_id": "a2"}, {"url": "p2", "profile_id": "a499"}, {"url": "p3", "profile_id": "z"}))
     views.build_profile_view(lake)
     assert lake.profile.read().count() == 501
-    assert lake.profile.rows().count() == 500 + 50 + 2
     views.build_post_view(lake)
     views.build_post_join(lake)
     assert values(lake.post_to_es.read(), "url", "profile_name") == [("p1", "new"), ("p2", "n499")]
