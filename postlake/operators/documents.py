@@ -34,6 +34,7 @@ BAD_ELEMENT = "element lacks metadata"
 BAD_DATE = "unreadable post date"
 # Fixed value: bytes up to which Spark's variant is sure to take a text.
 SURE_BYTES = 16 << 20
+NO_LIMIT = {"maxStringLen": str((1 << 31) - 1)}
 JSON_NULL = r"^\s*null\s*$"
 
 # Number fields, by the kinds of element in which they are one.
@@ -66,16 +67,23 @@ def unnest(pages: DataFrame, large_bytes: int = SURE_BYTES) -> DataFrame:
     # A page text of JSON null is an empty result, not a malformed one.
     has_results = not_empty("text") & ~F.col("text").rlike(JSON_NULL)
     candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
-    # Elements of a large page are split off as text, which has no limit, and read as arrays of one.
-    large = multi & (F.octet_length("text") > large_bytes)
-    split = F.from_json(F.when(large, F.col("text")), "array<string>", {"maxStringLen": str((1 << 31) - 1)})
-    pieces = F.when(large, F.coalesce(split, F.array(F.lit("")))).otherwise(F.array("text"))
     kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
-    pages = candidates.select(*kept, "url", "parse_meta", large.alias("large"), F.explode(pieces).alias("piece"))
+    # The elements of a large page are variants of their own; if one of them is too large, they are split off as text, which has
+    # no limit, and read as arrays of one.
+    large = multi & (F.octet_length("text") > large_bytes)
+    pages = candidates.select(
+        *kept, "url", "parse_meta", "text", large.alias("large"),
+        F.from_json(F.when(large, F.col("text")), "array<variant>", NO_LIMIT).alias("whole"),
+    )
+    split = F.coalesce(F.from_json("text", "array<string>", NO_LIMIT), F.array(F.lit("")))
+    pieces = F.when(F.col("large") & F.col("whole").isNull(), split).otherwise(F.array("text"))
+    pages = pages.select(*kept, "url", "parse_meta", "large", "whole", F.explode(pieces).alias("piece"))
     piece = F.coalesce("piece", F.lit("null"))
-    one = F.col("large") & (piece != "")
+    one = F.col("large") & F.col("whole").isNull() & (piece != "")
     json = F.when(one, F.concat(F.lit("["), piece, F.lit("]"))).otherwise(F.col("piece"))
-    parsed = F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")
+    parsed = F.when(F.col("whole").isNull(), F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")).otherwise(
+        F.transform("whole", lambda v: F.try_variant_get(v, "$", ELEMENT))
+    )
     page = F.struct(
         "url", F.struct(F.col("page_type").alias(META_TYPE)).alias("contentMeta"),
         F.col("parse_meta").alias("parseMeta"),
@@ -116,7 +124,10 @@ def _value(name: str) -> str:
     if name == "is_comment":
         value = f"coalesce({value}, false)"
     elif name in NUMBERS:
-        as_number = f"regexp_replace({value}, r'{TRAILING_ZERO}', '')"
+        # Large numbers of elements split off as text come in powers of ten.
+        plain = f"regexp_replace(try_cast({value} AS DECIMAL(38, 9)), r'[.]?0+$', '')"
+        plain = f"CASE WHEN {value} LIKE '%E%' THEN coalesce({plain}, {value}) ELSE {value} END"
+        as_number = f"regexp_replace({plain}, r'{TRAILING_ZERO}', '')"
         value = f"CASE WHEN route = 'multi' AND kind IN ({NUMBERS[name]}) THEN {as_number} ELSE {value} END"
     return f"CASE WHEN kind IN ({kinds}) THEN {value} END AS {name}"
 

@@ -53,12 +53,16 @@ def _bad(batch: DataFrame, topic: str) -> DataFrame:
 
 
 def _deliver(batch: DataFrame, topic: str, table: Queue, bad: Queue) -> None:
-    counts = Observation()
-    observed = batch.observe(counts, F.count(F.col(CORRUPT)).alias("bad"))
-    table.append(observed.where(F.col(CORRUPT).isNull()))
-    # A second pass over the batch only when the first has seen a bad message.
-    if counts.get["bad"]:
-        bad.append(_bad(batch, topic))
+    # Two writes may take the batch; it is read and counted once.
+    batch = batch.persist()
+    try:
+        counts = Observation()
+        observed = batch.observe(counts, F.count(F.col(CORRUPT)).alias("bad"))
+        table.append(observed.where(F.col(CORRUPT).isNull()))
+        if counts.get["bad"]:
+            bad.append(_bad(batch, topic))
+    finally:
+        batch.unpersist()
 
 
 def ingest_topic(

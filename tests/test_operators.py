@@ -240,3 +240,17 @@ def test_split_pages_give_what_whole_ones_give(spark, text):
     pages = spark.createDataFrame([("s", "page", 1, "s", "post", "multi", None, text)], schema)
     whole, split = (values(documents.project(documents.unnest(pages, limit))) for limit in (1 << 20, 0))
     assert split == whole
+
+
+def test_elements_beside_one_too_large_come_out(spark):
+    """Their numbers too, as far as a double holds them."""
+    element = '{"url":"%s","contentMeta":{"type":"post"},"parseMeta":{"date":"2016-05-31T10:00:00+0300","sm_post_id":123456789012.0,"engagement":7.25}}'
+    large = F.concat(F.lit('[{"url":"big","contentMeta":{},"parseMeta":{"body":"'), F.expr(f"repeat('x', {130 << 20})"), F.lit('"}},%s,%s]' % (element % "a", element % "b")))
+    pages = spark.range(1).select(
+        F.lit("s").alias("from_segment"), F.lit("page").alias("url"), F.lit(1).cast("bigint").alias("crawl_date"),
+        F.lit("s").alias("segment"), F.lit("post").alias("page_type"), F.lit("multi").alias("route"),
+        F.lit(None).cast("map<string,string>").alias("parse_meta"), large.alias("text"),
+    )
+    found = documents.project(documents.unnest(pages)).select("url", "kind", "reason", "sm_post_id", "engagement")
+    assert values(found) == [
+        ("a", "post", None, "123456789012", "7.25"), ("b", "post", None, "123456789012", "7.25"), ("page", "quarantine", documents.TOO_LARGE, None, None)]
