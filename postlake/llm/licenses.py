@@ -199,19 +199,17 @@ PLACES = "array<struct<first:bigint,past:bigint,priority:int,order:int,label:str
 
 
 def _kept(found: Column) -> Column:
-    """One sweep over detections by start, longest first: of two that overlap the better priority stays, else the earlier."""
+    """Detections by priority, then length, then place, then rule: each is kept that overlaps none kept before it. In order of their
+    places."""
     order = F.transform(found, lambda d: F.struct(
-        d["first"].alias("first"), (-d["past"]).alias("back"), d["priority"].alias("priority"), d["order"].alias("order"), d.alias("d")))
+        d["priority"].alias("priority"), (d["first"] - d["past"]).alias("length"), d["first"].alias("first"), d["order"].alias("order"), d.alias("d")))
 
     def step(kept: Column, s: Column) -> Column:
-        d, last = s["d"], F.element_at(kept, -1)
-        clear = (F.size(kept) == 0) | (d["first"] >= last["past"])
-        better = d["priority"] < last["priority"]
-        return F.when(clear, F.concat(kept, F.array(d))).when(
-            better, F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(d))
-        ).otherwise(kept)
-
-    return F.aggregate(F.array_sort(order), F.array().cast(PLACES), step)
+        d = s["d"]
+        overlaps = F.exists(kept, lambda k: (d["first"] < k["past"]) & (k["first"] < d["past"]))
+        return F.when(overlaps, kept).otherwise(F.concat(kept, F.array(d)))
+
+    return F.array_sort(F.aggregate(F.array_sort(order), F.array().cast(PLACES), step))
 
 
 def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,6 +16,17 @@ SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def left_by_hand(found):
+    """Word by word: the best detection takes its words if all of them are free. Detections: first, -past, priority, order."""
+    taken, kept = set(), []
+    for place in sorted(found, key=lambda p: (p[2], p[0] + p[1], p[0], p[3])):
+        words = set(range(place[0], -place[1]))
+        if not words & taken:
+            taken |= words
+            kept.append(place)
+    return kept
+
+
 def by_hand(text):
     """The license scan over a list of words."""
     text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
@@ -31,12 +42,7 @@ def by_hand(text):
             found.append(place)
             if rule.base:
                 base.append(place)
-    kept = []
-    for place in sorted(found, key=lambda p: p[:4]):
-        if not kept or place[0] >= -kept[-1][1]:
-            kept.append(place)
-        elif place[2] < kept[-1][2]:
-            kept[-1] = place
+    kept = left_by_hand(found)
     labels = {p[4].label for p in base}
     return (
         len(words), len(base), min((p[0] for p in base), default=None), max((p[0] for p in base), default=None),
@@ -64,6 +70,19 @@ def test_license_scan_equals_a_scan_by_hand(spark):
         assert tuple(row)[1:] == by_hand(texts[row["doc_id"]]), texts[row["doc_id"]]
 
 
+@pytest.mark.parametrize("rules, text, left", [
+    ([("aa bb", 3), ("bb cc", 2), ("cc dd", 1)], "aa bb cc dd", ["aa bb", "cc dd"]),
+    ([("aa bb cc dd", 3), ("bb", 4), ("dd ee", 1)], "aa bb cc dd ee", ["bb", "dd ee"]),
+    ([("aa bb cc", 2), ("bb", 2), ("cc dd", 2)], "aa bb cc dd bb", ["aa bb cc", "bb"]),
+])
+def test_suppressed_detections_suppress_nothing(spark, rules, text, left):
+    made = tuple(
+        licenses.Rule(label=p, gate=p.split()[0], keyword=p, pattern=p, priority=n, confidence=0.5, base=False) for p, n in rules
+    )
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [d["label"] for d in licenses.scan_licenses(docs, made).first()["found"]] == left
+
+
 def test_license_rules_hold_their_gate_and_keyword():
     assert len(licenses.RULES) > 300
     for rule in licenses.RULES:
