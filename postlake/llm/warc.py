@@ -24,9 +24,8 @@ ENTITIES = (
     ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"),
 )
+COMMENT = r"(?s)<!--.*?-->"
 TEXT_STEPS = (
-    (r"(?s)<!--.*?-->", " "),
-    *((rf"(?is)<{e}\b.*?</{e}\s*>", " ") for e in SILENT),
     (r"[\t\r\n\f ]+", " "),
     (rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n"),
     (r"<[A-Za-z/!?][^>]*>", ""),
@@ -44,13 +43,27 @@ def _steps(value: Column, steps: tuple) -> Column:
     return value
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: no comments, scripts or styles, a line for each block element, references replaced, blanks folded. A
-    script or style that is never closed loses its tag alone, an open comment all up to the next tag's end."""
-    value = _steps(html, TEXT_STEPS)
+def with_text(rows: DataFrame, html: str) -> DataFrame:
+    """Adds `_shown`, a page without its comments, and `_text`: no scripts or styles either, a line for each block element, references
+    replaced, blanks folded. A script or style that is never closed loses its tag alone, an open comment all up to the next
+    tag's end. Pages are searched by pattern only for what a plain look finds in them; each step is a column of its own, so none is
+    worked out twice."""
+
+    def replaced(name: str, change: Column, held: Column, mark: str) -> Column:
+        return F.when(F.contains(held, F.lit(mark)), change).otherwise(F.col(name))
+
+    rows = rows.withColumn("_shown", F.col(html))
+    rows = rows.withColumn("_shown", replaced("_shown", F.regexp_replace("_shown", COMMENT, " "), F.col("_shown"), "<!--"))
+    rows = rows.withColumns({"_low": F.lower("_shown"), "_text": F.col("_shown")})
+    for element in SILENT:
+        removed = F.regexp_replace("_text", rf"(?is)<{element}\b.*?</{element}\s*>", " ")
+        rows = rows.withColumn("_text", replaced("_text", removed, F.col("_low"), f"<{element}"))
+    rows = rows.withColumn("_text", _steps(F.col("_text"), TEXT_STEPS))
+    known = F.col("_text")
     for name, char in ENTITIES:
-        value = F.replace(value, F.lit(name), F.lit(char))
-    return _steps(value, LAYOUT_STEPS)
+        known = F.replace(known, F.lit(name), F.lit(char))
+    rows = rows.withColumn("_text", replaced("_text", known, F.col("_text"), "&"))
+    return rows.withColumn("_text", _steps(F.col("_text"), LAYOUT_STEPS))
 
 
 def digest(block: Column) -> Column:
@@ -82,20 +95,20 @@ def derivatives(found: DataFrame) -> DataFrame:
     Links that begin with "/" are resolved against the site of the target, others stay as written, in page order with repeats;
     line ends within them and within titles become blanks.
     """
-    shown = F.regexp_replace(F.col("payload"), TEXT_STEPS[0][0], " ")
+    shown = F.col("_shown")
     site = F.regexp_extract("target_uri", SITE, 1)
     one_line = lambda c: F.trim(F.regexp_replace(c, r"[\r\n]+", " "))
     links = F.transform(
         F.regexp_extract_all(shown, F.lit(OUTLINK), F.lit(1)),
         lambda x: F.concat(F.lit("outlink: "), one_line(F.when(x.startswith("/") & ~x.startswith("//"), F.concat(site, x)).otherwise(x))),
     )
-    made = found.select(
+    made = with_text(found, "payload").select(
         "source_key", "target_uri", "date", "payload_digest", F.col("content_type").alias("source_type"),
         F.col("record_id").alias("refers_to"),
         F.octet_length("payload").alias("source_length"),
         one_line(F.regexp_extract(shown, TITLE, 1)).alias("title"),
         links.alias("links"),
-        plain_text(F.col("payload")).alias("text"),
+        F.col("_text").alias("text"),
         record_id("metadata", F.col("record_id")).alias("metadata_id"),
         record_id("conversion", F.col("record_id")).alias("conversion_id"),
     )
