@@ -250,7 +250,7 @@ def test_state_of_replays_is_bounded(spark, folder):
     """Digests older than the window are forgotten, and what comes again after that is taken again."""
     states = []
     for k, message in enumerate(("a", "b", "c", "a")):
-        made = spark.sql(f"SELECT concat('{message}', id) AS value, timestamp_seconds({k} * 7200) AS ingest_ts FROM range(10)")
+        made = spark.sql(f"SELECT concat('{message}', id) AS value, timestamp_seconds({k + 1} * 7200) AS ingest_ts FROM range(10)")
         made.coalesce(1).write.parquet(f"{folder}/in/{k}")
         rows = without_replays(spark.readStream.schema(made.schema).parquet(f"{folder}/in/*"), "1 hour")
         sink = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
