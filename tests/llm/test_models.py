@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postlake.llm import language, pitman_yor, toxicity
 from postlake.llm.catalog import QUERIES
@@ -168,3 +169,17 @@ def test_a_small_sample_keeps_the_share_of_toxic_texts(spark, monkeypatch):
         models.append(toxicity.learn(docs, docs, toxicity.F.lit(True)))
     blank = [r["score"] for m in models for r in toxicity.score(spark.createDataFrame([(1, "")], "doc_id long, text string"), m).collect()]
     assert max(blank) < 0.3 and abs(models[0].bias - models[1].bias) < 0.3
+
+
+def test_text_of_no_known_language_goes_and_mixed_text_stays(spark):
+    """Whatever the number of languages."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL")
+    samples = {r["lang"]: r["text"] for r in docs.where("n_chars > 400").groupBy("lang").agg(F.first("text").alias("text")).collect()}
+    mixed = " ".join(" ".join(text.split()[:40]) + "." for text in samples.values())
+    rows = [(1, mixed), (2, None), (3, "12 34 !"), (4, "")] + [(10 + i, t) for i, t in enumerate(samples.values())]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    for languages in (sorted(samples)[:2], sorted(samples)):
+        model = language.learn(docs.where(F.col("lang").isin(languages)), F.lit(True))
+        kept = {r["doc_id"] for r in language.keep_known(planted, model).collect()}
+        assert 1 in kept and not kept & {2, 3, 4}
+    assert {10 + i for i in range(len(samples))} <= kept
