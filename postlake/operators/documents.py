@@ -55,6 +55,10 @@ _META = ", ".join(
 ELEMENT = f"struct<url: string, contentMeta: struct<{META_TYPE}: string>, parseMeta: struct<{_META}>>"
 
 
+def _readable(element: Column) -> Column:
+    return F.struct(element.alias("element"), F.lit(None).cast("string").alias("unreadable"))
+
+
 def unnest(pages: DataFrame, large_bytes: int = SURE_BYTES) -> DataFrame:
     """One row per document, with `kind`, or with a `reason` it cannot be read. Texts
     of more than `large_bytes` are split before they are read.
@@ -69,38 +73,32 @@ def unnest(pages: DataFrame, large_bytes: int = SURE_BYTES) -> DataFrame:
     candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
     kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
     # The elements of a large page are variants of their own; if one of them is too large, they are split off as text, which has
-    # no limit, and read as arrays of one.
-    large = multi & (F.octet_length("text") > large_bytes)
-    pages = candidates.select(
-        *kept, "url", "parse_meta", "text", large.alias("large"),
-        F.from_json(F.when(large, F.col("text")), "array<variant>", NO_LIMIT).alias("whole"),
-    )
+    # no limit, and read as arrays of one. All of it is one expression, so no row but the page's own carries its text.
+    large = F.octet_length("text") > large_bytes
+    whole = F.from_json(F.when(large, F.col("text")), "array<variant>", NO_LIMIT)
     split = F.coalesce(F.from_json("text", "array<string>", NO_LIMIT), F.array(F.lit("")))
-    pieces = F.when(F.col("large") & F.col("whole").isNull(), split).otherwise(F.array("text"))
-    pages = pages.select(*kept, "url", "parse_meta", "large", "whole", F.explode(pieces).alias("piece"))
-    piece = F.coalesce("piece", F.lit("null"))
-    one = F.col("large") & F.col("whole").isNull() & (piece != "")
-    json = F.when(one, F.concat(F.lit("["), piece, F.lit("]"))).otherwise(F.col("piece"))
-    parsed = F.when(F.col("whole").isNull(), F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")).otherwise(
-        F.transform("whole", lambda v: F.try_variant_get(v, "$", ELEMENT))
+
+    def read(piece: Column) -> Column:
+        given = F.coalesce(piece, F.lit("null"))
+        one = large & (given != "")
+        json = F.when(one, F.concat(F.lit("["), given, F.lit("]"))).otherwise(piece)
+        unreadable = F.when(one & given.startswith("{"), TOO_LARGE).when(one, BAD_ELEMENT).otherwise(NOT_JSON)
+        found = F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")
+        return F.coalesce(F.transform(found, _readable), F.array(F.struct(F.lit(None).cast(ELEMENT).alias("element"), unreadable.alias("unreadable"))))
+
+    parsed = F.coalesce(
+        F.transform(whole, lambda v: _readable(F.try_variant_get(v, "$", ELEMENT))),
+        F.flatten(F.transform(F.when(large, split).otherwise(F.array("text")), read)),
     )
     page = F.struct(
         "url", F.struct(F.col("page_type").alias(META_TYPE)).alias("contentMeta"),
         F.col("parse_meta").alias("parseMeta"),
     )
-    whole_page = F.array(F.try_variant_get(F.to_variant_object(page), "$", ELEMENT))
-    elements = pages.select(
-        *kept, F.col("url").alias("page_url"), F.when(multi, parsed).otherwise(whole_page).alias("elements"),
-        F.when(one & piece.startswith("{"), TOO_LARGE).when(one, BAD_ELEMENT).otherwise(NOT_JSON).alias("unreadable"),
-    )
-    # Settled before the array is unnested, so that rows need not carry it along.
-    marked = elements.withColumn("readable", F.col("elements").isNotNull())
-    no_element = F.array(F.lit(None).cast(ELEMENT))
-    rows = marked.select(
-        *kept, "page_url", "readable", "unreadable", F.explode(F.coalesce("elements", no_element)).alias("element")
-    )
+    whole_page = F.array(_readable(F.try_variant_get(F.to_variant_object(page), "$", ELEMENT)))
+    found = candidates.select(*kept, F.col("url").alias("page_url"), F.explode(F.when(multi, parsed).otherwise(whole_page)).alias("found"))
+    rows = found.select(*kept, "page_url", "found.element", "found.unreadable")
     lacks_meta = F.col("element.contentMeta").isNull() | F.col("element.parseMeta").isNull()
-    reason = F.when(~F.col("readable"), F.col("unreadable")).when(multi & lacks_meta, BAD_ELEMENT)
+    reason = F.when(F.col("unreadable").isNotNull(), F.col("unreadable")).when(multi & lacks_meta, BAD_ELEMENT)
     subtype = F.coalesce(F.col(f"element.contentMeta.{META_TYPE}"), F.col("page_type"))
     kind = (
         F.when(reason.isNotNull(), "quarantine")

@@ -44,7 +44,9 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
     Failed records, pages missing either of the first two and pages flagged to be
     skipped are dropped. Several records of a kind come down to one: the latest
     fetch, or one picked by value. The joins reuse the partitioning by segment
-    and url that this needs, so each part is shuffled once.
+    and url that this needs, so each part is shuffled once. Texts are never
+    broadcast: what Spark takes for their size says nothing of it, and the driver
+    would hold them all.
     """
     fetched = _one_per_page(
         fetch.where(F.col("status") == FETCHED).select("segment", "url", "fetch_time"),
@@ -57,7 +59,7 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
     texts = _one_per_page(
         parse_text.select("segment", "url", "text"), F.col("text").desc_nulls_last()
     )
-    pages = fetched.join(parsed, ["segment", "url"]).join(texts, ["segment", "url"], "left")
+    pages = fetched.join(parsed, ["segment", "url"]).join(texts.hint("merge"), ["segment", "url"], "left")
     return pages.select(
         F.col("segment").alias("from_segment"),
         "url",

@@ -72,6 +72,15 @@ def test_extraction_shuffles_each_part_once(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_large_pages_are_made_and_joined_in_tasks(spark):
+    """Neither the plan holds a page's text, nor does the driver to broadcast it."""
+    made = queries.QUERIES["extract_large"](spark, SF)
+    assert len(plan(made)) < 1 << 20
+    parts = records.page_parts(spark, SF)
+    text = plan(assemble(parts["fetch"], parts["parse_data"], parts["parse_text"]))
+    assert "SortMergeJoin" in text and "LeftOuter" in text[text.index("SortMergeJoin") :].split("\n")[0]
+
+
 def test_no_query_has_a_cross_join_or_python(spark):
     batch = [
         name for name in queries.QUERIES
