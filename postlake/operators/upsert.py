@@ -44,10 +44,11 @@ def merge_into(
     """The rows of `saved` after an upsert, where both sides have one row per key. A saved row stays if its date is newer, or the
     same with `ties_keep_saved`; without a date every new row replaces. A join on the keys does it, so a side that is bucketed
     by them is not shuffled. A null key is an error."""
-    named = new.select(*[F.col(c).alias(f"_new_{c}") for c in saved.columns], F.lit(True).alias("_is_new"))
+    # A filter leaves the keys as they are, so rows that are dealt and sorted by them already are not again.
     for key in keys:
-        message = F.lit(f"a row without {key} has no place in a keyed table")
-        named = named.withColumn(f"_new_{key}", F.coalesce(F.col(f"_new_{key}"), F.raise_error(message).cast(saved.schema[key].dataType)))
+        failed = F.raise_error(F.lit(f"a row without {key} has no place in a keyed table")).cast("boolean")
+        new = new.where(F.when(F.col(key).isNull(), failed).otherwise(True))
+    named = new.select(*[F.col(c).alias(f"_new_{c}") for c in saved.columns], F.lit(True).alias("_is_new"))
     on = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_new_{key}") for key in keys])
     # No key is null, so a null one stands for a missing side.
     wins = F.col(keys[0]).isNull()

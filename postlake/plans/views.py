@@ -1,6 +1,7 @@
 """View building: latest profiles, latest posts, posts joined to authors.
 
-The profile table outgrows what a cycle brings by far. Both jobs that meet it join on its buckets, so its rows stay where they are.
+The profile table outgrows what a cycle brings by far. Both jobs that meet it join on its buckets, so its rows stay where they are,
+unless the posts of a cycle need more tasks than it has buckets.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ def build_post_view(lake: Lake) -> None:
 def build_post_join(lake: Lake) -> None:
     """Queue posts with an author for the index, and set the others aside. Posts go to the buckets of the profiles, those of
     authors with very many to several tasks."""
-    with co_located(lake.spark, lake.profile.buckets):
-        joined = enrich_unevenly(lake.post.read(), lake.profile.read(), lake.profile.buckets)
+    tasks = max(lake.profile.count(), lake.post.count())
+    with co_located(lake.spark, tasks):
+        joined = enrich_unevenly(lake.post.read(), lake.profile.read(), tasks)
         append_split(joined, "author_matched", lake.post_to_es.path)

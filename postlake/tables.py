@@ -3,7 +3,8 @@
 Both are plain Parquet that Spark writes and reads by itself. A queue gets a folder for each write and is read down to one row per
 key, so whatever comes twice counts once. A keyed table holds one row per key in a folder for each hash bucket of its keys;
 an upsert rewrites the buckets its keys fall into, by dynamic partition overwrite, and no others. The buckets are those of Spark's
-own bucketed tables, so a join on the keys, an upsert above all, shuffles the other side only.
+own bucketed tables, so a join on the keys, an upsert above all, shuffles the other side only. They double in number, by an
+upsert that writes the whole table, as often as it takes for one of them to stay small enough for a task.
 """
 
 from __future__ import annotations
@@ -15,14 +16,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from postlake import files, schemas
 from postlake.operators.latest import top_per_key
 from postlake.operators.upsert import merge_into
-from postlake.session import co_located, empty
+from postlake.session import EXPANSION, co_located, empty
 
 BUCKETS = 8
+# Bytes of rows that a bucket is to hold, or an upsert to bring to it; a task holds them several times, to sort and to write.
+BUCKET_BYTES = 64 << 20
 
 
 @dataclass
@@ -92,42 +95,91 @@ class KeyedTable:
     keys: tuple[str, ...]
     date: str | None = "crawl_date"
     ties_keep_saved: bool = False
+    # How many it starts with.
     buckets: int = BUCKETS
 
-    def table(self) -> str:
+    def count(self) -> int:
+        """How many buckets it has. A grown table lies in a folder of its own, which counts from when all of it is there."""
+        whole = files.matching(self.spark, f"{self.path}/grown-*/_WHOLE")
+        return max([int(path.split("/")[-2].removeprefix("grown-")) for path in whole], default=self.buckets)
+
+    def _folder(self, count: int) -> str:
+        return self.path if count == self.buckets else f"{self.path}/grown-{count}"
+
+    def _name(self, count: int) -> str:
+        return f"postlake_{hashlib.md5(f'{self.path} {count}'.encode()).hexdigest()}"
+
+    def table(self, count: int | None = None) -> str:
         """Its name in the session's catalog, where the buckets are declared."""
-        name = f"postlake_{hashlib.md5(f'{self.path} {self.buckets}'.encode()).hexdigest()}"
+        count = count or self.count()
+        name = self._name(count)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
             keys = ", ".join(f"`{k}`" for k in self.keys)
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet PARTITIONED BY (bucket) "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {count} BUCKETS LOCATION '{self._folder(count)}'"
             )
-            if files.exists(self.spark, self.path):
+            if files.exists(self.spark, self._folder(count)):
                 self.spark.catalog.recoverPartitions(name)
         return name
 
-    def bucket(self) -> Column:
+    def bucket(self, count: int | None = None) -> Column:
         """The hash by which Spark deals rows to partitions and buckets."""
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.hash(*self.keys), F.lit(count or self.count())).cast("int")
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        rows = self.spark.table(self.table())
-        if buckets is not None and len(buckets) < self.buckets:
+        count = self.count()
+        rows = self.spark.table(self.table(count))
+        if buckets is not None and len(buckets) < count:
             rows = rows.where(F.col("bucket").isin(list(buckets)))
         return rows.select(*self.schema.names)
 
+    def _bytes(self, rows: DataFrame) -> dict[int, int]:
+        """Bytes of the values of rows, by the buckets they fall into."""
+        width = F.lit(8 * len(self.schema))
+        for column in self.schema:
+            if column.name in rows.columns and isinstance(column.dataType, StringType):
+                width = width + F.coalesce(F.octet_length(column.name), F.lit(0))
+        sums = rows.groupBy(self.bucket().alias("bucket")).agg(F.sum(width.cast("bigint")).alias("bytes"))
+        return {r["bucket"]: r["bytes"] for r in sums.collect()}
+
+    def _merged(self, new: DataFrame, buckets: Sequence[int] | None, count: int) -> DataFrame:
+        rows = merge_into(self.read(buckets), new, self.keys, self.date, self.ties_keep_saved)
+        return rows.select(*self.schema.names, self.bucket(count).alias("bucket"))
+
     def merged(self, new: DataFrame, touching: DataFrame | None = None) -> DataFrame:
         """The buckets that an upsert writes, as they are after it."""
-        found = (new if touching is None else touching).select(self.bucket().alias("bucket")).distinct().collect()
-        rows = merge_into(self.read([r["bucket"] for r in found]), new, self.keys, self.date, self.ties_keep_saved)
-        return rows.select(*self.schema.names, self.bucket().alias("bucket"))
+        return self._merged(new, list(self._bytes(new if touching is None else touching)), self.count())
 
     def upsert(self, new: DataFrame, touching: DataFrame | None = None) -> None:
-        """Put rows, unique by key. `touching` has the keys of all of them where that is cheaper to read."""
-        with co_located(self.spark, self.buckets):
-            self.merged(new.select(*self.schema.names), touching).write.mode("overwrite").insertInto(self.table())
+        """Put rows, unique by key. `touching` has the keys of all of them where that is cheaper to read, and their other columns
+        as far as these take room."""
+        new, count = new.select(*self.schema.names), self.count()
+        found = self._bytes(new if touching is None else touching)
+        folder = self._folder(count)
+        saved = files.size(self.spark, folder) * EXPANSION if files.exists(self.spark, folder) else 0
+        wanted = count
+        while wanted * BUCKET_BYTES < max(saved, sum(found.values())):
+            wanted *= 2
+        with co_located(self.spark, wanted):
+            if wanted == count:
+                self._merged(new, list(found), count).write.mode("overwrite").insertInto(self.table(count))
+            else:
+                self._grow(new, count, wanted)
+
+    def _grow(self, new: DataFrame, count: int, wanted: int) -> None:
+        """An upsert that writes the whole table to more buckets. What a failed one left is no part of the table."""
+        self._drop(wanted)
+        self._merged(new, None, wanted).write.mode("overwrite").insertInto(self.table(wanted))
+        files.touch(self.spark, f"{self._folder(wanted)}/_WHOLE")
+        self._drop(count)
+
+    def _drop(self, count: int) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(count)}")
+        start = files.matching(self.spark, f"{self.path}/bucket=*") if count == self.buckets else [self._folder(count)]
+        for folder in start:
+            files.delete(self.spark, folder)
 
     def put(self, rows: DataFrame) -> None:
         """Put rows that may repeat a key; the newest of each counts, ties by the other columns."""
@@ -136,7 +188,7 @@ class KeyedTable:
         self.upsert(top_per_key(rows, self.keys, [*first, *rest]), touching=rows)
 
     def truncate(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table()}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(self.count())}")
         files.delete(self.spark, self.path)
 
 
@@ -155,7 +207,7 @@ def rotate(source: Queue, target: Queue, keep: Column | None = None) -> None:
 
 @dataclass
 class Lake:
-    """The tables of one deployment, as folders under `root`. `buckets` of its keyed tables stays the same for good."""
+    """The tables of one deployment, as folders under `root`. `buckets`, what its keyed tables start with, stays the same for good."""
 
     spark: SparkSession
     root: str

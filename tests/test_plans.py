@@ -127,6 +127,17 @@ def test_upsert_shuffles_the_new_rows_only_and_reads_their_buckets(spark, lake):
     assert text.count("Sort [") == 1
 
 
+def test_rows_read_from_the_buckets_go_back_without_a_shuffle_or_sort(spark, lake):
+    """As the repair of links does; and the newest of a queue are shuffled once, not for the join again."""
+    lake.profile.put(profiles(spark, *[{"url": f"u{i}"} for i in range(100)]))
+    lake.profile_to_process.append(profiles(spark, {"url": "u1", "crawl_date": 9}))
+    with conf(spark, **NO_BROADCAST), co_located(spark, lake.buckets):
+        again = plan(lake.profile.merged(lake.profile.read().withColumn("name", F.lit("x"))))
+        queued = plan(lake.profile.merged(lake.profile_to_process.newest("url")))
+    assert again.count("Exchange") == 0 and again.count("Sort [") == 0
+    assert queued.count("Exchange") == 1
+
+
 @pytest.fixture
 def seen(monkeypatch):
     """Plans of the rows that the author join writes, and how many rows of posts each of its tasks gives."""

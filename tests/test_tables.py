@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from build import posts, profiles, values
-from postlake import files
+from postlake import files, tables
 from postlake.operators.enrich import enrich, with_author, without_author
 from postlake.plans import maintain, views
 from postlake.session import run_folder
@@ -103,6 +103,41 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, lake):
     assert values(lake.profile.read(), "url", "crawl_date") == [("a", 1), ("b", 1)]
 
 
+def test_buckets_double_until_one_is_small(spark, lake, monkeypatch):
+    """Whatever their number, each bucket is one file, and a failed upsert that would have grown the table leaves it as it was."""
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4000)
+    table = lake.profile
+    table.put(profiles(spark, *[{"url": f"u{i}"} for i in range(100)]))
+    assert table.count() == lake.buckets and len(files_of(spark, table)) == lake.buckets
+    many = profiles(spark, *[{"url": f"u{i}", "crawl_date": 2, "name": "new"} for i in range(50, 1000)])
+    with pytest.raises(Exception, match="no"):
+        table.put(many.withColumn("name", F.raise_error(F.lit("no")).cast("string")))
+    assert table.count() == lake.buckets and table.read().count() == 100
+    table.put(many)
+    grown = table.count()
+    assert grown >= 4 * lake.buckets and table.read().count() == 1000 and table.read().where("name = 'new'").count() == 950
+    assert files_of(spark, table) == {}
+    assert len(files.matching(spark, f"{table.path}/grown-{grown}/bucket=*/part-*")) == grown
+    other = Lake(spark.newSession(), lake.root)
+    spark.sql(f"DROP TABLE {table.table()}")
+    monkeypatch.undo()
+    other.profile.put(profiles(other.spark, {"url": "z"}, {"url": "u1", "crawl_date": 3}))
+    assert table.count() == grown and table.read().count() == 1001
+    table.truncate()
+    assert table.count() == lake.buckets and table.read().count() == 0
+
+
+def test_the_join_of_posts_takes_as_many_tasks_as_they_need(spark, lake, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4000)
+    tasks = []
+    monkeypatch.setattr(views, "enrich_unevenly", lambda posts, authors, n: tasks.append(n) or enrich(posts, authors))
+    lake.profile.put(profiles(spark, {"url": "x", "name": "n"}))
+    lake.post.put(posts(spark, *[{"url": f"u{i}", "profile_id": "x" if i % 2 else None} for i in range(500)]))
+    views.build_post_join(lake)
+    assert tasks[0] > lake.profile.count() == lake.buckets
+    assert lake.post_to_es.read().count() == lake.post_without_profile.read().count() == 250
+
+
 def test_index_table_is_keyed_by_index_and_id(spark, lake):
     schema = "index_name string, _id string, source string"
     lake.index.put(spark.createDataFrame([("m1", "a", "1"), ("m2", "a", "2")], schema))
