@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.payload import CORRUPT, decode_message
 from postlake.schemas import BY_KIND
 from postlake.sources.topics import Topics, finish
-from postlake.tables import Lake, Queue
+from postlake.tables import Lake, Queue, append_apart
 
 # A slice reads what is there when it starts, then ends.
 SLICE = {"availableNow": True}
@@ -44,25 +44,18 @@ def without_replays(rows: DataFrame, window: str) -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
 
 
-def _bad(batch: DataFrame, topic: str) -> DataFrame:
-    return batch.where(F.col(CORRUPT).isNotNull()).select(
-        F.lit(topic).alias("topic"),
-        F.col("value").alias("message"),
-        F.lit("no record").alias("reason"),
-    )
-
-
 def _deliver(batch: DataFrame, topic: str, table: Queue, bad: Queue) -> None:
-    # Two writes may take the batch; it is read and counted once.
-    batch = batch.persist()
-    try:
-        counts = Observation()
-        observed = batch.observe(counts, F.count(F.col(CORRUPT)).alias("bad"))
-        table.append(observed.where(F.col(CORRUPT).isNull()))
-        if counts.get["bad"]:
-            bad.append(_bad(batch, topic))
-    finally:
-        batch.unpersist()
+    """One job writes both queues, so the batch is read and decoded once, and is held nowhere."""
+    is_bad = F.col(CORRUPT).isNotNull()
+    message = {
+        "topic": F.lit(topic),
+        "message": F.col("value"),
+        "reason": F.lit("no record"),
+    }
+    columns = [F.when(is_bad, value).alias(name) for name, value in message.items()]
+    have = [f.name for f in (*table.schema, *table.beside) if f.name in batch.columns]  # the others read as null
+    rows = batch.select(*have, *columns, is_bad.alias("is_bad"))
+    append_apart(rows, "is_bad", table, bad)
 
 
 def ingest_topic(

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,7 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from postlake import files, schemas
 from postlake.operators.latest import top_per_key
 from postlake.operators.upsert import merge_into
-from postlake.session import EXPANSION, co_located, empty
+from postlake.session import EXPANSION, co_located, empty, setting
 
 BUCKETS = 8
 # Bytes of rows that a bucket is to hold, or an upsert to bring to it; a task holds them several times, to sort and to write.
@@ -197,6 +198,20 @@ def append_split(rows: DataFrame, flag: str, root: str) -> None:
     rows.write.partitionBy(flag).parquet(f"{root}/batch={time.time_ns()}")
 
 
+def append_apart(rows: DataFrame, flag: str, others: Queue, flagged: Queue) -> None:
+    """Append rows to two queues with folders of their own by a boolean column; one job writes both, to a folder that no reader
+    sees, from which each gets its part."""
+    batch, staged = f"batch={time.time_ns()}", f"{others.path}/_staged-{uuid.uuid4().hex}"
+    spark = rows.sparkSession
+    # Two files open at once, so no task need sort its rows by the flag.
+    with setting(spark, maxConcurrentOutputFileWriters="2"):
+        rows.write.partitionBy(flag).parquet(staged)
+    for value, queue in (("true", flagged), ("false", others)):
+        if files.exists(spark, f"{staged}/{flag}={value}"):
+            files.move(spark, f"{staged}/{flag}={value}", f"{queue.path}/{batch}{queue.side}")
+    files.delete(spark, staged)
+
+
 def rotate(source: Queue, target: Queue, keep: Column | None = None) -> None:
     """Move the rows of one queue into another of the same keys, replacing its rows. The target is written before the source is
     emptied, so a failure in between leaves the rows in both, never in neither."""

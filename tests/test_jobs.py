@@ -3,6 +3,7 @@ from __future__ import annotations
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from build import detailed, posts, profiles, values
@@ -19,7 +20,7 @@ from postlake.sources.segments import SegmentStore
 from postlake.sinks import bulk
 from postlake.sources.topics import FileTopics, KafkaTopics, finish
 from postlake.streaming.index import publish_bulks, publish_index
-from postlake.streaming.ingest import CONTINUOUS, ingest, ingest_slice, without_replays
+from postlake.streaming.ingest import CONTINUOUS, _deliver, decode_stream, ingest, ingest_slice, without_replays
 from postlake.streaming.watch import Watch
 from postlake.streaming import publish
 from postlake.streaming.publish import publish_streams, publish_topics
@@ -159,6 +160,24 @@ def test_bad_messages_are_set_aside(spark, lake, folder):
         ingest_slice(lake, topics, {"profile": ["t"]}, f"{folder}/strict", strict=True)
 
 
+def test_a_batch_is_written_to_both_queues_by_one_job_and_held_nowhere(spark, lake, folder, monkeypatch):
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: pytest.fail("the batch is held"))
+    decoded = spark.sparkContext.accumulator(0)
+    value = F.udf(lambda v: decoded.add(1) or v).asNondeterministic()
+    made = [(m,) for m in ("{no", '{"url":"a","crawl_date":1}', '{"url":"b","crawl_date":2}')]
+    batch = decode_stream(spark.createDataFrame(made, "value string").select(value("value").alias("value")), "profile")
+    _deliver(batch, "t", lake.profile_to_process, lake.bad_messages)
+    assert decoded.value == 3
+    assert values(lake.profile_to_process.read(), "url", "crawl_date") == [("a", 1), ("b", 2)]
+    assert lake.profile_to_process.rows_beside().where("ingest_ts IS NULL").isEmpty()
+    assert values(lake.bad_messages.read(), "topic", "message", "reason") == [("t", "{no", "no record")]
+    # A queue that is a subfolder of its writes, and rows of one sort only.
+    merged = detailed(spark, {"url": "d"}).select(message_json().alias("value"))
+    _deliver(decode_stream(merged, "detailed"), "t", lake.post_to_es, lake.bad_messages)
+    assert values(lake.post_to_es.read(), "url") == [("d",)] and lake.bad_messages.rows().count() == 1
+    assert files.matching(spark, f"{lake.root}/*/_staged-*") == []
+
+
 def test_ingest_counts_rows(spark, lake, folder):
     topics = FileTopics(spark, f"{folder}/topics")
     send_to(topics, "t", profiles(spark, {"url": "a"}, {"url": "b"}))
