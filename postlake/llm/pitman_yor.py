@@ -1,6 +1,6 @@
 """Scores of texts by a hierarchical Pitman-Yor language model.
 
-Each context, the word before hashed into `CONTEXTS`, is a restaurant; all share one parent, the restaurant of words without
+Each context, the word before, is a restaurant; all share one parent, the restaurant of words without
 context, whose base is uniform over the vocabulary and one unknown word. A sweep empties the tables of a word in a
 restaurant and seats its customers again one after the other by the Chinese restaurant rule, given the parent's current
 probability of the word; every table is a customer of the parent, whose tables are seated in the same way. What couples the words,
@@ -8,27 +8,32 @@ the number of tables of each restaurant, is held at its value of the round befor
 the burn-in the predictive probabilities of the rounds are averaged. Customers are seated singly up to 32; beyond, in steps of
 a sixteenth of those seated, with a binomial draw for the tables opened in a step. Discounts come from counts of counts.
 
-How it runs: one scan turns the documents into postings (word, context, document), dealt to parts by word, and a part's postings
-and training counts become one row of a written table. Rounds read the counts alone and send back the tables of
-each restaurant, a fixed number of sums. A last pass seats the kept rounds again from the same seeds and adds up the scores of
-documents. Words with a large share of a sample are hot: their postings are dealt to many parts by document, their counts, at
-most `CONTEXTS` each, are summed and seated apart, and their probabilities go to all tasks (`HOT_WORDS` at most). The sample decides
-only where work is done, never a result.
+How it runs: one scan turns the documents into postings (word, context, document), dealt to parts, and a part's postings and
+training counts become one row of a bucketed table. Words that are frequent in a sample are hot: they have small codes, their pairs
+are dealt by context, and what the parent knows of them, one number for each of at most `HOT_WORDS`, is summed by the driver. All other
+words are dealt by word, so their part knows the parent's state. A pair is in one part only. A round reads the counts, meets the
+totals of its contexts, a row for each part, and sends the tables it seated to the homes of the contexts, which add them up and
+return the sums in the order of each part's contexts. A last pass seats the kept rounds again from the same seeds and adds up the
+scores of documents. The sample decides only where work is done and what is updated within a sweep: a hot word's probability in
+the parent is that of the round before.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import WordIds, blank_words, fold, mix, texts, written
+from postlake.session import co_located, run_folder, setting
 
-CONTEXTS = 4096
+from .words import GOLDEN, WordIds, blank_words, fold, mix, texts, written
+
+CONTEXTS = 4096  # of counts whose number of contexts is not given
 ROUNDS = 3
 BURN_IN = 1
 SWEEPS = 2
@@ -37,38 +42,62 @@ CHUNK_TOKENS = 750_000
 CHUNK_DOCS = 60_000  # document numbers within a chunk fit 16 bits
 PART_TOKENS = 300_000
 BYTES_A_WORD = 6
-HOT_WORDS = 1024
+PARTS_A_BUCKET = 8
+BATCH_ROWS = 500  # texts and postings are long: batches of Spark's own size would fill the memory of tasks
+PARTS_A_HOME = 16
+HOT_WORDS = 16384
+HOT_SHARE = 1000  # a hot word has more than this part of a part's tokens
 HOT_SAMPLE = 5000
-END, START = np.uint64(1), np.uint64(2)
+END, START = np.uint64(2**64 - 1), np.uint64(2**64 - 2)
 TOLD = 1_000_000  # documents whose sums a task holds before it passes them on
-PAIRS = "words binary, sizes binary, contexts binary, counts binary"
+PAIRS = "words binary, sizes binary, contexts binary, counts binary, homes binary"
 GATHERED = "part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, blob binary"
-MERGED = f"part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, {PAIRS}, blobs array<binary>"
+MERGED = f"part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, {PAIRS}, keys binary, blobs array<binary>"
+SENT = "home bigint, part bigint, keys binary, blob binary, at bigint, value double"
+SETTLED = "home bigint, part bigint, blob binary, places binary, customers binary"
 
 
 @dataclass
 class Layout:
-    parts: int
-    salts: int
+    parts: int  # of words that are not hot
+    salts: int  # parts of hot words
+    homes: int
     hot: np.ndarray  # sorted ids
+    codes: np.ndarray  # of these, from 1, the most frequent first
+    heavy: int  # so many have more than half a part's share
+
+    def coded(self, words: np.ndarray) -> np.ndarray:
+        """Hot words by their code, others by their id."""
+        if not len(self.hot):
+            return words
+        at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
+        return np.where(self.hot[at] == words, self.codes[at], words)
+
+    def part_of(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """Hot words lie by context, in heavy contexts by pair, others by word."""
+        heavy = (contexts <= np.uint64(self.heavy)) | (contexts == START)
+        key = mix(np.where(heavy, contexts + words * GOLDEN, contexts))
+        hot = words <= np.uint64(len(self.hot))
+        return np.where(hot, np.uint64(self.parts) + key % np.uint64(self.salts), words % np.uint64(self.parts)).astype(np.int64)
 
-    def part_of(self, words: np.ndarray, base: int) -> np.ndarray:
-        part = (words % np.uint64(self.parts)).astype(np.int64)
-        if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
-            salt = int(mix(np.array([base], np.uint64))[0] % np.uint64(self.salts))
-            part = np.where(self.hot[at] == words, self.parts + at * self.salts + salt, part)
-        return part
+    def home_of(self, contexts: np.ndarray) -> np.ndarray:
+        return ((mix(contexts) >> np.uint64(20)) % np.uint64(self.homes)).astype(np.int64)
+
+
+def _nothing() -> np.ndarray:
+    return np.zeros(0)
 
 
 @dataclass
 class Totals:
-    """What all words share: tables and customers by context, tables and customers of the root."""
+    """What words share: tables and customers by context (of one part), tables and customers of the root, in all and of hot words."""
 
     tables: np.ndarray
     customers: np.ndarray
     root_customers: float = 0.0
     root_tables: float = 0.0
+    hot_root: np.ndarray = field(default_factory=_nothing)  # by code
+    hot_tables: np.ndarray = field(default_factory=_nothing)
 
 
 @dataclass
@@ -78,42 +107,55 @@ class Model:
     discount: float
     root_discount: float
     rounds: list[Totals] = field(default_factory=list)
+    hot_counts: np.ndarray = field(default_factory=_nothing)
 
 
-def bucket(words: np.ndarray) -> np.ndarray:
-    return (mix(words) >> np.uint64(64 - 12)).astype(np.uint16)  # 2**12 contexts
+# --- postings
 
 
-# --- postings
+def squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
 
 
 def pack(base: int, trained: np.ndarray, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
-    head = np.array([base, len(trained), len(words), len(docs)], np.int64)
-    parts = head, words.astype(np.uint64), sizes.astype(np.uint32), contexts.astype(np.uint16), docs.astype(np.uint16), np.packbits(trained)
-    return b"".join(p.tobytes() for p in parts)
+    keys, at = np.unique(contexts, return_inverse=True)
+    head = np.array([base, len(trained), len(words), len(docs), len(keys)], np.int64)
+    parts = (
+        head, words.astype(np.uint64), keys.astype(np.uint64), sizes.astype(np.uint32), at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32),
+        docs.astype(np.uint16), np.packbits(trained),
+    )
+    return squeeze(b"".join(p.tobytes() for p in parts))
 
 
 def unpack(blob: bytes):
-    base, n_docs, n_words, n = np.frombuffer(blob, np.int64, 4).tolist()
-    at = 32
+    """Base, documents trained on, distinct words, tokens of each; of each token the context and the document."""
+    blob = unsqueezed(blob)
+    base, n_docs, n_words, n, n_keys = np.frombuffer(blob, np.int64, 5).tolist()
+    at = 40
     found = []
-    for kind, count in ((np.uint64, n_words), (np.uint32, n_words), (np.uint16, n), (np.uint16, n)):
+    kinds = (np.uint64, n_words), (np.uint64, n_keys), (np.uint32, n_words), (np.uint16 if n_keys <= 1 << 16 else np.uint32, n), (np.uint16, n)
+    for kind, count in kinds:
         found.append(np.frombuffer(blob, kind, count, at))
         at += found[-1].nbytes
+    words, keys, sizes, places, docs = found
     trained = np.unpackbits(np.frombuffer(blob, np.uint8, offset=at), count=n_docs).astype(bool)
-    return base, trained, *found
+    return base, trained, words, sizes, keys[places], docs
 
 
-def _chunk(base: int, ids: list, held: list[bool], each: list[np.ndarray], layout: Layout) -> pa.RecordBatch:
+def _chunk(base: int, ids: list, held: list[bool], each: list[np.ndarray], layout: Layout) -> Iterator[pa.RecordBatch]:
     sizes = np.array([len(e) for e in each])
-    words = np.concatenate(each)
+    words = layout.coded(np.concatenate(each))
     docs = np.repeat(np.arange(len(each)), sizes)
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[np.cumsum(sizes) - sizes] = START
-    part = layout.part_of(words, base)
-    order = np.lexsort((words, part))
-    part, words, contexts, docs = part[order], words[order], bucket(before)[order], docs[order]
+    part = layout.part_of(words, before)
+    order = np.lexsort((before, words, part))
+    part, words, contexts, docs = part[order], words[order], before[order], docs[order]
     trained = ~np.array(held, bool)
     names, starts = np.unique(part, return_index=True)
     ends = np.append(starts[1:], len(part))
@@ -123,11 +165,13 @@ def _chunk(base: int, ids: list, held: list[bool], each: list[np.ndarray], layou
         blobs.append(pack(base, trained, distinct, counts, contexts[a:b], docs[a:b]))
     n = len(blobs)
     # The documents themselves travel as one more row, under a negative part.
-    return pa.record_batch({
+    made = pa.record_batch({
         "part": pa.array([-1 - base % layout.parts, *names.tolist()], pa.int64()), "base": pa.array([base] * (n + 1), pa.int64()),
         "ids": pa.array([ids] + [None] * n, pa.list_(pa.int64())), "held": pa.array([held] + [None] * n, pa.list_(pa.bool_())),
         "tokens": pa.array([sizes.tolist()] + [None] * n, pa.list_(pa.int64())), "blob": pa.array([None, *blobs], pa.binary()),
     })
+    for at in range(0, n + 1, BATCH_ROWS):
+        yield made.slice(at, BATCH_ROWS)
 
 
 def _gather(layout: Layout):
@@ -138,7 +182,7 @@ def _gather(layout: Layout):
             rows = zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "held_out")), texts(batch.column("text")))
             for row, doc_id, out, text in rows:
                 if each and (size >= CHUNK_TOKENS or len(each) >= CHUNK_DOCS):
-                    yield _chunk(base, ids, held, each, layout)
+                    yield from _chunk(base, ids, held, each, layout)
                     ids, held, each, size = [], [], [], 0
                 if not each:
                     base = row
@@ -147,70 +191,67 @@ def _gather(layout: Layout):
                 each.append(np.append(known.of(blank_words(text)), END))
                 size += len(each[-1])
         if each:
-            yield _chunk(base, ids, held, each, layout)
+            yield from _chunk(base, ids, held, each, layout)
 
     return run
 
 
-def count_pairs(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of the training postings, pairs of each, and context and count of each pair."""
-    words, contexts = [], []
+def count_pairs(blobs: list[bytes], layout: Layout) -> tuple[tuple[np.ndarray, ...], np.ndarray, list[bytes]]:
+    """Of the training postings of a part: distinct words, pairs of each, context and count of each pair, contexts of each home; the
+    contexts of all postings, by home; and the postings with contexts by their place among these."""
+    keys = np.unique(np.concatenate([np.unique(unpack(blob)[4]) for blob in blobs]))
+    home = layout.home_of(keys)
+    order = np.argsort(home, kind="stable")
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.arange(len(keys))
+    words, contexts, placed = [], [], []
     for blob in blobs:
-        _, trained, distinct, sizes, context, docs = unpack(blob)
+        base, trained, distinct, sizes, context, docs = unpack(blob)
+        context = place[np.searchsorted(keys, context)].astype(np.uint32)
+        placed.append(pack(base, trained, distinct, sizes, context, docs))
         keep = trained[docs]
         words.append(np.repeat(distinct, sizes)[keep])
         contexts.append(context[keep])
     word, context = np.concatenate(words), np.concatenate(contexts)
-    order = np.lexsort((context, word))
-    word, context = word[order], context[order]
+    order_of_pairs = np.lexsort((context, word))
+    word, context = word[order_of_pairs], context[order_of_pairs]
     new = np.ones(len(word), bool)
     new[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
     at = np.flatnonzero(new)
     counts = np.diff(np.append(at, len(word)))
     distinct, sizes = np.unique(word[at], return_counts=True)
-    return distinct, sizes.astype(np.uint32), context[at], counts.astype(np.uint32)
+    homes = np.bincount(home, minlength=layout.homes).astype(np.uint32)
+    return (distinct, sizes.astype(np.uint32), context[at], counts.astype(np.uint32), homes), keys[order], placed
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(layout: Layout):
     """Rows come sorted by part: one row for each part, rows of documents as they are."""
 
-    def row(part: int, base=None, ids=None, held=None, tokens=None, pairs=(None,) * 4, blobs=None) -> pa.RecordBatch:
-        made = [[part], [base], [ids], [held], [tokens], *[[p] for p in pairs], [blobs]]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.list_(pa.binary())]
+    def row(part: int, base=None, ids=None, held=None, tokens=None, pairs=(None,) * 5, keys=None, blobs=None) -> pa.RecordBatch:
+        made = [[part], [base], [ids], [held], [tokens], *[[p] for p in pairs], [keys], [blobs]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.list_(pa.binary())]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(made, kinds)], names=[x.split()[0] for x in MERGED.split(", ")])
 
     def done(part: int, blobs: list[bytes]) -> pa.RecordBatch:
-        return row(part, pairs=[x.tobytes() for x in count_pairs(blobs)], blobs=blobs)
-
-    part, blobs = None, []
-    for batch in batches:
-        for i, name in enumerate(batch.column("part").to_pylist()):
-            if name < 0:
-                yield row(name, *(batch.column(c)[i].as_py() for c in ("base", "ids", "held", "tokens")))
-                continue
-            if name != part and blobs:
-                yield done(part, blobs)
-                blobs = []
-            part = name
-            blobs.append(batch.column("blob")[i].as_py())
-    if blobs:
-        yield done(part, blobs)
-
-
-def _sum_hot(table: pa.Table) -> pa.Table:
-    """The counts of one hot word over all its parts, as one row."""
-    total = np.zeros(CONTEXTS, np.int64)
-    word = b""
-    for words, contexts, counts in zip(*(table[c].to_pylist() for c in ("words", "contexts", "counts"))):
-        total[np.frombuffer(contexts, np.uint16)] += np.frombuffer(counts, np.uint32)
-        word = words or word
-    seen = np.flatnonzero(total)
-    return pa.table({
-        "part": pa.array([table["first"][0].as_py()], pa.int64()), "words": pa.array([word], pa.binary()),
-        "sizes": pa.array([np.array([len(seen)][: len(word) // 8], np.uint32).tobytes()], pa.binary()),
-        "contexts": pa.array([seen.astype(np.uint16).tobytes()], pa.binary()),
-        "counts": pa.array([total[seen].astype(np.uint32).tobytes()], pa.binary()),
-    })
+        pairs, keys, placed = count_pairs(blobs, layout)
+        return row(part, pairs=[squeeze(x.tobytes()) for x in pairs], keys=keys.tobytes(), blobs=placed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, blobs = None, []
+        for batch in batches:
+            for i, name in enumerate(batch.column("part").to_pylist()):
+                if name < 0:
+                    yield row(name, *(batch.column(c)[i].as_py() for c in ("base", "ids", "held", "tokens")))
+                    continue
+                if name != part and blobs:
+                    yield done(part, blobs)
+                    blobs = []
+                part = name
+                blobs.append(batch.column("blob")[i].as_py())
+        if blobs:
+            yield done(part, blobs)
+
+    return run
 
 
 # --- the sampler
@@ -250,11 +291,12 @@ class Counts:
     counts: np.ndarray
 
     @classmethod
-    def of(cls, words: bytes, sizes: bytes, contexts: bytes, counts: bytes) -> Counts:
+    def of(cls, row: dict) -> Counts:
+        words, sizes, contexts, counts = (unsqueezed(row[c]) for c in ("words", "sizes", "contexts", "counts"))
         size = np.frombuffer(sizes, np.uint32).astype(np.int64)
         return cls(
             np.frombuffer(words, np.uint64), np.cumsum(size) - size, np.repeat(np.arange(len(size)), size),
-            np.frombuffer(contexts, np.uint16).astype(np.int64), np.frombuffer(counts, np.uint32).astype(np.int64),
+            np.frombuffer(contexts, np.uint32).astype(np.int64), np.frombuffer(counts, np.uint32).astype(np.int64),
         )
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
@@ -266,6 +308,16 @@ def root_probability(root: np.ndarray, tables: np.ndarray, totals: Totals, model
     return (root - model.root_discount * tables + spare) / (STRENGTH + totals.root_customers)
 
 
+def root_chances(words: np.ndarray, root: np.ndarray, tables: np.ndarray, totals: Totals, model: Model) -> np.ndarray:
+    """Of words of a part: hot ones by their sums over all parts."""
+    hot = words <= np.uint64(len(totals.hot_root))
+    if hot.any():
+        code = words[hot].astype(np.int64) - 1
+        root, tables = root.astype(np.float64), tables.astype(np.float64)
+        root[hot], tables[hot] = totals.hot_root[code], totals.hot_tables[code]
+    return root_probability(root, tables, totals, model)
+
+
 def sample(counts: Counts, model: Model, turn: int, part: int, seed: int) -> Seating:
     """Round `turn` for the words of a part, given the totals of the round before."""
     totals = model.rounds[turn - 1]
@@ -276,59 +328,179 @@ def sample(counts: Counts, model: Model, turn: int, part: int, seed: int) -> Sea
     spare = (STRENGTH + model.root_discount * totals.root_tables) / (model.vocabulary + 1)
     tables = np.ones(len(counts.counts), np.int64)
     for _ in range(SWEEPS):
-        chance = root_probability(root, root_tables, totals, model)
+        chance = root_chances(counts.words, root, root_tables, totals, model)
         tables = seat(counts.counts, weight * chance[counts.owner], model.discount, rng)
         root = counts.by_word(tables)
         root_tables = seat(root, np.full(len(root), spare), model.root_discount, rng)
     return Seating(tables, root, root_tables)
 
 
-SUMS = CONTEXTS + 2
-
-
-def _first_sums(counts: Counts) -> np.ndarray:
-    """Every pair one table: tables and customers by context, and counts of counts of pairs and of the root."""
-    root = counts.by_word(np.ones(len(counts.counts), np.int64))
+def _first_sums(counts: Counts, contexts: int = CONTEXTS, hot: int = 0) -> np.ndarray:
+    """Every pair one table: tables and customers by context, and counts of counts of pairs and, but for hot words, of the root."""
+    root = counts.by_word(np.ones(len(counts.counts), np.int64))[counts.words > np.uint64(hot)]
     some = [len(counts.counts), len(root), *((counts.counts == k).sum() for k in (1, 2)), *((root == k).sum() for k in (1, 2))]
-    by_context = [np.bincount(counts.contexts, w, CONTEXTS) for w in (None, counts.counts)]
+    by_context = [np.bincount(counts.contexts, w, contexts) for w in (None, counts.counts)]
     return np.concatenate([*by_context, np.array(some, np.float64)])
 
 
-def _round_sums(counts: Counts, made: Seating) -> np.ndarray:
-    return np.concatenate([np.bincount(counts.contexts, made.tables, CONTEXTS), [made.root.sum(), made.root_tables.sum()]])
+def _round_sums(counts: Counts, made: Seating, contexts: int = CONTEXTS, hot: int = 0) -> np.ndarray:
+    cold = counts.words > np.uint64(hot)
+    return np.concatenate([np.bincount(counts.contexts, made.tables, contexts), [made.root[cold].sum(), made.root_tables[cold].sum()]])
 
 
-def _summed(pairs: DataFrame, make, size: int) -> np.ndarray:
-    """Sums over all parts of a vector of fixed size; each task sends its own sum."""
+def _hot_sums(counts: Counts, values: np.ndarray, hot: int) -> np.ndarray:
+    """Sums of values of pairs by hot word."""
+    codes = counts.words[counts.owner].astype(np.uint64)
+    is_hot = codes <= np.uint64(hot)
+    return np.bincount(codes[is_hot].astype(np.int64) - 1, values[is_hot], hot) if hot else np.zeros(0)
+
+
+def _sent(rows: DataFrame, make, size: int) -> DataFrame:
+    """Of each part: its contexts and what it has for them, for each home, written; and sums over all parts of a vector of fixed
+    size, of which each task sends its own, under home -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
-        for batch in batches:
-            for row in batch.to_pylist():
-                total += make(Counts.of(row["words"], row["sizes"], row["contexts"], row["counts"]), row["part"])
-        yield pa.record_batch({"at": pa.array(np.arange(size), pa.int64()), "value": pa.array(total, pa.float64())})
 
+        def batch_of(home, part, keys, blob, at, value) -> pa.RecordBatch:
+            kinds = pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.float64()
+            made = [pa.array(v, k) for v, k in zip((home, part, keys, blob, at, value), kinds)]
+            return pa.RecordBatch.from_arrays(made, names=[x.split()[0] for x in SENT.split(", ")])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                by_context, sums = make(row)
+                total += sums
+                ends = np.cumsum(np.frombuffer(unsqueezed(row["homes"]), np.uint32).astype(np.int64))
+                some = [(h, a, b) for h, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())) if b > a]
+                keys = np.frombuffer(row["keys"], np.uint64) if row.get("keys") else None
+                n = len(some)
+                yield batch_of(
+                    [h for h, _, _ in some], [row["part"]] * n, [None if keys is None else keys[a:b].tobytes() for _, a, b in some],
+                    [squeeze(by_context[:, a:b].astype(np.int64).tobytes()) for _, a, b in some], [None] * n, [None] * n,
+                )
+        at = np.flatnonzero(total)
+        n = len(at)
+        yield batch_of([-1] * n, [None] * n, [None] * n, [None] * n, at, total[at])
+
+    return written(rows.mapInArrow(run, SENT), "sent")
+
+
+def _summed(sent: DataFrame, size: int) -> np.ndarray:
     found = np.zeros(size)
-    for row in pairs.mapInArrow(run, "at bigint, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+    for row in sent.where("home = -1").groupBy("at").agg(F.sum("value").alias("value")).collect():
         found[row["at"]] = row["value"]
     return found
 
 
+def _settle(group: pa.Table) -> pa.Table:
+    """What a home returns to each part: customers and tables of the part's contexts, over all parts. The first time it also makes a
+    row of its own, the place of each of these contexts and their customers."""
+    own = [r for r in group.select(["home", "places", "customers"]).to_pylist() if r["places"] is not None]
+    rows = sorted((r for r in group.select(["part", "keys", "blob"]).to_pylist() if r["part"] is not None), key=lambda r: r["part"])
+    home = group["home"][0].as_py()
+    made = {"home": [], "part": [], "blob": [], "places": [], "customers": []}
+
+    def add(**row) -> None:
+        for name, values in made.items():
+            values.append(home if name == "home" else row.get(name))
+
+    sent = [np.frombuffer(unsqueezed(r["blob"]), np.int64) for r in rows]
+    if own:
+        place = np.frombuffer(unsqueezed(own[0]["places"]), np.uint32)
+        customers = np.frombuffer(unsqueezed(own[0]["customers"]), np.int64)
+        tables = np.bincount(place, np.concatenate(sent), len(customers)).astype(np.int64)
+        sizes = [len(x) for x in sent]
+    else:
+        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        sizes = [len(k) for k in keys]
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+        both = [np.bincount(place, np.concatenate([x.reshape(2, -1)[k] for x in sent]), len(distinct)).astype(np.int64) for k in (0, 1)]
+        tables, customers = both
+        add(places=squeeze(place.astype(np.uint32).tobytes()), customers=squeeze(customers.tobytes()))
+    at = 0
+    for r, size in zip(rows, sizes):
+        here = place[at : at + size]
+        at += size
+        add(part=r["part"], blob=squeeze(np.concatenate([customers[here], tables[here]]).tobytes()))
+    kinds = pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
+    return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(made.items(), kinds)})
+
+
+def _settled(sent: DataFrame, homes: DataFrame | None) -> DataFrame:
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = sent.where("home >= 0").select("home", "part", "keys", "blob", none("binary").alias("places"), none("binary").alias("customers"))
+    if homes is not None:
+        own = homes.where("part IS NULL")
+        rows = rows.unionAll(own.select("home", none("bigint").alias("part"), none("binary").alias("keys"), none("binary").alias("blob"), "places", "customers"))
+    return written(rows.groupBy("home").applyInArrow(_settle, SETTLED), "settled")
+
+
+def _meet(table: DataFrame, settled: dict[int, DataFrame], *more: str) -> DataFrame:
+    """Rows of parts with `met_k`, what the homes returned after round k. The table stays in its buckets."""
+    rows = table.where("part >= 0").select("part", *[c.split()[0] for c in PAIRS.split(", ")], *more)
+    for turn, found in settled.items():
+        blobs = F.transform(F.sort_array(F.collect_list(F.struct("home", "blob"))), lambda x: x["blob"])
+        rows = rows.join(found.where("part IS NOT NULL").groupBy("part").agg(blobs.alias(f"met_{turn}")), "part")
+    return rows
+
+
+def of_part(model: Model, row: dict) -> Model:
+    """The model with the totals of the contexts of a part."""
+    rounds = list(model.rounds)
+    for turn, totals in enumerate(rounds):
+        if f"met_{turn}" in row:
+            found = [np.frombuffer(unsqueezed(b), np.int64).reshape(2, -1) for b in row[f"met_{turn}"]]
+            customers, tables = np.concatenate(found, axis=1)
+            rounds[turn] = replace(totals, tables=tables, customers=customers)
+    return replace(model, rounds=rounds)
+
+
 def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos), 0.05, 0.95)) if ones else 0.5
 
 
-def train(pairs: DataFrame, rounds: int, seed: int) -> Model:
-    """The totals of all rounds over a table of training counts (part and the columns of `PAIRS`)."""
-    first = _summed(pairs, lambda counts, part: _first_sums(counts), 2 * CONTEXTS + 6)
-    customers = first[CONTEXTS : 2 * CONTEXTS]
-    n_pairs, n_words, ones, twos, root_ones, root_twos = first[2 * CONTEXTS :]
-    model = Model(int(customers.sum()), int(n_words), _discount(ones, twos), _discount(root_ones, root_twos))
-    model.rounds.append(Totals(first[:CONTEXTS], customers, n_pairs, n_words))
+def train(table: DataFrame, rounds: int, seed: int, hot: int = 0) -> tuple[Model, dict[int, DataFrame]]:
+    """The totals of all rounds over a table of parts (`MERGED`): those of the root, and for each round from the burn-in the table
+    of those by context."""
+
+    def first(row: dict):
+        counts = Counts.of(row)
+        n = int(np.frombuffer(unsqueezed(row["homes"]), np.uint32).sum())
+        found = _first_sums(counts, n, hot)
+        pairs, tokens = (_hot_sums(counts, x, hot) for x in (np.ones(len(counts.counts)), counts.counts))
+        return found[: 2 * n].reshape(2, n), np.concatenate([found[2 * n :], [counts.counts.sum()], pairs, tokens])
+
+    sent = _sent(_meet(table, {}, "keys"), first, 7 + 2 * hot)
+    sums = _summed(sent, 7 + 2 * hot)
+    n_pairs, n_words, ones, twos, root_ones, root_twos, tokens = sums[:7]
+    hot_pairs, hot_counts = sums[7 : 7 + hot], sums[7 + hot :]
+    words = n_words + (hot_pairs > 0).sum()
+    root_ones, root_twos = (n + (hot_pairs == k).sum() for n, k in ((root_ones, 1), (root_twos, 2)))
+    model = Model(int(tokens), int(words), _discount(ones, twos), _discount(root_ones, root_twos), hot_counts=hot_counts)
+    model.rounds.append(Totals(_nothing(), _nothing(), n_pairs, words, hot_pairs, np.minimum(hot_pairs, 1)))
+    homes = settled = _settled(sent, None)
+    kept = {}
     for turn in range(1, rounds + 1):
-        made = _summed(pairs, lambda counts, part: _round_sums(counts, sample(counts, model, turn, part, seed)), SUMS)
-        model.rounds.append(Totals(made[:CONTEXTS], customers, *made[CONTEXTS:]))
-    return model
+
+        def seated(row: dict):
+            counts, own = Counts.of(row), of_part(model, row)
+            made = sample(counts, own, turn, row["part"], seed)
+            n = len(own.rounds[turn - 1].tables)
+            found = _round_sums(counts, made, n, hot)
+            return found[:n].reshape(1, n), np.concatenate([found[n:], _hot_sums(counts, made.tables, hot)])
+
+        sent = _sent(_meet(table, {turn - 1: settled}), seated, 2 + hot)
+        customers, tables, *hot_root = _summed(sent, 2 + hot)
+        hot_root = np.array(hot_root)
+        spare = (STRENGTH + model.root_discount * model.rounds[-1].root_tables) / (model.vocabulary + 1)
+        hot_tables = seat(hot_root.astype(np.int64), np.full(hot, spare), model.root_discount, np.random.default_rng([seed, turn]))
+        model.rounds.append(Totals(_nothing(), _nothing(), customers + hot_root.sum(), tables + hot_tables.sum(), hot_root, hot_tables))
+        settled = _settled(sent, homes)
+        if turn >= BURN_IN:
+            kept[turn] = settled
+    return model, kept
 
 
 # --- scores
@@ -341,6 +513,7 @@ class Predictive:
     words: np.ndarray
     counts: np.ndarray  # of words
     codes: np.ndarray  # word row and context of each pair, sorted
+    contexts: int
     own: np.ndarray  # mean share of the pair's own customers
     chances: list[np.ndarray]  # root probability of each word, by round
 
@@ -348,11 +521,25 @@ class Predictive:
 def predictive(counts: Counts, model: Model, part: int, seed: int) -> Predictive:
     own, chances = np.zeros(len(counts.counts)), []
     kept = range(BURN_IN + 1, len(model.rounds))
+    # Hot words are known wherever they were met.
+    hot = (np.flatnonzero(model.hot_counts) + 1).astype(np.uint64)
+    words = np.union1d(counts.words, hot)
+    at = np.searchsorted(words, counts.words)
+
+    def spread(values: np.ndarray) -> np.ndarray:
+        made = np.zeros(len(words))
+        made[at] = values
+        return made
+
     for turn in kept:
         made, totals = sample(counts, model, turn, part, seed), model.rounds[turn]
         own += (counts.counts - model.discount * made.tables) / (STRENGTH + totals.customers[counts.contexts]) / len(kept)
-        chances.append(root_probability(made.root, made.root_tables, totals, model))
-    return Predictive(counts.words, counts.by_word(counts.counts), counts.owner * CONTEXTS + counts.contexts, own, chances)
+        chances.append(root_chances(words, spread(made.root), spread(made.root_tables), totals, model))
+    known = spread(counts.by_word(counts.counts))
+    is_hot = words <= np.uint64(len(model.hot_counts))
+    known[is_hot] = model.hot_counts[words[is_hot].astype(np.int64) - 1]
+    n = len(model.rounds[-1].tables)
+    return Predictive(words, known, at[counts.owner] * n + counts.contexts, n, own, chances)
 
 
 class Scores:
@@ -377,7 +564,7 @@ class Scores:
             up = (STRENGTH + model.discount * totals.tables) / (STRENGTH + totals.customers)
             chance += up[contexts] * root / len(kept)
         if len(known.codes):
-            code = row * CONTEXTS + contexts
+            code = row * known.contexts + contexts
             pair = np.minimum(np.searchsorted(known.codes, code), len(known.codes) - 1)
             chance += np.where(seen & (known.codes[pair] == code), known.own[pair], 0)
         basic = np.log10((count + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
@@ -391,14 +578,14 @@ class Scores:
 
     def told(self) -> pa.RecordBatch:
         made = pa.record_batch({
-            "base": pa.array(list(self.sums), pa.int64()), "blob": pa.array([s.tobytes() for s in self.sums.values()], pa.binary())
+            "base": pa.array(list(self.sums), pa.int64()), "blob": pa.array([squeeze(s.tobytes()) for s in self.sums.values()], pa.binary())
         })
         self.sums, self.held = {}, 0
         return made
 
 
-def _hot_words(docs: DataFrame, n_docs: int, parts: int, text: str) -> np.ndarray:
-    """Ids of the words with more than half a part's share of the tokens of a sample, of about `HOT_SAMPLE` documents."""
+def _hot_words(docs: DataFrame, n_docs: int, parts: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words of a sample of about `HOT_SAMPLE` documents: ids and shares of the tokens."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")) if parts > 1 else docs.select(F.col(text).alias("t")).limit(0)
     few = rows.where(F.pmod(F.xxhash64("t"), F.lit(max(1, n_docs // HOT_SAMPLE))) == 0)
 
@@ -413,8 +600,26 @@ def _hot_words(docs: DataFrame, n_docs: int, parts: int, text: str) -> np.ndarra
     counted = few.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counted = written(counted, "sample-words")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    often = counted.where(F.col("n") > total / (2 * parts)).orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
-    return np.sort(np.array([r["word"] for r in often], np.int64).view(np.uint64))
+    often = counted.where(F.col("n") > total / (HOT_SHARE * parts)).orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
+    return np.array([r["word"] for r in often], np.int64).view(np.uint64), np.array([r["n"] / total for r in often])
+
+
+def _layout(docs: DataFrame, size: int, n_docs: int, text: str) -> Layout:
+    parts = max(1, -(-size // (BYTES_A_WORD * PART_TOKENS)))
+    words, shares = _hot_words(docs, n_docs, parts, text)
+    order = np.argsort(words)
+    salts = max(1, round(parts * float(shares.sum())))
+    return Layout(
+        max(1, parts - salts), salts, -(-parts // PARTS_A_HOME), words[order], (order + 1).astype(np.uint64),
+        int((shares > 1 / (2 * parts)).sum()),
+    )
+
+
+def _in_buckets(rows: DataFrame, buckets: int) -> str:
+    """The name of a table of the rows, bucketed by part, in the shared folder."""
+    name = f"postings_{uuid.uuid4().hex}"
+    rows.write.format("parquet").bucketBy(buckets, "part").option("path", run_folder(rows.sparkSession, "postings")).saveAsTable(name)
+    return name
 
 
 def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, key: str = "doc_id", text: str = "text", seed: int = 2, rounds: int = ROUNDS) -> DataFrame:
@@ -426,50 +631,46 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, key: st
     table gives no rows; if no row trains, every token is unknown. Other columns of `docs` are not read. `docs` is to come from
     files, whose rows a task that is run again meets in the same order.
     """
+    spark = docs.sparkSession
+    with setting(spark, execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        return _scored(docs, folds, held_out, key, text, seed, rounds)
+
+
+def _scored(docs: DataFrame, folds: int, held_out: int, key: str, text: str, seed: int, rounds: int) -> DataFrame:
+    spark = docs.sparkSession
     size, n_docs = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
-    parts = max(1, -(-(size or 0) // (BYTES_A_WORD * PART_TOKENS)))
-    layout = Layout(parts, max(1, parts // 8), _hot_words(docs, n_docs, parts, text))
+    layout = _layout(docs, size or 0, n_docs, text)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("doc_id"),
         (fold(F.col(key), folds) == held_out).alias("held_out"), F.col(text).alias("text"),
     )
-    dealt = rows.mapInArrow(_gather(layout), GATHERED).repartition("part").sortWithinPartitions("part")
-    table = written(dealt.mapInArrow(_merge, MERGED), "postings")
-    hot = table.where(F.col("part") >= parts).select("words", "contexts", "counts", F.expr(f"(part - {parts}) div {layout.salts}").alias("word"))
-    hot = hot.withColumn("first", F.col("word") * layout.salts + parts)
-    hot = written(hot.groupBy("word").applyInArrow(_sum_hot, f"part bigint, {PAIRS}"), "hot-counts")
-    columns = ["part", *[c.split()[0] for c in PAIRS.split(", ")]]
-    pairs = table.where(F.col("part").between(0, parts - 1)).select(*columns).unionAll(hot.select(*columns))
-    model = train(pairs, rounds, seed)
-
-    def known_of(row: dict) -> Predictive:
-        counts = Counts.of(row["words"], row["sizes"], row["contexts"], row["counts"])
-        return predictive(counts, model, row["part"], seed)
-
-    hot_known = {}  # hot words are few, with a bounded number of pairs each
-    for row in hot.collect():
-        for at in range(layout.salts):
-            hot_known[row["part"] + at] = row.asDict() if at == 0 else hot_known[row["part"]]
+    buckets = -(-(layout.parts + layout.salts) // PARTS_A_BUCKET)
+    dealt = rows.mapInArrow(_gather(layout), GATHERED).repartition(buckets, "part").sortWithinPartitions("part")
+    name = _in_buckets(dealt.mapInArrow(_merge(layout), MERGED), buckets)
+    try:
+        with co_located(spark, buckets):
+            return _scored_parts(spark.table(name), len(layout.hot), rounds, seed)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _scored_parts(table: DataFrame, hot: int, rounds: int, seed: int) -> DataFrame:
+    model, kept = train(table, rounds, seed, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, ready = Scores(), {}
+        scores = Scores()
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                own = hot_known.get(row["part"], row)
-                if own is not row:
-                    if own["part"] not in ready:
-                        ready[own["part"]] = known_of(own)
-                    known = ready[own["part"]]
-                else:
-                    known = known_of(row)
-                for blob in row["blobs"]:
-                    scores.add(blob, known, model)
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names if c != "blobs"}
+                own = of_part(model, row)
+                known = predictive(Counts.of(row), own, row["part"], seed)
+                for blob in batch.column("blobs")[i]:
+                    scores.add(blob.as_py(), known, own)
                     if scores.held > TOLD:
                         yield scores.told()
         yield scores.told()
 
-    told = table.where("part >= 0").select(*columns, "blobs").mapInArrow(run, "base bigint, blob binary")
+    told = _meet(table, kept, "blobs").mapInArrow(run, "base bigint, blob binary")
     named = table.where("part < 0").select("base", "ids", "held", "tokens", F.lit(None).cast("binary").alias("blob"))
     empty = [F.lit(None).cast(k).alias(c) for c, k in (("ids", "array<bigint>"), ("held", "array<boolean>"), ("tokens", "array<bigint>"))]
     together = named.unionAll(told.select("base", *empty, "blob"))
@@ -480,7 +681,7 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, key: st
         total = np.zeros((3, len(about["ids"])))
         for blob in group["blob"].to_pylist():
             if blob is not None:
-                total += np.frombuffer(blob, np.float64).reshape(3, -1)
+                total += np.frombuffer(unsqueezed(blob), np.float64).reshape(3, -1)
         return pa.table({
             "doc_id": pa.array(about["ids"], pa.int64()), "held_out": pa.array(about["held"], pa.bool_()),
             "n_tokens": pa.array(about["tokens"], pa.int64()), "n_known": pa.array(np.rint(total[2]).astype(np.int64), pa.int64()),
@@ -489,4 +690,4 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, key: st
         })
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return together.groupBy("base").applyInArrow(finish, schema)
+    return written(together.groupBy("base").applyInArrow(finish, schema), "scores")

@@ -116,6 +116,88 @@ def test_language_model_counts_and_base_scores(spark, monkeypatch, part_tokens):
     assert 10 ** (-sums["model"] / sums["tokens"]) < 0.5 * 10 ** (-sums["base"] / sums["tokens"])
 
 
+@pytest.mark.parametrize("part_tokens", [1_000_000, 3_000])
+def test_every_context_has_a_restaurant_of_its_own(spark, monkeypatch, part_tokens):
+    """Each of 20,000 words is always followed by the same one: true contexts tell which, however many there are."""
+    monkeypatch.setattr(pitman_yor, "PART_TOKENS", part_tokens)
+    texts = [" ".join(f"a{i} b{i}" for i in range(k, k + 10)) for k in range(0, 20_000, 10)]
+    held = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    learnt = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 10]
+    rows = [(i, texts[k % 2000]) for k, i in enumerate(learnt[:6000])]
+    rows += [(held[0], "a7 b7"), (held[1], "a7 b17"), (held[2], "b7 a8")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    score = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs).where("held_out").collect()}
+    right, wrong, _ = (score[held[k]] for k in range(3))
+    # "a7" opens a text never, ends one never; "b7" follows it in all of 3 cases.
+    assert right - wrong > 3
+    model = {r["doc_id"]: r for r in pitman_yor.score_documents(docs.where(F.col("doc_id") != held[2])).collect()}
+    ones = [r["score"] / r["n_tokens"] for i, r in model.items() if not r["held_out"]]
+    # A token is one of 2,000 at the start of a text and nearly certain after it; shared restaurants leave it one of ten.
+    assert np.mean(ones) > -0.45
+
+
+def seated_by_hand(texts, held, rounds=3):
+    """The model on one machine with dictionaries, one customer after the other; log10 probability of all held-out tokens."""
+    rng = np.random.default_rng(11)
+    data = Counter((u, w) for t, out in zip(texts, held) if not out for u, w in zip(["<"] + t, t))
+    ones, twos = (sum(n == k for n in data.values()) for k in (1, 2))
+    discount = ones / (ones + 2 * twos)
+    root = Counter(w for _, w in data)
+    few = [sum(n == k for n in root.values()) for k in (1, 2)]
+    low = few[0] / (few[0] + 2 * few[1])
+    size, customers = len(root), Counter()
+    for (u, _), n in data.items():
+        customers[u] += n
+    tables, root_tables = dict.fromkeys(data, 1), dict.fromkeys(root, 1)
+    kept = []
+    for turn in range(1, rounds + 1):
+        by_context, guests, seats = Counter(), sum(root.values()), sum(root_tables.values())
+        for (u, _), n in tables.items():
+            by_context[u] += n
+        chance = lambda w: (root[w] - low * root_tables.get(w, 0) + (1 + low * seats) / (size + 1)) / (1 + guests)  # noqa: E731,B023
+        made = {}
+        for (u, w), n in data.items():
+            t, weight = 1, (1 + discount * by_context[u]) * chance(w)
+            for k in range(1, n):
+                t += rng.random() < weight / (k - discount * t + weight)
+            made[u, w] = t
+        tables, root = made, Counter()
+        for (_, w), n in made.items():
+            root[w] += n
+        root_tables = {}
+        for w, n in root.items():
+            t, weight = 1, (1 + low * seats) / (size + 1)
+            for k in range(1, n):
+                t += rng.random() < weight / (k - low * t + weight)
+            root_tables[w] = t
+        if turn > 1:
+            by_context, guests, seats = Counter(), sum(root.values()), sum(root_tables.values())
+            for (u, _), n in tables.items():
+                by_context[u] += n
+            kept.append((tables, by_context, root, dict(root_tables), guests, seats))
+    total = 0
+    for t, out in zip(texts, held):
+        for u, w in zip(["<"] + t, t) if out else ():
+            p = 0
+            for tables, by_context, root, root_tables, guests, seats in kept:
+                base = (root[w] - low * root_tables.get(w, 0) + (1 + low * seats) / (size + 1)) / (1 + guests)
+                own = data[u, w] - discount * tables[u, w] if (u, w) in data else 0
+                p += (own + (1 + discount * by_context[u]) * base) / (1 + customers[u]) / len(kept)
+            total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("part_tokens", [1_000_000, 5_000])
+def test_held_out_scores_equal_a_model_on_one_machine(spark, monkeypatch, part_tokens):
+    monkeypatch.setattr(pitman_yor, "PART_TOKENS", part_tokens)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(400)
+    rows = docs.collect()
+    texts = [r["text"].encode().lower().split() + [None] for r in rows]
+    expected = seated_by_hand(texts, [zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0 for r in rows])
+    made = [r for r in pitman_yor.score_documents(docs.repartition(3)).where("held_out").collect()]
+    assert sum(r["score"] for r in made) == pytest.approx(expected, rel=0.002)
+
+
 def test_probabilities_of_all_words_add_up_to_one():
     rng = np.random.default_rng(4)
     words, contexts = np.arange(5, 45, dtype=np.uint64), np.arange(6)
