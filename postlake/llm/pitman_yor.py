@@ -8,8 +8,8 @@ the number of tables of each restaurant, is held at its value of the round befor
 the burn-in the predictive probabilities of the rounds are averaged. Customers are seated singly up to 32; beyond, in steps of
 a sixteenth of those seated, with a binomial draw for the tables opened in a step. Discounts come from counts of counts.
 
-How it runs: one scan turns the documents into postings (word, context, document), dealt to parts, and a part's postings and
-training counts become one row of a bucketed table. Words that are frequent in a sample are hot: they have small codes, their pairs
+How it runs: one scan turns the documents into postings (word, context, document), dealt to parts, those of a bucket together, and a
+part's training counts and postings become one row of a bucketed table; postings of learnt pairs name neither word nor context. Words that are frequent in a sample are hot: they have small codes, their pairs
 are dealt by context, and what the parent knows of them, one number for each of at most `HOT_WORDS`, is summed by the driver. All other
 words are dealt by word, so their part knows the parent's state. A pair is in one part only. A round reads the counts, meets the
 totals of its contexts, a row for each part, and sends the tables it seated to the homes of the contexts, which add them up and
@@ -26,7 +26,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.session import co_located, run_folder, setting
@@ -44,15 +44,17 @@ PART_TOKENS = 300_000
 BYTES_A_WORD = 6
 PARTS_A_BUCKET = 8
 BATCH_ROWS = 500  # texts and postings are long: batches of Spark's own size would fill the memory of tasks
+BATCH_BYTES = 4 << 20
 PARTS_A_HOME = 16
 HOT_WORDS = 16384
 HOT_SHARE = 1000  # a hot word has more than this part of a part's tokens
 HOT_SAMPLE = 5000
 END, START = np.uint64(2**64 - 1), np.uint64(2**64 - 2)
 TOLD = 1_000_000  # documents whose sums a task holds before it passes them on
-PAIRS = "words binary, sizes binary, contexts binary, counts binary, homes binary"
+PAIRS = "pairs binary, homes binary"
+POSTINGS = "chunks binary, spots binary, others binary"
 GATHERED = "part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, blob binary"
-MERGED = f"part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, {PAIRS}, keys binary, blobs array<binary>"
+MERGED = f"part bigint, base bigint, ids array<bigint>, held array<boolean>, tokens array<bigint>, {PAIRS}, keys binary, {POSTINGS}"
 SENT = "home bigint, part bigint, keys binary, blob binary, at bigint, value double"
 SETTLED = "home bigint, part bigint, blob binary, places binary, customers binary"
 
@@ -65,6 +67,7 @@ class Layout:
     hot: np.ndarray  # sorted ids
     codes: np.ndarray  # of these, from 1, the most frequent first
     heavy: int  # so many have more than half a part's share
+    lead: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each part the first part in its bucket
 
     def coded(self, words: np.ndarray) -> np.ndarray:
         """Hot words by their code, others by their id."""
@@ -121,32 +124,76 @@ def unsqueezed(blob: bytes) -> bytes:
     return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
 
 
-def pack(base: int, trained: np.ndarray, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
-    keys, at = np.unique(contexts, return_inverse=True)
-    head = np.array([base, len(trained), len(words), len(docs), len(keys)], np.int64)
-    parts = (
-        head, words.astype(np.uint64), keys.astype(np.uint64), sizes.astype(np.uint32), at.astype(np.uint16 if len(keys) <= 1 << 16 else np.uint32),
-        docs.astype(np.uint16), np.packbits(trained),
-    )
-    return squeeze(b"".join(p.tobytes() for p in parts))
+def columns(*arrays: np.ndarray) -> bytes:
+    """Arrays in one blob, whole numbers in as few bytes as the largest needs, bytes of one rank side by side."""
+    narrow = [a if a.dtype.kind == "f" else a.astype(np.min_scalar_type(a.max(initial=0))) for a in arrays]
+    head = np.array([[len(a), a.itemsize] for a in narrow], np.uint32)
+    return squeeze(b"".join([head.tobytes(), *(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in narrow)]))
 
 
-def unpack(blob: bytes):
-    """Base, documents trained on, distinct words, tokens of each; of each token the context and the document."""
+def columns_of(blob: bytes, n: int) -> list[np.ndarray]:
+    """The `n` arrays of a blob; eight bytes are whole numbers unless viewed as something else."""
     blob = unsqueezed(blob)
-    base, n_docs, n_words, n, n_keys = np.frombuffer(blob, np.int64, 5).tolist()
-    at = 40
-    found = []
-    kinds = (np.uint64, n_words), (np.uint64, n_keys), (np.uint32, n_words), (np.uint16 if n_keys <= 1 << 16 else np.uint32, n), (np.uint16, n)
-    for kind, count in kinds:
-        found.append(np.frombuffer(blob, kind, count, at))
-        at += found[-1].nbytes
-    words, keys, sizes, places, docs = found
-    trained = np.unpackbits(np.frombuffer(blob, np.uint8, offset=at), count=n_docs).astype(bool)
-    return base, trained, words, sizes, keys[places], docs
+    at, found = 8 * n, []
+    for size, width in np.frombuffer(blob, np.uint32, 2 * n).reshape(n, 2).tolist():
+        raw = np.frombuffer(blob, np.uint8, size * width, at).reshape(width, size)
+        found.append(np.ascontiguousarray(raw.T).view(f"u{width}").reshape(size))
+        at += size * width
+    return found
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending.astype(np.uint64), prepend=np.uint64(0))
+
+
+def summed_steps(made: np.ndarray) -> np.ndarray:
+    return np.cumsum(made.astype(np.uint64), dtype=np.uint64)
+
+
+def pack(
+    base: int, trained: np.ndarray, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray, parts=((), ())
+) -> bytes:
+    """Postings: distinct words in order, tokens of each, of each token the context and the document. Documents to learn from come
+    first. Those of several parts stand one after the other; `parts` are these and the number of distinct words of each."""
+    n_trained = int(np.count_nonzero(trained))
+    if not np.all(trained[:n_trained]):
+        raise ValueError("documents to learn from must come first")
+    keys, at = np.unique(contexts, return_inverse=True)
+    of_parts = (np.array(p, np.int64) for p in parts)
+    return columns(np.array([base, len(trained), n_trained], np.uint64), steps(words), sizes.astype(np.uint32), steps(keys), at, docs, *of_parts)
+
+
+@dataclass
+class Postings:
+    base: int
+    n_docs: int
+    n_trained: int
+    words: np.ndarray  # distinct
+    sizes: np.ndarray  # tokens of each
+    keys: np.ndarray  # distinct contexts
+    at: np.ndarray  # of each token its context among these
+    docs: np.ndarray  # of each token
+
+    def split(self, parts: list[int], n_words: list[int]) -> Iterator[tuple[int, Postings]]:
+        word = token = 0
+        for part, n in zip(parts, n_words):
+            sizes = self.sizes[word : word + n]
+            until = token + int(sizes.sum())
+            at = self.at[token:until]
+            used = np.bincount(at, minlength=len(self.keys)) > 0
+            narrow = (np.cumsum(used) - 1).astype(self.at.dtype)[at]
+            yield part, replace(self, words=self.words[word : word + n], sizes=sizes, keys=self.keys[used], at=narrow, docs=self.docs[token:until])
+            word, token = word + n, until
+
+
+def unpack(blob: bytes) -> tuple[Postings, list[int], list[int]]:
+    head, words, sizes, keys, at, docs, *parts = columns_of(blob, 8)
+    return Postings(*head.tolist(), summed_steps(words), sizes.astype(np.int64), summed_steps(keys), at, docs), *(p.tolist() for p in parts)
 
 
 def _chunk(base: int, ids: list, held: list[bool], each: list[np.ndarray], layout: Layout) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(held, kind="stable").tolist()  # those to learn from come first
+    ids, held, each = ([x[i] for i in order] for x in (ids, held, each))
     sizes = np.array([len(e) for e in each])
     words = layout.coded(np.concatenate(each))
     docs = np.repeat(np.arange(len(each)), sizes)
@@ -154,15 +201,18 @@ def _chunk(base: int, ids: list, held: list[bool], each: list[np.ndarray], layou
     before[1:] = words[:-1]
     before[np.cumsum(sizes) - sizes] = START
     part = layout.part_of(words, before)
-    order = np.lexsort((before, words, part))
-    part, words, contexts, docs = part[order], words[order], before[order], docs[order]
+    lead = layout.lead[part]
+    order = np.lexsort((before, words, part, lead))
+    lead, part, words, contexts, docs = lead[order], part[order], words[order], before[order], docs[order]
     trained = ~np.array(held, bool)
-    names, starts = np.unique(part, return_index=True)
+    # Parts of one bucket travel together: so many more parts would make as many more and smaller blobs.
+    names, starts = np.unique(lead, return_index=True)
     ends = np.append(starts[1:], len(part))
     blobs = []
     for a, b in zip(starts, ends):
-        distinct, counts = np.unique(words[a:b], return_counts=True)
-        blobs.append(pack(base, trained, distinct, counts, contexts[a:b], docs[a:b]))
+        new = np.flatnonzero(np.append(True, (words[a + 1 : b] != words[a : b - 1]) | (part[a + 1 : b] != part[a : b - 1])))
+        of_words = np.unique(part[a:b][new], return_counts=True)
+        blobs.append(pack(base, trained, words[a:b][new], np.diff(np.append(new, b - a)), contexts[a:b], docs[a:b], of_words))
     n = len(blobs)
     # The documents themselves travel as one more row, under a negative part.
     made = pa.record_batch({
@@ -196,60 +246,79 @@ def _gather(layout: Layout):
     return run
 
 
-def count_pairs(blobs: list[bytes], layout: Layout) -> tuple[tuple[np.ndarray, ...], np.ndarray, list[bytes]]:
-    """Of the training postings of a part: distinct words, pairs of each, context and count of each pair, contexts of each home; the
-    contexts of all postings, by home; and the postings with contexts by their place among these."""
-    keys = np.unique(np.concatenate([np.unique(unpack(blob)[4]) for blob in blobs]))
+@dataclass
+class Part:
+    """Postings of a part. Tokens of pairs that were learnt stand in the order of the pairs, others in a blob of their own; documents
+    are numbered through the chunks."""
+
+    pairs: tuple[np.ndarray, ...]  # learnt: distinct words, pairs of each, context and count of each pair, contexts of each home
+    keys: np.ndarray  # the contexts of all postings, by home; others refer to their place here
+    chunks: tuple[np.ndarray, ...]  # base and documents of each
+    spots: tuple[np.ndarray, ...]  # tokens of each learnt pair, document of each
+    others: bytes
+
+
+def gathered(found: list[Postings], layout: Layout) -> Part:
+    found = sorted(found, key=lambda f: f.base)
+    bases, n_docs = np.array([f.base for f in found], np.int64), np.array([f.n_docs for f in found], np.int64)
+    first = np.cumsum(n_docs) - n_docs
+    keys = np.unique(np.concatenate([f.keys for f in found]))
     home = layout.home_of(keys)
-    order = np.argsort(home, kind="stable")
+    by_home = np.argsort(home, kind="stable")
     place = np.empty(len(keys), np.int64)
-    place[order] = np.arange(len(keys))
-    words, contexts, placed = [], [], []
-    for blob in blobs:
-        base, trained, distinct, sizes, context, docs = unpack(blob)
-        context = place[np.searchsorted(keys, context)].astype(np.uint32)
-        placed.append(pack(base, trained, distinct, sizes, context, docs))
-        keep = trained[docs]
-        words.append(np.repeat(distinct, sizes)[keep])
-        contexts.append(context[keep])
-    word, context = np.concatenate(words), np.concatenate(contexts)
-    order_of_pairs = np.lexsort((context, word))
-    word, context = word[order_of_pairs], context[order_of_pairs]
-    new = np.ones(len(word), bool)
-    new[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
-    at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(word)))
-    distinct, sizes = np.unique(word[at], return_counts=True)
-    homes = np.bincount(home, minlength=layout.homes).astype(np.uint32)
-    return (distinct, sizes.astype(np.uint32), context[at], counts.astype(np.uint32), homes), keys[order], placed
+    place[by_home] = np.arange(len(keys))
+    vocabulary = np.unique(np.concatenate([f.words for f in found]))
+    code, docs, kept = [], [], []
+    for start, f in zip(first.tolist(), found):
+        code.append(np.repeat(np.searchsorted(vocabulary, f.words) * len(keys), f.sizes) + place[np.searchsorted(keys, f.keys)][f.at])
+        docs.append(np.add(start, f.docs, dtype=np.int64))
+        kept.append(f.docs < f.n_trained)
+    code, docs, kept = (np.concatenate(x) for x in (code, docs, kept))
+    order = np.argsort(code, kind="stable")
+    code, docs, kept = code[order], docs[order], kept[order]
+    at = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    sizes = np.diff(np.append(at, len(code)))
+    counts = np.add.reduceat(kept, at, dtype=np.int64)
+    word, context = np.divmod(code[at], len(keys))
+    learnt = counts > 0
+    tokens = np.repeat(learnt, sizes)
+    distinct, pairs = np.unique(word[learnt], return_counts=True)
+    rest, of_rest = np.unique(np.repeat(word[~learnt], sizes[~learnt]), return_counts=True)
+    return Part(
+        (vocabulary[distinct], pairs, context[learnt], counts[learnt], np.bincount(home, minlength=layout.homes)), keys[by_home], (bases, n_docs),
+        (sizes[learnt], docs[tokens]), pack(0, np.zeros(0, bool), vocabulary[rest], of_rest, np.repeat(context[~learnt], sizes[~learnt]), docs[~tokens]),
+    )
 
 
 def _merge(layout: Layout):
-    """Rows come sorted by part: one row for each part, rows of documents as they are."""
+    """Rows come sorted by the first part of their bucket: one row for each part, rows of documents as they are."""
 
-    def row(part: int, base=None, ids=None, held=None, tokens=None, pairs=(None,) * 5, keys=None, blobs=None) -> pa.RecordBatch:
-        made = [[part], [base], [ids], [held], [tokens], *[[p] for p in pairs], [keys], [blobs]]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.list_(pa.binary())]
+    def row(part: int, base=None, ids=None, held=None, tokens=None, blobs=(None,) * 6) -> pa.RecordBatch:
+        made = [[part], [base], [ids], [held], [tokens], *[[b] for b in blobs]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(made, kinds)], names=[x.split()[0] for x in MERGED.split(", ")])
 
-    def done(part: int, blobs: list[bytes]) -> pa.RecordBatch:
-        pairs, keys, placed = count_pairs(blobs, layout)
-        return row(part, pairs=[squeeze(x.tobytes()) for x in pairs], keys=keys.tobytes(), blobs=placed)
+    def done(parts: dict[int, list[Postings]]) -> Iterator[pa.RecordBatch]:
+        for part in sorted(parts):
+            found = gathered(parts.pop(part), layout)
+            words, *pairs, homes = found.pairs
+            made = columns(steps(words), *pairs), columns(homes), columns(steps(found.keys)), columns(*found.chunks), columns(*found.spots), found.others
+            yield row(part, blobs=made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, blobs = None, []
+        lead, parts = None, {}
         for batch in batches:
             for i, name in enumerate(batch.column("part").to_pylist()):
                 if name < 0:
                     yield row(name, *(batch.column(c)[i].as_py() for c in ("base", "ids", "held", "tokens")))
                     continue
-                if name != part and blobs:
-                    yield done(part, blobs)
-                    blobs = []
-                part = name
-                blobs.append(batch.column("blob")[i].as_py())
-        if blobs:
-            yield done(part, blobs)
+                if name != lead:
+                    yield from done(parts)
+                lead = name
+                postings, *each = unpack(batch.column("blob")[i].as_py())
+                for part, own in postings.split(*each):
+                    parts.setdefault(part, []).append(own)
+        yield from done(parts)
 
     return run
 
@@ -292,12 +361,9 @@ class Counts:
 
     @classmethod
     def of(cls, row: dict) -> Counts:
-        words, sizes, contexts, counts = (unsqueezed(row[c]) for c in ("words", "sizes", "contexts", "counts"))
-        size = np.frombuffer(sizes, np.uint32).astype(np.int64)
-        return cls(
-            np.frombuffer(words, np.uint64), np.cumsum(size) - size, np.repeat(np.arange(len(size)), size),
-            np.frombuffer(contexts, np.uint32).astype(np.int64), np.frombuffer(counts, np.uint32).astype(np.int64),
-        )
+        words, *others = columns_of(row["pairs"], 4)
+        size, contexts, counts = (x.astype(np.int64) for x in others)
+        return cls(summed_steps(words), np.cumsum(size) - size, np.repeat(np.arange(len(size)), size), contexts, counts)
 
     def by_word(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts) if len(self.starts) else np.zeros(0, values.dtype)
@@ -372,12 +438,12 @@ def _sent(rows: DataFrame, make, size: int) -> DataFrame:
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 by_context, sums = make(row)
                 total += sums
-                ends = np.cumsum(np.frombuffer(unsqueezed(row["homes"]), np.uint32).astype(np.int64))
+                ends = np.cumsum(columns_of(row["homes"], 1)[0], dtype=np.int64)
                 some = [(h, a, b) for h, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())) if b > a]
-                keys = np.frombuffer(row["keys"], np.uint64) if row.get("keys") else None
+                keys = summed_steps(columns_of(row["keys"], 1)[0]) if row.get("keys") else None
                 n = len(some)
                 yield batch_of(
-                    [h for h, _, _ in some], [row["part"]] * n, [None if keys is None else keys[a:b].tobytes() for _, a, b in some],
+                    [h for h, _, _ in some], [row["part"]] * n, [None if keys is None else columns(steps(keys[a:b])) for _, a, b in some],
                     [squeeze(by_context[:, a:b].astype(np.int64).tobytes()) for _, a, b in some], [None] * n, [None] * n,
                 )
         at = np.flatnonzero(total)
@@ -413,7 +479,7 @@ def _settle(group: pa.Table) -> pa.Table:
         tables = np.bincount(place, np.concatenate(sent), len(customers)).astype(np.int64)
         sizes = [len(x) for x in sent]
     else:
-        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        keys = [summed_steps(columns_of(r["keys"], 1)[0]) for r in rows]
         sizes = [len(k) for k in keys]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         both = [np.bincount(place, np.concatenate([x.reshape(2, -1)[k] for x in sent]), len(distinct)).astype(np.int64) for k in (0, 1)]
@@ -467,7 +533,7 @@ def train(table: DataFrame, rounds: int, seed: int, hot: int = 0) -> tuple[Model
 
     def first(row: dict):
         counts = Counts.of(row)
-        n = int(np.frombuffer(unsqueezed(row["homes"]), np.uint32).sum())
+        n = int(columns_of(row["homes"], 1)[0].sum(dtype=np.int64))
         found = _first_sums(counts, n, hot)
         pairs, tokens = (_hot_sums(counts, x, hot) for x in (np.ones(len(counts.counts)), counts.counts))
         return found[: 2 * n].reshape(2, n), np.concatenate([found[2 * n :], [counts.counts.sum()], pairs, tokens])
@@ -543,47 +609,76 @@ def predictive(counts: Counts, model: Model, part: int, seed: int) -> Predictive
 
 
 class Scores:
-    """Sums of documents by chunk, passed on when there are many."""
+    """Sums of documents by chunk, passed on when there are many: base score, score, known tokens."""
 
     def __init__(self):
         self.sums, self.held = {}, 0
 
-    def add(self, blob: bytes, known: Predictive, model: Model) -> None:
-        base, trained, words, sizes, contexts, docs = unpack(blob)
-        n = len(trained)
+    def add(self, blob: bytes, known: Predictive, model: Model, chunks: list[np.ndarray] | None = None) -> None:
+        """Any tokens: of the chunk of the blob, or numbered through `chunks`."""
+        postings, *_ = unpack(blob)
+        words, sizes, contexts = postings.words, postings.sizes, postings.keys.astype(np.int64)[postings.at]
         at = np.searchsorted(known.words, words)
         at[at == len(known.words)] = 0
         met = known.words[at] == words if len(known.words) else np.zeros(len(words), bool)
         count = np.where(met, known.counts[at], 0) if len(known.words) else np.zeros(len(words))
-        row, seen, contexts = np.repeat(np.where(met, at, 0), sizes), np.repeat(met, sizes), contexts.astype(np.int64)
+        row, seen = np.repeat(np.where(met, at, 0), sizes), np.repeat(met, sizes)
         chance = np.zeros(len(row))
         kept = range(BURN_IN + 1, len(model.rounds))
         for totals, chances in zip((model.rounds[k] for k in kept), known.chances):
             unseen = root_probability(np.zeros(1), np.zeros(1), totals, model)[0]
             root = np.where(seen, chances[row], unseen) if len(chances) else np.full(len(row), unseen)
-            up = (STRENGTH + model.discount * totals.tables) / (STRENGTH + totals.customers)
-            chance += up[contexts] * root / len(kept)
+            chance += up(totals, model)[contexts] * root / len(kept)
         if len(known.codes):
             code = row * known.contexts + contexts
             pair = np.minimum(np.searchsorted(known.codes, code), len(known.codes) - 1)
             chance += np.where(seen & (known.codes[pair] == code), known.own[pair], 0)
-        basic = np.log10((count + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
-        if base not in self.sums:
-            self.sums[base] = np.zeros((3, n))
-            self.held += n
-        total = self.sums[base]
-        total[0] += np.bincount(docs, np.repeat(basic, sizes), n)
-        total[1] += np.bincount(docs, np.log10(chance), n)
-        total[2] += np.bincount(docs, seen, n)
+        chunks = chunks or [np.array([postings.base]), np.array([postings.n_docs])]
+        self.sum_up(chunks, postings.docs, np.repeat(basic(count, model), sizes), np.log10(chance), seen)
+
+    def add_learnt(self, spots: bytes, known: Predictive, model: Model, chunks: list[np.ndarray]) -> None:
+        """The tokens of the learnt pairs, in the order of these."""
+        sizes, docs = columns_of(spots, 2)
+        row, contexts = np.divmod(known.codes, known.contexts)
+        chance = known.own.copy()
+        for totals, chances in zip(model.rounds[BURN_IN + 1 :], known.chances):
+            chance += up(totals, model)[contexts] * chances[row] / len(known.chances)
+        pair = np.repeat(np.arange(len(sizes)), sizes)
+        self.sum_up(chunks, docs, basic(known.counts, model)[row][pair], np.log10(chance)[pair], np.ones(len(docs)))
+
+    def sum_up(self, chunks: list[np.ndarray], docs: np.ndarray, *values: np.ndarray) -> None:
+        bases, n_docs = (x.astype(np.int64) for x in chunks)
+        ends = np.cumsum(n_docs)
+        numbers, place = np.unique(docs, return_inverse=True)
+        found = np.stack([np.bincount(place, v, len(numbers)) for v in values])
+        cuts = np.searchsorted(numbers, np.append(0, ends))
+        for base, n, end, a, b in zip(bases.tolist(), n_docs.tolist(), ends.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            if b > a:
+                if base not in self.sums:
+                    self.sums[base] = np.zeros((len(values), n))
+                    self.held += n
+                self.sums[base][:, numbers[a:b] - (end - n)] += found[:, a:b]
 
     def told(self) -> pa.RecordBatch:
-        made = pa.record_batch({
-            "base": pa.array(list(self.sums), pa.int64()), "blob": pa.array([squeeze(s.tobytes()) for s in self.sums.values()], pa.binary())
-        })
+        """Of the documents that had tokens."""
+        blobs = []
+        for total in self.sums.values():
+            at = np.flatnonzero(total.any(axis=0))
+            blobs.append(columns(steps(at), total[2, at].astype(np.int64), total[0, at], total[1, at]))
+        made = pa.record_batch({"base": pa.array(list(self.sums), pa.int64()), "blob": pa.array(blobs, pa.binary())})
         self.sums, self.held = {}, 0
         return made
 
 
+def basic(counts: np.ndarray, model: Model) -> np.ndarray:
+    return np.log10((counts + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
+
+
+def up(totals: Totals, model: Model) -> np.ndarray:
+    """What each context leaves to the root."""
+    return (STRENGTH + model.discount * totals.tables) / (STRENGTH + totals.customers)
+
+
 def _hot_words(docs: DataFrame, n_docs: int, parts: int, text: str) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent words of a sample of about `HOT_SAMPLE` documents: ids and shares of the tokens."""
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")) if parts > 1 else docs.select(F.col(text).alias("t")).limit(0)
@@ -615,6 +710,13 @@ def _layout(docs: DataFrame, size: int, n_docs: int, text: str) -> Layout:
     )
 
 
+def _leads(spark: SparkSession, parts: int, buckets: int) -> np.ndarray:
+    """Of each part the first one that a table bucketed by part has in the same bucket."""
+    of = np.array([r[0] for r in spark.range(parts).orderBy("id").select(F.pmod(F.hash("id"), F.lit(buckets))).collect()], np.int64)
+    _, first, place = np.unique(of, return_index=True, return_inverse=True)
+    return first[place]
+
+
 def _in_buckets(rows: DataFrame, buckets: int) -> str:
     """The name of a table of the rows, bucketed by part, in the shared folder."""
     name = f"postings_{uuid.uuid4().hex}"
@@ -632,7 +734,7 @@ def score_documents(docs: DataFrame, folds: int = 10, held_out: int = 0, key: st
     files, whose rows a task that is run again meets in the same order.
     """
     spark = docs.sparkSession
-    with setting(spark, execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+    with setting(spark, execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS), execution__arrow__maxBytesPerBatch=str(BATCH_BYTES)):
         return _scored(docs, folds, held_out, key, text, seed, rounds)
 
 
@@ -645,6 +747,7 @@ def _scored(docs: DataFrame, folds: int, held_out: int, key: str, text: str, see
         (fold(F.col(key), folds) == held_out).alias("held_out"), F.col(text).alias("text"),
     )
     buckets = -(-(layout.parts + layout.salts) // PARTS_A_BUCKET)
+    layout.lead = _leads(spark, layout.parts + layout.salts, buckets)
     dealt = rows.mapInArrow(_gather(layout), GATHERED).repartition(buckets, "part").sortWithinPartitions("part")
     name = _in_buckets(dealt.mapInArrow(_merge(layout), MERGED), buckets)
     try:
@@ -661,16 +764,17 @@ def _scored_parts(table: DataFrame, hot: int, rounds: int, seed: int) -> DataFra
         scores = Scores()
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names if c != "blobs"}
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 own = of_part(model, row)
                 known = predictive(Counts.of(row), own, row["part"], seed)
-                for blob in batch.column("blobs")[i]:
-                    scores.add(blob.as_py(), known, own)
-                    if scores.held > TOLD:
-                        yield scores.told()
+                chunks = columns_of(row["chunks"], 2)
+                scores.add_learnt(row["spots"], known, own, chunks)
+                scores.add(row["others"], known, own, chunks)
+                if scores.held > TOLD:
+                    yield scores.told()
         yield scores.told()
 
-    told = _meet(table, kept, "blobs").mapInArrow(run, "base bigint, blob binary")
+    told = _meet(table, kept, *[c.split()[0] for c in POSTINGS.split(", ")]).mapInArrow(run, "base bigint, blob binary")
     named = table.where("part < 0").select("base", "ids", "held", "tokens", F.lit(None).cast("binary").alias("blob"))
     empty = [F.lit(None).cast(k).alias(c) for c, k in (("ids", "array<bigint>"), ("held", "array<boolean>"), ("tokens", "array<bigint>"))]
     together = named.unionAll(told.select("base", *empty, "blob"))
@@ -681,7 +785,9 @@ def _scored_parts(table: DataFrame, hot: int, rounds: int, seed: int) -> DataFra
         total = np.zeros((3, len(about["ids"])))
         for blob in group["blob"].to_pylist():
             if blob is not None:
-                total += np.frombuffer(unsqueezed(blob), np.float64).reshape(3, -1)
+                at, known, *scores = columns_of(blob, 4)
+                at = summed_steps(at).astype(np.int64)
+                total[:, at] += np.stack([*(x.view(np.float64) for x in scores), known])
         return pa.table({
             "doc_id": pa.array(about["ids"], pa.int64()), "held_out": pa.array(about["held"], pa.bool_()),
             "n_tokens": pa.array(about["tokens"], pa.int64()), "n_known": pa.array(np.rint(total[2]).astype(np.int64), pa.int64()),

@@ -6,6 +6,7 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -197,6 +198,60 @@ def test_held_out_scores_equal_a_model_on_one_machine(spark, monkeypatch, part_t
     assert sum(r["score"] for r in made) == pytest.approx(expected, rel=0.002)
 
 
+def test_postings_take_few_bytes_a_token(spark, monkeypatch):
+    """However many parts there are; neither words nor contexts of a pair, nor which documents are held out, are kept again and again."""
+    monkeypatch.setattr(pitman_yor, "PART_TOKENS", 5_000)
+    folders, make = [], pitman_yor.run_folder
+    monkeypatch.setattr(pitman_yor, "run_folder", lambda *a: folders.append(make(*a)) or folders[-1])
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 300))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tokens = sum(r["n_tokens"] for r in pitman_yor.score_documents(docs).collect())
+    assert tokens == 600 * 301
+    files = Path(folders[-1].removeprefix("file:")).rglob("*.parquet")
+    size = sum(f.stat().st_size for f in files)
+    assert size < 4 * tokens
+
+
+def test_postings_of_a_chunk_come_back_by_part():
+    rng = np.random.default_rng(7)
+    each = [rng.integers(0, 60, n).astype(np.uint64) * pitman_yor.GOLDEN for n in rng.integers(1, 40, 30)]
+    held = (np.arange(30) % 3 == 0).tolist()
+    hot = np.sort(np.arange(1, 5, dtype=np.uint64) * pitman_yor.GOLDEN)
+    layout = pitman_yor.Layout(7, 5, 2, hot, np.arange(1, 5, dtype=np.uint64), 1, np.arange(12) % 3)
+    batches = list(pitman_yor._chunk(90, list(range(30)), held, each, layout))
+    rows = [r for b in batches for r in b.to_pylist()]
+    about = next(r for r in rows if r["part"] < 0)
+    assert sorted(about["ids"]) == list(range(30)) and about["held"] == [held[i] for i in about["ids"]]
+    assert about["tokens"] == [len(each[i]) for i in about["ids"]]
+    found, expected = Counter(), Counter()
+    for r in rows:
+        if r["part"] >= 0:
+            postings, *parts = pitman_yor.unpack(r["blob"])
+            assert (postings.base, postings.n_docs, postings.n_trained) == (90, 30, 20)
+            for part, p in postings.split(*parts):
+                words, contexts = np.repeat(p.words, p.sizes), p.keys[p.at]
+                assert set(layout.part_of(words, contexts).tolist()) == {part} and layout.lead[part] == r["part"]
+                assert len(np.unique(p.at)) == len(p.keys) and len(np.unique(p.words)) == len(p.words)
+                found.update(zip(words.tolist(), contexts.tolist(), p.docs.tolist()))
+    for k, i in enumerate(about["ids"]):
+        coded = layout.coded(each[i]).tolist()
+        expected.update((w, c, k) for c, w in zip([int(pitman_yor.START)] + coded, coded))
+    assert found == expected
+
+
+def test_a_task_tells_only_of_documents_that_had_tokens():
+    """Not of all documents of each chunk, of which it may have met few."""
+    scores = pitman_yor.Scores()
+    chunks = [np.arange(50) * 9_000, np.full(50, 8_000)]
+    for k in range(50):
+        scores.sum_up(chunks, np.array([k * 8_000 + 5, k * 8_000 + 7_999, k * 8_000 + 5]), np.array([0.1, 0.2, 0.3]), -np.ones(3), np.ones(3))
+    assert [list(np.flatnonzero(scores.sums[base][2])) for base in (0, 9_000, 441_000)] == [[5, 7_999]] * 3
+    assert scores.sums[9_000][:, 5] == pytest.approx([0.4, -2, 2])
+    told = scores.told()
+    assert told.num_rows == 50 and sum(len(b.as_py()) for b in told.column("blob")) < 50 * 150
+
+
 def test_probabilities_of_all_words_add_up_to_one():
     rng = np.random.default_rng(4)
     words, contexts = np.arange(5, 45, dtype=np.uint64), np.arange(6)
