@@ -353,8 +353,10 @@ def extract_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     # How often depends on the row, so that tasks make the text and no plan holds it.
     is_large = number % 2000 == 0
     body = F.repeat(F.lit("0123456789abcdef"), F.when(is_large, F.lit(OVER_LIMIT)))
-    filler = F.concat(F.lit('[{"url":"x","contentMeta":{"type":"post"},"parseMeta":{"body":"'), body, F.lit('"}},'))
-    large = F.when(is_large, F.concat(filler, F.substring("text", 2, 1 << 30))).otherwise(F.col("text"))
+    opening = F.lit('[{"url":"x","contentMeta":{"type":"post"},"parseMeta":{"body":"')
+    # In one go: the text is large, and so would be any part of it made before.
+    filled = F.concat(opening, body, F.lit('"}},'), F.substring("text", 2, 1 << 30))
+    large = F.when(is_large, filled).otherwise(F.col("text"))
     texts = parts["parse_text"].withColumn("text", large)
     fetched = parts["fetch"].unionByName(parts["parse"])
     rows = extracted_records(fetched, parts["parse_data"], texts, POSTS_AS_OF, large_bytes=1)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import days_before, local_date
-from postlake.functions.text import TRAILING_ZERO, not_empty
+from postlake.functions.text import OVERLONG, TRAILING_ZERO, not_empty
 from postlake.operators.filters import DETAILED_DAYS, POST_DAYS
 from postlake.schemas import (
     DETAILED,
@@ -73,22 +73,29 @@ def unnest(pages: DataFrame, large_bytes: int = SURE_BYTES) -> DataFrame:
     candidates = pages.where(F.when(multi, has_results).otherwise(F.col("page_type") == TYPE_PROFILE))
     kept = ("from_segment", "crawl_date", "segment", "page_type", "route")
     # The elements of a large page are variants of their own; if one of them is too large, they are split off as text, which has
-    # no limit, and read as arrays of one. All of it is one expression, so no row but the page's own carries its text.
-    large = F.octet_length("text") > large_bytes
+    # no limit, and read as arrays of one. So they are if one of them has a string that ends early, and that one is not read. All of
+    # it is one expression, so no row but the page's own carries its text.
+    cut = F.contains("text", F.lit(OVERLONG))
+    large = (F.octet_length("text") > large_bytes) | cut
     whole = F.from_json(F.when(large, F.col("text")), "array<variant>", NO_LIMIT)
+    whole = F.when(~cut | ~F.exists(whole, lambda v: F.to_json(v).contains(OVERLONG)), whole)
     split = F.coalesce(F.from_json("text", "array<string>", NO_LIMIT), F.array(F.lit("")))
 
-    def read(piece: Column) -> Column:
+    def as_given(json: Column, unreadable: Column) -> Column:
+        return F.struct(json.alias("json"), unreadable.alias("unreadable"))
+
+    def one(piece: Column) -> Column:
         given = F.coalesce(piece, F.lit("null"))
-        one = large & (given != "")
-        json = F.when(one, F.concat(F.lit("["), given, F.lit("]"))).otherwise(piece)
-        unreadable = F.when(one & given.startswith("{"), TOO_LARGE).when(one, BAD_ELEMENT).otherwise(NOT_JSON)
-        found = F.try_variant_get(F.try_parse_json(json), "$", f"array<{ELEMENT}>")
-        return F.coalesce(F.transform(found, _readable), F.array(F.struct(F.lit(None).cast(ELEMENT).alias("element"), unreadable.alias("unreadable"))))
+        unreadable = F.when(given.startswith("{"), TOO_LARGE).when(given != "", BAD_ELEMENT).otherwise(NOT_JSON)
+        return as_given(F.when((given != "") & ~given.contains(OVERLONG), F.concat(F.lit("["), given, F.lit("]"))), unreadable)
+
+    def read(piece: Column) -> Column:
+        found = F.try_variant_get(F.try_parse_json(piece.json), "$", f"array<{ELEMENT}>")
+        return F.coalesce(F.transform(found, _readable), F.array(F.struct(F.lit(None).cast(ELEMENT).alias("element"), piece.unreadable)))
 
+    pieces = F.when(large, F.transform(split, one)).otherwise(F.array(as_given(F.col("text"), F.lit(NOT_JSON))))
     parsed = F.coalesce(
-        F.transform(whole, lambda v: _readable(F.try_variant_get(v, "$", ELEMENT))),
-        F.flatten(F.transform(F.when(large, split).otherwise(F.array("text")), read)),
+        F.transform(whole, lambda v: _readable(F.try_variant_get(v, "$", ELEMENT))), F.flatten(F.transform(pieces, read))
     )
     page = F.struct(
         "url", F.struct(F.col("page_type").alias(META_TYPE)).alias("contentMeta"),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions.text import lookup
+from postlake.functions.text import lookup, without_overlong
 from postlake.operators.latest import top_per_key
 from postlake.schemas import FETCHED, META_MULTIPLE, META_SEGMENT, META_SKIP, META_TYPE, PARSED, SEGMENT_PARTS
 
@@ -46,7 +46,9 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
     fetch, or one picked by value. The joins reuse the partitioning by segment
     and url that this needs, so each part is shuffled once. Texts are never
     broadcast: what Spark takes for their size says nothing of it, and the driver
-    would hold them all.
+    would hold them all. Strings too long for any reader are cut where a text is
+    read, so that no row carries them: every buffer for rows takes up to twice the
+    size of a text that goes through it.
     """
     fetched = _one_per_page(
         fetch.where(F.col("status") == FETCHED).select("segment", "url", "fetch_time"),
@@ -57,7 +59,7 @@ def assemble(fetch: DataFrame, parse_data: DataFrame, parse_text: DataFrame) ->
         F.xxhash64(F.map_entries("content_meta"), F.map_entries("parse_meta")),
     ).where(F.coalesce(lookup("content_meta", META_SKIP), F.lit("")) != "1")
     texts = _one_per_page(
-        parse_text.select("segment", "url", "text"), F.col("text").desc_nulls_last()
+        parse_text.select("segment", "url", without_overlong("text").alias("text")), F.col("text").desc_nulls_last()
     )
     pages = fetched.join(parsed, ["segment", "url"]).join(texts.hint("merge"), ["segment", "url"], "left")
     return pages.select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -122,6 +123,27 @@ def test_small_text_functions(spark):
     assert one(spark, text.url_hash("u"), u="a") == one(spark, F.hash("u"), u="a")
 
 
+LONG = "x" * 320
+
+
+@pytest.mark.parametrize("json, expected", [
+    ('[{"a":"%s","b":[1]}]' % LONG, '[{"a":"@","b":[1]}]'),
+    ('[{"k":"it\'s \\" %s"},{"a" : "%s" ,"b":"%s"},7]' % ("y" * 200, LONG, LONG * 9), '[{"k":"it\'s \\" %s"},{"a" : "@" ,"b":"@"},7]' % ("y" * 200)),
+    ("[{'k':'\"','a':\"%s\"}]" % LONG, "[{'k':'\"','a':\"@\"}]"),
+    ('[{"a":"%s"}]' % ("\u00e9" * 192), '[{"a":"@"}]'), ('[{"a":"%s"}]' % ("\\ud83d\\ude00" * 192), '[{"a":"@"}]'),
+    ('[{"a":"%s"}]' % ("\\n\\u0041" * 160), '[{"a":"@"}]'),
+    *[(same, same) for same in (
+        '[{"a":"%s"},{"b":"%s"}]' % (LONG[:256], "\u00e9" * 128), '[{"a":"%s"}]' % ("\\u0041" * 256), '["%s",["%s"]]' % (LONG, LONG),
+        '[{"%s":1}]' % LONG, "[{'a':'%s'}]" % LONG, '[{"a":"%s\\x"}]' % LONG, '[{"a":"%s\n"}]' % LONG, '[{"a":"%s\\ud83d"}]' % LONG,
+        '[{"a":"%s' % LONG, "", None,
+    )],
+])
+def test_strings_past_a_limit_end_early_where_that_is_sure(spark, json, expected):
+    found = one(spark, text.without_overlong("j", 256), j=json)
+    ended = found and re.sub(rf'"[^"]*{text.OVERLONG}"', '"@"', found)
+    assert ended == expected and len(found or "") <= len(json or "") + 2 * len(text.OVERLONG)
+
+
 def sample(spark):
     return detailed(spark, {
         "url": "vk://id7/posts/9", "crawl_date": 1471434127594, "segment": "20160817143312",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from build import detailed, part, posts, profiles, values
 from postlake.functions.dates import local_date
+from postlake.functions.text import OVERLONG
 from postlake.operators import documents, enrich, filters, latest, layout, segments, upsert, words
 from postlake.plans.extract import extracted_records
 from postlake.schemas import DETAILED, POST
@@ -242,6 +243,31 @@ def test_split_pages_give_what_whole_ones_give(spark, text):
     assert split == whole
 
 
+def test_no_row_carries_a_string_past_all_limits(spark):
+    """It ends early as the text is read, and its element alone is set aside."""
+    element = '{"url":"%s","contentMeta":{"type":"post"},"parseMeta":{"date":"2016-05-31T10:00:00+0300","body":"%s"}}'
+    head, tail = ("[" + element % ("big", "|") + "," + element % ("a", "b") + "]").split("|")
+    fetch, data, _ = landing(spark)
+    text = F.concat(F.lit(head), F.expr(f"repeat('0123456789', int({13 << 20} + id))"), F.lit(tail))
+    texts = spark.range(1).select(F.lit("s1").alias("segment"), F.lit("yes1").alias("url"), text.alias("text"))
+    only = [df.where("url = 'not-skipped'").withColumn("url", F.lit("yes1")) for df in (fetch, data)]
+    assert segments.assemble(*only, texts).select(F.octet_length("text")).first()[0] < 2 << 20
+    found = extracted_records(*only, texts, as_of="2016-06-01").select("url", "kind", "reason", "body")
+    assert values(found) == [("a", "post", None, "b"), ("yes1", "quarantine", documents.TOO_LARGE, None)]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ('[{"url":"x","y":"@"},%s]', [("page", None, documents.TOO_LARGE), ("url1", "12345678901234567000", None)]),
+    # What follows the page's array is not looked at.
+    ('[%s] {"y":"@"}', [("url1", "12345678901234567891", None)]),
+])
+def test_an_element_with_a_string_that_ends_early_is_set_aside(spark, text, expected):
+    element = '{"url":"url1","contentMeta":{"type":"post"},"parseMeta":{"sm_post_id":12345678901234567891.0}}'
+    schema = "from_segment string, url string, crawl_date long, segment string, page_type string, route string, parse_meta map<string,string>, text string"
+    pages = spark.createDataFrame([("s", "page", 1, "s", "post", "multi", None, text.replace("@", OVERLONG) % element)], schema)
+    assert values(documents.project(documents.unnest(pages)), "url", "sm_post_id", "reason") == expected
+
+
 def test_elements_beside_one_too_large_come_out(spark):
     """Their numbers too, as far as a double holds them."""
     element = '{"url":"%s","contentMeta":{"type":"post"},"parseMeta":{"date":"2016-05-31T10:00:00+0300","sm_post_id":123456789012.0,"engagement":7.25}}'
